@@ -27,7 +27,7 @@ def concat_bytes(*parts) -> Column:
 
 def int_key(i) -> Column:
     """a 32-bit int as 4 big-endian bytes (two's complement for < 0)."""
-    return F.unhex(F.substring(F.lpad(F.hex(_c(i).cast("int")), 8, "0"), -8, 8))
+    return F.unhex(F.substring(F.lpad(F.hex(_c(i).cast("int")), 16, "0"), -8, 8))
 
 
 def padded_key(n, width: int = 8) -> Column:

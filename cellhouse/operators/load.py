@@ -252,3 +252,24 @@ def bulk_load_thin_rows(table: CellTable, df: DataFrame, row, cells, staging: st
     norm = norm.withColumn("region", region_index(F.col("row"), table.starts, presorted=True))
     write_cells(table, norm, target, file_bytes, balanced=True)
     return publish(table, target, load_id, "thin_rows", exclude_from_minor)
+
+
+@dataclass
+class StagedLoad:
+    load_id: str
+    path: str
+
+
+def stage(table: CellTable, cells: DataFrame, staging: str, ts=None,
+          file_bytes: int | None = DEFAULT_FILE_BYTES) -> StagedLoad:
+    """First half of S11: write region-sorted files to ``staging`` only.
+    Nothing is visible to readers until ``publish_staged``."""
+    load_id = table.next_load_id()
+    target = _stage_path(table, staging, load_id)
+    write_cells(table, with_region(normalize_cells(cells, table, ts=ts), table), target, file_bytes)
+    return StagedLoad(load_id, target)
+
+
+def publish_staged(table: CellTable, staged: StagedLoad, exclude_from_minor: bool = False) -> LoadResult:
+    """Second half of S11: move the staged files in and commit."""
+    return publish(table, staged.path, staged.load_id, "load", exclude_from_minor)
