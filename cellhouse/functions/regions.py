@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import bisect
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,8 +76,6 @@ def region_index(row, starts, presorted: bool = False) -> Column:
 
 
 def _bisect_udf(starts: list[bytes]):
-    import pandas as pd
-
     @F.pandas_udf(T.IntegerType())
     def _region(rows: pd.Series) -> pd.Series:
         out = [None if v is None else bisect.bisect_right(starts, bytes(v)) - 1 for v in rows]

@@ -105,14 +105,32 @@ def _records_per_file(cells: DataFrame, file_bytes: int | None) -> int:
     return max(1, int(file_bytes // max(float(avg or 64.0), 1.0)))
 
 
+def spread_factor(table: CellTable, n_families: int | None = None) -> int:
+    """Write tasks per (family, region): enough that a table with few
+    regions still uses every shuffle partition (2x for balance), 1 once
+    regions outnumber tasks -- then AQE's rebalance splits hot regions at
+    map-output boundaries.  Bounds the files per group at 64."""
+    parts = int(table.spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    groups = max(1, (n_families or len(table.families)) * len(table.starts))
+    return max(1, min(64, -(-2 * parts // groups)))
+
+
+def salt(row_col: str, factor: int) -> F.Column:
+    return F.pmod(F.xxhash64(F.col(row_col)), F.lit(factor)) if factor > 1 else F.lit(0)
+
+
 def write_cells(table: CellTable, cells: DataFrame, target: str, file_bytes: int | None = DEFAULT_FILE_BYTES,
                 balanced: bool = False) -> None:
     """Region-sorted parquet under ``target/family=/region=`` (O1).
 
-    ``balanced=True`` means the caller already placed the rows (thin rows,
-    compaction) and only the in-task sort remains.
+    ``balanced=True`` means the caller already placed the rows (thin rows)
+    and only the in-task sort remains.
     """
-    placed = cells if balanced else cells.hint("rebalance", "family", "region")
+    if balanced:
+        placed = cells
+    else:
+        spread = salt("row", spread_factor(table))
+        placed = cells.withColumn("_salt", spread).hint("rebalance", "family", "region", "_salt").drop("_salt")
     sorted_cells = placed.sortWithinPartitions(*sort_keys()).select(*WRITE_COLS)
     per_file = _records_per_file(cells, file_bytes)
     fam_opts = {f: o for f, o in (table.family_options or {}).items() if o}
@@ -239,7 +257,7 @@ def bulk_load_thin_rows(table: CellTable, df: DataFrame, row, cells, staging: st
     pid = F.spark_partition_id().cast("bigint")
     in_part = F.monotonically_increasing_id() - F.shiftleft(pid, 33)
     keyed = keyed.withColumn("_seq0", F.shiftleft(pid, 42) + F.shiftleft(in_part, 10))
-    moved = keyed.hint("rebalance", "region")
+    moved = keyed.withColumn("_salt", salt("_row", spread_factor(table, 1))).hint("rebalance", "region", "_salt")
     exploded = moved.select(
         "_row", "region", "_seq0", F.posexplode("_cells").alias("_pos", "_cell")
     ).where(F.col("_cell").isNotNull())

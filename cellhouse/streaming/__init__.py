@@ -1 +1,6 @@
-"""Package."""
+"""Structured Streaming counterparts."""
+
+from .stream import (live_latest, live_visible, stream_lookup, stream_lookup_static, stream_put,
+                     windowed_groups)
+
+__all__ = ["stream_put", "stream_lookup", "stream_lookup_static", "windowed_groups", "live_latest", "live_visible"]
