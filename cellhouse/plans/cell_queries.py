@@ -329,10 +329,20 @@ def q_wide_rows(spark, d):
     return w.select(from_bytes("row").alias("row"), *[from_bytes(q).alias(q) for _, _, q in cols])
 
 
+# arrival order of a line: unique per (order, line number) at every scale
+SQL_LINE_SEQ = ("((l_partkey * 100000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT)) * 100000"
+                " + epoch_us(l_shipdate) // 86400000000")
+
+
+def line_seq():
+    return ((F.col("l_partkey") * F.lit(100000) + F.col("l_suppkey")) * F.lit(100)
+            + F.col("l_quantity").cast("bigint")) * F.lit(100000) + F.unix_date(F.to_date("l_shipdate"))
+
+
 @register("collapse_identical", f"""
 SELECT {sql_key8('l_orderkey')} AS row, CAST(l_linenumber AS VARCHAR) AS qualifier,
-       arg_max(printf('%.2f', l_extendedprice), l_partkey * 1000000 + l_suppkey) AS value,
-       max(l_partkey * 1000000 + l_suppkey) AS seq, count(*) AS n_collapsed
+       arg_max(printf('%.2f', l_extendedprice), {SQL_LINE_SEQ}) AS value,
+       max({SQL_LINE_SEQ}) AS seq, count(*) AS n_collapsed
 FROM lineitem GROUP BY 1, 2
 """)
 def q_collapse_identical(spark, d):
@@ -341,7 +351,7 @@ def q_collapse_identical(spark, d):
                      F.encode(F.col("l_linenumber").cast("string"), "UTF-8").alias("qualifier"),
                      F.lit(0).cast("bigint").alias("ts"), F.lit(PUT).cast("tinyint").alias("op"),
                      F.encode(F.format_string("%.2f", "l_extendedprice"), "UTF-8").alias("value"),
-                     (F.col("l_partkey") * F.lit(1000000) + F.col("l_suppkey")).alias("seq"))
+                     line_seq().cast("bigint").alias("seq"))
     n = cells.groupBy("row", "qualifier").agg(F.count(F.lit(1)).alias("n_collapsed"))
     c = collapse_identical(cells).join(n, ["row", "qualifier"])
     return c.select(from_bytes("row").alias("row"), from_bytes("qualifier").alias("qualifier"),
