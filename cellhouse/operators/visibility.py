@@ -41,19 +41,28 @@ def _arrival_order(df: DataFrame):
 
 
 def tombstone_summary(cells: DataFrame):
-    """Family / column / version tombstone tables and their measured size."""
+    """Family / column / version tombstone tables (None when that kind is
+    absent) and the measured size of all tombstones: one small action that
+    counts tombstones and their key bytes per kind."""
     tombs = cells.where(F.col("op") != F.lit(PUT)).select("row", "family", "qualifier", "ts", "op")
-    stats = tombs.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(
-            F.sum(F.octet_length("row") + F.octet_length("family") + F.octet_length("qualifier") + F.lit(16)),
-            F.lit(0),
-        ).alias("bytes"),
-    ).first()
-    fam = tombs.where(F.col("op") == F.lit(DELETE_FAMILY)).groupBy(*KEY_F).agg(F.max("ts").alias("_fam_del"))
-    col = tombs.where(F.col("op") == F.lit(DELETE_COLUMN)).groupBy(*KEY_Q).agg(F.max("ts").alias("_col_del"))
-    ver = tombs.where(F.col("op") == F.lit(DELETE_VERSION)).select(*KEY_Q, "ts").distinct()
-    return fam, col, ver, int(stats["n"]), int(stats["bytes"])
+    per_kind = {
+        int(r["op"]): (int(r["n"]), int(r["bytes"]))
+        for r in tombs.groupBy("op").agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum(F.octet_length("row") + F.octet_length("family") + F.octet_length("qualifier") + F.lit(16))
+            .alias("bytes"),
+        ).collect()
+    }
+    n = sum(v[0] for v in per_kind.values())
+    nbytes = sum(v[1] for v in per_kind.values())
+    fam = col = ver = None
+    if DELETE_FAMILY in per_kind:
+        fam = tombs.where(F.col("op") == F.lit(DELETE_FAMILY)).groupBy(*KEY_F).agg(F.max("ts").alias("_fam_del"))
+    if DELETE_COLUMN in per_kind:
+        col = tombs.where(F.col("op") == F.lit(DELETE_COLUMN)).groupBy(*KEY_Q).agg(F.max("ts").alias("_col_del"))
+    if DELETE_VERSION in per_kind:
+        ver = tombs.where(F.col("op") == F.lit(DELETE_VERSION)).select(*KEY_Q, "ts").distinct()
+    return fam, col, ver, n, nbytes
 
 
 def apply_tombstones(cells: DataFrame, ts_range=None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
@@ -69,16 +78,15 @@ def apply_tombstones(cells: DataFrame, ts_range=None, broadcast_bytes: int = BRO
     if n == 0:
         return puts
     side = F.broadcast if nbytes <= broadcast_bytes else (lambda d: d)
-    out = (
-        puts.join(side(fam), KEY_F, "left")
-        .join(side(col), KEY_Q, "left")
-        .join(side(ver), KEY_Q + ["ts"], "left_anti")
-        .where(
-            (F.col("_fam_del").isNull() | (F.col("ts") > F.col("_fam_del")))
-            & (F.col("_col_del").isNull() | (F.col("ts") > F.col("_col_del")))
-        )
-        .drop("_fam_del", "_col_del")
-    )
+    out = puts
+    if fam is not None:
+        out = out.join(side(fam), KEY_F, "left").where(
+            F.col("_fam_del").isNull() | (F.col("ts") > F.col("_fam_del"))).drop("_fam_del")
+    if col is not None:
+        out = out.join(side(col), KEY_Q, "left").where(
+            F.col("_col_del").isNull() | (F.col("ts") > F.col("_col_del"))).drop("_col_del")
+    if ver is not None:
+        out = out.join(side(ver), KEY_Q + ["ts"], "left_anti")
     return out
 
 
