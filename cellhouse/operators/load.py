@@ -120,11 +120,12 @@ def salt(row_col: str, factor: int) -> F.Column:
 
 
 def write_cells(table: CellTable, cells: DataFrame, target: str, file_bytes: int | None = DEFAULT_FILE_BYTES,
-                balanced: bool = False) -> None:
+                balanced: bool = False, size_sample: DataFrame | None = None) -> None:
     """Region-sorted parquet under ``target/family=/region=`` (O1).
 
     ``balanced=True`` means the caller already placed the rows (thin rows)
-    and only the in-task sort remains.
+    and only the in-task sort remains; such callers pass ``size_sample``, a
+    pre-exchange view of the cells, so sizing never runs the shuffle.
     """
     if balanced:
         placed = cells
@@ -132,7 +133,7 @@ def write_cells(table: CellTable, cells: DataFrame, target: str, file_bytes: int
         spread = salt("row", spread_factor(table))
         placed = cells.withColumn("_salt", spread).hint("rebalance", "family", "region", "_salt").drop("_salt")
     sorted_cells = placed.sortWithinPartitions(*sort_keys()).select(*WRITE_COLS)
-    per_file = _records_per_file(cells, file_bytes)
+    per_file = _records_per_file(size_sample if size_sample is not None else cells, file_bytes)
     fam_opts = {f: o for f, o in (table.family_options or {}).items() if o}
     if not fam_opts:
         w = sorted_cells.write.mode("errorifexists").partitionBy("family", "region")
@@ -249,7 +250,10 @@ def bulk_load_thin_rows(table: CellTable, df: DataFrame, row, cells, staging: st
     """
     load_id = table.next_load_id()
     target = _stage_path(table, staging, load_id)
-    keyed = df.select(row.alias("_row"), cells.alias("_cells")).where(F.col("_row").isNotNull())
+    # the element itself travels: the cells expression is evaluated after the
+    # exchange, so the shuffle carries the narrow input row and the cell
+    # building runs in the (parallel) reduce tasks
+    keyed = df.withColumn("_row", row).where(F.col("_row").isNotNull())
     keyed = keyed.withColumn("_row", F.col("_row") if isinstance(keyed.schema["_row"].dataType, T.BinaryType)
                              else F.encode(F.col("_row").cast("string"), "UTF-8"))
     keyed = keyed.withColumn("region", region_index(F.col("_row"), table.starts, presorted=True))
@@ -258,17 +262,20 @@ def bulk_load_thin_rows(table: CellTable, df: DataFrame, row, cells, staging: st
     in_part = F.monotonically_increasing_id() - F.shiftleft(pid, 33)
     keyed = keyed.withColumn("_seq0", F.shiftleft(pid, 42) + F.shiftleft(in_part, 10))
     moved = keyed.withColumn("_salt", salt("_row", spread_factor(table, 1))).hint("rebalance", "region", "_salt")
-    exploded = moved.select(
-        "_row", "region", "_seq0", F.posexplode("_cells").alias("_pos", "_cell")
-    ).where(F.col("_cell").isNotNull())
-    flat = exploded.select(
-        F.col("_row").alias("row"),
-        "_cell.*",
-        (F.col("_seq0") + F.least(F.col("_pos"), F.lit(1023))).alias("seq"),
-    )
-    norm = normalize_cells(flat, table, ts=ts)
-    norm = norm.withColumn("region", region_index(F.col("row"), table.starts, presorted=True))
-    write_cells(table, norm, target, file_bytes, balanced=True)
+
+    def expand(elements: DataFrame) -> DataFrame:
+        exploded = elements.select(
+            "_row", "region", "_seq0", F.posexplode(cells).alias("_pos", "_cell")
+        ).where(F.col("_cell").isNotNull())
+        flat = exploded.select(
+            F.col("_row").alias("row"),
+            "_cell.*",
+            (F.col("_seq0") + F.least(F.col("_pos"), F.lit(1023))).alias("seq"),
+        )
+        norm = normalize_cells(flat, table, ts=ts)
+        return norm.withColumn("region", region_index(F.col("row"), table.starts, presorted=True))
+
+    write_cells(table, expand(moved), target, file_bytes, balanced=True, size_sample=expand(keyed))
     return publish(table, target, load_id, "thin_rows", exclude_from_minor)
 
 

@@ -21,7 +21,8 @@ from ..sources.table import read_table
 from ..sources.text import read_lines, write_lines
 from .fixtures import (EVENT_FAMILIES, EVENT_SPLITS, MISS_SHIFT, ORDER_FAMILIES, ORDER_SPLITS, SQL_CUSTOMER_CELLS,
                        SQL_EVENT_CELLS, SQL_ORDER_CELLS, T_DEL, T_FUTURE, cents, customer_cells, decoded,
-                       event_cells, key8, new_table, order_cells, sql_key8, sql_region, tbl, thin_line_cells)
+                       event_cells, key8, new_table, order_cells, sql_key8, sql_region, tbl, thin_line_cells,
+                       thin_line_row)
 from .registry import register
 from .text_queries import SQL_KV_CELLS, cell_line, kv_cells
 
@@ -130,8 +131,8 @@ SELECT row, 'line', q || ':q', CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) FROM
 """)
 def q_bulk_load_thin_rows(spark, d):
     t = new_table(spark, "thin", ["line"], ORDER_SPLITS)
-    el = thin_line_cells(tbl(spark, d, "lineitem"))
-    bulk_load_thin_rows(t, el, F.col("row"), F.col("cells"), ts=0)
+    # the raw line is the element; its cells are built after the exchange
+    bulk_load_thin_rows(t, tbl(spark, d, "lineitem"), thin_line_row(), thin_line_cells(), ts=0)
     return decoded(read_table(t), with_ts=False)
 
 

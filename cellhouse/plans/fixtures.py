@@ -85,18 +85,22 @@ def event_cells(e: DataFrame, value=None) -> DataFrame:
     )
 
 
-def thin_line_cells(l: DataFrame) -> DataFrame:
-    """lineitem -> thin-row elements: one element per line, keyed by the
-    8-digit order key, holding two cells (price and quantity)."""
+def thin_line_row() -> F.Column:
+    """Row key of a lineitem thin-row element: the 8-digit order key."""
+    return padded_key("l_orderkey")
+
+
+def thin_line_cells() -> F.Column:
+    """Cells of a lineitem thin-row element (one element per line): price
+    and quantity under a qualifier unique within the order."""
     q = F.concat_ws(":", "l_linenumber", "l_partkey", "l_suppkey", F.date_format("l_shipdate", "yyyyMMdd"),
                     F.col("l_quantity").cast("bigint").cast("string"))
-    cells = F.array(
+    return F.array(
         F.struct(F.lit("line").alias("family"), F.concat(q, F.lit(":p")).alias("qualifier"),
                  F.format_string("%.2f", "l_extendedprice").alias("value")),
         F.struct(F.lit("line").alias("family"), F.concat(q, F.lit(":q")).alias("qualifier"),
                  F.col("l_quantity").cast("bigint").cast("string").alias("value")),
     )
-    return l.select(padded_key("l_orderkey").alias("row"), cells.alias("cells"))
 
 
 def new_table(spark: SparkSession, name: str, families, splits, **kw):
