@@ -92,19 +92,23 @@ def apply_tombstones(cells: DataFrame, ts_range=None, broadcast_bytes: int = BRO
 
 def newest_versions(puts: DataFrame, versions: int | None = 1) -> DataFrame:
     """Newest ``versions`` distinct timestamps per column; for each timestamp
-    the latest arrival.  ``versions=None`` keeps every timestamp."""
-    order = [F.col("ts").desc()] + _arrival_order(puts)
-    w = Window.partitionBy(*KEY_Q).orderBy(*order)
+    the latest arrival.  ``versions=None`` keeps every timestamp.
+
+    Each form is a rank filter that Catalyst turns into a ``WindowGroupLimit``
+    with a partial step before the single exchange (at most n timestamps per
+    column leave a map task); the per-timestamp dedup reuses that
+    partitioning (no second exchange).
+    """
+    arrival = _arrival_order(puts)
     if versions == 1:
+        w = Window.partitionBy(*KEY_Q).orderBy(F.col("ts").desc(), *arrival)
         return puts.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
-    # first arrival-ordered cell of each ts, then the top-n timestamps
-    prev_ts = F.lag("ts", 1).over(w)
-    marked = puts.withColumn("_first", prev_ts.isNull() | (prev_ts != F.col("ts")))
-    dedup = marked.where("_first").drop("_first")
+    w_ts = Window.partitionBy(*KEY_Q, "ts").orderBy(*arrival) if arrival else Window.partitionBy(*KEY_Q, "ts").orderBy("ts")
     if versions is None:
-        return dedup
-    w_ts = Window.partitionBy(*KEY_Q).orderBy(F.col("ts").desc())
-    return dedup.withColumn("_rk", F.row_number().over(w_ts)).where(F.col("_rk") <= int(versions)).drop("_rk")
+        return puts.withColumn("_rn", F.row_number().over(w_ts)).where(F.col("_rn") == 1).drop("_rn")
+    w = Window.partitionBy(*KEY_Q).orderBy(F.col("ts").desc())
+    top = puts.withColumn("_dr", F.dense_rank().over(w)).where(F.col("_dr") <= int(versions)).drop("_dr")
+    return top.withColumn("_rn", F.row_number().over(w_ts)).where(F.col("_rn") == 1).drop("_rn")
 
 
 def visible_cells(cells: DataFrame, versions: int | None = 1, ts_range=None, keep_meta: bool = False,
