@@ -53,8 +53,8 @@ def bulk_get(requests: DataFrame, table: CellTable, columns, row: str = "row", v
 
     ``columns`` is a list of ``(family, qualifier)`` or
     ``(family, qualifier, alias)``; each becomes a BINARY column (null when
-    the cell is absent).  ``found`` tells whether the row has any visible
-    cell in the requested families.  ``event_time`` (W1): a column copied to
+    the cell is absent).  ``found`` tells whether any requested column of
+    the row is visible (an empty restricted Get is "not found").  ``event_time`` (W1): a column copied to
     ``event_ts``.
     """
     cols = [(c[0], c[1], c[2] if len(c) > 2 else f"{c[0]}:{c[1]}") for c in columns]
