@@ -96,11 +96,24 @@ def with_region(cells: DataFrame, table: CellTable) -> DataFrame:
     return cells.withColumn("region", region_index(F.col("row"), table.starts, presorted=True))
 
 
+def _estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan (from file sizes; no job)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. remote session)
+        return None
+
+
 def _records_per_file(cells: DataFrame, file_bytes: int | None) -> int:
     """Rows per file for a byte target, from the mean cell size of a
-    small head sample (a bounded action: ``limit`` stops early)."""
+    small head sample (a bounded action: ``limit`` stops early).  Skipped
+    when even 8x the plan's own size estimate (compressed-file based) stays
+    below the target: no file can reach it then."""
     if not file_bytes:
         return 0
+    est = _estimated_bytes(cells)
+    if est is not None and est * 8 < file_bytes:
+        return 0
     avg = cells.limit(2000).agg(F.avg(cell_size()).alias("a")).first()["a"]
     return max(1, int(file_bytes // max(float(avg or 64.0), 1.0)))
 
