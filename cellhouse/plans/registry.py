@@ -22,6 +22,6 @@ def register(name: str, sql: str | None = None):
 
 
 def load_all():
-    from . import cell_queries, partition_queries, text_queries  # noqa: F401
+    from . import cell_queries, partition_queries, stream_queries, text_queries  # noqa: F401
 
     return QUERIES, ORACLES
