@@ -6,8 +6,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.bytes import epoch_millis, from_bytes, padded_key
-from ..functions.regions import region_index, table_starts
-from ..functions.text import parse_cells
 from ..model import DELETE_FAMILY, DELETE_VERSION, PUT
 from ..operators.aggregate import cell_presence_count, table_row_count, wide_rows
 from ..operators.load import bulk_load, bulk_load_thin_rows, publish_staged, stage
@@ -18,8 +16,8 @@ from ..operators.sort import file_order_violations, ordered_rank
 from ..operators.visibility import collapse_identical
 from ..session import new_path
 from ..sources.table import read_table
-from ..sources.text import read_lines, write_lines
-from .fixtures import (EVENT_FAMILIES, EVENT_SPLITS, MISS_SHIFT, ORDER_FAMILIES, ORDER_SPLITS, SQL_CUSTOMER_CELLS,
+from ..sources.text import write_lines
+from .fixtures import (EVENT_FAMILIES, EVENT_SPLITS, MISS_SHIFT, ORDER_FAMILIES, ORDER_SPLITS,
                        SQL_EVENT_CELLS, SQL_ORDER_CELLS, T_DEL, T_FUTURE, cents, customer_cells, decoded,
                        event_cells, key8, new_table, order_cells, sql_key8, sql_region, tbl, thin_line_cells,
                        thin_line_row)
@@ -491,5 +489,3 @@ def q_compaction_respects_flag(spark, d):
     compact(t, max_files=1)
     return live_groups(t).groupBy("kind", "exclude_from_minor").agg(F.sum("n_cells").cast("bigint").alias("n_cells"))
 
-
-_unused = (parse_cells, read_lines, region_index, table_starts, SQL_CUSTOMER_CELLS)

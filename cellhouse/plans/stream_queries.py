@@ -16,7 +16,7 @@ from ..model import DELETE_FAMILY, PUT
 from ..session import new_path
 from ..sources.table import read_table
 from ..streaming.stream import live_visible, stream_put, windowed_groups
-from .fixtures import EVENT_FAMILIES, EVENT_SPLITS, SQL_EVENT_CELLS, T_DEL, cents, decoded, event_cells, new_table, tbl
+from .fixtures import EVENT_FAMILIES, EVENT_SPLITS, SQL_EVENT_CELLS, T_DEL, cents, decoded, event_cells, new_table
 from .registry import register
 
 
@@ -95,5 +95,3 @@ def q_stream_windowed_groups(spark, d):
     q.awaitTermination()
     return spark.read.schema("group_ts bigint, user_id bigint, n bigint, total_cents bigint").parquet(out)
 
-
-_ = tbl

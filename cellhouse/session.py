@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -67,4 +66,4 @@ def is_local(p: str) -> bool:
     return p.startswith("/") or p.startswith("file:")
 
 
-__all__ = ["build_session", "work_root", "new_path", "local_path", "is_local", "os"]
+__all__ = ["build_session", "work_root", "new_path", "local_path", "is_local"]

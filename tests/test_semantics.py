@@ -2,7 +2,6 @@
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from cellhouse import DELETE_COLUMN, DELETE_FAMILY, DELETE_VERSION, PUT, new_path, read_table
 from cellhouse.operators.load import bulk_load, bulk_load_thin_rows, publish_staged, stage
@@ -187,6 +186,3 @@ def test_scan_range_and_columns(spark, tmp_table):
     with pytest.raises(ValueError):
         view(t, families=["nope"])
 
-
-def test_unused_import_guard():
-    assert AnalysisException is not None
