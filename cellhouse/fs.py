@@ -59,3 +59,16 @@ def count_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> int
         if it.next().getPath().getName().endswith(suffix):
             n += 1
     return n
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries (files and folders) of ``path``; empty if absent."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(p))
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.create(p, True).close()

@@ -212,6 +212,9 @@ def publish(table: CellTable, staged: str, load_id: str, kind: str, exclude_from
             raise OSError(f"could not move {staged} to {dst}")
     else:
         fs.mkdirs(spark, dst)
+    if replaces_by_group:
+        # marker first: readers look for replaced groups only when one exists
+        fs.touch(spark, f"{table.path}/_compactions/{load_id}")
     rows = _manifest_rows(table, dst, int(time.time() * 1000), exclude_from_minor, kind, replaces_by_group)
     tmp = f"{table.path}/_manifest_tmp/{load_id}"
     fs.delete(spark, tmp)

@@ -33,6 +33,7 @@ class CellTable:
     families: list[str]
     starts: list[bytes]
     family_options: dict = field(default_factory=dict)
+    _replaced_cache: tuple | None = field(default=None, repr=False, compare=False)
 
     @property
     def data_path(self) -> str:
@@ -61,13 +62,20 @@ class CellTable:
 
     def replaced_groups(self) -> list[str]:
         """``load/family/region`` groups superseded by compactions (metadata
-        sized: one entry per rewritten file group)."""
-        if not self.committed_loads():
-            return []
+        sized: one entry per rewritten file group).  The manifest only grows
+        by whole committed loads, so the answer is cached per set of loads."""
+        loads = tuple(self.committed_loads())
+        if not loads or not fs.list_names(self.spark, f"{self.path}/_compactions"):
+            return []  # no compaction was ever started: nothing to read
+        cached = self._replaced_cache
+        if cached is not None and cached[0] == loads:
+            return list(cached[1])
         rows = (
             self.manifest().where(F.size("replaces") > 0).select(F.explode("replaces").alias("g")).distinct().collect()
         )
-        return sorted(r.g for r in rows)
+        groups = sorted(r.g for r in rows)
+        self._replaced_cache = (loads, groups)
+        return list(groups)
 
     def next_load_id(self) -> str:
         used = [d.split("=", 1)[1] for d in fs.list_dirs(self.spark, self.data_path) if d.startswith("load_id=")]
