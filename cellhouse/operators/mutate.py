@@ -18,9 +18,18 @@ SCOPES = {"row": DELETE_FAMILY, "family": DELETE_FAMILY, "column": DELETE_COLUMN
 
 
 def bulk_put(table: CellTable, cells: DataFrame, ts=None) -> LoadResult:
-    """Append puts.  ``cells``: ``row, family, qualifier, value[, ts, seq]``."""
-    return bulk_load(table, cells.withColumn("op", F.lit(PUT)) if "op" not in cells.columns else cells,
-                     ts=ts, kind="put")
+    """Append puts.  ``cells``: ``row, family, qualifier, value[, ts, seq]``.
+
+    Only puts: an ``op`` column holding anything else fails the job before
+    publish (deletes go through ``bulk_delete``; mixed collections through
+    ``apply_mutations``)."""
+    if "op" in cells.columns:
+        ok = F.col("op") == F.lit(PUT)
+        cells = cells.withColumn("op", F.when(ok, F.col("op")).otherwise(
+            F.raise_error(F.lit("bulk_put takes puts only; use bulk_delete or apply_mutations"))))
+    else:
+        cells = cells.withColumn("op", F.lit(PUT))
+    return bulk_load(table, cells, ts=ts, kind="put")
 
 
 def put_expr(df: DataFrame, cell) -> DataFrame:

@@ -186,3 +186,25 @@ def test_scan_range_and_columns(spark, tmp_table):
     with pytest.raises(ValueError):
         view(t, families=["nope"])
 
+
+
+def test_put_rejects_deletes(spark, tmp_table):
+    # a put sink must not carry tombstones (and a delete sink builds only tombstones)
+    t = tmp_table(["f"])
+    df = spark.createDataFrame([("r", "f", "q", 1, "x", DELETE_COLUMN)], SCHEMA + ", op int")
+    with pytest.raises(Exception):
+        bulk_put(t, df)
+    assert t.committed_loads() == []
+
+
+def test_thin_rows_files_per_region_not_per_row(spark, tmp_table):
+    from cellhouse import fs
+
+    t = tmp_table(["f"], splits=["m"])
+    df = spark.range(400).select(F.format_string("r%03d", "id").alias("k"), F.col("id"))
+    cells = F.array(F.struct(F.lit("f").alias("family"), F.lit("q").alias("qualifier"),
+                             F.col("id").cast("string").alias("value")))
+    r = bulk_load_thin_rows(t, df, F.col("k"), cells, ts=1)
+    # 400 distinct rows, but files are per (family, region) and task, never per row
+    assert fs.count_files(spark, r.path) < 40
+    assert read_table(t).count() == 400
