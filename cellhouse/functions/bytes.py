@@ -58,6 +58,23 @@ def epoch_millis(ts) -> Column:
     )
 
 
+def epoch_micros(ts) -> Column:
+    """Epoch microseconds of a TIMESTAMP_NTZ value, wall clock read as UTC."""
+    c = _c(ts)
+    return (
+        F.unix_date(F.to_date(c)).cast("bigint") * F.lit(86_400_000_000)
+        + F.hour(c).cast("bigint") * F.lit(3_600_000_000)
+        + F.minute(c).cast("bigint") * F.lit(60_000_000)
+        + (F.date_part(F.lit("SECOND"), c) * F.lit(1_000_000)).cast("bigint")
+    )
+
+
+def ntz_to_instant(ts) -> Column:
+    """A TIMESTAMP_NTZ as the TIMESTAMP whose UTC wall clock it is --
+    independent of the session time zone (a plain cast is not)."""
+    return F.timestamp_micros(epoch_micros(ts))
+
+
 def now_millis() -> Column:
     """the clock, one value per query."""
     return F.unix_millis(F.current_timestamp())

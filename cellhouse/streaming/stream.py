@@ -13,8 +13,9 @@
 * ``live_visible`` (W6 with deletes): per (row, family) state of newest
   visible cells and tombstones, with ``applyInPandasWithState``.
 
-``timestamp_ntz`` inputs are cast to ``timestamp`` (session time zone UTC,
-see ``build_session``) because watermarks need a ``timestamp``.  Rows behind
+``timestamp_ntz`` inputs become the ``timestamp`` whose UTC wall clock they
+hold (independent of the session time zone) because watermarks need a
+``timestamp``.  Rows behind
 the watermark are dropped by Spark.
 """
 
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from ..functions.bytes import ntz_to_instant
 from ..model import DELETE_COLUMN, DELETE_FAMILY, DELETE_VERSION, PUT
 from ..operators.load import bulk_load
 from ..operators.lookup import bulk_get
@@ -85,9 +87,12 @@ def stream_lookup_static(stream: DataFrame, snapshot: DataFrame, row: str = "row
 
 
 def as_event_time(df: DataFrame, col: str) -> DataFrame:
+    """Watermarks need TIMESTAMP: a TIMESTAMP_NTZ column becomes the instant
+    whose UTC wall clock it holds, so windows fall on the same boundaries
+    as the batch form whatever the session time zone."""
     t = df.schema[col].dataType
     if isinstance(t, T.TimestampNTZType):
-        return df.withColumn(col, F.col(col).cast("timestamp"))
+        return df.withColumn(col, ntz_to_instant(F.col(col)))
     return df
 
 
