@@ -76,6 +76,14 @@ def region_index(row, starts, presorted: bool = False) -> Column:
 
 
 def _bisect_udf(starts: list[bytes]):
+    from pyspark.sql import SparkSession
+
+    from ..session import ship_package
+
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        ship_package(active)
+
     @F.pandas_udf(T.IntegerType())
     def _region(rows: pd.Series) -> pd.Series:
         out = [None if v is None else bisect.bisect_right(starts, bytes(v)) - 1 for v in rows]

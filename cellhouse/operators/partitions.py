@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import ship_package
+
 KEY = "_pkey"
 
 
@@ -31,10 +33,6 @@ def _batches_by_key(batches: Iterator[pa.RecordBatch], key: str):
 
     pending: list = []  # carried slices of the current key
     current = object()
-
-    def flush():
-        return list(pending)
-
     for b in batches:
         if b.num_rows == 0:
             continue
@@ -55,7 +53,7 @@ def _batches_by_key(batches: Iterator[pa.RecordBatch], key: str):
                 pending.append(piece)
                 continue
             if pending:
-                yield current, flush()
+                yield current, pending
             pending = [piece]
             current = k
     if pending:
@@ -68,15 +66,20 @@ def _keyed(df: DataFrame, key) -> DataFrame:
 
 
 def map_partitions(df: DataFrame, key, fn: Callable, schema: T.StructType, conf: dict | None = None,
-                   partial: Callable | None = None, partial_schema: T.StructType | None = None) -> DataFrame:
-    """``fn(conf, key, batches) -> iterable of dicts/tuples | pa.RecordBatch | None``.
+                   partial: Callable | None = None, partial_schema: T.StructType | None = None,
+                   order_by=()) -> DataFrame:
+    """``fn(conf, key, batches)`` returns ``None``, or an iterable of
+    dicts / tuples / ``pa.RecordBatch`` (a generator is consumed lazily).
 
     Output rows are ``(key, index, *schema)``: ``index`` numbers a group's
     outputs; a group whose result is empty keeps one row with null
     ``index`` and fields; a ``None`` result drops the group.  ``key`` is a
-    column name or Column; ``key=None`` means unkeyed (U3).
+    column name or Column; ``key=None`` means unkeyed (U3).  ``order_by``
+    columns sort the rows inside each group, so order-dependent functions
+    (running totals) can stream instead of collecting the group.
     """
     conf = dict(conf or {})
+    ship_package(df.sparkSession)
     if key is None:
         return map_partitions_unkeyed(df, fn, schema, conf)
     keyed = _keyed(df, key)
@@ -91,37 +94,61 @@ def map_partitions(df: DataFrame, key, fn: Callable, schema: T.StructType, conf:
     out_schema = T.StructType(
         [T.StructField("key", key_type), T.StructField("index", T.LongType())] + list(schema.fields)
     )
-    moved = keyed.repartition(KEY).sortWithinPartitions(KEY)
+    moved = keyed.repartition(KEY).sortWithinPartitions(KEY, *order_by)
     return moved.mapInArrow(_group_runner(fn, conf, schema, with_index=True), out_schema)
 
 
+CHUNK = 4096
+
+
 def _group_runner(fn, conf, schema: T.StructType, with_index: bool):
+    """Run ``fn`` per key run and stream its output in Arrow chunks: neither
+    a group's input nor its output is ever held whole."""
     names = [f.name for f in schema.fields]
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    arrow_fields = to_arrow_schema(schema)
+    arrow_fields = list(to_arrow_schema(schema))
+    key_name = "key" if with_index else KEY
+
+    def flush(out_schema, buf_k, buf_i, buf_r):
+        cols = {key_name: list(buf_k)}
+        if with_index:
+            cols["index"] = list(buf_i)
+        cols.update({n: [None if r is None else r[i] for r in buf_r] for i, n in enumerate(names)})
+        batch = pa.RecordBatch.from_pydict(cols, schema=out_schema)
+        buf_k.clear(), buf_i.clear(), buf_r.clear()
+        return batch
 
     def run(batches):
+        # no closure state shared between nested functions: it does not
+        # survive pickling to the workers
+        out_schema = None
+        buf_k, buf_i, buf_r = [], [], []
         for k, pieces in _batches_by_key(batches, KEY):
+            if out_schema is None:
+                fields = [pa.field(key_name, _arrow_key(k))] + ([pa.field("index", pa.int64())] if with_index else [])
+                out_schema = pa.schema(fields + arrow_fields)
             res = fn(conf, k, (p.drop_columns([KEY]) for p in pieces))
             if res is None:
                 continue
-            rows = _rows_of(res, names)
-            if with_index:
-                if not rows:
-                    cols = {"key": [k], "index": [None]}
-                    cols.update({n: [None] for n in names})
+            if isinstance(res, (pa.RecordBatch, pa.Table)):
+                res = [res]
+            n = 0
+            for item in res:
+                if isinstance(item, (pa.RecordBatch, pa.Table)):
+                    d = item.to_pydict()
+                    rows = list(zip(*[d[c] for c in names])) if item.num_rows else []
                 else:
-                    cols = {"key": [k] * len(rows), "index": list(range(len(rows)))}
-                    cols.update({n: [r[i] for r in rows] for i, n in enumerate(names)})
-                sch = pa.schema([pa.field("key", _arrow_key(k)), pa.field("index", pa.int64())] + list(arrow_fields))
-            else:
-                if not rows:
-                    continue
-                cols = {KEY: [k] * len(rows)}
-                cols.update({n: [r[i] for r in rows] for i, n in enumerate(names)})
-                sch = pa.schema([pa.field(KEY, _arrow_key(k))] + list(arrow_fields))
-            yield pa.RecordBatch.from_pydict(cols, schema=sch)
+                    rows = [tuple(item.get(c) for c in names) if isinstance(item, dict) else tuple(item)]
+                for r in rows:
+                    buf_k.append(k), buf_i.append(n), buf_r.append(r)
+                    n += 1
+                    if len(buf_k) >= CHUNK:
+                        yield flush(out_schema, buf_k, buf_i, buf_r)
+            if n == 0 and with_index:
+                buf_k.append(k), buf_i.append(None), buf_r.append(None)  # empty result: group kept
+        if buf_k:
+            yield flush(out_schema, buf_k, buf_i, buf_r)
 
     return run
 
@@ -154,6 +181,7 @@ def _rows_of(res, names):
 def map_partitions_unkeyed(df: DataFrame, fn: Callable, schema: T.StructType, conf: dict | None = None) -> DataFrame:
     """Each Spark partition is one group (``key`` = None); no shuffle."""
     conf = dict(conf or {})
+    ship_package(df.sparkSession)
     names = [f.name for f in schema.fields]
     from pyspark.sql.pandas.types import to_arrow_schema
 

@@ -46,18 +46,17 @@ RUNNING = T.StructType([
 
 
 def running_total(conf, key, batches):
-    """Lines of one order in (line, part, supplier) order with a running sum."""
-    tbls = [pa.Table.from_batches([b]) for b in batches]
-    t = pa.concat_tables(tbls) if tbls else None
-    if t is None or t.num_rows == 0:
-        return []
-    t = t.sort_by([("l_linenumber", "ascending"), ("l_partkey", "ascending"), ("l_suppkey", "ascending"),
-                   ("cents", "ascending")])
-    run = pc.cumulative_sum(t.column("cents"))
-    return pa.RecordBatch.from_arrays(
-        [t.column("l_linenumber").combine_chunks(), t.column("l_partkey").combine_chunks(),
-         t.column("l_suppkey").combine_chunks(), run.combine_chunks()],
-        names=[f.name for f in RUNNING.fields])
+    """Lines of one order, arriving in (line, part, supplier, cents) order,
+    with a running sum -- one pass, batch by batch (the group is never
+    collected)."""
+    carry = 0
+    for b in batches:
+        run = pc.add(pc.cumulative_sum(b.column("cents")), carry)
+        if len(run):
+            carry = run[-1].as_py()
+        yield pa.RecordBatch.from_arrays(
+            [b.column("l_linenumber"), b.column("l_partkey"), b.column("l_suppkey"), run],
+            names=[f.name for f in RUNNING.fields])
 
 
 @register("map_partitions", f"""
@@ -70,7 +69,8 @@ WINDOW w AS (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey
              CAST(round(l_extendedprice * 100) AS BIGINT))
 """)
 def q_map_partitions(spark, d):
-    out = map_partitions(_lines(spark, d), "row", running_total, RUNNING)
+    out = map_partitions(_lines(spark, d), "row", running_total, RUNNING,
+                         order_by=("l_linenumber", "l_partkey", "l_suppkey", "cents"))
     return out.select(F.decode("key", "UTF-8").alias("key"), "index", "l_linenumber", "l_partkey", "l_suppkey",
                       "running_cents")
 
@@ -110,23 +110,27 @@ SUMMARY = T.StructType([
 PARTIAL = SUMMARY
 
 
-def _summ(t: pa.Table, n_col: str | None):
-    n = pc.sum(t.column(n_col)).as_py() if n_col else t.num_rows
-    tot = pc.sum(t.column("total_cents" if n_col else "cents")).as_py() or 0
-    lo_col, hi_col = ("min_row", "max_row") if n_col else ("row", "row")
-    lo = min(t.column(lo_col).to_pylist())
-    hi = max(t.column(hi_col).to_pylist())
-    return [(int(n), int(tot), lo, hi)]
+def _fold(batches, n_col, sum_col, lo_col, hi_col):
+    """Single pass over a group: count, sum, min and max row."""
+    n, tot, lo, hi = 0, 0, None, None
+    for b in batches:
+        if b.num_rows == 0:
+            continue
+        n += pc.sum(b.column(n_col)).as_py() if n_col else b.num_rows
+        tot += pc.sum(b.column(sum_col)).as_py() or 0
+        mn = pc.min(b.column(lo_col)).as_py()
+        mx = pc.max(b.column(hi_col)).as_py()
+        lo = mn if lo is None or mn < lo else lo
+        hi = mx if hi is None or mx > hi else hi
+    return [(int(n), int(tot), lo, hi)] if n else []
 
 
 def region_partial(conf, key, batches):
-    t = pa.Table.from_batches(list(batches))
-    return _summ(t, None) if t.num_rows else []
+    return _fold(batches, None, "cents", "row", "row")
 
 
 def region_final(conf, key, batches):
-    t = pa.Table.from_batches(list(batches))
-    return _summ(t, "n") if t.num_rows else []
+    return _fold(batches, "n", "total_cents", "min_row", "max_row")
 
 
 @register("map_partitions_by_region", f"""

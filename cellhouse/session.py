@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+import os
 import tempfile
+import threading
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -66,4 +70,45 @@ def is_local(p: str) -> bool:
     return p.startswith("/") or p.startswith("file:")
 
 
-__all__ = ["build_session", "work_root", "new_path", "local_path", "is_local"]
+_SHIPPED: set = set()
+_SHIP_LOCK = threading.Lock()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``cellhouse`` importable in Python workers (``addPyFile`` of a
+    zip of the package), once per application.  Needed whenever Python runs
+    on executors -- Arrow map functions, stateful stream functions -- and the
+    package is not installed there.  The zip is written next to the tables
+    when the work folder is local, else to the driver's scratch folder, from
+    where Spark's file server distributes it."""
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    with _SHIP_LOCK:
+        if app in _SHIPPED:
+            return
+        pkg = os.path.dirname(os.path.abspath(__file__))
+        files = sorted(
+            os.path.join(dp, f) for dp, _, fs in os.walk(pkg) for f in fs if f.endswith(".py")
+        )
+        digest = hashlib.sha1()
+        for f in files:
+            with open(f, "rb") as fh:
+                digest.update(f.encode() + fh.read())
+        root = work_root(spark)
+        base = local_path(root) if is_local(root) else tempfile.mkdtemp(prefix="cellhouse-pkg-")
+        out_dir = os.path.join(base, "cellhouse-pkg")
+        os.makedirs(out_dir, exist_ok=True)
+        out = os.path.join(out_dir, f"cellhouse-{digest.hexdigest()[:12]}.zip")
+        if not os.path.exists(out):
+            tmp = f"{out}.{uuid.uuid4().hex}.tmp"
+            with zipfile.ZipFile(tmp, "w", zipfile.ZIP_DEFLATED) as z:
+                for f in files:
+                    z.write(f, os.path.join("cellhouse", os.path.relpath(f, pkg)))
+            os.replace(tmp, out)
+        sc.addPyFile(out)
+        _SHIPPED.add(app)
+
+
+__all__ = ["build_session", "work_root", "new_path", "local_path", "is_local", "ship_package"]

@@ -34,6 +34,7 @@ from ..model import DELETE_COLUMN, DELETE_FAMILY, DELETE_VERSION, PUT
 from ..operators.load import bulk_load
 from ..operators.lookup import bulk_get
 from ..operators.visibility import latest_value
+from ..session import ship_package
 from ..sources.table import CellTable, open_table
 
 
@@ -178,6 +179,7 @@ def live_visible(cell_stream: DataFrame) -> DataFrame:
     current visible newest cell of a changed column (``present`` false when
     hidden).  State per (row, family) holds the unmasked versions of its
     columns -- the same cells a read of the table would consider."""
+    ship_package(cell_stream.sparkSession)
     cells = cell_stream.select("row", "family", "qualifier", "ts", "op", "value", "seq")
     return cells.groupBy("row", "family").applyInPandasWithState(
         _live_fn, LIVE_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
