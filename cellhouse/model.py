@@ -85,6 +85,8 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("kind", T.StringType(), False),
         # "load_id/family/region" triples this entry replaces (compaction).
         T.StructField("replaces", T.ArrayType(T.StringType(), False), False),
+        # major compaction only: versions kept per column (null = all)
+        T.StructField("versions_kept", T.IntegerType(), True),
         T.StructField("load_id", T.StringType(), False),
     ]
 )

@@ -166,7 +166,7 @@ def write_cells(table: CellTable, cells: DataFrame, target: str, file_bytes: int
 
 
 def _manifest_rows(table: CellTable, load_dir: str, load_time: int, exclude_from_minor: bool, kind: str,
-                   replaces_by_group: dict | None) -> DataFrame:
+                   replaces_by_group: dict | None, versions_kept: int | None = None) -> DataFrame:
     """Per (family, region) statistics of the written files."""
     from ..model import FILE_SCHEMA
 
@@ -195,11 +195,12 @@ def _manifest_rows(table: CellTable, load_dir: str, load_time: int, exclude_from
         F.lit(bool(exclude_from_minor)).alias("exclude_from_minor"),
         F.lit(kind).alias("kind"),
         rep.alias("replaces"),
+        F.lit(versions_kept).cast("int").alias("versions_kept"),
     )
 
 
 def publish(table: CellTable, staged: str, load_id: str, kind: str, exclude_from_minor: bool = False,
-            replaces_by_group: dict | None = None) -> LoadResult:
+            replaces_by_group: dict | None = None, versions_kept: int | None = None) -> LoadResult:
     """Move a staged load into the table, then commit its manifest.
 
     Readers see the load only once ``_manifest/load_id=...`` exists; that
@@ -215,7 +216,8 @@ def publish(table: CellTable, staged: str, load_id: str, kind: str, exclude_from
     if replaces_by_group:
         # marker first: readers look for replaced groups only when one exists
         fs.touch(spark, f"{table.path}/_compactions/{load_id}")
-    rows = _manifest_rows(table, dst, int(time.time() * 1000), exclude_from_minor, kind, replaces_by_group)
+    rows = _manifest_rows(table, dst, int(time.time() * 1000), exclude_from_minor, kind, replaces_by_group,
+                          versions_kept)
     tmp = f"{table.path}/_manifest_tmp/{load_id}"
     fs.delete(spark, tmp)
     rows.coalesce(1).write.mode("errorifexists").parquet(tmp)

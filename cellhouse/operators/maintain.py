@@ -73,7 +73,8 @@ def compact(table: CellTable, max_files: int = DEFAULT_MAX_FILES, major: bool =
     staged = f"{table.path}/_staging/{load_id}"
     write_cells(table, out, staged, file_bytes)
     rep = {(f, r): [f"{l}/{f}/{r}" for l in loads] for (f, r), loads in chosen.items()}
-    res = publish(table, staged, load_id, "major" if major else "minor", False, rep)
+    res = publish(table, staged, load_id, "major" if major else "minor", False, rep,
+                  keep_versions if major else None)
     # only now, with the switch committed, drop the replaced folders
     for t in triples:
         l, f, r = t.split("/")

@@ -65,15 +65,20 @@ def tombstone_summary(cells: DataFrame):
     return fam, col, ver, n, nbytes
 
 
-def apply_tombstones(cells: DataFrame, ts_range=None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Puts that no tombstone hides (all versions, duplicates not merged)."""
-    puts = cells.where(F.col("op") == F.lit(PUT))
+def in_ts_range(puts: DataFrame, ts_range=None) -> DataFrame:
+    """Puts with ``lo <= ts < hi`` (either bound may be None)."""
     if ts_range is not None:
         lo, hi = ts_range
         if lo is not None:
             puts = puts.where(F.col("ts") >= F.lit(int(lo)))
         if hi is not None:
             puts = puts.where(F.col("ts") < F.lit(int(hi)))
+    return puts
+
+
+def apply_tombstones(cells: DataFrame, ts_range=None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Puts that no tombstone hides (all versions, duplicates not merged)."""
+    puts = in_ts_range(cells.where(F.col("op") == F.lit(PUT)), ts_range)
     fam, col, ver, n, nbytes = tombstone_summary(cells)
     if n == 0:
         return puts

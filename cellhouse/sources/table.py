@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import fs
 from ..functions.regions import as_bytes, region_bounds, regions_for_range, table_starts
-from ..model import CELL_COLUMNS, CELL_SCHEMA, DELETE_FAMILY, MANIFEST_SCHEMA, META_SCHEMA, STORED_SCHEMA
+from ..model import CELL_COLUMNS, CELL_SCHEMA, DELETE_FAMILY, MANIFEST_SCHEMA, META_SCHEMA, PUT, STORED_SCHEMA
 
 LOAD_ID_WIDTH = 12
 
@@ -83,6 +83,30 @@ class CellTable:
         n = max((int(u) for u in used if u.isdigit()), default=0) + 1
         return str(n).zfill(LOAD_ID_WIDTH)
 
+    def resolved_versions(self, families=None, regions=None):
+        """If every live (family, region) group in scope holds exactly one
+        entry and it is a major compaction, the versions it kept per column
+        (``None`` = all); else ``False``.  Such groups are already resolved:
+        no tombstones, one cell per version.  Only consulted once a
+        compaction has run (metadata-sized manifest read)."""
+        if not fs.list_names(self.spark, f"{self.path}/_compactions"):
+            return False
+        m = self.manifest()
+        replaced = self.replaced_groups()
+        if replaced:
+            m = m.where(~F.concat_ws("/", "load_id", "family", F.col("region").cast("string")).isin(replaced))
+        if families is not None:
+            m = m.where(F.col("family").isin(list(families)))
+        if regions is not None:
+            m = m.where(F.col("region").between(regions[0], regions[1]))
+        groups = m.groupBy("family", "region").agg(
+            F.count(F.lit(1)).alias("n"), F.max("kind").alias("kind"),
+            F.max("versions_kept").alias("kept"), F.count("versions_kept").alias("n_kept")).collect()
+        if not groups or any(g.n != 1 or g.kind != "major" for g in groups):
+            return False
+        kept = {g.kept for g in groups}
+        return None if kept == {None} else (max(k for k in kept if k is not None) if None not in kept else False)
+
     # -- reads --------------------------------------------------------------
     def stored(self) -> DataFrame:
         """All committed, non-replaced cells with ``load_id`` and ``region``."""
@@ -180,9 +204,21 @@ def read_table(
 ) -> DataFrame:
     """Visible cells (newest ``versions`` per column, tombstones
     applied) as ``row, family, qualifier, ts, value``."""
-    from ..operators.visibility import visible_cells
+    from ..operators.visibility import in_ts_range, visible_cells
 
     cells = read_cells(table, start_row, stop_row, families, qualifiers)
+    regions = None
+    if start_row is not None or stop_row is not None:
+        regions = regions_for_range(table.starts, as_bytes(start_row) if start_row is not None else None,
+                                    as_bytes(stop_row) if stop_row is not None else None)
+    kept = table.resolved_versions(families, regions)
+    if kept is not False and (kept is None and versions is None
+                              or kept is not None and versions is not None and kept <= versions
+                              or kept is not None and versions is None):
+        # groups written by a major compaction are resolved already: no
+        # tombstones and one cell per version, so no shuffle is needed
+        return in_ts_range(cells.where(F.col("op") == F.lit(PUT)), ts_range).select(
+            "row", "family", "qualifier", "ts", "value")
     return visible_cells(cells, versions=versions, ts_range=ts_range)
 
 

@@ -120,3 +120,24 @@ def test_manifest_stats(spark, tmp_table):
                for r in t.manifest().collect())
     assert m == [(0, 2, b"a", b"b", 3, 5), (1, 1, b"z", b"z", 7, 7)]
 
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_major_compacted_groups_read_without_shuffle(spark, tmp_table):
+    t = tmp_table(["f", "g"], splits=["r3", "r6"])
+    load_all(spark, t, random_batches(7))
+    before = snapshot(t)
+    compact(t, major=True, keep_versions=1)
+    assert t.resolved_versions() == 1
+    assert "Exchange" not in _plan(read_table(t))
+    assert snapshot(t) == before
+    # versions=3 on groups holding one version each is resolved too
+    assert snapshot(t, versions=3) == before
+    # a new load touches the groups: reads resolve versions again
+    apply_mutations(t, spark.createDataFrame([("r1", "f", "q0", 99, "new", 4, 10_000)], SCHEMA))
+    assert t.resolved_versions() is False
+    assert "Exchange" in _plan(read_table(t))
+    assert (b"r1", "f", b"q0", 99, b"new") in snapshot(t)
