@@ -17,8 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..model import BROADCAST_BYTES
-from ..sources.table import CellTable, read_cells
-from .visibility import visible_cells
+from ..sources.table import CellTable, read_cells, resolve
 
 
 def _key_col(requests: DataFrame, row: str) -> F.Column:
@@ -44,7 +43,7 @@ def requested_cells(requests: DataFrame, table: CellTable, row: str = "row", fam
         cells = cells.where(F.col("row").between(F.lit(st["lo"]), F.lit(st["hi"])))
         side = F.broadcast(keys) if st["b"] <= broadcast_bytes else keys
         cells = cells.join(side, "row", "left_semi")
-    return visible_cells(cells, versions=versions, ts_range=ts_range)
+    return resolve(table, cells, versions, ts_range, families)
 
 
 def bulk_get(requests: DataFrame, table: CellTable, columns, row: str = "row", versions: int = 1,

@@ -204,19 +204,23 @@ def read_table(
 ) -> DataFrame:
     """Visible cells (newest ``versions`` per column, tombstones
     applied) as ``row, family, qualifier, ts, value``."""
-    from ..operators.visibility import in_ts_range, visible_cells
-
     cells = read_cells(table, start_row, stop_row, families, qualifiers)
     regions = None
     if start_row is not None or stop_row is not None:
         regions = regions_for_range(table.starts, as_bytes(start_row) if start_row is not None else None,
                                     as_bytes(stop_row) if stop_row is not None else None)
+    return resolve(table, cells, versions, ts_range, families, regions)
+
+
+def resolve(table: CellTable, cells: DataFrame, versions=1, ts_range=None, families=None, regions=None) -> DataFrame:
+    """Visible cells of ``cells`` read from ``table``.  Groups written by a
+    major compaction (and nothing since) are resolved already -- no
+    tombstones, one cell per version, at most ``versions_kept`` versions --
+    so they need no shuffle; everything else goes through ``visible_cells``."""
+    from ..operators.visibility import in_ts_range, visible_cells
+
     kept = table.resolved_versions(families, regions)
-    if kept is not False and (kept is None and versions is None
-                              or kept is not None and versions is not None and kept <= versions
-                              or kept is not None and versions is None):
-        # groups written by a major compaction are resolved already: no
-        # tombstones and one cell per version, so no shuffle is needed
+    if kept is not False and (versions is None or (kept is not None and kept <= versions)):
         return in_ts_range(cells.where(F.col("op") == F.lit(PUT)), ts_range).select(
             "row", "family", "qualifier", "ts", "value")
     return visible_cells(cells, versions=versions, ts_range=ts_range)
