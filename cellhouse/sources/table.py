@@ -60,22 +60,35 @@ class CellTable:
             d.split("=", 1)[1] for d in fs.list_dirs(self.spark, self.manifest_path) if d.startswith("load_id=")
         )
 
-    def replaced_groups(self) -> list[str]:
-        """``load/family/region`` groups superseded by compactions (metadata
-        sized: one entry per rewritten file group).  The manifest only grows
-        by whole committed loads, so the answer is cached per set of loads."""
+    def _entries(self):
+        """Manifest entries (one small row per load/family/region group) of
+        the committed loads, read once per set of loads -- the manifest only
+        grows by whole committed loads.  ``None`` while no compaction was
+        ever started: then every committed load is live and whole."""
         loads = tuple(self.committed_loads())
         if not loads or not fs.list_names(self.spark, f"{self.path}/_compactions"):
-            return []  # no compaction was ever started: nothing to read
+            return None
         cached = self._replaced_cache
         if cached is not None and cached[0] == loads:
-            return list(cached[1])
-        rows = (
-            self.manifest().where(F.size("replaces") > 0).select(F.explode("replaces").alias("g")).distinct().collect()
-        )
-        groups = sorted(r.g for r in rows)
-        self._replaced_cache = (loads, groups)
-        return list(groups)
+            return cached[1]
+        rows = self.manifest().select("load_id", "family", "region", "kind", "versions_kept", "replaces").collect()
+        entries = [(r.load_id, r.family, r.region, r.kind, r.versions_kept, list(r.replaces or [])) for r in rows]
+        self._replaced_cache = (loads, entries)
+        return entries
+
+    def replaced_groups(self) -> list[str]:
+        """``load/family/region`` groups superseded by compactions."""
+        entries = self._entries()
+        if not entries:
+            return []
+        return sorted({g for e in entries for g in e[5]})
+
+    def _live_entries(self):
+        entries = self._entries()
+        if entries is None:
+            return None
+        replaced = set(self.replaced_groups())
+        return [e for e in entries if f"{e[0]}/{e[1]}/{e[2]}" not in replaced]
 
     def next_load_id(self) -> str:
         used = [d.split("=", 1)[1] for d in fs.list_dirs(self.spark, self.data_path) if d.startswith("load_id=")]
@@ -87,34 +100,40 @@ class CellTable:
         """If every live (family, region) group in scope holds exactly one
         entry and it is a major compaction, the versions it kept per column
         (``None`` = all); else ``False``.  Such groups are already resolved:
-        no tombstones, one cell per version.  Only consulted once a
-        compaction has run (metadata-sized manifest read)."""
-        if not fs.list_names(self.spark, f"{self.path}/_compactions"):
+        no tombstones, one cell per version.  Decided on the cached manifest
+        entries; ``False`` at once while no compaction ever ran."""
+        live = self._live_entries()
+        if not live:
             return False
-        m = self.manifest()
-        replaced = self.replaced_groups()
-        if replaced:
-            m = m.where(~F.concat_ws("/", "load_id", "family", F.col("region").cast("string")).isin(replaced))
-        if families is not None:
-            m = m.where(F.col("family").isin(list(families)))
-        if regions is not None:
-            m = m.where(F.col("region").between(regions[0], regions[1]))
-        groups = m.groupBy("family", "region").agg(
-            F.count(F.lit(1)).alias("n"), F.max("kind").alias("kind"),
-            F.max("versions_kept").alias("kept"), F.count("versions_kept").alias("n_kept")).collect()
-        if not groups or any(g.n != 1 or g.kind != "major" for g in groups):
+        groups = {}
+        for load_id, fam, region, kind, kept, _ in live:
+            if families is not None and fam not in families:
+                continue
+            if regions is not None and not regions[0] <= region <= regions[1]:
+                continue
+            groups.setdefault((fam, region), []).append((kind, kept))
+        if not groups or any(len(v) != 1 or v[0][0] != "major" for v in groups.values()):
             return False
-        kept = {g.kept for g in groups}
-        return None if kept == {None} else (max(k for k in kept if k is not None) if None not in kept else False)
+        kept = {v[0][1] for v in groups.values()}
+        if kept == {None}:
+            return None
+        return False if None in kept else max(kept)
 
     # -- reads --------------------------------------------------------------
     def stored(self) -> DataFrame:
         """All committed, non-replaced cells with ``load_id`` and ``region``."""
         loads = self.committed_loads()
+        live = self._live_entries()
+        replaced = []
+        if live is not None:
+            # after compactions: only loads with a live group, and only the
+            # replaced groups of those loads need excluding
+            loads = sorted({e[0] for e in live})
+            keep = set(loads)
+            replaced = [g for g in self.replaced_groups() if g.split("/", 1)[0] in keep]
         if not loads:
             return self.spark.createDataFrame([], STORED_SCHEMA)
         df = self.spark.read.schema(STORED_SCHEMA).parquet(self.data_path).where(F.col("load_id").isin(loads))
-        replaced = self.replaced_groups()
         if replaced:
             key = F.concat_ws("/", "load_id", "family", F.col("region").cast("string"))
             df = df.where(~key.isin(replaced))
