@@ -208,3 +208,19 @@ def test_thin_rows_files_per_region_not_per_row(spark, tmp_table):
     # 400 distinct rows, but files are per (family, region) and task, never per row
     assert fs.count_files(spark, r.path) < 40
     assert read_table(t).count() == 400
+
+
+def test_ship_package_once_per_application(spark):
+    import glob
+
+    from cellhouse.session import _SHIPPED, local_path, ship_package, work_root
+
+    ship_package(spark)
+    ship_package(spark)  # idempotent
+    assert spark.sparkContext.applicationId in _SHIPPED
+    zips = glob.glob(local_path(work_root(spark)) + "/cellhouse-pkg/cellhouse-*.zip")
+    assert zips
+    import zipfile
+
+    names = zipfile.ZipFile(zips[0]).namelist()
+    assert "cellhouse/operators/partitions.py" in names and "cellhouse/__init__.py" in names
