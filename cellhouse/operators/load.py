@@ -232,7 +232,11 @@ def _stage_path(table: CellTable, staging: str | None, load_id: str) -> str:
         if fs.exists(table.spark, staging):
             raise FileExistsError(f"staging path already exists: {staging}")
         return staging
-    return f"{table.path}/_staging/{load_id}"
+    own = f"{table.path}/_staging/{load_id}"
+    # a leftover of a crashed, never-published attempt with this id (single
+    # writer): the folder is private to the table and never visible
+    fs.delete(table.spark, own)
+    return own
 
 
 def bulk_load(table: CellTable, cells: DataFrame, staging: str | None = None, exclude_from_minor: bool = False,

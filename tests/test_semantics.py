@@ -224,3 +224,12 @@ def test_ship_package_once_per_application(spark):
 
     names = zipfile.ZipFile(zips[0]).namelist()
     assert "cellhouse/operators/partitions.py" in names and "cellhouse/__init__.py" in names
+
+
+def test_leftover_staging_of_a_crashed_load(spark, tmp_table):
+    # a driver that died mid-write leaves the table's own staging folder
+    t = tmp_table(["f"])
+    leftover = f"{t.path}/_staging/{t.next_load_id()}"
+    spark.range(1).write.parquet(leftover + "/family=f/region=0")
+    put(spark, t, [("r", "f", "q", 1, "x")])
+    assert view(t) == [("r", "f", "q", 1, "x")]
