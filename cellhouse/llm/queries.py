@@ -17,6 +17,22 @@ def query(fn):
     return fn
 
 
+@query
+def op2_language_id(spark, sf_dir):
+    """Language of all documents by cross-parsing entropy."""
+    from .lang_id import identify
+
+    return identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_line_quality(spark, sf_dir):
+    """Base counts, cross-document line frequency and verdict of all documents."""
+    from .line_quality import judge
+
+    return judge(table(spark, sf_dir, "documents"))
+
+
 def packed(docs):
     """``docs`` packed with the production parameters, without the ids."""
     import public_tokenizers
@@ -49,6 +65,22 @@ def op7_token_files(spark, sf_dir):
     return read_token_files(spark, path)
 
 
+@query
+def op8_simhash(spark, sf_dir):
+    """Fingerprint and near-duplicate component of all documents."""
+    from .simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_quality(spark, sf_dir):
+    """Quality score of all documents by a linear-chain CRF over lines."""
+    from .crf_quality import classify
+
+    return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_decontaminate(spark, sf_dir):
     """Benchmark contamination of all documents by winnowing."""
