@@ -17,6 +17,16 @@ def query(fn):
     return fn
 
 
+@query
+def op1_lm_score(spark, sf_dir):
+    """Stupid-backoff score of all documents; counts over all documents."""
+    from .lm_score import score
+
+    out = score(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", F.round("log_score", 4).alias("log_score"),
+                      F.round("mean_log_score", 6).alias("mean_log_score"))
+
+
 @query
 def op2_language_id(spark, sf_dir):
     """Language of all documents by cross-parsing entropy."""
@@ -25,6 +35,15 @@ def op2_language_id(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_secrets(spark, sf_dir):
+    """Secret candidates of all documents with the forest's verdict."""
+    from .secret_scan import find_secrets
+
+    out = find_secrets(table(spark, sf_dir, "documents"))
+    return out.withColumn("probability", F.round("probability", 6))
+
+
 @query
 def op4_line_quality(spark, sf_dir):
     """Base counts, cross-document line frequency and verdict of all documents."""
@@ -50,6 +69,16 @@ def op5_packing(spark, sf_dir):
     return packed(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_licenses(spark, sf_dir):
+    """Licence sentences and licences of all documents."""
+    from .licenses import scan
+
+    out = scan(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "status", F.array_join("licenses", ",").alias("licenses"),
+                      F.to_json("found").alias("found"))
+
+
 @query
 def op7_token_files(spark, sf_dir):
     """Token-id files of all documents, written and read back."""

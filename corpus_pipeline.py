@@ -10,8 +10,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cellhouse.llm import decontaminate, packing
+from cellhouse.llm import decontaminate, lang_id, secret_scan, simhash
 from cellhouse.llm.common import stored, table
+from cellhouse.llm.queries import packed
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (no text, or no letter in it) go."""
+    return lang_id.keep_identified(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document of the least id stays."""
+    return simhash.without_duplicates(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -19,19 +30,25 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Best-fit decreasing packing of the rest into sequences of 2048 tokens."""
-    from cellhouse.llm.queries import packed
+def secret_scans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets are masked in the text; n_chars follows; all documents stay."""
+    return secret_scan.redact(docs)
+
 
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Best-fit decreasing packing of what is left into sequences of 2048 tokens."""
     return packed(docs)
 
 
 STAGES = [
+    ("language ID", language_id),
+    ("SimHash near-dedup", near_dedup),
     ("benchmark decontamination", benchmark_decontamination),
-    ("packing", pack),
+    ("secret scans", secret_scans),
+    ("packing", packing),
 ]
 
-#: hashing by windows, tokenising and packing have no SQL form; tests hold the stages against brute force
+#: cross-parsing, XXH64, the forest and the tokenizer have no SQL form; tests/llm holds the stages against brute force
 ORACLE_SQL = None
 
 
