@@ -6,10 +6,12 @@ from typing import Callable
 
 from pyspark.sql import functions as F
 
+from . import oracles
 from .common import table
 
 QUERIES: dict[str, Callable] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op1_lm_score": oracles.OP1, "op4_line_quality": oracles.OP4,
+                           "op10_decontaminate": oracles.OP10}
 
 
 def query(fn):
@@ -115,6 +117,4 @@ def op10_decontaminate(spark, sf_dir):
     """Benchmark contamination of all documents by winnowing."""
     from .decontaminate import find_hits
 
-    found = find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated",
-                        F.to_json("hits").alias("hits"))
+    return find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hits")
