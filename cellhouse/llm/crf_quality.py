@@ -68,6 +68,8 @@ def line_features(x: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     order = np.argsort(inside, kind="stable")
     again = np.zeros(len(inside), bool)
     again[order[1:]] = inside[order[1:]] == inside[order[:-1]]
+    echo = np.zeros(len(inside), bool)
+    echo[1:] = inside[1:] == inside[:-1]
     size = np.maximum(1, of_words(length))
     letters = np.maximum(1, total(_LETTER[x.data]))
     last, first = x.data[x.ends[w1 - 1] - 1], x.data[x.starts[w0]]
@@ -75,7 +77,7 @@ def line_features(x: Lines) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         np.log2(1 + words), of_words(length) / words, total(_UPPER[x.data]) / letters,
         total(_DIGIT[x.data]) / size, total(SYMBOLS[x.data]) / size, total(_LOUD[x.data]) / size,
         total(_PAUSE[x.data]) / size, total(_WIDE[x.data]) / size, _STOP[last], _UPPER[first],
-        of_words(again) / words, of_words(x.repeated_words()) / words, x.repeated_lines()[at],
+        of_words(again) / words, of_words(echo) / words, of_words(x.repeated_words()) / words, x.repeated_lines()[at],
         of_words(length == 1) / words, of_words(length > 24) / words], 1)
     return f, words, np.searchsorted(at, x.lb)
 
