@@ -1,84 +1,97 @@
 """Token ids of whole texts from a public tokenizer file.
 
 Byte-pair encoders cut a text into words before any merge, so the ids of a text
-are the ids of its words in order.  ``TextEncoder`` therefore encodes each
-distinct word once per worker (``tokenizers`` does the encoding) and looks the
-rest up.  ``tests/llm`` holds it against direct encoding of whole texts.
+are the ids of its words in order.  ``TextEncoder`` therefore encodes a distinct
+word once (``tokenizers`` does the encoding) and looks it up after that.
+``tests/llm`` holds it against direct encoding of whole texts.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from itertools import chain, repeat
 
 import numpy as np
 
 #: how a text is cut into independently encodable pieces
 BYTE_LEVEL = "byte_level"  # a piece keeps the blanks before it
-WORD_END = "word_end"  # the tokenizer drops blanks
+WORD_END = "word_end"  # the tokenizer drops blanks and case
 
-_PIECES = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
+# between a letter and one of .,! there is always a cut
+_WITH_BLANKS = re.compile(r"[ \n]*(?:[^ \n]*[A-Za-z](?=[.,!])|[^ \n]+)|[ \n]+")
+_WITHOUT_BLANKS = re.compile(r"[^ \n]*[A-Za-z](?=[.,!])|[^ \n]+")
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
 class TextEncoder:
-    """Ids of texts as ``uint32`` arrays.  The table of known words is emptied
-    when it reaches ``table_words`` (only speed depends on it)."""
+    """Ids of texts as ``uint32`` arrays.  When the table of known words reaches
+    ``table_words`` it keeps the more used half (only speed depends on it)."""
 
-    def __init__(self, path: str, cut: str, table_words: int = 300_000):
+    def __init__(self, path: str, cut: str, table_words: int = 400_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
         self.tok.encode_special_tokens = True
         self.cut, self.table_words = cut, table_words
-        self._clear()
-
-    def _clear(self):
         self.index: dict[str, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1, np.int64)  # of the flat ids, by word
-        self.size = 0
-
-    def _raw(self, pieces: list[str]) -> list[np.ndarray]:
-        return [np.asarray(e.ids, np.uint32) for e in self.tok.encode_batch_fast(pieces, add_special_tokens=False)]
+        self.flat = np.zeros(1 << 16, np.uint32)  # ids of all known words
+        self.ends = np.zeros(1, np.int64)
+        self.uses = np.zeros(0, np.int64)
 
     def pieces(self, text: str) -> list[str]:
         if self.cut == WORD_END:
-            return text.replace("\n", " ").split(" ")
+            # A-Z only: other letters are left to the tokenizer
+            return _WITHOUT_BLANKS.findall(text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
         if _OTHER_SPACE.search(text):
             return [text]  # blanks of other kinds join with their neighbours: the whole text is one piece
-        return _PIECES.findall(text)
+        return _WITH_BLANKS.findall(text)
 
     def _learn(self, words: list[str]):
-        # whole texts (see pieces) can be long: encoded, but only for this call
-        got = self._raw(words)
-        base = len(self.ends) - 1
-        add = np.concatenate(got) if got else np.zeros(0, np.uint32)
-        if self.size + len(add) > len(self.flat):
-            grown = np.zeros(2 * (self.size + len(add)), np.uint32)
-            grown[: self.size] = self.flat[: self.size]
+        got = [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
+        lens = np.fromiter(map(len, got), np.int64, len(got))
+        size, more = int(self.ends[-1]), int(lens.sum())
+        if size + more > len(self.flat):
+            grown = np.zeros(2 * (size + more), np.uint32)
+            grown[:size] = self.flat[:size]
             self.flat = grown
-        self.flat[self.size: self.size + len(add)] = add
-        self.ends = np.concatenate((self.ends, self.size + np.cumsum([len(g) for g in got], dtype=np.int64)))
-        self.size += len(add)
-        self.index.update((w, base + i) for i, w in enumerate(words))
+        self.flat[size: size + more] = np.fromiter(chain.from_iterable(got), np.uint32, more)
+        self.index.update(zip(words, range(len(self.ends) - 1, len(self.ends) - 1 + len(words))))
+        self.ends = np.concatenate((self.ends, size + np.cumsum(lens)))
+        self.uses = np.concatenate((self.uses, np.zeros(len(words), np.int64)))
+
+    def _forget(self):
+        least = max(2, int(np.partition(self.uses, len(self.uses) // 2)[len(self.uses) // 2]) + 1)
+        keep = np.flatnonzero(self.uses >= least)
+        place = np.full(len(self.uses), -1, np.int64)
+        place[keep] = np.arange(len(keep))
+        self.index = {w: p for w, i in self.index.items() if (p := int(place[i])) >= 0}
+        starts, lens = self.ends[keep], self.ends[keep + 1] - self.ends[keep]
+        ends = np.concatenate(([0], np.cumsum(lens)))
+        kept = self.flat[np.repeat(starts - ends[:-1], lens) + np.arange(ends[-1])]
+        self.flat, self.ends, self.uses = kept, ends, np.zeros(len(keep), np.int64)
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and where each text's begin
         (one more entry than texts)."""
-        if len(self.index) > self.table_words or self.size > 16 * self.table_words:
-            self._clear()
-        cut = [self.pieces(t) for t in texts]
-        index = self.index
-        new = list(dict.fromkeys(p for ps in cut for p in ps if p not in index))
+        if len(self.index) > self.table_words or self.ends[-1] > 16 * self.table_words:
+            self._forget()
+        pieces: list[str] = []
+        bounds = [0]
+        for t in texts:
+            pieces += self.pieces(t)
+            bounds.append(len(pieces))
+        which = np.fromiter(map(self.index.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(which < 0).tolist()
         if new:
-            self._learn(new)
-        which = np.fromiter((index[p] for ps in cut for p in ps), np.int64)
+            self._learn(list(dict.fromkeys(pieces[i] for i in new)))
+            which[new] = [self.index[pieces[i]] for i in new]
+        self.uses += np.bincount(which, minlength=len(self.uses))
         starts, lens = self.ends[which], self.ends[which + 1] - self.ends[which]
         upto = np.concatenate(([0], np.cumsum(lens)))
         ids = self.flat[np.repeat(starts - upto[:-1], lens) + np.arange(upto[-1])]
-        return ids, upto[np.concatenate(([0], np.cumsum([len(ps) for ps in cut], dtype=np.int64)))]
+        return ids, upto[bounds]
 
 
 _ENCODERS: dict[tuple, TextEncoder] = {}
@@ -89,3 +102,10 @@ def encoder(path: str, cut: str) -> TextEncoder:
     if (path, cut) not in _ENCODERS:
         _ENCODERS[path, cut] = TextEncoder(path, cut)
     return _ENCODERS[path, cut]
+
+
+def id_type(path: str, end_id: int) -> str:
+    """Little-endian numpy type that holds all ids."""
+    from tokenizers import Tokenizer
+
+    return "<u2" if max(Tokenizer.from_file(path).get_vocab_size() - 1, end_id) < 1 << 16 else "<u4"
