@@ -1,7 +1,8 @@
 """License scans by sentence rules.
 
-1. A text is cut into sentences, in two ways: unwrapped (line breaks inside a
-   sentence are blanks) and by line, as notices often stand alone on a line.
+1. A text is cut into sentences, in three ways: unwrapped (line breaks inside a
+   sentence are blanks), unwrapped but cut before lines that begin with a capital
+   (headings), and by line, as notices often stand alone on a line.
 2. A sentence is normalised -- lower case, marks and runs of blanks as one blank
    -- and looked up among the known licence sentences (``SENTENCES``), whose
    patterns leave room for names, years and versions.  Its identifier and place
@@ -114,6 +115,8 @@ UNKNOWN = "Unknown"
 _TELLING = re.compile("|".join(map(re.escape, TELLING)), re.I)
 _STOP = re.compile(r"(?<=[.!?:;])[\"')\]]*(?:[ \t]|\r?\n)+(?=[\"'(\[]*[A-Z0-9])|(?:\r?\n[ \t]*){2,}|\Z")
 _LINE = re.compile(r"\r?\n|\Z")
+# as _STOP, and also before a line that begins with a capital: a heading may have no stop
+_HEADING = re.compile(r"\r?\n(?=[ \t]*[\"'(\[]*[A-Z])|" + _STOP.pattern)
 _COMMENT = re.compile(r"(?m)^[ \t]*(?://+|#+|\*+|/\*+|--+|;+|%+)[ \t]?")
 _MARKS = re.compile(r"[^\w]+")
 _KNOWN = [(name, re.compile(p)) for name, p in SENTENCES]
@@ -142,7 +145,7 @@ def sentences(text: str) -> list[tuple[int, int, str, str]]:
     if not any(w in low for w in TELLING):
         return []
     found: dict[tuple[int, int], tuple[str, str]] = {}
-    for cut in (_STOP, _LINE):
+    for cut in (_STOP, _HEADING, _LINE):
         start = 0
         for m in cut.finditer(text):
             a, b = start, m.start()
