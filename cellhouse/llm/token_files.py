@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks, prepare, stored
-from .tokens import encoder
+from .tokens import encoder, id_type
 
 BLOCK_IDS = 1 << 18
 BLOCKS_PER_FILE = 64
@@ -101,16 +101,17 @@ def read_blocks(content: bytes, values: bool = True):
 
 def encoded(docs: DataFrame, tokenizer: str, cut: str, end_id: int, id_col: str = "doc_id",
             text_col: str = "text") -> DataFrame:
-    """``doc_id, ids`` (little-endian unsigned 32-bit, the end id last), lazy."""
+    """``doc_id, ids`` (little-endian, of ``id_type``, the end id last), lazy."""
     prepare(docs.sparkSession)
+    kind = id_type(tokenizer, end_id)
 
     def encode(batches):
         enc = encoder(tokenizer, cut)
         for b in batches:
             for first, run in blocks(b.column(1)):
                 ids, at = enc.encode(run.to_pylist())
-                raw = np.insert(ids.astype("<u4"), at[1:], end_id).tobytes()
-                bounds = (4 * (at + np.arange(len(at)))).tolist()
+                raw = np.insert(ids.astype(kind), at[1:], end_id).tobytes()
+                bounds = (int(kind[-1]) * (at + np.arange(len(at)))).tolist()
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(first, len(run)),
                      pa.array([raw[i:j] for i, j in zip(bounds[:-1], bounds[1:])], pa.binary())], ["doc_id", "ids"])
@@ -119,17 +120,24 @@ def encoded(docs: DataFrame, tokenizer: str, cut: str, end_id: int, id_col: str
         encode, "doc_id long, ids binary")
 
 
-def rank_table(tokens: DataFrame) -> DataFrame:
+def _values(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of a binary column in one array, and the number of ids of each row."""
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int64)[column.offset: column.offset + len(column) + 1]
+    raw = np.frombuffer(data, np.uint8)[at[0]: at[-1]] if data is not None else np.zeros(0, np.uint8)
+    return raw.view(kind), np.diff(at) // int(kind[-1])
+
+
+def rank_table(tokens: DataFrame, kind: str) -> DataFrame:
     """``id, n, rank`` over all ids; at most one row per id of the vocabulary."""
 
     def count(batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            for raw in b.column(0):
-                c = np.bincount(np.frombuffer(raw.as_buffer(), "<u4"))
-                if len(c) > len(total):
-                    total = np.concatenate((total, np.zeros(len(c) - len(total), np.int64)))
-                total[: len(c)] += c
+            c = np.bincount(_values(b.column(0), kind)[0], minlength=len(total))
+            c[: len(total)] += total
+            total = c
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["id", "n"])
 
@@ -143,34 +151,45 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, cut: str, end_
                       text_col: str = "text") -> None:
     """Encode all documents and write the files described above below ``path``."""
     spark = docs.sparkSession
+    kind = id_type(tokenizer, end_id)
     tokens = stored(encoded(docs, tokenizer, cut, end_id, id_col, text_col), "tokens")
-    ranks = rank_table(tokens)
+    ranks = rank_table(tokens, kind)
     ranks.coalesce(1).write.parquet(f"{path}/ranks")
-    by_rank = [r.id for r in ranks.orderBy("rank").collect()]  # bounded by the vocabulary
+    rows = ranks.select("id", "n").orderBy("rank").collect()  # bounded by the vocabulary
+    by_rank = [r.id for r in rows]
     lookup = np.zeros(max(by_rank, default=0) + 1, np.uint32)
     lookup[by_rank] = np.arange(len(by_rank))
-    total = ranks.agg(F.sum("n")).first()[0] or 0
+    total = sum(r.n for r in rows)
     shared = spark.sparkContext.broadcast(lookup)
 
     def blocks_of(batches):
         to_rank = shared.value
-        docs_in, parts, n = [], [], 0
+        docs_in: list = []
+        counts: list[np.ndarray] = []
+        parts: list[np.ndarray] = []
+        n = 0
 
         def block():
-            counts = np.array([len(p) for p in parts], np.int64)
-            ranks = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-            return pa.RecordBatch.from_arrays([pa.array([write_block(docs_in, counts, ranks)], pa.binary())], ["block"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([write_block(docs_in, np.concatenate(counts), np.concatenate(parts))], pa.binary())], ["block"])
 
         for b in batches:
-            for doc, raw in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = to_rank[np.frombuffer(raw.as_buffer(), "<u4")]
-                if parts and n + len(ids) > BLOCK_IDS:
+            values, sizes = _values(b.column(1), kind)
+            ranked, ends, names = to_rank[values], np.cumsum(sizes), b.column(0).to_pylist()
+            i = 0
+            while i < len(names):  # the documents that still fit; one at least
+                base = int(ends[i - 1]) if i else 0
+                j = max(int(np.searchsorted(ends, base + BLOCK_IDS - n, "right")), i if n else i + 1)
+                if j > i:
+                    docs_in += names[i:j]
+                    counts.append(sizes[i:j])
+                    parts.append(ranked[base: int(ends[j - 1])])
+                    n += int(ends[j - 1]) - base
+                if j < len(names):
                     yield block()
-                    docs_in, parts, n = [], [], 0
-                docs_in.append(doc)
-                parts.append(ids)
-                n += len(ids)
-        if parts:
+                    docs_in, counts, parts, n = [], [], [], 0
+                i = j
+        if docs_in:
             yield block()
 
     n_parts = max(1, -(-total // IDS_PER_PARTITION), int(spark.conf.get("spark.sql.shuffle.partitions")))
