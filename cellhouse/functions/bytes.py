@@ -30,9 +30,18 @@ def int_key(i) -> Column:
     return F.unhex(F.substring(F.lpad(F.hex(_c(i).cast("int")), 16, "0"), -8, 8))
 
 
-def padded_key(n, width: int = 8) -> Column:
-    """A non-negative integer as a zero-padded text key, as bytes."""
-    return F.encode(F.lpad(_c(n).cast("string"), width, "0"), "UTF-8")
+KEY_DIGITS = 19
+
+
+def text_key(n) -> Column:
+    """A non-negative integer as zero-padded text: ``KEY_DIGITS`` digits hold
+    any BIGINT, so no key is ever cut and text order is number order."""
+    return F.lpad(_c(n).cast("string"), KEY_DIGITS, "0")
+
+
+def padded_key(n) -> Column:
+    """``text_key`` as bytes."""
+    return F.encode(text_key(n), "UTF-8")
 
 
 def cell_size(row="row", family="family", qualifier="qualifier", value="value") -> Column:

@@ -9,10 +9,8 @@ from __future__ import annotations
 
 import bisect
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..model import TREE_REGION_LIMIT
 
@@ -60,36 +58,36 @@ def region_index(row, starts, presorted: bool = False) -> Column:
 
     Up to ``TREE_REGION_LIMIT`` starts this is a balanced tree of binary
     comparisons (ceil(log2 n) compares per row, whole-stage codegen).  Larger
-    start lists use a vectorised bisect over the start array shipped with
-    the function (its size is the region count, not the data).
+    start lists use a binary search over one array literal.
     """
     s = list(starts) if presorted else sort_starts(starts)
     r = _c(row)
     if not s:
         return F.when(r.isNotNull(), F.lit(-1))
     if len(s) > TREE_REGION_LIMIT:
-        return _bisect_udf(s)(r)
+        return F.when(r.isNotNull(), _search(r, s)).cast("int")
     tree = _tree(r, s, 0, len(s) - 1)
     if s[0] != b"":
         tree = F.when(r < F.lit(bytearray(s[0])), F.lit(-1)).otherwise(tree)
     return F.when(r.isNotNull(), tree).cast("int")
 
 
-def _bisect_udf(starts: list[bytes]):
-    from pyspark.sql import SparkSession
+def _search(row: Column, starts: list[bytes]) -> Column:
+    """Number of starts <= row, less one: a binary search over one array
+    literal, ceil(log2(n + 1)) steps, all in the JVM."""
+    n = len(starts)
+    keys = F.array(*[F.lit(bytearray(s)) for s in starts])
+    steps = F.sequence(F.lit(1), F.lit(n.bit_length()))
+    begin = F.struct(F.lit(0).alias("lo"), F.lit(n).alias("hi"))
 
-    from ..session import ship_package
+    def half(at: Column, _) -> Column:
+        mid = F.shiftright(at["lo"] + at["hi"], 1)
+        below = F.element_at(keys, F.least(mid + 1, F.lit(n))) <= row
+        go = at["lo"] < at["hi"]
+        return F.struct(F.when(go & below, mid + 1).otherwise(at["lo"]).alias("lo"),
+                        F.when(go & ~below, mid).otherwise(at["hi"]).alias("hi"))
 
-    active = SparkSession.getActiveSession()
-    if active is not None:
-        ship_package(active)
-
-    @F.pandas_udf(T.IntegerType())
-    def _region(rows: pd.Series) -> pd.Series:
-        out = [None if v is None else bisect.bisect_right(starts, bytes(v)) - 1 for v in rows]
-        return pd.Series(out, dtype="Int32")
-
-    return _region
+    return F.aggregate(steps, begin, half, lambda at: at["lo"] - 1)
 
 
 def region_bounds(starts: list[bytes]):

@@ -1,7 +1,7 @@
 """Cell data model: schemas, operation codes and limits.
 
 A table is an append-only log of cells ``(row, family, qualifier, ts, op,
-value, seq)``.  Puts and tombstones share that shape; what a reader sees is
+value, seq, pos)``.  Puts and tombstones share that shape; what a reader sees is
 resolved on read (see ``cellhouse.operators.visibility``).
 """
 
@@ -30,7 +30,7 @@ DEFAULT_SPLIT_KEYS = ("aaa", "bbb")
 # broadcast in this package is preceded by an action that measures the side.
 BROADCAST_BYTES = 64 * 1024 * 1024
 # Region-index expressions are a balanced tree of comparisons up to this many
-# start keys; beyond it a vectorised bisect over a broadcast array is used.
+# start keys; beyond it a binary search over one array literal.
 TREE_REGION_LIMIT = 512
 
 CELL_SCHEMA = T.StructType(
@@ -42,6 +42,8 @@ CELL_SCHEMA = T.StructType(
         T.StructField("op", T.ByteType(), False),
         T.StructField("value", T.BinaryType(), True),
         T.StructField("seq", T.LongType(), False),
+        # place inside the element that carried the cell (thin rows), else 0
+        T.StructField("pos", T.IntegerType(), False),
     ]
 )
 CELL_COLUMNS = [f.name for f in CELL_SCHEMA.fields]
@@ -80,6 +82,13 @@ MANIFEST_SCHEMA = T.StructType(
         T.StructField("min_ts", T.LongType(), True),
         T.StructField("max_ts", T.LongType(), True),
         T.StructField("n_files", T.LongType(), False),
+        T.StructField("n_small_files", T.LongType(), False),  # under half the file target
+        T.StructField("n_bytes", T.LongType(), False),
+        # tombstones by kind, and the bytes of all tombstone keys
+        T.StructField("n_family_del", T.LongType(), False),
+        T.StructField("n_column_del", T.LongType(), False),
+        T.StructField("n_version_del", T.LongType(), False),
+        T.StructField("del_bytes", T.LongType(), False),
         T.StructField("load_time", T.LongType(), False),
         T.StructField("exclude_from_minor", T.BooleanType(), False),
         T.StructField("kind", T.StringType(), False),

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.regions import as_bytes
+from ..sources.table import CellTable, known_tombstones, read_cells
+from .visibility import apply_tombstones
 
 
 def count_rows(df: DataFrame) -> DataFrame:
@@ -22,10 +24,12 @@ def count_per_element(df: DataFrame, col: str, out: str = "n") -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias(out))
 
 
-def table_row_count(visible: DataFrame) -> DataFrame:
-    """A4: number of rows with at least one visible cell (two-level
-    aggregate: distinct rows, then count)."""
-    return visible.select("row").distinct().agg(F.count(F.lit(1)).alias("n_rows"))
+def table_row_count(table: CellTable, families=None) -> DataFrame:
+    """A4: number of rows with at least one visible cell: tombstones applied,
+    versions not ranked, distinct rows counted."""
+    cells = read_cells(table, families=families)
+    seen = apply_tombstones(cells, known=known_tombstones(table, cells, families))
+    return seen.select("row").distinct().agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 def cell_presence_count(visible: DataFrame, expected) -> DataFrame:

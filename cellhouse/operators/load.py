@@ -3,7 +3,7 @@
 A load is: normalise cells -> region index -> REBALANCE on (family, region)
 -> sort inside each task -> ``partitionBy(family, region)`` parquet into a
 staging folder (Spark's job commit) -> rename into the table -> manifest
-(one ``groupBy(family, region)`` aggregate over the written files) ->
+(one aggregate over the written files, by file, then by group) ->
 rename of the manifest folder, which is the publish point.
 
 REBALANCE (an AQE hint) hash-partitions by (family, region) and splits any
@@ -14,6 +14,7 @@ is written by several tasks instead of one; each task's files are sorted.
 from __future__ import annotations
 
 import time
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -23,14 +24,16 @@ from pyspark.sql import types as T
 from .. import fs
 from ..functions.bytes import cell_size, now_millis
 from ..functions.regions import region_index
-from ..model import DEFAULT_FILE_BYTES, MANIFEST_SCHEMA, PUT, VALID_OPS
+from ..model import (DEFAULT_FILE_BYTES, DELETE_COLUMN, DELETE_FAMILY, DELETE_VERSION, MANIFEST_SCHEMA, PUT, VALID_OPS)
 from ..sources.table import CellTable
 
 def sort_keys():
     """O1: cell order inside a region (row, qualifier up; ts, op, seq down)."""
     return [F.col("family"), F.col("region"), F.col("row"), F.col("qualifier"), F.col("ts").desc(),
-            F.col("op").desc(), F.col("seq").desc()]
-WRITE_COLS = ["row", "qualifier", "ts", "op", "value", "seq", "src_load", "family", "region"]
+            F.col("op").desc(), F.col("seq").desc(), F.col("pos").desc()]
+
+
+WRITE_COLS = ["row", "qualifier", "ts", "op", "value", "seq", "pos", "src_load", "family", "region"]
 
 
 @dataclass
@@ -50,16 +53,18 @@ def _as_binary(df: DataFrame, name: str) -> F.Column:
     return F.encode(c.cast("string"), "UTF-8")
 
 
-def normalize_cells(df: DataFrame, table: CellTable, ts=None, op=None) -> DataFrame:
+def normalize_cells(df: DataFrame, table: CellTable, ts=None, op=None, keep=()) -> DataFrame:
     """Project a cell-shaped DataFrame to the stored cell columns.
 
-    Missing ``ts`` -> ``ts`` argument or the clock; missing ``op`` -> PUT;
-    missing ``seq`` -> a per-row id (deterministic for a deterministic
-    input).  Rows with a null key part are dropped (a null cell is "no
+    Missing or null ``ts`` -> ``ts`` argument or the clock; missing ``op`` ->
+    PUT; missing ``seq`` -> a per-row id (deterministic for a deterministic
+    input); missing ``pos`` -> 0.  ``keep`` columns are added as ``_by0`` ....  Rows with a null key part are dropped (a null cell is "no
     cell").  An unknown family or op code fails the job before publish.
     """
     cols = set(df.columns)
-    ts_c = F.col("ts").cast("bigint") if "ts" in cols else (F.lit(ts).cast("bigint") if ts is not None else now_millis())
+    given = F.lit(ts).cast("bigint") if ts is not None else now_millis()
+    ts_c = F.coalesce(F.col("ts").cast("bigint"), given) if "ts" in cols else given
+    pos_c = F.col("pos").cast("int") if "pos" in cols else F.lit(0)
     op_c = F.col("op").cast("tinyint") if "op" in cols else F.lit(op if op is not None else PUT).cast("tinyint")
     seq_c = F.col("seq").cast("bigint") if "seq" in cols else F.monotonically_increasing_id()
     fam_ok = F.col("_family_in").isin(table.families)
@@ -76,18 +81,22 @@ def normalize_cells(df: DataFrame, table: CellTable, ts=None, op=None) -> DataFr
         op_c.alias("op"),
         value.alias("value"),
         seq_c.alias("seq"),
+        pos_c.alias("pos"),
         src.alias("src_load"),
+        *[F.col(c).alias(f"_by{i}") for i, c in enumerate(keep)],
     ).where(F.col("row").isNotNull() & F.col("_family_in").isNotNull() & F.col("qualifier").isNotNull())
     op_ok = F.col("op").isin(list(VALID_OPS))
     out = out.select(
         "row",
         family.alias("family"),
         "qualifier",
-        F.coalesce(F.col("ts"), now_millis()).alias("ts"),
+        "ts",
         F.when(op_ok, F.col("op")).otherwise(F.raise_error(F.lit("unsupported mutation op")).cast("tinyint")).alias("op"),
         F.when(F.col("op") == F.lit(PUT), F.col("value")).alias("value"),
         "seq",
+        "pos",
         "src_load",
+        *[f"_by{i}" for i in range(len(keep))],
     )
     return out
 
@@ -96,107 +105,112 @@ def with_region(cells: DataFrame, table: CellTable) -> DataFrame:
     return cells.withColumn("region", region_index(F.col("row"), table.starts, presorted=True))
 
 
-def _estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (from file sizes; no job)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable (e.g. remote session)
-        return None
-
-
 def _records_per_file(cells: DataFrame, file_bytes: int | None) -> int:
-    """Rows per file for a byte target, from the mean cell size of a
-    small head sample (a bounded action: ``limit`` stops early).  Skipped
-    when even 8x the plan's own size estimate (compressed-file based) stays
-    below the target: no file can reach it then."""
+    """P2 with an explicit byte target: rows per file from the mean size of
+    all cells (one pass over the input)."""
     if not file_bytes:
         return 0
-    est = _estimated_bytes(cells)
-    if est is not None and est * 8 < file_bytes:
-        return 0
-    avg = cells.limit(2000).agg(F.avg(cell_size()).alias("a")).first()["a"]
+    avg = cells.agg(F.avg(cell_size()).alias("a")).first()["a"]
     return max(1, int(file_bytes // max(float(avg or 64.0), 1.0)))
 
 
+@contextmanager
+def _advisory_size(spark, n_bytes: int | None):
+    """While a load is written, REBALANCE makes tasks -- and so files -- of
+    about ``n_bytes``: it splits larger partitions and merges smaller ones."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    if n_bytes:
+        spark.conf.set(key, str(n_bytes))
+    try:
+        yield
+    finally:
+        if n_bytes:
+            spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def spread_factor(table: CellTable, n_families: int | None = None) -> int:
     """Write tasks per (family, region): enough that a table with few
     regions still uses every shuffle partition (2x for balance), 1 once
     regions outnumber tasks -- then AQE's rebalance splits hot regions at
-    map-output boundaries.  Bounds the files per group at 64."""
+    map-output boundaries."""
     parts = int(table.spark.conf.get("spark.sql.shuffle.partitions", "200"))
     groups = max(1, (n_families or len(table.families)) * len(table.starts))
-    return max(1, min(64, -(-2 * parts // groups)))
+    return max(1, -(-2 * parts // groups))
 
 
 def salt(row_col: str, factor: int) -> F.Column:
     return F.pmod(F.xxhash64(F.col(row_col)), F.lit(factor)) if factor > 1 else F.lit(0)
 
 
-def write_cells(table: CellTable, cells: DataFrame, target: str, file_bytes: int | None = DEFAULT_FILE_BYTES,
-                balanced: bool = False, size_sample: DataFrame | None = None) -> None:
+def write_cells(table: CellTable, cells: DataFrame, target: str, file_bytes: int | None = None,
+                balanced: bool = False, sized: DataFrame | None = None, spread: bool = True) -> None:
     """Region-sorted parquet under ``target/family=/region=`` (O1).
 
-    ``balanced=True`` means the caller already placed the rows (thin rows)
-    and only the in-task sort remains; such callers pass ``size_sample``, a
-    pre-exchange view of the cells, so sizing never runs the shuffle.
+    Files follow the session's advisory partition size through the rebalance;
+    an explicit ``file_bytes`` is used in its place and also rolls files by rows.  ``balanced=True`` means the
+    caller already placed the rows (thin rows) and only the in-task sort
+    remains; such callers pass ``sized``, a pre-exchange view of the cells, so
+    sizing never runs the shuffle.  ``spread=False`` (compaction) writes each
+    group with as few tasks as its bytes need.
     """
     if balanced:
         placed = cells
     else:
-        spread = salt("row", spread_factor(table))
-        placed = cells.withColumn("_salt", spread).hint("rebalance", "family", "region", "_salt").drop("_salt")
+        factor = salt("row", spread_factor(table) if spread else 1)
+        placed = cells.withColumn("_salt", factor).hint("rebalance", "family", "region", "_salt").drop("_salt")
     sorted_cells = placed.sortWithinPartitions(*sort_keys()).select(*WRITE_COLS)
-    per_file = _records_per_file(size_sample if size_sample is not None else cells, file_bytes)
+    per_file = _records_per_file(sized if sized is not None else cells, file_bytes)
     fam_opts = {f: o for f, o in (table.family_options or {}).items() if o}
-    if not fam_opts:
-        w = sorted_cells.write.mode("errorifexists").partitionBy("family", "region")
-        if per_file:
-            w = w.option("maxRecordsPerFile", per_file)
-        w.parquet(target)
-        return
-    # Per-family writer options -> one write per family
-    for fam in table.families:
-        part = sorted_cells.where(F.col("family") == F.lit(fam)).drop("family")
-        w = part.write.mode("errorifexists").partitionBy("region")
-        for k, v in fam_opts.get(fam, {}).items():
-            w = w.option(k, v)
-        if per_file:
-            w = w.option("maxRecordsPerFile", per_file)
-        w.parquet(f"{target}/family={fam}")
+    with _advisory_size(table.spark, file_bytes or (None if spread else DEFAULT_FILE_BYTES)):
+        if not fam_opts:
+            w = sorted_cells.write.mode("errorifexists").partitionBy("family", "region")
+            if per_file:
+                w = w.option("maxRecordsPerFile", per_file)
+            w.parquet(target)
+            return
+        # Per-family writer options -> one write per family
+        for fam in table.families:
+            part = sorted_cells.where(F.col("family") == F.lit(fam)).drop("family")
+            w = part.write.mode("errorifexists").partitionBy("region")
+            for k, v in fam_opts.get(fam, {}).items():
+                w = w.option(k, v)
+            if per_file:
+                w = w.option("maxRecordsPerFile", per_file)
+            w.parquet(f"{target}/family={fam}")
 
 
 def _manifest_rows(table: CellTable, load_dir: str, load_time: int, exclude_from_minor: bool, kind: str,
-                   replaces_by_group: dict | None, versions_kept: int | None = None) -> DataFrame:
-    """Per (family, region) statistics of the written files."""
+                   replaces_by_group: dict | None, versions_kept: int | None = None) -> list[tuple]:
+    """Statistics of the written files, by file first, then folded to one
+    row per (family, region).  A group that a compaction replaced and wrote
+    nothing for gets a row with no cells, so its old entries are superseded."""
     from ..model import FILE_SCHEMA
+    from .visibility import key_bytes
 
     schema = T.StructType(list(FILE_SCHEMA.fields) + [T.StructField("family", T.StringType()),
                                                       T.StructField("region", T.IntegerType())])
     spark = table.spark
-    if fs.count_files(spark, load_dir) == 0:
-        return spark.createDataFrame([], T.StructType(MANIFEST_SCHEMA.fields[:-1]))
-    files = spark.read.schema(schema).parquet(load_dir)
-    agg = files.groupBy("family", "region").agg(
-        F.count(F.lit(1)).alias("n_cells"),
-        F.min("row").alias("min_row"),
-        F.max("row").alias("max_row"),
-        F.min("ts").alias("min_ts"),
-        F.max("ts").alias("max_ts"),
-        F.count_distinct(F.col("_metadata.file_path")).alias("n_files"),
-    )
-    rep = F.lit([]).cast("array<string>")
-    if replaces_by_group:
-        m = F.create_map(*[x for (f, r), v in replaces_by_group.items()
-                           for x in (F.lit(f"{f}/{r}"), F.array(*[F.lit(s) for s in v]))])
-        rep = F.coalesce(m[F.concat_ws("/", "family", F.col("region").cast("string"))], rep)
-    return agg.select(
-        "family", "region", "n_cells", "min_row", "max_row", "min_ts", "max_ts", "n_files",
-        F.lit(load_time).cast("bigint").alias("load_time"),
-        F.lit(bool(exclude_from_minor)).alias("exclude_from_minor"),
-        F.lit(kind).alias("kind"),
-        rep.alias("replaces"),
-        F.lit(versions_kept).cast("int").alias("versions_kept"),
-    )
+    replaces = dict(replaces_by_group or {})
+    got = []
+    if fs.count_files(spark, load_dir):
+        def n_of(op):
+            return F.count_if(F.col("op") == F.lit(op))
+
+        files = spark.read.schema(schema).parquet(load_dir)
+        by_file = files.groupBy("family", "region", F.col("_metadata.file_path").alias("f")).agg(
+            F.count(F.lit(1)).alias("n_cells"), F.min("row").alias("min_row"), F.max("row").alias("max_row"),
+            F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"), F.max("_metadata.file_size").alias("size"),
+            n_of(DELETE_FAMILY).alias("fam"), n_of(DELETE_COLUMN).alias("col"), n_of(DELETE_VERSION).alias("ver"),
+            F.sum(F.when(F.col("op") != F.lit(PUT), key_bytes()).otherwise(F.lit(0))).alias("del"))
+        got = by_file.groupBy("family", "region").agg(
+            F.sum("n_cells"), F.min("min_row"), F.max("max_row"), F.min("min_ts"), F.max("max_ts"),
+            F.count(F.lit(1)), F.count_if(F.col("size") < F.lit(DEFAULT_FILE_BYTES // 2)), F.sum("size"),
+            F.sum("fam"), F.sum("col"), F.sum("ver"), F.sum("del")).collect()  # one row per written folder
+    rows = [(*r, load_time, bool(exclude_from_minor), kind, replaces.pop((r[0], r[1]), []), versions_kept) for r in got]
+    rows += [(f, r, 0, None, None, None, None, 0, 0, 0, 0, 0, 0, 0, load_time, bool(exclude_from_minor), kind, old,
+              versions_kept) for (f, r), old in sorted(replaces.items())]
+    return rows
 
 
 def publish(table: CellTable, staged: str, load_id: str, kind: str, exclude_from_minor: bool = False,
@@ -213,16 +227,15 @@ def publish(table: CellTable, staged: str, load_id: str, kind: str, exclude_from
             raise OSError(f"could not move {staged} to {dst}")
     else:
         fs.mkdirs(spark, dst)
-    if replaces_by_group:
-        # marker first: readers look for replaced groups only when one exists
-        fs.touch(spark, f"{table.path}/_compactions/{load_id}")
     rows = _manifest_rows(table, dst, int(time.time() * 1000), exclude_from_minor, kind, replaces_by_group,
                           versions_kept)
+    schema = T.StructType(MANIFEST_SCHEMA.fields[:-1])
     tmp = f"{table.path}/_manifest_tmp/{load_id}"
     fs.delete(spark, tmp)
-    rows.coalesce(1).write.mode("errorifexists").parquet(tmp)
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("errorifexists").parquet(tmp)
     if not fs.rename(spark, tmp, f"{table.manifest_path}/load_id={load_id}"):
         raise OSError(f"could not commit manifest of load {load_id}")
+    table._manifests[load_id] = [dict(zip(schema.names, r), load_id=load_id) for r in rows]
     return LoadResult(load_id, dst, kind)
 
 
@@ -240,17 +253,35 @@ def _stage_path(table: CellTable, staging: str | None, load_id: str) -> str:
 
 
 def bulk_load(table: CellTable, cells: DataFrame, staging: str | None = None, exclude_from_minor: bool = False,
-              ts=None, file_bytes: int | None = DEFAULT_FILE_BYTES, kind: str = "load") -> LoadResult:
+              ts=None, file_bytes: int | None = None, kind: str = "load", collapse=None,
+              merge_over: int | None = None) -> LoadResult:
     """One input row -> one cell; region-sorted files, staged publish.
 
     ``cells`` has columns ``row, family, qualifier, value`` and optionally
     ``ts, op, seq`` (strings are UTF-8 encoded).  Blocks until published.
+    ``collapse`` names the columns of ``cells`` that order arrivals (``True``:
+    ``seq``): identical cells are then stored once, the last one's value.
+    ``merge_over``: groups with more small files than this are merged after
+    the publish.
     """
     load_id = table.next_load_id()
     target = _stage_path(table, staging, load_id)
-    norm = with_region(normalize_cells(cells, table, ts=ts), table)
-    write_cells(table, norm, target, file_bytes)
-    return publish(table, target, load_id, kind, exclude_from_minor)
+    order = [] if not collapse or collapse is True else list(collapse)
+    norm = normalize_cells(cells, table, ts=ts, keep=order)
+    if collapse:
+        from .visibility import collapse_identical
+
+        names = [f"_by{i}" for i in range(len(order))] or ["seq"]
+        norm = norm.withColumn("src_load", F.lit(None).cast("string"))
+        norm = collapse_identical(norm, [*names, *(["seq", "pos"] if order else ["pos"])])
+        norm = norm.drop(*names[: len(order)]).withColumn("src_load", F.lit(None).cast("string"))
+    write_cells(table, with_region(norm, table), target, file_bytes)
+    out = publish(table, target, load_id, kind, exclude_from_minor)
+    if merge_over is not None:
+        from .maintain import compact
+
+        compact(table, max_files=merge_over)
+    return out
 
 
 def bulk_load_cells(table: CellTable, df: DataFrame, cell, **kw) -> LoadResult:
@@ -261,7 +292,7 @@ def bulk_load_cells(table: CellTable, df: DataFrame, cell, **kw) -> LoadResult:
 
 def bulk_load_thin_rows(table: CellTable, df: DataFrame, row, cells, staging: str | None = None,
                         exclude_from_minor: bool = False, ts=None,
-                        file_bytes: int | None = DEFAULT_FILE_BYTES) -> LoadResult:
+                        file_bytes: int | None = None) -> LoadResult:
     """One input row -> many cells of one row key.
 
     The *unexpanded* element travels through the exchange (keyed by the
@@ -279,10 +310,9 @@ def bulk_load_thin_rows(table: CellTable, df: DataFrame, row, cells, staging: st
     keyed = keyed.withColumn("_row", F.col("_row") if isinstance(keyed.schema["_row"].dataType, T.BinaryType)
                              else F.encode(F.col("_row").cast("string"), "UTF-8"))
     keyed = keyed.withColumn("region", region_index(F.col("_row"), table.starts, presorted=True))
-    # arrival order: (input partition, position in it, position in the element)
-    pid = F.spark_partition_id().cast("bigint")
-    in_part = F.monotonically_increasing_id() - F.shiftleft(pid, 33)
-    keyed = keyed.withColumn("_seq0", F.shiftleft(pid, 42) + F.shiftleft(in_part, 10))
+    # arrival order: the element's id (input partition, place in it), then the
+    # place in the element, in a column of its own
+    keyed = keyed.withColumn("_seq0", F.monotonically_increasing_id())
     moved = keyed.withColumn("_salt", salt("_row", spread_factor(table, 1))).hint("rebalance", "region", "_salt")
 
     def expand(elements: DataFrame) -> DataFrame:
@@ -292,12 +322,13 @@ def bulk_load_thin_rows(table: CellTable, df: DataFrame, row, cells, staging: st
         flat = exploded.select(
             F.col("_row").alias("row"),
             "_cell.*",
-            (F.col("_seq0") + F.least(F.col("_pos"), F.lit(1023))).alias("seq"),
+            F.col("_seq0").alias("seq"),
+            F.col("_pos").alias("pos"),
         )
         norm = normalize_cells(flat, table, ts=ts)
         return norm.withColumn("region", region_index(F.col("row"), table.starts, presorted=True))
 
-    write_cells(table, expand(moved), target, file_bytes, balanced=True, size_sample=expand(keyed))
+    write_cells(table, expand(moved), target, file_bytes, balanced=True, sized=expand(keyed))
     return publish(table, target, load_id, "thin_rows", exclude_from_minor)
 
 
@@ -308,7 +339,7 @@ class StagedLoad:
 
 
 def stage(table: CellTable, cells: DataFrame, staging: str, ts=None,
-          file_bytes: int | None = DEFAULT_FILE_BYTES) -> StagedLoad:
+          file_bytes: int | None = None) -> StagedLoad:
     """First half of S11: write region-sorted files to ``staging`` only.
     Nothing is visible to readers until ``publish_staged``."""
     load_id = table.next_load_id()

@@ -1,13 +1,13 @@
 """Batched point lookups as joins.
 
 The request side is reduced to its distinct keys and measured by one
-action (count, bytes, min, max).  The table is cut to the key range (row
-filters reach parquet and prune regions) and, when the key set fits
+action (count, bytes, min, max).  The table is cut to the key range (a
+region partition filter and row filters that reach parquet) and, when the key set fits
 ``BROADCAST_BYTES``, semi-joined against a broadcast of the keys before
 any shuffle -- only requested rows reach visibility resolution.  Beyond
 that bound the semi join shuffles (AQE splits skewed partitions).  The
-final request-to-result join keeps every request, duplicates included,
-and yields nulls for absent rows.
+final request-to-result join keeps every request with a key, duplicates
+included, and yields nulls for absent rows.
 """
 
 from __future__ import annotations
@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..model import BROADCAST_BYTES
-from ..sources.table import CellTable, read_cells, resolve
+from ..functions.regions import as_bytes, regions_for_range
+from ..model import BROADCAST_BYTES, DELETE_FAMILY, RESULT_CELL
+from ..sources.table import CellTable, known_tombstones, read_cells, resolve
+from .visibility import apply_tombstones
 
 
 def _key_col(requests: DataFrame, row: str) -> F.Column:
@@ -26,71 +28,104 @@ def _key_col(requests: DataFrame, row: str) -> F.Column:
     return c if isinstance(t, T.BinaryType) else F.encode(c.cast("string"), "UTF-8")
 
 
+def _present(requests: DataFrame, row: str) -> DataFrame:
+    """Requests with their key as ``_key``; a null key asks for nothing and goes."""
+    return requests.withColumn("_key", _key_col(requests, row)).where(F.col("_key").isNotNull())
+
+
 def requested_cells(requests: DataFrame, table: CellTable, row: str = "row", families=None, qualifiers=None,
-                    versions: int | None = 1, ts_range=None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Visible cells of the requested rows only (long form)."""
+                    pairs=None, broadcast_bytes: int = BROADCAST_BYTES):
+    """The log of the requested rows only, and its region range.  ``pairs``
+    keeps exactly those (family, qualifier) columns and all family tombstones."""
     keys = requests.select(_key_col(requests, row).alias("row")).where(F.col("row").isNotNull()).distinct()
     st = keys.agg(
         F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum(F.octet_length("row") + F.lit(16)), F.lit(0)).alias("b"),
+        F.coalesce(F.sum(F.octet_length("row") + F.lit(64)), F.lit(0)).alias("b"),
         F.min("row").alias("lo"),
         F.max("row").alias("hi"),
     ).first()
-    cells = read_cells(table, families=families, qualifiers=qualifiers)
     if st["n"] == 0:
-        cells = cells.where(F.lit(False))
-    else:
-        cells = cells.where(F.col("row").between(F.lit(st["lo"]), F.lit(st["hi"])))
-        side = F.broadcast(keys) if st["b"] <= broadcast_bytes else keys
-        cells = cells.join(side, "row", "left_semi")
-    return resolve(table, cells, versions, ts_range, families)
+        return read_cells(table, families=families, qualifiers=qualifiers).where(F.lit(False)), None
+    lo, stop = bytes(st["lo"]), bytes(st["hi"]) + b"\0"
+    cells = read_cells(table, lo, stop, families, qualifiers)
+    if pairs is not None:
+        wanted = F.col("op") == F.lit(DELETE_FAMILY)
+        for f, q in pairs:
+            wanted = wanted | ((F.col("family") == F.lit(f)) & (F.col("qualifier") == F.lit(bytearray(as_bytes(q)))))
+        cells = cells.where(wanted)
+    side = F.broadcast(keys) if st["b"] <= broadcast_bytes else keys
+    return cells.join(side, "row", "left_semi"), regions_for_range(table.starts, lo, stop)
+
+
+def requested_visible(requests: DataFrame, table: CellTable, row: str = "row", families=None, qualifiers=None,
+                      versions: int | None = 1, ts_range=None, pairs=None) -> DataFrame:
+    """Visible cells of the requested rows (long form)."""
+    cells, regions = requested_cells(requests, table, row, families, qualifiers, pairs)
+    return resolve(table, cells, versions, ts_range, families, regions)
 
 
-def bulk_get(requests: DataFrame, table: CellTable, columns, row: str = "row", versions: int = 1,
-             ts_range=None, event_time=None) -> DataFrame:
-    """One output row per request (duplicates kept, order not).
+def bulk_get(requests: DataFrame, table: CellTable, columns, row: str = "row", ts_range=None,
+             event_time=None) -> DataFrame:
+    """One output row per request with a key (duplicates kept, order not).
 
     ``columns`` is a list of ``(family, qualifier)`` or
-    ``(family, qualifier, alias)``; each becomes a BINARY column (null when
-    the cell is absent).  ``found`` tells whether any requested column of
-    the row is visible (an empty restricted Get is "not found").  ``event_time`` (W1): a column copied to
-    ``event_ts``.
+    ``(family, qualifier, alias)``; each becomes a BINARY column with the
+    newest value (null when the cell is absent).  ``found`` tells whether any
+    of exactly these columns is visible (an empty restricted Get is "not
+    found").  ``event_time`` (W1): a column copied to ``event_ts``.
     """
     cols = [(c[0], c[1], c[2] if len(c) > 2 else f"{c[0]}:{c[1]}") for c in columns]
     fams = sorted({f for f, _, _ in cols})
     quals = sorted({q for _, q, _ in cols})
-    cells = requested_cells(requests, table, row, fams, quals, versions=1, ts_range=ts_range)
+    cells = requested_visible(requests, table, row, fams, quals, 1, ts_range, [(f, q) for f, q, _ in cols])
     picks = [
-        F.max(F.when((F.col("family") == F.lit(f)) & (F.col("qualifier") == F.lit(bytearray(q.encode()))),
+        F.max(F.when((F.col("family") == F.lit(f)) & (F.col("qualifier") == F.lit(bytearray(as_bytes(q)))),
                      F.col("value"))).alias(a)
         for f, q, a in cols
     ]
     wide = cells.groupBy("row").agg(*picks, F.lit(True).alias("found"))
-    req = requests.withColumn("_key", _key_col(requests, row))
+    req = _present(requests, row)
     if event_time is not None:
         req = req.withColumn("event_ts", event_time)
     out = req.join(wide.withColumnRenamed("row", "_key"), "_key", "left")
     return out.withColumn("found", F.coalesce(F.col("found"), F.lit(False))).drop("_key")
 
 
+def bulk_get_rows(requests: DataFrame, table: CellTable, row: str = "row", families=None, qualifiers=None,
+                  versions: int | None = 1, ts_range=None) -> DataFrame:
+    """J1, row-shaped: one output row per request with ``cells``, the array of
+    the row's visible cells in cell order (family, qualifier, newest first);
+    empty for an absent row.  A row is the unit of a lookup, so its cells are
+    one value, as in a Get."""
+    cells = requested_visible(requests, table, row, families, qualifiers, versions, ts_range)
+    cell = F.struct("family", "qualifier", (-F.col("ts")).alias("ts"), "value")
+    rows = cells.groupBy(F.col("row").alias("_key")).agg(F.array_sort(F.collect_list(cell)).alias("cells"))
+    rows = rows.withColumn("cells", F.transform("cells", lambda c: F.struct(
+        c["family"].alias("family"), c["qualifier"].alias("qualifier"), (-c["ts"]).alias("ts"), c["value"].alias("value"))))
+    out = _present(requests, row).join(rows, "_key", "left").drop("_key")
+    return out.withColumn("cells", F.coalesce("cells", F.array().cast(T.ArrayType(RESULT_CELL))))
+
+
 def bulk_get_cells(requests: DataFrame, table: CellTable, row: str = "row", families=None, qualifiers=None,
                    versions: int | None = 1, ts_range=None) -> DataFrame:
     """J1/J4 long form: one row per (request, visible cell); a request with
     no cell keeps one row with null cell columns."""
-    cells = requested_cells(requests, table, row, families, qualifiers, versions, ts_range)
-    req = requests.withColumn("_key", _key_col(requests, row))
-    return req.join(cells.withColumnRenamed("row", "_key"), "_key", "left").drop("_key")
+    cells = requested_visible(requests, table, row, families, qualifiers, versions, ts_range)
+    return _present(requests, row).join(cells.withColumnRenamed("row", "_key"), "_key", "left").drop("_key")
+
+
+def _rows_there(requests: DataFrame, table: CellTable, row: str, families) -> DataFrame:
+    """Requested rows with a visible cell: tombstones applied, no ranking."""
+    cells, regions = requested_cells(requests, table, row, families)
+    seen = apply_tombstones(cells, known=known_tombstones(table, cells, families, regions))
+    return seen.select(F.col("row").alias("_key")).distinct()
 
 
 def bulk_get_exists(requests: DataFrame, table: CellTable, row: str = "row", families=None) -> DataFrame:
     """Requests whose row exists (duplicates kept)."""
-    present = requested_cells(requests, table, row, families).select(F.col("row").alias("_key")).distinct()
-    req = requests.withColumn("_key", _key_col(requests, row))
-    return req.join(present, "_key", "left_semi").drop("_key")
+    return _present(requests, row).join(_rows_there(requests, table, row, families), "_key", "left_semi").drop("_key")
 
 
 def bulk_get_missing(requests: DataFrame, table: CellTable, row: str = "row", families=None) -> DataFrame:
     """Requests whose row is absent (duplicates kept)."""
-    present = requested_cells(requests, table, row, families).select(F.col("row").alias("_key")).distinct()
-    req = requests.withColumn("_key", _key_col(requests, row))
-    return req.join(present, "_key", "left_anti").drop("_key")
+    return _present(requests, row).join(_rows_there(requests, table, row, families), "_key", "left_anti").drop("_key")

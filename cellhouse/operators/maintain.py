@@ -2,97 +2,93 @@
 
 Compaction never edits files in place: chosen (load, family, region)
 groups are read, rewritten region-sorted into a *new* load whose manifest
-lists the groups it replaces, and only after that manifest is committed
-are the old folders removed.  A reader sees either the old groups or the
+lists the groups it replaces; ``vacuum`` removes the old folders later.  A reader sees either the old groups or the
 new one, never both.  Cells keep their original arrival order through
 ``src_load``/``seq``, so ``visible_cells`` is unchanged by a compaction.
 """
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from .. import fs
-from ..model import DEFAULT_FILE_BYTES, DEFAULT_MAX_FILES, PUT
-from ..sources.table import CellTable
+from ..functions.regions import region_index
+from ..model import DEFAULT_MAX_FILES, MANIFEST_SCHEMA, PUT
+from ..sources.table import CellTable, known_tombstones
 from .load import LoadResult, publish, write_cells
 from .visibility import visible_cells
 
 
 def live_groups(table: CellTable):
     """Live manifest entries: one row per (load, family, region) group."""
-    m = table.manifest()
-    replaced = table.replaced_groups()
-    g = F.concat_ws("/", "load_id", "family", F.col("region").cast("string"))
-    return m.where(~g.isin(replaced)) if replaced else m
+    return table.spark.createDataFrame(
+        [tuple(e[c] for c in MANIFEST_SCHEMA.names) for e in table.live_entries()], MANIFEST_SCHEMA)
 
 
 def compaction_candidates(table: CellTable, max_files: int = DEFAULT_MAX_FILES, major: bool = False):
-    """(family, region) -> list of load ids to merge (metadata-sized)."""
-    live = live_groups(table)
-    if not major:
-        live = live.where(~F.col("exclude_from_minor"))
-    per = live.groupBy("family", "region").agg(
-        F.sum("n_files").alias("files"), F.sort_array(F.collect_set("load_id")).alias("loads")
-    )
-    if not major:
-        per = per.where(F.col("files") > F.lit(max_files))
-    return {(r.family, r.region): list(r.loads) for r in per.collect()}
+    """(family, region) -> list of load ids to merge (from the manifest).
+
+    Minor: groups with more than ``max_files`` *small* files (under half the
+    file target); only entries that hold some.  A group of full files is never
+    chosen, however many it has, so repeated compactions come to an end."""
+    per: dict[tuple, list] = {}
+    for e in table.live_entries():
+        if major or (e["n_small_files"] and not e["exclude_from_minor"]):
+            per.setdefault((e["family"], e["region"]), []).append(e)
+    return {k: sorted(e["load_id"] for e in es) for k, es in sorted(per.items())
+            if major or sum(e["n_small_files"] for e in es) > max_files}
 
 
 def compact(table: CellTable, max_files: int = DEFAULT_MAX_FILES, major: bool = False,
-            keep_versions: int | None = None, file_bytes: int | None = DEFAULT_FILE_BYTES) -> LoadResult | None:
+            keep_versions: int | None = None, file_bytes: int | None = None) -> LoadResult | None:
     """Merge small files.
 
     Minor (default): every (family, region) holding more than ``max_files``
-    files, loads flagged ``exclude_from_minor`` left out; all cells and
+    small files, loads flagged ``exclude_from_minor`` left out; all cells and
     tombstones are kept.  Major: every group of every load; tombstones are
     applied and dropped, and only ``keep_versions`` newest versions are kept
-    (all when None).
+    (all when None).  The replaced folders stay until ``vacuum``: a reader
+    that planned before the switch still finds them.
     """
-    spark = table.spark
     chosen = compaction_candidates(table, max_files, major)
     if not chosen:
         return None
     triples = [f"{l}/{f}/{r}" for (f, r), loads in chosen.items() for l in loads]
     g = F.concat_ws("/", "load_id", "family", F.col("region").cast("string"))
     src = table.stored().where(g.isin(triples))
-    src = src.withColumn("src_load", F.coalesce(F.col("src_load"), F.col("load_id")))
+    src = src.withColumn("_load", F.col("load_id")).withColumn("src_load", F.coalesce(F.col("src_load"), F.col("load_id")))
+    cells = ["row", "family", "qualifier", "ts", "op", "value", "seq", "pos"]
     if major:
-        cells = src.select("row", "family", "qualifier", "ts", "op", "value", "seq",
-                           F.col("src_load").alias("load_id"), "region")
-        vis = visible_cells(cells.drop("region"), versions=keep_versions, keep_meta=True)
-        out = vis.select("row", "family", "qualifier", "ts", F.lit(PUT).cast("tinyint").alias("op"), "value", "seq",
+        log = src.select(*cells, F.col("src_load").alias("load_id"), "_load")
+        vis = visible_cells(log, versions=keep_versions, keep_meta=True, known=known_tombstones(table, log))
+        out = vis.select(*[F.lit(PUT).cast("tinyint").alias("op") if c == "op" else c for c in cells],
                          F.col("load_id").alias("src_load"))
-        from ..functions.regions import region_index
-
         out = out.withColumn("region", region_index(F.col("row"), table.starts, presorted=True))
     else:
-        out = src.select("row", "family", "qualifier", "ts", "op", "value", "seq", "src_load", "region")
+        out = src.select(*cells, "src_load", "region")
     load_id = table.next_load_id()
     staged = f"{table.path}/_staging/{load_id}"
-    write_cells(table, out, staged, file_bytes)
+    fs.delete(table.spark, staged)
+    write_cells(table, out, staged, file_bytes, spread=False)
     rep = {(f, r): [f"{l}/{f}/{r}" for l in loads] for (f, r), loads in chosen.items()}
-    res = publish(table, staged, load_id, "major" if major else "minor", False, rep,
-                  keep_versions if major else None)
-    # only now, with the switch committed, drop the replaced folders
-    for t in triples:
-        l, f, r = t.split("/")
-        fs.delete(spark, f"{table.load_path(l)}/family={f}/region={r}")
-    return res
+    return publish(table, staged, load_id, "major" if major else "minor", False, rep, keep_versions if major else None)
 
 
-def vacuum(table: CellTable) -> list[str]:
+def vacuum(table: CellTable, retention_ms: int = 0) -> list[str]:
     """P5: remove load folders without a manifest, leftover staging and
-    manifest temp folders, and groups replaced by a compaction.  Lists
-    first, deletes after; returns what was removed."""
+    manifest temp folders, and groups replaced by a compaction at least
+    ``retention_ms`` ago (readers planned before it may still use them).
+    Lists first, deletes after; returns what was removed."""
     spark = table.spark
     committed = set(table.committed_loads())
     removed = []
     for d in fs.list_dirs(spark, table.data_path):
         if d.startswith("load_id=") and d.split("=", 1)[1] not in committed:
             removed.append(f"{table.data_path}/{d}")
-    for t in table.replaced_groups():
+    until = int(time.time() * 1000) - retention_ms
+    for t in sorted({g for e in table.entries() if e["load_time"] <= until for g in e["replaces"]}):
         l, f, r = t.split("/")
         p = f"{table.load_path(l)}/family={f}/region={r}"
         if fs.exists(spark, p):
@@ -118,10 +114,13 @@ def set_family_options(table: CellTable, family: str, **options) -> CellTable:
     opts.setdefault(family, {}).update({k: str(v) for k, v in options.items()})
     spark = table.spark
     meta = spark.createDataFrame([(table.families, [bytearray(s) for s in table.starts], opts)], META_SCHEMA)
-    tmp = f"{table.path}/_meta_new"
-    fs.delete(spark, tmp)
-    meta.coalesce(1).write.parquet(tmp)
-    fs.delete(spark, f"{table.path}/_meta")
-    fs.rename(spark, tmp, f"{table.path}/_meta")
+    new, now, old = (f"{table.path}/{n}" for n in ("_meta_new", "_meta", "_meta_old"))
+    fs.delete(spark, new)
+    meta.coalesce(1).write.parquet(new)
+    # a complete definition is there at every step: open_table falls back on _meta_new
+    fs.delete(spark, old)
+    if not (fs.rename(spark, now, old) and fs.rename(spark, new, now)):
+        raise OSError(f"could not replace the definition of {table.path}")
+    fs.delete(spark, old)
     table.family_options = opts
     return table

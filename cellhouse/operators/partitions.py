@@ -15,6 +15,7 @@ Unkeyed form (U3): every Spark partition is one group; no shuffle.
 
 from __future__ import annotations
 
+import itertools
 from typing import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -27,37 +28,33 @@ from ..session import ship_package
 KEY = "_pkey"
 
 
-def _batches_by_key(batches: Iterator[pa.RecordBatch], key: str):
-    """Yield ``(key_value, iterator of batches)`` for consecutive key runs."""
+def _slices(batches: Iterator[pa.RecordBatch], key: str):
+    """``(key value, slice)`` for the runs of one key inside each batch."""
     import pyarrow.compute as pc
 
-    pending: list = []  # carried slices of the current key
-    current = object()
     for b in batches:
         if b.num_rows == 0:
             continue
         col = b.column(b.schema.get_field_index(key))
-        # boundaries where the key changes inside the batch
+        cuts = [0]
         if b.num_rows > 1:
-            neq = pc.not_equal(col.slice(1), col.slice(0, b.num_rows - 1))
-            neq = pc.fill_null(neq, True)
-            cuts = [i + 1 for i in pc.indices_nonzero(neq).to_pylist()]
-        else:
-            cuts = []
-        starts = [0] + cuts
-        ends = cuts + [b.num_rows]
-        for s, e in zip(starts, ends):
-            k = col[s].as_py()
-            piece = b.slice(s, e - s)
-            if pending and k == current:
-                pending.append(piece)
-                continue
-            if pending:
-                yield current, pending
-            pending = [piece]
-            current = k
-    if pending:
-        yield current, pending
+            differ = pc.fill_null(pc.not_equal(col.slice(1), col.slice(0, b.num_rows - 1)), True)
+            cuts += [i + 1 for i in pc.indices_nonzero(differ).to_pylist()]
+        for s, e in zip(cuts, cuts[1:] + [b.num_rows]):
+            yield col[s].as_py(), b.slice(s, e - s)
+
+
+def _batches_by_key(batches: Iterator[pa.RecordBatch], key: str):
+    """``(key value, iterator of its batches)``, both lazy: a batch is pulled
+    when the user function asks for it, and what the function leaves of a
+    group is drained before the next group starts."""
+
+    def same(piece):  # NaN is one key
+        return piece[0] if piece[0] == piece[0] else "nan"
+
+    for _, run in itertools.groupby(_slices(batches, key), same):
+        k, first = next(run)
+        yield k, itertools.chain([first], (b for _, b in run))
 
 
 def _keyed(df: DataFrame, key) -> DataFrame:
@@ -65,6 +62,17 @@ def _keyed(df: DataFrame, key) -> DataFrame:
     return df.withColumn(KEY, k).where(F.col(KEY).isNotNull())
 
 
+def _folded(keyed: DataFrame, partial: Callable, conf: dict, schema: T.StructType | None) -> DataFrame:
+    """Pre-aggregation: ``partial`` on the group runs inside each input
+    partition, no shuffle."""
+    if schema is None:
+        raise ValueError("partial needs partial_schema")
+    key_type = keyed.schema[KEY].dataType
+    return keyed.sortWithinPartitions(KEY).mapInArrow(
+        _group_runner(partial, conf, key_type, schema, with_index=False),
+        T.StructType([T.StructField(KEY, key_type)] + list(schema.fields)))
+
+
 def map_partitions(df: DataFrame, key, fn: Callable, schema: T.StructType, conf: dict | None = None,
                    partial: Callable | None = None, partial_schema: T.StructType | None = None,
                    order_by=()) -> DataFrame:
@@ -85,49 +93,53 @@ def map_partitions(df: DataFrame, key, fn: Callable, schema: T.StructType, conf:
     keyed = _keyed(df, key)
     key_type = keyed.schema[KEY].dataType
     if partial is not None:
-        if partial_schema is None:
-            raise ValueError("partial needs partial_schema")
-        pre_schema = T.StructType([T.StructField(KEY, key_type)] + list(partial_schema.fields))
-        # pre-aggregation: group runs inside each input partition, no shuffle
-        keyed = keyed.sortWithinPartitions(KEY).mapInArrow(
-            _group_runner(partial, conf, partial_schema, with_index=False), pre_schema)
+        keyed = _folded(keyed, partial, conf, partial_schema)
     out_schema = T.StructType(
         [T.StructField("key", key_type), T.StructField("index", T.LongType())] + list(schema.fields)
     )
     moved = keyed.repartition(KEY).sortWithinPartitions(KEY, *order_by)
-    return moved.mapInArrow(_group_runner(fn, conf, schema, with_index=True), out_schema)
+    return moved.mapInArrow(_group_runner(fn, conf, key_type, schema, with_index=True), out_schema)
 
 
 CHUNK = 4096
+#: batches below this many rows are gathered with others instead of framed alone
+SMALL = 64
 
 
-def _group_runner(fn, conf, schema: T.StructType, with_index: bool):
-    """Run ``fn`` per key run and stream its output in Arrow chunks: neither
-    a group's input nor its output is ever held whole."""
-    names = [f.name for f in schema.fields]
+def _group_runner(fn, conf, key_type: T.DataType, schema: T.StructType, with_index: bool):
+    """Run ``fn`` per key run and stream its output: neither a group's input
+    nor its output is ever held whole.  Record batches pass through with the
+    key (and index) columns added; single rows are gathered in chunks."""
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    arrow_fields = list(to_arrow_schema(schema))
-    key_name = "key" if with_index else KEY
+    names = [f.name for f in schema.fields]
+    head = [T.StructField("key" if with_index else KEY, key_type)]
+    head += [T.StructField("index", T.LongType())] if with_index else []
+    out_schema = to_arrow_schema(T.StructType(head + list(schema.fields)))
+    key_name, key_arrow = out_schema[0].name, out_schema[0].type
 
-    def flush(out_schema, buf_k, buf_i, buf_r):
+    def gathered(buf_k, buf_i, buf_r):
         cols = {key_name: list(buf_k)}
         if with_index:
             cols["index"] = list(buf_i)
         cols.update({n: [None if r is None else r[i] for r in buf_r] for i, n in enumerate(names)})
-        batch = pa.RecordBatch.from_pydict(cols, schema=out_schema)
         buf_k.clear(), buf_i.clear(), buf_r.clear()
-        return batch
+        return pa.RecordBatch.from_pydict(cols, schema=out_schema)
+
+    def framed(k, n, b):
+        # a batch of the function, as it is, behind its key and index
+        cols = [pa.array([k], key_arrow).take(pa.array([0] * b.num_rows, pa.int64()))]
+        if with_index:
+            cols.append(pa.array(range(n, n + b.num_rows), pa.int64()))
+        for i, name in enumerate(names):
+            cols.append(b.column(b.schema.get_field_index(name)).cast(out_schema[len(head) + i].type))
+        return pa.RecordBatch.from_arrays(cols, schema=out_schema)
 
     def run(batches):
         # no closure state shared between nested functions: it does not
         # survive pickling to the workers
-        out_schema = None
         buf_k, buf_i, buf_r = [], [], []
         for k, pieces in _batches_by_key(batches, KEY):
-            if out_schema is None:
-                fields = [pa.field(key_name, _arrow_key(k))] + ([pa.field("index", pa.int64())] if with_index else [])
-                out_schema = pa.schema(fields + arrow_fields)
             res = fn(conf, k, (p.drop_columns([KEY]) for p in pieces))
             if res is None:
                 continue
@@ -136,35 +148,31 @@ def _group_runner(fn, conf, schema: T.StructType, with_index: bool):
             n = 0
             for item in res:
                 if isinstance(item, (pa.RecordBatch, pa.Table)):
-                    d = item.to_pydict()
-                    rows = list(zip(*[d[c] for c in names])) if item.num_rows else []
+                    for b in item.to_batches() if isinstance(item, pa.Table) else [item]:
+                        if b.num_rows and b.num_rows < SMALL:
+                            d = b.to_pydict()
+                            for r in zip(*[d[c] for c in names]):
+                                buf_k.append(k), buf_i.append(n), buf_r.append(r)
+                                n += 1
+                        elif b.num_rows:
+                            if buf_k:
+                                yield gathered(buf_k, buf_i, buf_r)
+                            yield framed(k, n, b)
+                            n += b.num_rows
                 else:
-                    rows = [tuple(item.get(c) for c in names) if isinstance(item, dict) else tuple(item)]
-                for r in rows:
-                    buf_k.append(k), buf_i.append(n), buf_r.append(r)
+                    buf_k.append(k), buf_i.append(n)
+                    buf_r.append(tuple(item.get(c) for c in names) if isinstance(item, dict) else tuple(item))
                     n += 1
-                    if len(buf_k) >= CHUNK:
-                        yield flush(out_schema, buf_k, buf_i, buf_r)
+                if len(buf_k) >= CHUNK:
+                    yield gathered(buf_k, buf_i, buf_r)
             if n == 0 and with_index:
                 buf_k.append(k), buf_i.append(None), buf_r.append(None)  # empty result: group kept
         if buf_k:
-            yield flush(out_schema, buf_k, buf_i, buf_r)
+            yield gathered(buf_k, buf_i, buf_r)
 
     return run
 
 
-def _arrow_key(k):
-    if isinstance(k, (bytes, bytearray)):
-        return pa.binary()
-    if isinstance(k, bool):
-        return pa.bool_()
-    if isinstance(k, int):
-        return pa.int64()
-    if isinstance(k, float):
-        return pa.float64()
-    return pa.string()
-
-
 def _rows_of(res, names):
     if isinstance(res, pa.RecordBatch) or isinstance(res, pa.Table):
         d = res.to_pydict()
@@ -205,13 +213,17 @@ def map_partitions_unkeyed(df: DataFrame, fn: Callable, schema: T.StructType, co
     return df.mapInArrow(run, schema)
 
 
-def foreach_partition(df: DataFrame, key, fn: Callable, conf: dict | None = None) -> None:
+def foreach_partition(df: DataFrame, key, fn: Callable, conf: dict | None = None, partial: Callable | None = None,
+                      partial_schema: T.StructType | None = None) -> None:
     """``fn(conf, key, batches)`` once per key for its side effect.
 
-    Keyed: hash partition + in-task sort, one call per key run.  Unkeyed
+    Keyed: hash partition + in-task sort, one call per key run.  ``partial``
+    folds each key's rows inside every input partition before the shuffle, as
+    in ``map_partitions``; ``fn`` then sees the partial rows.  Unkeyed
     (``key=None``): one call per Spark partition, no shuffle.  Runs now.
     """
     conf = dict(conf or {})
+    ship_package(df.sparkSession)
     if key is None:
         def run_all(batches):
             fn(conf, None, batches)
@@ -219,6 +231,8 @@ def foreach_partition(df: DataFrame, key, fn: Callable, conf: dict | None = None
         df.mapInArrow(run_all, "n long").count()
         return
     keyed = _keyed(df, key)
+    if partial is not None:
+        keyed = _folded(keyed, partial, conf, partial_schema)
 
     def run(batches):
         n = 0
@@ -230,6 +244,18 @@ def foreach_partition(df: DataFrame, key, fn: Callable, conf: dict | None = None
     keyed.repartition(KEY).sortWithinPartitions(KEY).mapInArrow(run, "n long").agg(F.sum("n")).collect()
 
 
+def group_values(df: DataFrame, key, values: T.StructType, order_by=()) -> DataFrame:
+    """A1: the values of each key, ``(key, index, *values)``: ``values`` names
+    columns of ``df``; ``index`` numbers them in ``order_by`` order.  Groups
+    stream through; no list of one is built."""
+    names = [f.name for f in values.fields]
+
+    def same(conf, k, batches):
+        return (b.select(names) for b in batches)
+
+    return map_partitions(df, key, same, values, order_by=order_by)
+
+
 def arrow_rows(batches: Iterable[pa.RecordBatch]):
     """Helper for user functions: iterate rows of the batches as dicts."""
     for b in batches:

@@ -11,9 +11,10 @@ Rules (Bigtable/LSM semantics):
 * a read returns the newest ``versions`` timestamps per column.
 
 Plan shape.  Tombstones are aggregated first (partial + final hash
-aggregates, so a hot key is combined map-side).  Their size is measured by
-one action; when it fits ``BROADCAST_BYTES`` they are broadcast and the puts
-never move for tombstone resolution.  Beyond it the joins shuffle and AQE
+aggregates, so a hot key is combined map-side).  Their kinds and size come
+from the manifest (for a plain DataFrame: one action), only loads that hold
+some are scanned for them; when they fit ``BROADCAST_BYTES`` they are
+broadcast and the puts never move for tombstone resolution.  Beyond it the joins shuffle and AQE
 splits skewed put partitions.  The newest-n step is a ``row_number``/
 ``dense_rank`` filter, which Catalyst turns into a ``WindowGroupLimit``
 that also runs before the exchange: each map task ships at most n versions
@@ -37,32 +38,35 @@ def _arrival_order(df: DataFrame):
         cols.append(F.col("load_id").desc())
     if "seq" in df.columns:
         cols.append(F.col("seq").desc())
+    if "pos" in df.columns:
+        cols.append(F.col("pos").desc())
     return cols
 
 
-def tombstone_summary(cells: DataFrame):
-    """Family / column / version tombstone tables (None when that kind is
-    absent) and the measured size of all tombstones: one small action that
-    counts tombstones and their key bytes per kind."""
-    tombs = cells.where(F.col("op") != F.lit(PUT)).select("row", "family", "qualifier", "ts", "op")
-    per_kind = {
-        int(r["op"]): (int(r["n"]), int(r["bytes"]))
-        for r in tombs.groupBy("op").agg(
-            F.count(F.lit(1)).alias("n"),
-            F.sum(F.octet_length("row") + F.octet_length("family") + F.octet_length("qualifier") + F.lit(16))
-            .alias("bytes"),
-        ).collect()
-    }
-    n = sum(v[0] for v in per_kind.values())
-    nbytes = sum(v[1] for v in per_kind.values())
+def key_bytes():
+    """Bytes of a tombstone as a row of an in-memory hash relation: its key
+    parts plus the row header, the pointers and the hash slot."""
+    return F.octet_length("row") + F.octet_length("family") + F.octet_length("qualifier") + F.lit(80)
+
+
+def measure_tombstones(cells: DataFrame) -> tuple[set, int]:
+    """Kinds of tombstones present and their bytes, by one action -- for cells
+    that come without a manifest."""
+    got = cells.where(F.col("op") != F.lit(PUT)).groupBy("op").agg(F.sum(key_bytes()).alias("b")).collect()
+    return {int(r["op"]) for r in got}, sum(int(r["b"]) for r in got)
+
+
+def tombstone_tables(tombs: DataFrame, kinds: set):
+    """Family / column / version tombstone tables (None for an absent kind)."""
+    tombs = tombs.select("row", "family", "qualifier", "ts", "op")
     fam = col = ver = None
-    if DELETE_FAMILY in per_kind:
+    if DELETE_FAMILY in kinds:
         fam = tombs.where(F.col("op") == F.lit(DELETE_FAMILY)).groupBy(*KEY_F).agg(F.max("ts").alias("_fam_del"))
-    if DELETE_COLUMN in per_kind:
+    if DELETE_COLUMN in kinds:
         col = tombs.where(F.col("op") == F.lit(DELETE_COLUMN)).groupBy(*KEY_Q).agg(F.max("ts").alias("_col_del"))
-    if DELETE_VERSION in per_kind:
+    if DELETE_VERSION in kinds:
         ver = tombs.where(F.col("op") == F.lit(DELETE_VERSION)).select(*KEY_Q, "ts").distinct()
-    return fam, col, ver, n, nbytes
+    return fam, col, ver
 
 
 def in_ts_range(puts: DataFrame, ts_range=None) -> DataFrame:
@@ -76,12 +80,16 @@ def in_ts_range(puts: DataFrame, ts_range=None) -> DataFrame:
     return puts
 
 
-def apply_tombstones(cells: DataFrame, ts_range=None, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Puts that no tombstone hides (all versions, duplicates not merged)."""
+def apply_tombstones(cells: DataFrame, ts_range=None, broadcast_bytes: int = BROADCAST_BYTES,
+                     known: tuple[DataFrame, set, int] | None = None) -> DataFrame:
+    """Puts that no tombstone hides (all versions, duplicates not merged).
+    ``known`` is what a manifest tells: where the tombstones are, their kinds
+    and bytes; then no job runs here."""
     puts = in_ts_range(cells.where(F.col("op") == F.lit(PUT)), ts_range)
-    fam, col, ver, n, nbytes = tombstone_summary(cells)
-    if n == 0:
+    tombs, kinds, nbytes = known if known is not None else (cells, *measure_tombstones(cells))
+    if not kinds:
         return puts
+    fam, col, ver = tombstone_tables(tombs, kinds)
     side = F.broadcast if nbytes <= broadcast_bytes else (lambda d: d)
     out = puts
     if fam is not None:
@@ -117,9 +125,9 @@ def newest_versions(puts: DataFrame, versions: int | None = 1) -> DataFrame:
 
 
 def visible_cells(cells: DataFrame, versions: int | None = 1, ts_range=None, keep_meta: bool = False,
-                  broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+                  broadcast_bytes: int = BROADCAST_BYTES, known=None) -> DataFrame:
     """Visible cells ``row, family, qualifier, ts, value`` of a cell log."""
-    out = newest_versions(apply_tombstones(cells, ts_range, broadcast_bytes), versions)
+    out = newest_versions(apply_tombstones(cells, ts_range, broadcast_bytes, known), versions)
     if keep_meta:
         return out
     return out.select("row", "family", "qualifier", "ts", "value")
@@ -131,8 +139,7 @@ def latest_value(cells: DataFrame) -> DataFrame:
     order = [F.col("ts")]
     if "load_id" in cells.columns:
         order.append(F.col("load_id"))
-    if "seq" in cells.columns:
-        order.append(F.col("seq"))
+    order += [F.col(c) for c in ("seq", "pos") if c in cells.columns]
     best = F.max_by(F.struct("ts", "value"), F.struct(*order))
     return (
         cells.where(F.col("op") == F.lit(PUT))
@@ -142,9 +149,12 @@ def latest_value(cells: DataFrame) -> DataFrame:
     )
 
 
-def collapse_identical(cells: DataFrame) -> DataFrame:
-    """Cells with the same full key collapse to one; the latest arrival
-    (largest ``seq``) supplies the value.  One aggregate over the whole input,
-    independent of any buffer size."""
+def collapse_identical(cells: DataFrame, arrival=("seq",)) -> DataFrame:
+    """Cells with the same full key collapse to one; the latest arrival --
+    the largest ``arrival`` columns, compared in order -- supplies the value.
+    One aggregate over the whole input, combined in the map tasks first."""
     keys = ["row", "family", "qualifier", "ts", "op"]
-    return cells.groupBy(*keys).agg(F.max_by("value", "seq").alias("value"), F.max("seq").alias("seq"))
+    kept = [c for c in arrival if c not in ("value", *keys)]
+    order = F.struct(*arrival)
+    last = cells.groupBy(*keys).agg(F.max_by(F.struct("value", *kept), order).alias("_last"))
+    return last.select(*keys, "_last.*")

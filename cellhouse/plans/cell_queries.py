@@ -5,11 +5,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.bytes import epoch_millis, from_bytes, padded_key
+from ..functions.bytes import epoch_millis, from_bytes, padded_key, text_key
 from ..model import DELETE_FAMILY, DELETE_VERSION, PUT
 from ..operators.aggregate import cell_presence_count, table_row_count, wide_rows
 from ..operators.load import bulk_load, bulk_load_thin_rows, publish_staged, stage
-from ..operators.lookup import bulk_get, bulk_get_cells, bulk_get_exists, bulk_get_missing
+from ..operators.lookup import bulk_get, bulk_get_cells, bulk_get_exists, bulk_get_missing, bulk_get_rows
 from ..operators.maintain import compact, live_groups
 from ..operators.mutate import apply_mutations, bulk_delete, bulk_put
 from ..operators.sort import file_order_violations, ordered_rank
@@ -17,18 +17,15 @@ from ..operators.visibility import collapse_identical
 from ..session import new_path
 from ..sources.table import read_table
 from ..sources.text import write_lines
-from .fixtures import (EVENT_FAMILIES, EVENT_SPLITS, MISS_SHIFT, ORDER_FAMILIES, ORDER_SPLITS,
+from .fixtures import (EVENT_FAMILIES, EVENT_SPLITS, MISS_SHIFT, ORDER_FAMILIES, SQL_CUSTOMER_CELLS,
                        SQL_EVENT_CELLS, SQL_ORDER_CELLS, T_DEL, T_FUTURE, cents, customer_cells, decoded,
-                       event_cells, key8, new_table, order_cells, sql_key8, sql_region, tbl, thin_line_cells,
-                       thin_line_row)
+                       event_cells, key_splits, new_table, order_cells, sql_key, sql_order_region, tbl,
+                       thin_line_cells, thin_line_row)
 from .registry import register
 from .text_queries import SQL_KV_CELLS, cell_line, kv_cells
 
-ORDER_STARTS_SQL = [""] + ORDER_SPLITS
-
-
 def order_table(spark, d, name="orders", loads=1):
-    t = new_table(spark, name, ORDER_FAMILIES, ORDER_SPLITS)
+    t = new_table(spark, name, ORDER_FAMILIES, key_splits(spark, d))
     cells = order_cells(tbl(spark, d, "orders"))
     if loads == 1:
         bulk_load(t, cells)
@@ -45,7 +42,7 @@ def event_table(spark, d, name="events"):
 
 
 def customer_table(spark, d):
-    t = new_table(spark, "customers", ["info"], ORDER_SPLITS)
+    t = new_table(spark, "customers", ["info"], key_splits(spark, d, "customer", "c_custkey"))
     bulk_load(t, customer_cells(tbl(spark, d, "customer")))
     return t
 
@@ -64,7 +61,7 @@ SELECT row, family, qualifier, ts, value FROM (
 # --- loads and scans ----------------------------------------------------------------
 @register("bulk_load_scan", SQL_SCAN_ORDERS)
 def q_bulk_load_scan(spark, d):
-    t = new_table(spark, "bulkload", ORDER_FAMILIES, ORDER_SPLITS)
+    t = new_table(spark, "bulkload", ORDER_FAMILIES, key_splits(spark, d))
     bulk_load(t, order_cells(tbl(spark, d, "orders")), staging=new_path(spark, "staging"))
     return decoded(read_table(t))
 
@@ -95,9 +92,12 @@ def q_n_versions(spark, d):
     return decoded(read_table(event_table(spark, d), versions=3))
 
 
-@register("scan_range", SQL_SCAN_ORDERS + " WHERE row >= '00003000' AND row < '00009000'")
+RANGE = (f"{3000:019d}", f"{9000:019d}")
+
+
+@register("scan_range", SQL_SCAN_ORDERS + f" WHERE row >= '{RANGE[0]}' AND row < '{RANGE[1]}'")
 def q_scan_range(spark, d):
-    return decoded(read_table(order_table(spark, d), start_row="00003000", stop_row="00009000"))
+    return decoded(read_table(order_table(spark, d), start_row=RANGE[0], stop_row=RANGE[1]))
 
 
 @register("scan_columns", SQL_SCAN_ORDERS + """
@@ -119,7 +119,7 @@ def q_scan_ordered_rank(spark, d):
 
 
 @register("bulk_load_thin_rows", f"""
-WITH l AS (SELECT {sql_key8('l_orderkey')} AS row,
+WITH l AS (SELECT {sql_key('l_orderkey')} AS row,
        CAST(l_linenumber AS VARCHAR) || ':' || CAST(l_partkey AS VARCHAR) || ':' || CAST(l_suppkey AS VARCHAR) || ':' ||
        strftime(l_shipdate, '%Y%m%d') || ':' || CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS q,
        l_extendedprice, l_quantity FROM lineitem)
@@ -128,7 +128,7 @@ UNION ALL
 SELECT row, 'line', q || ':q', CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) FROM l
 """)
 def q_bulk_load_thin_rows(spark, d):
-    t = new_table(spark, "thin", ["line"], ORDER_SPLITS)
+    t = new_table(spark, "thin", ["line"], key_splits(spark, d))
     # the raw line is the element; its cells are built after the exchange
     bulk_load_thin_rows(t, tbl(spark, d, "lineitem"), thin_line_row(), thin_line_cells(), ts=0)
     return decoded(read_table(t), with_ts=False)
@@ -138,7 +138,7 @@ def q_bulk_load_thin_rows(spark, d):
 SELECT t[1] AS row, t[2] AS family, t[3] AS qualifier, t[4] AS value FROM (
   SELECT CASE WHEN line = '' THEN [''] WHEN rtrim(line, ' ') = '' THEN []::VARCHAR[]
          ELSE string_split(rtrim(line, ' '), ' ') END AS t
-  FROM (SELECT {sql_key8('o_orderkey')} || ' status o_orderpriority ' || o_orderpriority AS line FROM orders))
+  FROM (SELECT {sql_key('o_orderkey')} || ' status o_orderpriority ' || o_orderpriority AS line FROM orders))
 WHERE len(t) = 4
 """)
 def q_load_text_job(spark, d):
@@ -146,12 +146,12 @@ def q_load_text_job(spark, d):
 
     src = write_lines(tbl(spark, d, "orders").select(cell_line().alias("line")), new_path(spark, "job-input"))
     t = load_text_job(spark, new_path(spark, "job-table"), input_path=src, families=["status"],
-                      split_keys=ORDER_SPLITS, ts=0)
+                      split_keys=key_splits(spark, d), ts=0)
     return decoded(read_table(t), with_ts=False)
 
 
 @register("region_sorted", f"""
-SELECT family, {sql_region('row', ORDER_STARTS_SQL)} AS region, count(*) AS n_cells, CAST(0 AS BIGINT) AS n_unsorted
+SELECT family, {sql_order_region('CAST(row AS BIGINT)')} AS region, count(*) AS n_cells, CAST(0 AS BIGINT) AS n_unsorted
 FROM ({SQL_ORDER_CELLS}) GROUP BY 1, 2
 """)
 def q_region_sorted(spark, d):
@@ -159,7 +159,7 @@ def q_region_sorted(spark, d):
 
 
 @register("load_manifest", f"""
-SELECT family, {sql_region('row', ORDER_STARTS_SQL)} AS region, count(*) AS n_cells, min(row) AS min_row,
+SELECT family, {sql_order_region('CAST(row AS BIGINT)')} AS region, count(*) AS n_cells, min(row) AS min_row,
        max(row) AS max_row, min(ts) AS min_ts, max(ts) AS max_ts
 FROM ({SQL_ORDER_CELLS}) GROUP BY 1, 2
 """)
@@ -171,7 +171,7 @@ def q_load_manifest(spark, d):
 
 @register("file_rolling", SQL_SCAN_ORDERS)
 def q_file_rolling(spark, d):
-    t = new_table(spark, "rolling", ORDER_FAMILIES, ORDER_SPLITS)
+    t = new_table(spark, "rolling", ORDER_FAMILIES, key_splits(spark, d))
     # small byte target -> several files per (family, region)
     bulk_load(t, order_cells(tbl(spark, d, "orders")), file_bytes=64 * 1024)
     return decoded(read_table(t))
@@ -300,7 +300,7 @@ def q_table_row_count(spark, d):
     o = tbl(spark, d, "orders")
     bulk_delete(t, o.where(F.col("o_orderkey") % 4 == 0).select(padded_key("o_orderkey").alias("row")),
                 scope="row", ts=T_FUTURE)
-    return table_row_count(read_table(t))
+    return table_row_count(t)
 
 
 @register("cell_presence_count", """
@@ -309,7 +309,7 @@ UNION ALL SELECT 'price', 'o_totalprice', count(*) FROM orders WHERE o_orderkey
 UNION ALL SELECT 'date', 'o_orderdate', count(*) FROM orders WHERE o_orderkey % 4 = 1
 """)
 def q_cell_presence_count(spark, d):
-    t = new_table(spark, "presence", ORDER_FAMILIES, ORDER_SPLITS)
+    t = new_table(spark, "presence", ORDER_FAMILIES, key_splits(spark, d))
     c = order_cells(tbl(spark, d, "orders"))
     keep = (F.col("family") == "status") | ((F.col("family") == "price") & (F.col("seq") % 3 != 0)) | (
         (F.col("family") == "date") & (F.col("seq") % 4 == 1))
@@ -319,7 +319,7 @@ def q_cell_presence_count(spark, d):
 
 
 @register("wide_rows", f"""
-SELECT {sql_key8('c_custkey')} AS row, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+SELECT {sql_key('c_custkey')} AS row, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
        printf('%.2f', c_acctbal) AS c_acctbal, c_mktsegment FROM customer
 """)
 def q_wide_rows(spark, d):
@@ -328,21 +328,16 @@ def q_wide_rows(spark, d):
     return w.select(from_bytes("row").alias("row"), *[from_bytes(q).alias(q) for _, _, q in cols])
 
 
-# arrival order of a line: unique per (order, line number) at every scale
-SQL_LINE_SEQ = ("((l_partkey * 100000 + l_suppkey) * 100 + CAST(l_quantity AS BIGINT)) * 100000"
-                " + epoch_us(l_shipdate) // 86400000000")
-
-
-def line_seq():
-    return ((F.col("l_partkey") * F.lit(100000) + F.col("l_suppkey")) * F.lit(100)
-            + F.col("l_quantity").cast("bigint")) * F.lit(100000) + F.unix_date(F.to_date("l_shipdate"))
+ARRIVAL = ["l_partkey", "l_suppkey", "quantity", "shipped"]
 
 
 @register("collapse_identical", f"""
-SELECT {sql_key8('l_orderkey')} AS row, CAST(l_linenumber AS VARCHAR) AS qualifier,
-       arg_max(printf('%.2f', l_extendedprice), {SQL_LINE_SEQ}) AS value,
-       max({SQL_LINE_SEQ}) AS seq, count(*) AS n_collapsed
-FROM lineitem GROUP BY 1, 2
+WITH l AS (SELECT {sql_key('l_orderkey')} AS row, CAST(l_linenumber AS VARCHAR) AS qualifier,
+                  printf('%.2f', l_extendedprice) AS value, l_partkey, l_suppkey,
+                  CAST(l_quantity AS BIGINT) AS quantity, strftime(l_shipdate, '%Y-%m-%d') AS shipped FROM lineitem)
+SELECT * FROM (SELECT *, count(*) OVER (PARTITION BY row, qualifier) AS n_collapsed FROM l
+               QUALIFY row_number() OVER (PARTITION BY row, qualifier
+                 ORDER BY l_partkey DESC, l_suppkey DESC, quantity DESC, shipped DESC, value DESC) = 1)
 """)
 def q_collapse_identical(spark, d):
     l = tbl(spark, d, "lineitem")
@@ -350,29 +345,50 @@ def q_collapse_identical(spark, d):
                      F.encode(F.col("l_linenumber").cast("string"), "UTF-8").alias("qualifier"),
                      F.lit(0).cast("bigint").alias("ts"), F.lit(PUT).cast("tinyint").alias("op"),
                      F.encode(F.format_string("%.2f", "l_extendedprice"), "UTF-8").alias("value"),
-                     line_seq().cast("bigint").alias("seq"))
+                     "l_partkey", "l_suppkey", F.col("l_quantity").cast("bigint").alias("quantity"),
+                     F.date_format("l_shipdate", "yyyy-MM-dd").alias("shipped"))
     n = cells.groupBy("row", "qualifier").agg(F.count(F.lit(1)).alias("n_collapsed"))
-    c = collapse_identical(cells).join(n, ["row", "qualifier"])
+    c = collapse_identical(cells, arrival=[*ARRIVAL, "value"]).join(n, ["row", "qualifier"])
     return c.select(from_bytes("row").alias("row"), from_bytes("qualifier").alias("qualifier"),
-                    from_bytes("value").alias("value"), "seq", "n_collapsed")
+                    from_bytes("value").alias("value"), *ARRIVAL, "n_collapsed")
+
+
+@register("collapse_on_load", f"""
+SELECT {sql_key('l_orderkey')} AS row, CAST(l_linenumber AS VARCHAR) AS qualifier,
+       arg_max(printf('%.2f', l_extendedprice), l_suppkey * 100 + CAST(l_quantity AS BIGINT)) AS value
+FROM (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+      ORDER BY l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_shipdate DESC, l_extendedprice DESC) = 1)
+GROUP BY l_orderkey, l_linenumber
+""")
+def q_collapse_on_load(spark, d):
+    """A7 as part of a load: the files hold one cell per full key."""
+    t = new_table(spark, "collapsed", ["line"], key_splits(spark, d))
+    l = tbl(spark, d, "lineitem")
+    cells = l.select(padded_key("l_orderkey").alias("row"), F.lit("line").alias("family"),
+                     F.col("l_linenumber").cast("string").alias("qualifier"),
+                     F.lit(0).cast("bigint").alias("ts"), F.format_string("%.2f", "l_extendedprice").alias("value"),
+                     "l_partkey", "l_suppkey", "l_quantity", "l_shipdate", "l_extendedprice")
+    bulk_load(t, cells, collapse=["l_partkey", "l_suppkey", "l_quantity", "l_shipdate", "l_extendedprice"])
+    return t.stored().select(from_bytes("row").alias("row"), from_bytes("qualifier").alias("qualifier"),
+                             from_bytes("value").alias("value"))
 
 
 # --- lookups ----------------------------------------------------------------------------
 def _requests(spark, d):
     o = tbl(spark, d, "orders")
     k = F.when(F.col("o_orderkey") % 13 == 0, F.col("o_custkey") + F.lit(MISS_SHIFT)).otherwise(F.col("o_custkey"))
-    return o.select("o_orderkey", F.encode(key8(k), "UTF-8").alias("row"))
+    return o.select("o_orderkey", F.encode(text_key(k), "UTF-8").alias("row"))
 
 
 SQL_REQ = f"""
-  SELECT o_orderkey, {sql_key8(f'CASE WHEN o_orderkey % 13 = 0 THEN o_custkey + {MISS_SHIFT} ELSE o_custkey END')}
+  SELECT o_orderkey, {sql_key(f'CASE WHEN o_orderkey % 13 = 0 THEN o_custkey + {MISS_SHIFT} ELSE o_custkey END')}
          AS row FROM orders
 """
 
 
 @register("bulk_get", f"""
 SELECT r.o_orderkey, r.row, c.c_name, printf('%.2f', c.c_acctbal) AS c_acctbal, c.c_custkey IS NOT NULL AS found
-FROM ({SQL_REQ}) r LEFT JOIN customer c ON {sql_key8('c.c_custkey')} = r.row
+FROM ({SQL_REQ}) r LEFT JOIN customer c ON {sql_key('c.c_custkey')} = r.row
 """)
 def q_bulk_get(spark, d):
     t = customer_table(spark, d)
@@ -381,8 +397,45 @@ def q_bulk_get(spark, d):
                     from_bytes("c_acctbal").alias("c_acctbal"), "found")
 
 
+@register("bulk_get_pairs", f"""
+SELECT o_orderkey, o_orderstatus AS status, CASE WHEN o_orderkey % 2 = 0 THEN printf('%.2f', o_totalprice) END AS price,
+       true AS found FROM orders WHERE o_orderkey % 3 <> 0
+UNION ALL SELECT o_orderkey, NULL, NULL, false FROM orders WHERE o_orderkey % 3 = 0
+""")
+def q_bulk_get_pairs(spark, d):
+    """Named pairs of two families; the other family-qualifier combinations
+    are there as decoys, alone in every third row."""
+    t = new_table(spark, "pairs", ["price", "status"], key_splits(spark, d))
+    o = tbl(spark, d, "orders")
+    c = lambda f, q, v: F.struct(F.lit(f).alias("family"), F.lit(q).alias("qualifier"), v.alias("value"))
+    price = F.format_string("%.2f", "o_totalprice")
+    cells = F.array(F.when(F.col("o_orderkey") % 3 != 0, c("status", "s", F.col("o_orderstatus"))),
+                    F.when((F.col("o_orderkey") % 3 != 0) & (F.col("o_orderkey") % 2 == 0), c("price", "p", price)),
+                    c("status", "p", F.lit("decoy")), c("price", "s", F.lit("decoy")))
+    one = o.select(padded_key("o_orderkey").alias("row"), F.explode(cells).alias("c")).where("c is not null")
+    bulk_load(t, one.select("row", "c.*"), ts=1)
+    req = o.select("o_orderkey", padded_key("o_orderkey").alias("row"))
+    g = bulk_get(req, t, [("status", "s", "status"), ("price", "p", "price")])
+    return g.select("o_orderkey", from_bytes("status").alias("status"), from_bytes("price").alias("price"), "found")
+
+
+@register("bulk_get_rows", f"""
+WITH c AS (SELECT row, count(*) AS n, string_agg(qualifier || '=' || value, '|' ORDER BY qualifier) AS cells
+           FROM ({SQL_CUSTOMER_CELLS}) GROUP BY row)
+SELECT r.o_orderkey, r.row, coalesce(c.n, 0) AS n_cells, coalesce(c.cells, '') AS cells
+FROM ({SQL_REQ}) r LEFT JOIN c ON c.row = r.row
+""")
+def q_bulk_get_rows(spark, d):
+    """One row per request with all its cells; an absent row has none."""
+    g = bulk_get_rows(_requests(spark, d), customer_table(spark, d))
+    text = F.transform("cells", lambda c: F.concat(F.decode(c["qualifier"], "UTF-8"), F.lit("="),
+                                                   F.decode(c["value"], "UTF-8")))
+    return g.select("o_orderkey", from_bytes("row").alias("row"), F.size("cells").cast("bigint").alias("n_cells"),
+                    F.array_join(text, "|").alias("cells"))
+
+
 @register("bulk_get_exists", f"""
-SELECT r.o_orderkey, r.row FROM ({SQL_REQ}) r WHERE r.row IN (SELECT {sql_key8('c_custkey')} FROM customer)
+SELECT r.o_orderkey, r.row FROM ({SQL_REQ}) r WHERE r.row IN (SELECT {sql_key('c_custkey')} FROM customer)
 """)
 def q_bulk_get_exists(spark, d):
     g = bulk_get_exists(_requests(spark, d), customer_table(spark, d))
@@ -390,7 +443,7 @@ def q_bulk_get_exists(spark, d):
 
 
 @register("bulk_get_missing", f"""
-SELECT r.o_orderkey, r.row FROM ({SQL_REQ}) r WHERE r.row NOT IN (SELECT {sql_key8('c_custkey')} FROM customer)
+SELECT r.o_orderkey, r.row FROM ({SQL_REQ}) r WHERE r.row NOT IN (SELECT {sql_key('c_custkey')} FROM customer)
 """)
 def q_bulk_get_missing(spark, d):
     g = bulk_get_missing(_requests(spark, d), customer_table(spark, d))
@@ -399,7 +452,7 @@ def q_bulk_get_missing(spark, d):
 
 @register("bulk_get_columns", f"""
 SELECT r.o_orderkey, r.row, c.c_mktsegment FROM ({SQL_REQ}) r
-LEFT JOIN customer c ON {sql_key8('c.c_custkey')} = r.row
+LEFT JOIN customer c ON {sql_key('c.c_custkey')} = r.row
 """)
 def q_bulk_get_columns(spark, d):
     g = bulk_get(_requests(spark, d), customer_table(spark, d), [("info", "c_mktsegment", "c_mktsegment")])
@@ -448,13 +501,13 @@ def q_windowed_groups(spark, d):
 
 # --- publish and maintenance --------------------------------------------------------
 @register("publish_visibility", """
-SELECT 'staged' AS phase, count(*) AS n_cells FROM orders
-UNION ALL SELECT 'published', 2 * count(*) FROM orders
+SELECT 'staged' AS phase, 2 * count(*) AS n_cells FROM orders
+UNION ALL SELECT 'published', 3 * count(*) FROM orders
 """)
 def q_publish_visibility(spark, d):
-    t = new_table(spark, "publish", ORDER_FAMILIES, ORDER_SPLITS)
+    t = new_table(spark, "publish", ORDER_FAMILIES, key_splits(spark, d))
     cells = order_cells(tbl(spark, d, "orders"))
-    bulk_load(t, cells.where(F.col("family") == "status"))
+    bulk_load(t, cells.where(F.col("family").isin("status", "date")))
     staged = stage(t, cells.where(F.col("family") == "price"), new_path(spark, "staging"))
     n_staged = read_table(t).count()
     publish_staged(t, staged)
@@ -477,15 +530,34 @@ def q_compaction_equivalence(spark, d):
 
 @register("compaction_respects_flag", """
 SELECT 'load' AS kind, true AS exclude_from_minor, count(*) AS n_cells FROM orders
-UNION ALL SELECT 'minor', false, count(*) FROM orders
+UNION ALL SELECT 'minor', false, 2 * count(*) FROM orders
 """)
 def q_compaction_respects_flag(spark, d):
-    t = new_table(spark, "flag", ORDER_FAMILIES, ORDER_SPLITS)
+    t = new_table(spark, "flag", ORDER_FAMILIES, key_splits(spark, d))
     cells = order_cells(tbl(spark, d, "orders"))
     bulk_load(t, cells.where(F.col("family") == "status"), exclude_from_minor=True)
     bulk_load(t, cells.where((F.col("family") == "status") & F.lit(False)))  # an empty load
     for i in range(2):
-        bulk_load(t, cells.where((F.col("family") == "price") & (F.col("seq") % 2 == i)))
+        bulk_load(t, cells.where(F.col("family").isin("price", "date") & (F.col("seq") % 2 == i)))
     compact(t, max_files=1)
     return live_groups(t).groupBy("kind", "exclude_from_minor").agg(F.sum("n_cells").cast("bigint").alias("n_cells"))
 
+
+@register("manifest_after_major", f"""
+SELECT family, {sql_order_region('o_orderkey')} AS region, count(*) AS n_cells, true AS merged
+FROM ({SQL_ORDER_CELLS}) WHERE {sql_order_region('o_orderkey')} <> 3 GROUP BY 1, 2
+UNION ALL SELECT f, 3, 0, true FROM (SELECT unnest(['date', 'price', 'status']) AS f)
+""")
+def q_manifest_after_major(spark, d):
+    """One region emptied by row deletes: after a major compaction its groups
+    are live with no cell, and nothing is left to merge."""
+    t = order_table(spark, d, "emptied", loads=2)
+    o = tbl(spark, d, "orders").select(padded_key("o_orderkey").alias("row"))
+    _, lo, hi = t.region_ranges()[3]
+    gone = o.where((F.col("row") >= F.lit(bytearray(lo))) & (F.col("row") < F.lit(bytearray(hi))))
+    bulk_delete(t, gone, scope="row", ts=T_FUTURE)
+    compact(t, major=True)
+    again = compact(t, max_files=1)
+    return live_groups(t).groupBy("family", "region").agg(F.sum("n_cells").cast("bigint").alias("n_cells")).withColumn(
+        "merged", F.lit(again is None))
+

@@ -6,17 +6,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.bytes import epoch_millis, padded_key
+from ..functions.bytes import KEY_DIGITS, epoch_millis, padded_key
 from ..session import new_path
 from ..sources.table import create_table
 
 # --- fixed values -----------------------------------------------------------
-# Region split keys of the tables built from orders / customer keys
-# (8-digit zero-padded keys) and from events (user id as text).
-ORDER_SPLITS = ["00002000", "00004000", "00006000", "00008000", "00010000", "00012000", "00014000"]
+# Region split keys of the tables built from events (user id as text).
 EVENT_SPLITS = ["2", "5", "8"]
 # Start keys without the empty key, to exercise the "below the first start" case.
-PROBE_STARTS = ["00001000", "00003000", "00005000", "00009000", "00013000"]
+PROBE_STARTS = [f"{k:019d}" for k in (1000, 3000, 5000, 9000, 13000)]
+# Regions of the tables built from order or customer keys.
+N_REGIONS = 8
 ORDER_FAMILIES = ["date", "price", "status"]
 EVENT_FAMILIES = ["click", "error", "purchase", "signup", "view"]
 # Time of the tombstones written over the events table: 2024-01-15 00:00 UTC.
@@ -32,8 +32,12 @@ def tbl(spark: SparkSession, d: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{d}/{name}.parquet")
 
 
-def key8(c) -> F.Column:
-    return F.lpad(F.col(c).cast("string") if isinstance(c, str) else c.cast("string"), 8, "0")
+def key_splits(spark: SparkSession, d: str, name: str = "orders", key: str = "o_orderkey") -> list[str]:
+    """Split keys that cut the key range of a table into ``N_REGIONS`` even
+    parts, whatever its scale (one aggregate over the key column)."""
+    top = tbl(spark, d, name).agg(F.max(key)).first()[0]
+    n = 0 if top is None else top + 1
+    return [f"{i * n // N_REGIONS:0{KEY_DIGITS}d}" for i in range(1, N_REGIONS)] if n >= N_REGIONS else []
 
 
 def cents(c) -> F.Column:
@@ -41,7 +45,7 @@ def cents(c) -> F.Column:
 
 
 def order_cells(o: DataFrame) -> DataFrame:
-    """orders -> cells: row = 8-digit key; families status / price / date."""
+    """orders -> cells: row = text key; families status / price / date."""
     cells = F.array(
         F.struct(F.lit("status").alias("family"), F.lit("o_orderstatus").alias("qualifier"),
                  F.col("o_orderstatus").alias("value")),
@@ -59,7 +63,7 @@ def order_cells(o: DataFrame) -> DataFrame:
 
 
 def customer_cells(c: DataFrame) -> DataFrame:
-    """customer -> cells: row = 8-digit key; family info; ts 0."""
+    """customer -> cells: row = text key; family info; ts 0."""
     cells = F.array(
         F.struct(F.lit("c_name").alias("qualifier"), F.col("c_name").alias("value")),
         F.struct(F.lit("c_nationkey").alias("qualifier"), F.col("c_nationkey").cast("string").alias("value")),
@@ -86,7 +90,7 @@ def event_cells(e: DataFrame, value=None) -> DataFrame:
 
 
 def thin_line_row() -> F.Column:
-    """Row key of a lineitem thin-row element: the 8-digit order key."""
+    """Row key of a lineitem thin-row element: the order key as text."""
     return padded_key("l_orderkey")
 
 
@@ -116,26 +120,26 @@ def decoded(df: DataFrame, with_ts: bool = True) -> DataFrame:
 
 
 # --- DuckDB text of the same mappings ---------------------------------------
-def sql_key8(e: str) -> str:
-    return f"lpad(CAST({e} AS VARCHAR), 8, '0')"
+def sql_key(e: str) -> str:
+    return f"lpad(CAST({e} AS VARCHAR), {KEY_DIGITS}, '0')"
 
 
 SQL_ORDER_CELLS = f"""
-  SELECT {sql_key8('o_orderkey')} AS row, 'status' AS family, 'o_orderstatus' AS qualifier,
+  SELECT {sql_key('o_orderkey')} AS row, 'status' AS family, 'o_orderstatus' AS qualifier,
          epoch_us(o_orderdate) // 1000 AS ts, o_orderstatus AS value, o_orderkey FROM orders
   UNION ALL
-  SELECT {sql_key8('o_orderkey')}, 'price', 'o_totalprice', epoch_us(o_orderdate) // 1000,
+  SELECT {sql_key('o_orderkey')}, 'price', 'o_totalprice', epoch_us(o_orderdate) // 1000,
          printf('%.2f', o_totalprice), o_orderkey FROM orders
   UNION ALL
-  SELECT {sql_key8('o_orderkey')}, 'date', 'o_orderdate', epoch_us(o_orderdate) // 1000,
+  SELECT {sql_key('o_orderkey')}, 'date', 'o_orderdate', epoch_us(o_orderdate) // 1000,
          strftime(o_orderdate, '%Y-%m-%d'), o_orderkey FROM orders
 """
 
 SQL_CUSTOMER_CELLS = f"""
-  SELECT {sql_key8('c_custkey')} AS row, 'info' AS family, 'c_name' AS qualifier, c_name AS value FROM customer
-  UNION ALL SELECT {sql_key8('c_custkey')}, 'info', 'c_nationkey', CAST(c_nationkey AS VARCHAR) FROM customer
-  UNION ALL SELECT {sql_key8('c_custkey')}, 'info', 'c_acctbal', printf('%.2f', c_acctbal) FROM customer
-  UNION ALL SELECT {sql_key8('c_custkey')}, 'info', 'c_mktsegment', c_mktsegment FROM customer
+  SELECT {sql_key('c_custkey')} AS row, 'info' AS family, 'c_name' AS qualifier, c_name AS value FROM customer
+  UNION ALL SELECT {sql_key('c_custkey')}, 'info', 'c_nationkey', CAST(c_nationkey AS VARCHAR) FROM customer
+  UNION ALL SELECT {sql_key('c_custkey')}, 'info', 'c_acctbal', printf('%.2f', c_acctbal) FROM customer
+  UNION ALL SELECT {sql_key('c_custkey')}, 'info', 'c_mktsegment', c_mktsegment FROM customer
 """
 
 SQL_EVENT_CELLS = """
@@ -149,6 +153,12 @@ def sql_region(key_expr: str, starts) -> str:
     return f"CAST(len(list_filter([{lst}], lambda x: x <= {key_expr})) - 1 AS INTEGER)"
 
 
+def sql_order_region(key: str) -> str:
+    """Region of an order key (a number) under ``key_splits`` of orders."""
+    cuts = [f"{i} * (SELECT max(o_orderkey) + 1 FROM orders) // {N_REGIONS}" for i in range(1, N_REGIONS)]
+    return "CAST(" + " + ".join(f"CAST({key} >= {c} AS INTEGER)" for c in cuts) + " AS INTEGER)"
+
+
 def sql_java_split(line: str) -> str:
     return (f"(CASE WHEN {line} = '' THEN [''] WHEN rtrim({line}, ' ') = '' THEN []::VARCHAR[] "
             f"ELSE string_split(rtrim({line}, ' '), ' ') END)")

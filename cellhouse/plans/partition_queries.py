@@ -9,13 +9,13 @@ from pyspark.sql import types as T
 
 from ..functions.bytes import int_key, padded_key
 from ..functions.regions import region_index, table_starts
-from ..operators.partitions import foreach_partition, map_partitions, map_partitions_unkeyed
+from ..operators.partitions import foreach_partition, group_values, map_partitions, map_partitions_unkeyed
 from ..session import new_path
-from .fixtures import ORDER_SPLITS, cents, sql_key8, sql_region, tbl
+from .fixtures import cents, key_splits, sql_key, sql_order_region, tbl
 from .registry import register
 
-STARTS = table_starts(ORDER_SPLITS)
-SQL_STARTS = [""] + ORDER_SPLITS
+def _region(spark, d):
+    return region_index(F.col("row"), table_starts(key_splits(spark, d)), presorted=True)
 
 
 def _lines(spark, d):
@@ -25,7 +25,7 @@ def _lines(spark, d):
 
 
 @register("group_by_key", f"""
-SELECT {sql_key8('l_orderkey')} AS row, count(*) AS n_lines,
+SELECT {sql_key('l_orderkey')} AS row, count(*) AS n_lines,
        CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS total_cents,
        min(l_linenumber) AS min_line, max(l_linenumber) AS max_line
 FROM lineitem GROUP BY 1
@@ -38,6 +38,23 @@ def q_group_by_key(spark, d):
     return g.select(F.decode("row", "UTF-8").alias("row"), "n_lines", "total_cents", "min_line", "max_line")
 
 
+VALUES = T.StructType([
+    T.StructField("l_linenumber", T.IntegerType()), T.StructField("l_partkey", T.LongType()),
+    T.StructField("l_suppkey", T.LongType()), T.StructField("cents", T.LongType()),
+])
+
+
+@register("group_values", f"""
+SELECT {sql_key('l_orderkey')} AS key, row_number() OVER (PARTITION BY l_orderkey
+         ORDER BY l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT)) - 1 AS "index",
+       l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem
+""")
+def q_group_values(spark, d):
+    # A1: each key with its values in order, streamed; no list of a group exists
+    out = group_values(_lines(spark, d), "row", VALUES, order_by=("l_linenumber", "l_partkey", "l_suppkey", "cents"))
+    return out.select(F.decode("key", "UTF-8").alias("key"), "index", *[f.name for f in VALUES.fields])
+
+
 # --- U2: keyed map with a per-group Python function -------------------------
 RUNNING = T.StructType([
     T.StructField("l_linenumber", T.IntegerType()), T.StructField("l_partkey", T.LongType()),
@@ -60,7 +77,7 @@ def running_total(conf, key, batches):
 
 
 @register("map_partitions", f"""
-SELECT {sql_key8('l_orderkey')} AS key,
+SELECT {sql_key('l_orderkey')} AS key,
        row_number() OVER w - 1 AS "index", l_linenumber, l_partkey, l_suppkey,
        CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
             AS BIGINT) AS running_cents
@@ -137,13 +154,13 @@ def region_final(conf, key, batches):
 SELECT right(lpad(hex(CAST(region AS BIGINT)), 16, '0'), 8) AS key_hex, count(*) AS n,
        CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS total_cents,
        min(row) AS min_row, max(row) AS max_row
-FROM (SELECT {sql_key8('l_orderkey')} AS row, {sql_region(sql_key8('l_orderkey'), SQL_STARTS)} AS region,
+FROM (SELECT {sql_key('l_orderkey')} AS row, {sql_order_region('l_orderkey')} AS region,
              l_extendedprice FROM lineitem)
 GROUP BY region
 """)
 def q_map_partitions_by_region(spark, d):
     rows = _lines(spark, d).select("row", "cents")
-    key = int_key(region_index(F.col("row"), STARTS, presorted=True))
+    key = int_key(_region(spark, d))
     out = map_partitions(rows, key, region_final, SUMMARY, partial=region_partial, partial_schema=PARTIAL)
     return out.select(F.hex("key").alias("key_hex"), "n", "total_cents", F.decode("min_row", "UTF-8").alias("min_row"),
                       F.decode("max_row", "UTF-8").alias("max_row"))
@@ -157,8 +174,8 @@ def write_summary(conf, key, batches):
 
     n, tot = 0, 0
     for b in batches:
-        n += b.num_rows
-        tot += pc.sum(b.column("cents")).as_py() or 0
+        n += pc.sum(b.column("n")).as_py()
+        tot += pc.sum(b.column("total_cents")).as_py()
     out = pa.table({"region": pa.array([key], pa.int64()), "n": [n], "total_cents": [tot]})
     fs, base = pafs.FileSystem.from_uri(conf["out"])
     fs.create_dir(base, recursive=True)
@@ -168,13 +185,14 @@ def write_summary(conf, key, batches):
 @register("foreach_partition", f"""
 SELECT CAST(region AS BIGINT) AS region, count(*) AS n,
        CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS total_cents
-FROM (SELECT {sql_region(sql_key8('l_orderkey'), SQL_STARTS)} AS region, l_extendedprice FROM lineitem)
+FROM (SELECT {sql_order_region('l_orderkey')} AS region, l_extendedprice FROM lineitem)
 GROUP BY region
 """)
 def q_foreach_partition(spark, d):
     out = new_path(spark, "foreach")
     uri = out if "://" in out or out.startswith("file:") else f"file://{out}"
     rows = _lines(spark, d).select("row", "cents")
-    key = region_index(F.col("row"), STARTS, presorted=True).cast("bigint")
-    foreach_partition(rows, key, write_summary, conf={"out": uri})
+    # regions are few and large: rows are folded inside each input partition first
+    foreach_partition(rows, _region(spark, d), write_summary, conf={"out": uri}, partial=region_partial,
+                      partial_schema=PARTIAL)
     return spark.read.parquet(uri)

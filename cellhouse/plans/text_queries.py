@@ -4,16 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.bytes import cell_size, from_bytes, int_key, to_bytes
-from ..functions.regions import region_index, table_starts
+from ..functions.bytes import cell_size, from_bytes, int_key, text_key, to_bytes
+from ..functions.regions import region_index
 from ..functions.text import (java_split, kv_format, multi_cells_row, parse_cells, parse_kv, parse_multi_cells,
                               split_lines)
 from ..operators.aggregate import count_per_element, count_rows
 from ..session import new_path
 from ..sources.generate import gen_lines
 from ..sources.text import read_lines, write_lines
-from .fixtures import (ORDER_SPLITS, PROBE_STARTS, SQL_LINES, SQL_ORDER_CELLS, key8, order_cells, sql_java_split,
-                       sql_key8, sql_region, tbl)
+from .fixtures import (KEY_DIGITS, N_REGIONS, PROBE_STARTS, SQL_LINES, SQL_ORDER_CELLS, key_splits, order_cells,
+                       sql_java_split, sql_key, sql_order_region, sql_region, tbl)
 from .registry import register
 
 
@@ -91,11 +91,11 @@ def q_count_rows(spark, d):
 # --- line parsers over lines built from orders ------------------------------
 def _kv_line():
     v = F.when(F.col("o_orderkey") % 7 == 0, F.col("o_orderpriority")).otherwise(F.col("o_orderstatus"))
-    return F.concat_ws(" ", key8("o_orderkey"), v)
+    return F.concat_ws(" ", text_key("o_orderkey"), v)
 
 
 SQL_KV_LINES = f"""
-  SELECT {sql_key8('o_orderkey')} || ' ' ||
+  SELECT {sql_key('o_orderkey')} || ' ' ||
          (CASE WHEN o_orderkey % 7 = 0 THEN o_orderpriority ELSE o_orderstatus END) AS line FROM orders
 """
 
@@ -121,11 +121,11 @@ def q_parse_kv(spark, d):
 
 
 def cell_line():
-    return F.concat_ws(" ", key8("o_orderkey"), F.lit("status"), F.lit("o_orderpriority"), F.col("o_orderpriority"))
+    return F.concat_ws(" ", text_key("o_orderkey"), F.lit("status"), F.lit("o_orderpriority"), F.col("o_orderpriority"))
 
 
 SQL_CELL_LINES = f"""
-  SELECT {sql_key8('o_orderkey')} || ' status o_orderpriority ' || o_orderpriority AS line FROM orders
+  SELECT {sql_key('o_orderkey')} || ' status o_orderpriority ' || o_orderpriority AS line FROM orders
 """
 SQL_PARSED_CELLS = f"""
   SELECT t[1] AS row, t[2] AS family, t[3] AS qualifier, CAST(0 AS BIGINT) AS ts, t[4] AS value
@@ -142,7 +142,7 @@ def q_parse_cells(spark, d):
 
 
 @register("parse_multi_cells", f"""
-WITH l AS (SELECT {sql_key8('o_orderkey')} || ' line qualifier0 ' || o_orderstatus || ' qualifier1 ' || o_orderpriority
+WITH l AS (SELECT {sql_key('o_orderkey')} || ' line qualifier0 ' || o_orderstatus || ' qualifier1 ' || o_orderpriority
                   AS line FROM orders),
 t AS (SELECT {sql_java_split('line')} AS t FROM l)
 SELECT t[1] AS row, CASE WHEN len(t) = 6 THEN 2 ELSE 0 END AS n_cells,
@@ -150,7 +150,7 @@ SELECT t[1] AS row, CASE WHEN len(t) = 6 THEN 2 ELSE 0 END AS n_cells,
 """)
 def q_parse_multi_cells(spark, d):
     o = tbl(spark, d, "orders")
-    line = F.concat_ws(" ", key8("o_orderkey"), F.lit("line"), F.lit("qualifier0"), "o_orderstatus",
+    line = F.concat_ws(" ", text_key("o_orderkey"), F.lit("line"), F.lit("qualifier0"), "o_orderstatus",
                        F.lit("qualifier1"), "o_orderpriority")
     x = o.select(multi_cells_row(line).alias("row"), parse_multi_cells(line, 2, F.lit(0)).alias("cells"))
     return x.select(
@@ -180,28 +180,22 @@ def q_gen_cells(spark, d):
 # --- regions ------------------------------------------------------------------
 @register("region_index", f"""
 SELECT region, count(*) AS n_rows, min(row) AS min_row, max(row) AS max_row FROM (
-  SELECT {sql_key8('o_orderkey')} AS row, {sql_region(sql_key8('o_orderkey'), PROBE_STARTS)} AS region FROM orders)
+  SELECT {sql_key('o_orderkey')} AS row, {sql_region(sql_key('o_orderkey'), PROBE_STARTS)} AS region FROM orders)
 GROUP BY region
 """)
 def q_region_index(spark, d):
-    o = tbl(spark, d, "orders").select(key8("o_orderkey").alias("row"))
+    o = tbl(spark, d, "orders").select(text_key("o_orderkey").alias("row"))
     r = o.withColumn("region", region_index(F.encode("row", "UTF-8"), PROBE_STARTS))
     return r.groupBy("region").agg(F.count(F.lit(1)).alias("n_rows"), F.min("row").alias("min_row"),
                                    F.max("row").alias("max_row"))
 
 
-def _ranges_sql():
-    starts = table_starts(ORDER_SPLITS)
-    vals = []
-    for i, s in enumerate(starts):
-        stop = f"'{starts[i + 1].decode()}'" if i + 1 < len(starts) else "NULL"
-        vals.append(f"({i}, '{s.decode()}', {stop})")
-    return ", ".join(vals)
-
-
 @register("region_ranges", f"""
-WITH r(region, start_key, stop_key) AS (VALUES {_ranges_sql()}),
-c AS (SELECT {sql_region(sql_key8('o_orderkey'), [''] + ORDER_SPLITS)} AS region, count(*) AS n FROM orders GROUP BY 1)
+WITH k AS (SELECT i AS region, lpad(CAST(i * (SELECT max(o_orderkey) + 1 FROM orders) // {N_REGIONS} AS VARCHAR),
+                                    {KEY_DIGITS}, '0') AS key FROM range({N_REGIONS}) t(i)),
+r AS (SELECT region, CASE WHEN region = 0 THEN '' ELSE key END AS start_key,
+             lead(key) OVER (ORDER BY region) AS stop_key FROM k),
+c AS (SELECT {sql_order_region('o_orderkey')} AS region, count(*) AS n FROM orders GROUP BY 1)
 SELECT CAST(r.region AS INTEGER) AS region, r.start_key, r.stop_key, COALESCE(c.n, 0) AS n_rows
 FROM r LEFT JOIN c ON r.region = c.region
 """)
@@ -210,12 +204,12 @@ def q_region_ranges(spark, d):
 
     # split keys handed over unsorted: the table sorts them (O2) without
     # touching the caller's list
-    t = new_table(spark, "ranges", ["status"], list(reversed(ORDER_SPLITS)))
+    t = new_table(spark, "ranges", ["status"], list(reversed(key_splits(spark, d))))
     ranges = spark.createDataFrame(
         [(i, s.decode(), None if e is None else e.decode()) for i, s, e in t.region_ranges()],
         "region int, start_key string, stop_key string",
     )
-    o = tbl(spark, d, "orders").select(region_index(F.encode(key8("o_orderkey"), "UTF-8"), t.starts,
+    o = tbl(spark, d, "orders").select(region_index(F.encode(text_key("o_orderkey"), "UTF-8"), t.starts,
                                                     presorted=True).alias("region"))
     counts = o.groupBy("region").agg(F.count(F.lit(1)).alias("n"))
     return ranges.join(counts, "region", "left").select(

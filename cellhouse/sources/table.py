@@ -21,9 +21,16 @@ from pyspark.sql import functions as F
 
 from .. import fs
 from ..functions.regions import as_bytes, region_bounds, regions_for_range, table_starts
-from ..model import CELL_COLUMNS, CELL_SCHEMA, DELETE_FAMILY, MANIFEST_SCHEMA, META_SCHEMA, PUT, STORED_SCHEMA
+from ..model import (CELL_COLUMNS, CELL_SCHEMA, DELETE_COLUMN, DELETE_FAMILY, DELETE_VERSION, MANIFEST_SCHEMA,
+                     META_SCHEMA, PUT, STORED_SCHEMA)
 
 LOAD_ID_WIDTH = 12
+#: manifest column that counts each kind of tombstone
+DEL_COUNTS = {DELETE_FAMILY: "n_family_del", DELETE_COLUMN: "n_column_del", DELETE_VERSION: "n_version_del"}
+
+
+def group_of(e: dict) -> str:
+    return f"{e['load_id']}/{e['family']}/{e['region']}"
 
 
 @dataclass
@@ -33,7 +40,7 @@ class CellTable:
     families: list[str]
     starts: list[bytes]
     family_options: dict = field(default_factory=dict)
-    _replaced_cache: tuple | None = field(default=None, repr=False, compare=False)
+    _manifests: dict = field(default_factory=dict, repr=False, compare=False)
 
     @property
     def data_path(self) -> str:
@@ -60,35 +67,44 @@ class CellTable:
             d.split("=", 1)[1] for d in fs.list_dirs(self.spark, self.manifest_path) if d.startswith("load_id=")
         )
 
-    def _entries(self):
-        """Manifest entries (one small row per load/family/region group) of
-        the committed loads, read once per set of loads -- the manifest only
-        grows by whole committed loads.  ``None`` while no compaction was
-        ever started: then every committed load is live and whole."""
-        loads = tuple(self.committed_loads())
-        if not loads or not fs.list_names(self.spark, f"{self.path}/_compactions"):
-            return None
-        cached = self._replaced_cache
-        if cached is not None and cached[0] == loads:
-            return cached[1]
-        rows = self.manifest().select("load_id", "family", "region", "kind", "versions_kept", "replaces").collect()
-        entries = [(r.load_id, r.family, r.region, r.kind, r.versions_kept, list(r.replaces or [])) for r in rows]
-        self._replaced_cache = (loads, entries)
-        return entries
+    def entries(self) -> list:
+        """Manifest rows (one small row per load, family and region) of the
+        committed loads.  A load's manifest never changes, so each is read
+        once per handle; loads published through this handle are not read at
+        all.  As many rows as the file listing of a scan has folders."""
+        loads = self.committed_loads()
+        new = [x for x in loads if x not in self._manifests]
+        if new:
+            got = {x: [] for x in new}
+            for r in self.manifest().where(F.col("load_id").isin(new)).collect():
+                got[r.load_id].append(r.asDict())
+            self._manifests.update(got)
+        return [e for x in loads for e in self._manifests[x]]
 
     def replaced_groups(self) -> list[str]:
         """``load/family/region`` groups superseded by compactions."""
-        entries = self._entries()
-        if not entries:
-            return []
-        return sorted({g for e in entries for g in e[5]})
-
-    def _live_entries(self):
-        entries = self._entries()
-        if entries is None:
-            return None
-        replaced = set(self.replaced_groups())
-        return [e for e in entries if f"{e[0]}/{e[1]}/{e[2]}" not in replaced]
+        return sorted({g for e in self.entries() for g in e["replaces"]})
+
+    def live_entries(self) -> list:
+        entries = self.entries()
+        replaced = {g for e in entries for g in e["replaces"]}
+        return [e for e in entries if group_of(e) not in replaced]
+
+    def tombstones(self, families=None, regions=None) -> tuple[list[str], set, int]:
+        """Live loads with tombstones in scope, the kinds present and their
+        bytes -- from the manifest, without a job over the data."""
+        loads, kinds, size = set(), set(), 0
+        for e in self.live_entries():
+            if families is not None and e["family"] not in families:
+                continue
+            if regions is not None and not regions[0] <= e["region"] <= regions[1]:
+                continue
+            here = {k for k, c in DEL_COUNTS.items() if e[c]}
+            if here:
+                loads.add(e["load_id"])
+                kinds |= here
+                size += e["del_bytes"]
+        return sorted(loads), kinds, size
 
     def next_load_id(self) -> str:
         used = [d.split("=", 1)[1] for d in fs.list_dirs(self.spark, self.data_path) if d.startswith("load_id=")]
@@ -102,16 +118,14 @@ class CellTable:
         (``None`` = all); else ``False``.  Such groups are already resolved:
         no tombstones, one cell per version.  Decided on the cached manifest
         entries; ``False`` at once while no compaction ever ran."""
-        live = self._live_entries()
-        if not live:
-            return False
         groups = {}
-        for load_id, fam, region, kind, kept, _ in live:
+        for e in self.live_entries():
+            fam, region = e["family"], e["region"]
             if families is not None and fam not in families:
                 continue
             if regions is not None and not regions[0] <= region <= regions[1]:
                 continue
-            groups.setdefault((fam, region), []).append((kind, kept))
+            groups.setdefault((fam, region), []).append((e["kind"], e["versions_kept"]))
         if not groups or any(len(v) != 1 or v[0][0] != "major" for v in groups.values()):
             return False
         kept = {v[0][1] for v in groups.values()}
@@ -122,18 +136,13 @@ class CellTable:
     # -- reads --------------------------------------------------------------
     def stored(self) -> DataFrame:
         """All committed, non-replaced cells with ``load_id`` and ``region``."""
-        loads = self.committed_loads()
-        live = self._live_entries()
-        replaced = []
-        if live is not None:
-            # after compactions: only loads with a live group, and only the
-            # replaced groups of those loads need excluding
-            loads = sorted({e[0] for e in live})
-            keep = set(loads)
-            replaced = [g for g in self.replaced_groups() if g.split("/", 1)[0] in keep]
-        if not loads:
+        # only loads with a live group that holds cells, and only the replaced
+        # groups of those loads need excluding
+        keep = {e["load_id"] for e in self.live_entries() if e["n_cells"]}
+        if not keep:
             return self.spark.createDataFrame([], STORED_SCHEMA)
-        df = self.spark.read.schema(STORED_SCHEMA).parquet(self.data_path).where(F.col("load_id").isin(loads))
+        replaced = [g for g in self.replaced_groups() if g.split("/", 1)[0] in keep]
+        df = self.spark.read.schema(STORED_SCHEMA).parquet(self.data_path).where(F.col("load_id").isin(sorted(keep)))
         if replaced:
             key = F.concat_ws("/", "load_id", "family", F.col("region").cast("string"))
             df = df.where(~key.isin(replaced))
@@ -147,7 +156,7 @@ def _meta_path(path: str) -> str:
 def create_table(spark: SparkSession, path: str, families, split_keys=(), family_options: dict | None = None) -> CellTable:
     """Create a table with families and region split keys, only if it is
     not there yet (then the stored definition is returned unchanged)."""
-    if fs.exists(spark, _meta_path(path)):
+    if fs.exists(spark, _meta_path(path)) or fs.exists(spark, f"{path}/_meta_new/_SUCCESS"):
         return open_table(spark, path)
     fams = sorted(dict.fromkeys(families))
     if not fams:
@@ -161,7 +170,10 @@ def create_table(spark: SparkSession, path: str, families, split_keys=(), family
 
 
 def open_table(spark: SparkSession, path: str) -> CellTable:
-    m = spark.read.schema(META_SCHEMA).parquet(_meta_path(path)).first()
+    meta = _meta_path(path)
+    if not fs.exists(spark, meta) and fs.exists(spark, f"{path}/_meta_new/_SUCCESS"):
+        meta = f"{path}/_meta_new"  # a change of the definition broke off between its two renames
+    m = spark.read.schema(META_SCHEMA).parquet(meta).first()
     if m is None:
         raise FileNotFoundError(f"no table at {path}")
     return CellTable(
@@ -208,8 +220,8 @@ def read_cells(
         qs = [bytearray(as_bytes(q)) for q in qualifiers]
         df = df.where(F.col("qualifier").isin(qs) | (F.col("op") == F.lit(DELETE_FAMILY)))
     arrival = F.coalesce(F.col("src_load"), F.col("load_id")).alias("load_id")
-    cols = [F.col(c) for c in CELL_COLUMNS] + [arrival] + ([F.col("region")] if with_region else [])
-    return df.select(*cols)
+    cols = [F.col(c) for c in CELL_COLUMNS] + [arrival, F.col("load_id").alias("_load")]
+    return df.select(*cols, *([F.col("region")] if with_region else []))
 
 
 def read_table(
@@ -231,6 +243,13 @@ def read_table(
     return resolve(table, cells, versions, ts_range, families, regions)
 
 
+def known_tombstones(table: CellTable, cells: DataFrame, families=None, regions=None):
+    """What the manifest tells of the tombstones among ``cells`` (from
+    ``read_cells``): the rows of the loads that hold some."""
+    loads, kinds, size = table.tombstones(families, regions)
+    return cells.where(F.col("_load").isin(loads)) if loads else cells, kinds, size
+
+
 def resolve(table: CellTable, cells: DataFrame, versions=1, ts_range=None, families=None, regions=None) -> DataFrame:
     """Visible cells of ``cells`` read from ``table``.  Groups written by a
     major compaction (and nothing since) are resolved already -- no
@@ -242,7 +261,8 @@ def resolve(table: CellTable, cells: DataFrame, versions=1, ts_range=None, famil
     if kept is not False and (versions is None or (kept is not None and kept <= versions)):
         return in_ts_range(cells.where(F.col("op") == F.lit(PUT)), ts_range).select(
             "row", "family", "qualifier", "ts", "value")
-    return visible_cells(cells, versions=versions, ts_range=ts_range)
+    return visible_cells(cells, versions=versions, ts_range=ts_range,
+                         known=known_tombstones(table, cells, families, regions))
 
 
 __all__ = ["CellTable", "create_table", "open_table", "read_cells", "read_table", "CELL_SCHEMA"]

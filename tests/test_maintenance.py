@@ -75,6 +75,47 @@ def test_exclude_from_minor(spark, tmp_table):
     assert snapshot(t, versions=None) == [(b"r", "f", b"q", ts, b"x") for ts in (1, 2, 3)]
 
 
+def test_compaction_comes_to_an_end(spark, tmp_table):
+    t = tmp_table(["f", "g"], splits=["r3", "r6"])
+    load_all(spark, t, random_batches(5))
+    before = snapshot(t)
+    assert compact(t, max_files=2) is not None
+    assert compact(t, max_files=2) is None
+    # replaced folders stay for readers planned before, until vacuum
+    planned = read_table(t)
+    assert compact(t, major=True) is not None
+    assert len(planned.collect()) == len(before)
+    assert not any(p.startswith(t.data_path) for p in vacuum(t, retention_ms=3_600_000))
+    assert any(p.startswith(t.data_path) for p in vacuum(t)) and snapshot(t) == before
+
+
+def test_group_emptied_by_a_major_compaction(spark, tmp_table):
+    t = tmp_table(["f"], splits=["m"])
+    rows = [("a", "f", "q", 1, "x", 4, 0), ("z", "f", "q", 1, "y", 4, 1)]
+    load_all(spark, t, [rows, [("a", "f", "", 9, None, 14, 2)]])
+    compact(t, major=True)
+    assert t.resolved_versions() is None and snapshot(t) == [(b"z", "f", b"q", 1, b"y")]
+    assert sorted((e["region"], e["n_cells"]) for e in t.live_entries()) == [(0, 0), (1, 1)]
+
+
+def test_merge_over_the_limit_on_load(spark, tmp_table):
+    t = tmp_table(["f"])
+    df = spark.createDataFrame([("r", "f", "q", 1, "x", 4, 0)], SCHEMA)
+    for i in range(4):
+        bulk_load(t, df.withColumn("ts", F.lit(i)), merge_over=2)
+    assert sum(e["n_files"] for e in t.live_entries()) <= 3
+    assert len(snapshot(t, versions=None)) == 4
+
+
+def test_definition_survives_a_broken_change(spark, tmp_table):
+    from cellhouse import open_table
+
+    t = tmp_table(["f"])
+    set_family_options(t, "f", compression="gzip")
+    assert fs.rename(spark, f"{t.path}/_meta", f"{t.path}/_meta_new")  # as between the two renames
+    assert open_table(spark, t.path).family_options == {"f": {"compression": "gzip"}}
+
+
 def test_vacuum_removes_orphans(spark, tmp_table):
     t = tmp_table(["f"])
     df = spark.createDataFrame([("r", "f", "q", 1, "x", 4, 0)], SCHEMA)

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from cellhouse import DELETE_COLUMN, DELETE_FAMILY, DELETE_VERSION, PUT, new_path, read_table
 from cellhouse.operators.load import bulk_load, bulk_load_thin_rows, publish_staged, stage
-from cellhouse.operators.lookup import bulk_get, bulk_get_cells, bulk_get_exists, bulk_get_missing
+from cellhouse.operators.lookup import bulk_get, bulk_get_cells, bulk_get_exists, bulk_get_missing, bulk_get_rows
 from cellhouse.operators.mutate import apply_mutations, bulk_delete, bulk_put
-from cellhouse.operators.partitions import map_partitions
+from cellhouse.operators.partitions import _batches_by_key, foreach_partition, group_values, map_partitions
 from cellhouse.operators.visibility import collapse_identical, visible_cells
 
 SCHEMA = "row string, family string, qualifier string, ts long, value string"
@@ -142,13 +142,156 @@ def test_lookup_edges(spark, tmp_table):
     g = bulk_get(req, t, [("f", "q", "v")]).collect()
     assert sorted((r.row, r.found, None if r.v is None else bytes(r.v)) for r in g if r.row) == [
         ("a", True, b"x"), ("a", True, b"x"), ("zz", False, None)]
-    assert len(g) == 4  # one result per request, the null request included
+    assert len(g) == 3  # one result per request with a key; a null key asks for nothing
     assert sorted(r.row for r in bulk_get_exists(req, t).collect()) == ["a", "a"]
-    assert sorted(r.row for r in bulk_get_missing(req, t).collect() if r.row) == ["zz"]
+    assert [r.row for r in bulk_get_missing(req, t).collect()] == ["zz"]
+    rows = sorted((r.row, [(c.family, bytes(c.qualifier), c.ts, bytes(c.value)) for c in r.cells])
+                  for r in bulk_get_rows(req, t).collect())
+    assert rows == [("a", [("f", b"q", 1, b"x")])] * 2 + [("zz", [])]
     empty = spark.createDataFrame([], "row string")
     assert bulk_get_cells(empty, t).count() == 0
 
 
+def test_lookup_reads_exactly_the_named_columns(spark, tmp_table):
+    t = tmp_table(["f1", "f2"])
+    put(spark, t, [("r", "f1", "q2", 1, "decoy"), ("s", "f1", "q1", 1, "x"), ("s", "f2", "q1", 1, "decoy")])
+    req = spark.createDataFrame([("r",), ("s",)], "row string")
+    g = {r.row: (r.found, r.a and bytes(r.a), r.b) for r in bulk_get(req, t, [("f1", "q1", "a"), ("f2", "q2", "b")]).collect()}
+    assert g == {"r": (False, None, None), "s": (True, b"x", None)}
+
+
+def test_lookup_prunes_regions(spark, tmp_table):
+    t = tmp_table(["f"], splits=["h", "p"])
+    put(spark, t, [(k, "f", "q", 1, k) for k in "abcijkxyz"])
+    req = spark.createDataFrame([("i",), ("k",)], "row string")
+    plan = bulk_get(req, t, [("f", "q", "v")])._jdf.queryExecution().executedPlan().toString()
+    scan = [x for x in plan.split("\n") if "PartitionFilters" in x]
+    assert scan and all("region" in x.split("PartitionFilters")[1].split("PushedFilters")[0] for x in scan if "family" in x)
+
+
+def test_reads_start_no_job(spark, tmp_table):
+    t = tmp_table(["f"])
+    put(spark, t, [("r", "f", "q", 1, "x"), ("s", "f", "q", 1, "y")])
+    bulk_delete(t, spark.createDataFrame([(bytearray(b"r"),)], "row binary"), "row", ts=5)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("reads", "reads")
+    out = read_table(t)
+    assert list(tracker.getJobIdsForGroup("reads")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [bytes(r.row) for r in out.collect()] == [b"s"]
+    # tombstones are looked for only in the load that holds some
+    assert t.tombstones()[0] == [t.committed_loads()[1]] and t.tombstones()[1] == {DELETE_FAMILY}
+
+
+def test_long_keys_stay_apart(spark):
+    from cellhouse.functions.bytes import padded_key
+
+    keys = [123456780, 123456789, 5, 9223372036854775807]
+    got = [bytes(r[0]).decode() for r in spark.createDataFrame([(k,) for k in keys], "k long").select(padded_key("k")).collect()]
+    assert [int(g) for g in got] == keys and {len(g) for g in got} == {19}
+
+
+def test_null_time_takes_the_given_time(spark, tmp_table):
+    t = tmp_table(["f"])
+    bulk_load(t, spark.createDataFrame([("r", "f", "q", None, "x")], SCHEMA), ts=7)
+    assert view(t) == [("r", "f", "q", 7, "x")]
+
+
+def test_thin_rows_last_of_many_cells_wins(spark, tmp_table):
+    t = tmp_table(["f"])
+    df = spark.range(1).select(F.lit("r").alias("row"), F.transform(F.sequence(F.lit(0), F.lit(2999)), lambda i: F.struct(
+        F.lit("f").alias("family"), F.lit("q").alias("qualifier"), F.lpad(i.cast("string"), 5, "0").alias("value"))).alias("cells"))
+    bulk_load_thin_rows(t, df, F.col("row"), F.col("cells"), ts=1)
+    assert view(t) == [("r", "f", "q", 1, "02999")]
+    assert t.stored().select("seq", "pos").distinct().count() == 3000
+
+
+def test_collapse_on_load(spark, tmp_table):
+    t = tmp_table(["f"])
+    df = spark.createDataFrame([("r", "f", "q", 1, f"v{i}", i % 7, i) for i in range(50)], SCHEMA + ", a int, seq long")
+    bulk_load(t, df, collapse=["a"])
+    assert t.stored().count() == 1 and view(t) == [("r", "f", "q", 1, "v48")]  # 48 % 7 = 6, the latest of those
+    t2 = tmp_table(["f"])
+    bulk_load(t2, df, collapse=True)
+    assert t2.stored().count() == 1 and view(t2) == [("r", "f", "q", 1, "v49")]
+
+
+def test_groups_are_pulled_lazily():
+    import pyarrow as pa
+
+    pulled = []
+
+    def source():
+        for i in range(5):
+            pulled.append(i)
+            yield pa.RecordBatch.from_pydict({"_pkey": ["k"] * 3 + (["l"] if i == 4 else []), "v": list(range(3 + (i == 4)))})
+
+    groups = _batches_by_key(source(), "_pkey")
+    key, batches = next(groups)
+    assert key == "k" and next(batches).num_rows == 3 and pulled == [0]
+    # what is left of a group is drained before the next one
+    key, batches = next(groups)
+    assert key == "l" and [b.num_rows for b in batches] == [1] and pulled == [0, 1, 2, 3, 4]
+    assert list(groups) == []
+
+
+@pytest.mark.parametrize("key", ["cast(id % 3 as int)", "date_add(date'2024-01-01', cast(id % 3 as int))",
+                                 "cast(id % 3 as decimal(9,2))", "cast(id % 3 as tinyint)", "cast(id % 3 as double)",
+                                 "timestamp_micros(id % 3)", "id % 2 = 0", "encode(cast(id % 3 as string), 'UTF-8')"])
+def test_keys_of_every_type(spark, key):
+    df = spark.range(200).select(F.expr(key).alias("k"), "id")
+    schema = spark.createDataFrame([], "id long").schema
+    got = group_values(df, "k", schema, order_by=("id",))
+    assert got.schema["key"].dataType == df.schema["k"].dataType
+    want = df.groupBy("k").agg(F.count("*").alias("n"), F.sum("id").alias("s"), F.lit(True).alias("numbered"))
+    have = got.groupBy(F.col("key").alias("k")).agg(F.count("*").alias("n"), F.sum("id").alias("s"), (
+        F.max("index") + 1 == F.count("*")).alias("numbered"))
+    assert sorted(map(str, have.collect())) == sorted(map(str, want.collect()))
+
+
+def test_foreach_partition_with_partial(spark):
+    from cellhouse.session import local_path
+
+    out = local_path(new_path(spark, "each"))
+    schema = spark.createDataFrame([], "n long").schema
+
+    def fold(conf, key, batches):
+        return [(sum(b.num_rows if b.schema.names == ["id"] else sum(b.column("n").to_pylist()) for b in batches),)]
+
+    def write(conf, key, batches):
+        import os
+
+        os.makedirs(conf["out"], exist_ok=True)
+        with open(f"{conf['out']}/{key}", "w") as f:
+            f.write(str(fold(conf, key, batches)[0][0]))
+
+    foreach_partition(spark.range(1000).withColumn("k", F.col("id") % 4).drop("x").select("k", "id"), "k", _drop_key(write),
+                      conf={"out": out}, partial=_drop_key(fold), partial_schema=schema)
+    import os
+
+    assert {int(k): int(open(f"{out}/{k}").read()) for k in os.listdir(out)} == {k: 250 for k in range(4)}
+
+
+def _drop_key(fn):
+    def run(conf, key, batches):
+        return fn(conf, key, (b.drop_columns(["k"]) if "k" in b.schema.names else b for b in batches))
+    return run
+
+
+def test_many_regions_are_searched_without_python(spark):
+    import bisect
+
+    from cellhouse.functions.regions import region_index
+
+    starts = sorted(f"{i * 7:06d}".encode() for i in range(1, 5001))
+    rows = spark.range(0, 36000, 5).select(F.encode(F.format_string("%06d", "id"), "UTF-8").alias("row")).union(
+        spark.createDataFrame([(None,), (bytearray(b""),), (bytearray(b"z"),)], "row binary"))
+    out = rows.withColumn("r", region_index("row", starts))
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    for r in out.collect():
+        assert r.r == (None if r.row is None else bisect.bisect_right(starts, bytes(r.row)) - 1)
+
+
 def test_map_partitions_null_and_empty_results(spark):
     df = spark.createDataFrame([("a", 1), ("a", 2), ("b", 3), ("c", 4), (None, 5)], "k string, v long")
     schema = spark.createDataFrame([], "total long").schema
