@@ -49,9 +49,10 @@ def batch_committed(table: CellTable, kind: str) -> bool:
 
 
 def stream_put(stream: DataFrame, table: CellTable, checkpoint: str, trigger: dict | None = None,
-               query_name: str | None = None):
+               query_name: str | None = None, merge_over: int | None = None):
     """Write a cell stream (``row, family, qualifier, value[, ts, op, seq]``)
-    into ``table``; returns the started ``StreamingQuery``."""
+    into ``table``; returns the started ``StreamingQuery``.  ``merge_over``:
+    groups that gather more small files than this are merged as batches come."""
     path, tag = table.path, _tag(checkpoint)
 
     def each(batch: DataFrame, batch_id: int):
@@ -59,7 +60,7 @@ def stream_put(stream: DataFrame, table: CellTable, checkpoint: str, trigger: di
         kind = f"stream:{tag}:{batch_id}"
         if batch_committed(t, kind):
             return  # replay of a committed micro-batch
-        bulk_load(t, batch, kind=kind)
+        bulk_load(t, batch, kind=kind, merge_over=merge_over)
 
     w = stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
     if query_name:
@@ -145,7 +146,7 @@ def _live_fn(key, pdfs, state):
         for r in pdf.itertuples(index=False):
             q = bytes(r.qualifier).hex()
             if r.op == DELETE_FAMILY:
-                fam_del = max(fam_del or r.ts, r.ts)
+                fam_del = int(r.ts) if fam_del is None else max(fam_del, int(r.ts))
                 touched.update(cols.keys())
                 continue
             c = cols.setdefault(q, {"puts": [], "col_del": None, "ver_del": []})
@@ -153,7 +154,7 @@ def _live_fn(key, pdfs, state):
             if r.op == PUT:
                 c["puts"].append([int(r.ts), int(r.seq), bytes(r.value).hex() if r.value is not None else None])
             elif r.op == DELETE_COLUMN:
-                c["col_del"] = max(c["col_del"] or r.ts, int(r.ts))
+                c["col_del"] = int(r.ts) if c["col_del"] is None else max(c["col_del"], int(r.ts))
             elif r.op == DELETE_VERSION:
                 c["ver_del"].append(int(r.ts))
     out = []

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from cellhouse import new_path, read_table
 from cellhouse.operators.lookup import bulk_get
 from cellhouse.operators.mutate import bulk_put
+from cellhouse.session import local_path
 from cellhouse.streaming import (live_latest, live_visible, stream_lookup, stream_put, windowed_groups)
 from cellhouse.streaming.stream import batch_committed, _tag
 from cellhouse.plans.fixtures import event_cells
@@ -35,8 +36,65 @@ def test_stream_put_equals_batch_and_replay_is_idempotent(spark, tmp_table):
     assert snap(t) == snap(t_batch)
     loads = len(t.committed_loads())
     assert loads >= 3
-    # replay: the same batch id is recognised as committed and skipped
     assert batch_committed(t, f"stream:{_tag(ck)}:0")
+    # replay: without its commit file the last micro-batch runs again, and adds nothing
+    import glob
+    import os
+
+    commits = sorted(glob.glob(local_path(ck) + "/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
+    os.remove(commits[-1])
+    crc = os.path.join(os.path.dirname(commits[-1]), f".{os.path.basename(commits[-1])}.crc")
+    if os.path.exists(crc):
+        os.remove(crc)
+    q = stream_put(event_cells(stream), t, ck)
+    q.awaitTermination(300)
+    assert os.path.exists(commits[-1])
+    assert len(t.committed_loads()) == loads and snap(t) == snap(t_batch)
+
+
+def test_stream_put_merges_small_files(spark, tmp_table):
+    src = _event_files(spark, 5)
+    schema = spark.read.parquet(src).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+    t = tmp_table(["click", "error", "purchase", "signup", "view"])
+    stream_put(event_cells(stream), t, new_path(spark, "ck"), merge_over=2).awaitTermination(300)
+    per = {}
+    for e in t.live_entries():
+        per[e["family"], e["region"]] = per.get((e["family"], e["region"]), 0) + e["n_small_files"]
+    assert per and max(per.values()) <= 3
+    assert read_table(t, versions=None).count() == read_table_of(spark, tmp_table, src).count()
+
+
+def read_table_of(spark, tmp_table, src):
+    t = tmp_table(["click", "error", "purchase", "signup", "view"])
+    bulk_put(t, event_cells(spark.read.parquet(src)))
+    return read_table(t, versions=None)
+
+
+def test_live_visible_with_deletes_of_every_scope(spark, tmp_table):
+    rows = [("r", "f", "q", 1, "a", 4), ("r", "f", "q", 3, "b", 4), ("r", "f", "p", 2, "c", 4), ("r", "f", "q", 3, None, 8),
+            ("s", "f", "q", 5, "d", 4), ("s", "f", "q", 5, None, 12), ("s", "f", "q", 6, "e", 4), ("s", "f", "p", 4, "x", 4),
+            ("t", "f", "q", -5, "n", 4), ("t", "f", "", 0, None, 14), ("t", "f", "", -9, None, 14), ("t", "f", "p", 1, "y", 4)]
+    src = new_path(spark, "cells")
+    for i, r in enumerate(rows):  # one micro-batch each, in this order
+        spark.createDataFrame([(*r, i)], "row string, family string, qualifier string, ts long, value string, op int, seq long"
+                              ).coalesce(1).write.mode("append").parquet(src)
+        time.sleep(0.02)
+    schema = "row string, family string, qualifier string, ts long, value string, op int, seq long"
+    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", 3).parquet(src)
+    cells = raw.select(F.encode("row", "UTF-8").alias("row"), "family", F.encode("qualifier", "UTF-8").alias("qualifier"),
+                       "ts", F.col("op").cast("tinyint").alias("op"), F.encode("value", "UTF-8").alias("value"), "seq")
+    batches = []
+    q = live_visible(cells).writeStream.outputMode("update").foreachBatch(
+        lambda df, i: batches.append(df.collect())).option("checkpointLocation", new_path(spark, "ck")).trigger(
+        availableNow=True).start()
+    q.awaitTermination(300)
+    final = {}
+    for b in batches:
+        for r in b:
+            final[bytes(r.row).decode(), bytes(r.qualifier).decode()] = (r.ts, bytes(r.value).decode()) if r.present else None
+    assert {k: v for k, v in final.items() if v} == {("r", "q"): (1, "a"), ("r", "p"): (2, "c"), ("s", "q"): (6, "e"),
+                                                    ("s", "p"): (4, "x"), ("t", "p"): (1, "y")}
 
 
 def test_windowed_groups_stream_equals_batch(spark):
