@@ -45,9 +45,20 @@ def stored(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+ROWS_PER_BATCH = "1000"
+
+
 def prepare(spark: SparkSession) -> None:
-    """Make this package importable in Python workers."""
+    """Make this package importable in Python workers, and keep the Arrow
+    batches of whole texts small (Spark's 10,000 rows would be tens of MB on
+    both sides of every task)."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ROWS_PER_BATCH)
+
+
+def hash_share(key: Column, n: int, total: int) -> Column:
+    """About ``n`` of ``total`` rows, chosen by hash: no sort, no shuffle."""
+    return F.pmod(key, F.lit(1 << 40)) < F.lit(min(1 << 40, -(-n * (1 << 40) // max(1, total))))
 
 
 def free_name(columns: list[str], stem: str) -> str:
@@ -158,6 +169,15 @@ def window_hashes(h: np.ndarray, k: int) -> np.ndarray:
     return mix(out)
 
 
+def window_hashes_at(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """``window_hashes(h, k)`` at the places ``at`` only."""
+    out = h[at]
+    for j in range(1, k):
+        out *= _R
+        out += h[at + j]
+    return mix(out)
+
+
 def covered(first: np.ndarray, width: int, n: int) -> np.ndarray:
     """Which of ``n`` places lie in ``[i, i + width)`` for an ``i`` in ``first``."""
     d = np.zeros(n + 1, np.int32)

@@ -13,8 +13,8 @@ languages alike), which run as parallel lanes of numpy steps: all windows of a
 text block times all languages advance one symbol at a time through one
 transition table.
 
-The labelled text is a bounded sample: the ``SAMPLE_DOCS`` documents of each
-language with the least hash, ``SAMPLE_CHARS`` characters of each; labels come
+The labelled text is a bounded sample: up to ``SAMPLE_DOCS`` documents of each
+language, chosen by hash, ``SAMPLE_CHARS`` characters of each; labels come
 only from rows outside the held-out third.  A prediction sees only the text.
 
 Defined results: null texts and texts without a letter give ``und`` with score
@@ -25,6 +25,7 @@ are ignored (``keep_identified`` keeps them unchanged).
 
 from __future__ import annotations
 
+from array import array
 from typing import Iterator
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import blocks, is_held_out, prepare
+from .common import blocks, hash_share, is_held_out, prepare
 
 SAMPLE_DOCS, SAMPLE_CHARS = 64, 768
 WINDOW = 256
@@ -43,35 +44,36 @@ UNKNOWN = "und"
 RESULT = "lang_pred string, score double"
 
 
-def suffix_automaton(text: list[int]) -> list[dict[int, int]]:
-    """Transitions of the automaton of all substrings of ``text``; state 0 is the start."""
-    edges: list[dict[int, int]] = [{}]
+def suffix_automaton(text: list[int], width: int) -> np.ndarray:
+    """Transitions (state, symbol) of the automaton of all substrings of
+    ``text``, symbols below ``width``.  State 0 is the start, and as no
+    transition leads there, 0 also stands for none."""
+    edges = array("i", bytes(4 * width * (2 * len(text) + 1)))
     link, length = [-1], [0]
     last = 0
     for c in text:
-        cur = len(edges)
-        edges.append({})
+        cur = len(link)
         link.append(0)
         length.append(length[last] + 1)
         p = last
-        while p >= 0 and c not in edges[p]:
-            edges[p][c] = cur
+        while p >= 0 and not edges[p * width + c]:
+            edges[p * width + c] = cur
             p = link[p]
         if p >= 0:
-            q = edges[p][c]
+            q = edges[p * width + c]
             if length[q] == length[p] + 1:
                 link[cur] = q
             else:
-                twin = len(edges)
-                edges.append(dict(edges[q]))
+                twin = len(link)
+                edges[twin * width: (twin + 1) * width] = edges[q * width: (q + 1) * width]
                 link.append(link[q])
                 length.append(length[p] + 1)
-                while p >= 0 and edges[p].get(c) == q:
-                    edges[p][c] = twin
+                while p >= 0 and edges[p * width + c] == q:
+                    edges[p * width + c] = twin
                     p = link[p]
                 link[q] = link[cur] = twin
         last = cur
-    return edges
+    return np.frombuffer(edges, np.int32)[: len(link) * width].reshape(-1, width).copy()
 
 
 def _is_letter(cps: np.ndarray) -> np.ndarray:
@@ -103,12 +105,9 @@ class Model:
         tables, self.roots, self.bits = [], [], []
         for _, texts in sorted(labelled):
             flat, _ = self.symbols(texts)
-            edges = suffix_automaton(flat.tolist())
-            table = np.zeros((len(edges), self.width), np.int32)
+            table = suffix_automaton(flat.tolist(), self.width)
             base = sum(len(t) for t in tables)
-            for s, out in enumerate(edges):
-                for c, to in out.items():
-                    table[s, c] = (base + to) * self.width
+            table = np.where(table > 0, (base + table) * self.width, 0).astype(np.int32)
             table[:, OTHER] = 0  # letters beyond the alphabet match nothing
             tables.append(table)
             self.roots.append(base * self.width)
@@ -178,6 +177,12 @@ def labelled_sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = docs.select(F.col(id_col).alias("i"), F.col(lang_col).alias("lang"),
                        F.substring(text_col, 1, SAMPLE_CHARS).alias("t"))
     rows = rows.where(~is_held_out(F.col("i")) & F.col("lang").isNotNull() & F.col("t").isNotNull())
+    # a share of the rows by hash first, of which the least stay
+    total = {r.lang: r.n for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    wanted = F.lit(False)
+    for lang, n in sorted(total.items()):
+        wanted = wanted | ((F.col("lang") == F.lit(lang)) & hash_share(F.xxhash64("i", "t"), 2 * SAMPLE_DOCS, n))
+    rows = rows.where(wanted)
     order = Window.partitionBy("lang").orderBy(F.xxhash64("i", "t"), "i", "t")
     by: dict[str, list[str]] = {}
     for r in rows.withColumn("n", F.row_number().over(order)).where(F.col("n") <= SAMPLE_DOCS).collect():
