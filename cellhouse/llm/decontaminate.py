@@ -3,14 +3,15 @@
 Both sides are cut into words; of every ``WINNOW`` consecutive k-gram hashes the
 least one is kept (rightmost on ties).  With ``K + WINNOW - 1 = 13`` each shared
 run of 13 words keeps at least one common k-gram in the same place, so the join
-of the kept fingerprints misses no shared window.  A joined pair is then
-extended word by word to both sides and checked on the words themselves; runs of
-13 or more words are hits.  Items of fewer than 13 words are one window: they
+of the kept fingerprints misses no shared window.  A joined fingerprint is then
+extended to both sides: each 13-word window around it is looked up among the
+items' windows and checked on the words themselves; overlapping hits are one span.  Items of fewer than 13 words are one window: they
 are joined by the hash of their whole sequence (one sliding hash for each
 length present), checked on the words as well.
 
 The benchmark is dealt into parts of bounded bytes.  A part's fingerprints are
-broadcast; the documents stream past them, whole texts, without a shuffle.  More
+broadcast; the documents stream past them, whole texts, without a shuffle.
+A (window, item) pair is looked up once however often the item repeats it.  More
 than one part means more than one pass over the documents, whose hit spans are
 united per document (``find_hits``); so the broadcast never grows.
 
@@ -33,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import (blocks, byte_class, flat, free_name, prepare, span_hashes, spans, stored, window_hashes)
+from .common import (blocks, byte_class, flat, free_name, prepare, span_hashes, spans, stored, window_hashes, window_hashes_at)
 
 WINDOW, K = 13, 6
 WINNOW = WINDOW - K + 1
@@ -75,32 +76,47 @@ def winnow(h: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Part:
-    """The fingerprints of one part of the benchmark, built once per worker."""
+    """One part of the benchmark, built once per worker: the kept fingerprints
+    of its items, and for extension their 13-word windows, each (window, item)
+    once, by hash and with a place where its words stand."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.ids = sorted({i for i, _ in items})
         where = {i: n for n, i in enumerate(self.ids)}
         texts = pa.array([t for _, t in items], pa.large_string())
         self.data, self.starts, self.ends, self.h, self.bounds = words_of(texts)
-        self.item = np.array([where[i] for i, _ in items], np.int64)  # of each text
+        item = np.array([where[i] for i, _ in items], np.int64)  # of each text
         n = np.diff(self.bounds)
+        text = np.repeat(np.arange(len(n)), n)
         at, fp = winnow(self.h, self.bounds)
-        text = np.searchsorted(self.bounds, at, "right") - 1
-        long = n[text] >= WINDOW
-        order = np.argsort(fp[long], kind="stable")
-        self.fp, self.at = fp[long][order], at[long][order]
-        self.text_of = np.searchsorted(self.bounds, self.at, "right") - 1
-        self.short: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for k in np.unique(n[(n > 0) & (n < WINDOW)]).tolist():
-            of = np.flatnonzero(n == k)
-            hs = np.array([window_hashes(self.h[self.bounds[t]: self.bounds[t + 1]], k)[0] for t in of], np.uint64)
-            order = np.argsort(hs, kind="stable")
-            self.short[k] = hs[order], of[order]
+        self.fp = np.unique(fp[n[text[at]] >= WINDOW])
+        #: by window length: (hash, item, place), ascending
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        for k in sorted({WINDOW, *n[(n > 0) & (n < WINDOW)].tolist()}):
+            g = window_hashes(self.h, k)
+            p = np.flatnonzero(text[: len(g)] == text[k - 1:][: len(g)])
+            p = p[(n[text[p]] == k) | (k == WINDOW)]  # a shorter window is a whole item
+            p = p[np.lexsort((p, item[text[p]], g[p]))]
+            new = np.ones(len(p), bool)
+            new[1:] = (g[p][1:] != g[p][:-1]) | (item[text[p]][1:] != item[text[p]][:-1])
+            self.windows[k] = g[p][new], item[text[p]][new], p[new]
 
     def words(self, a: int, b: int) -> list[bytes]:
         return [self.data[s:e].tobytes().lower() for s, e in zip(self.starts[a:b], self.ends[a:b])]
 
 
+def _member(table: np.ndarray, probe: np.ndarray) -> np.ndarray:
+    """Which values are in the sorted table."""
+    if not len(table):
+        return np.zeros(len(probe), bool)
+    return table[np.minimum(np.searchsorted(table, probe), len(table) - 1)] == probe
+
+
+def _hashes_at(h: np.ndarray, at: np.ndarray, k: int) -> np.ndarray:
+    """``window_hashes(h, k)[at]``, without the others."""
+    return window_hashes(h, k)[at] if 4 * len(at) > len(h) else window_hashes_at(h, at, k)
+
+
 def _matches(table: np.ndarray, probe: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """All pairs (index into probe, index into the sorted table) of equal values."""
     lo, hi = np.searchsorted(table, probe, "left"), np.searchsorted(table, probe, "right")
@@ -114,39 +130,33 @@ def spans_in(run: pa.Array, part: Part) -> tuple[np.ndarray, list[tuple[int, int
     """Number of words of each text, and the hits (text, item index, first word,
     end word), words counted within the text."""
     data, starts, ends, h, bounds = words_of(run)
-    n_words = np.diff(bounds)
-    found: set[tuple[int, int, int, int]] = set()
-
-    def same(a: int, b: int, s: int) -> bool:
-        mine = [data[x:y].tobytes().lower() for x, y in zip(starts[a:b], ends[a:b])]
-        return mine == part.words(s, s + b - a)
-
-    if len(part.fp) and len(h) >= WINDOW:
-        at, fp = winnow(h, bounds)
-        mine, theirs = _matches(part.fp, fp)
-        done: dict[tuple[int, int, int], int] = {}  # (text, item text, diagonal) -> end of the last run
-        for i, s, t in zip(at[mine].tolist(), part.at[theirs].tolist(), part.text_of[theirs].tolist()):
-            d = int(np.searchsorted(bounds, i, "right")) - 1
-            key = (d, t, i - s)
-            if done.get(key, -1) > i:
-                continue
-            left = min(i - int(bounds[d]), s - int(part.bounds[t]))
-            right = min(int(bounds[d + 1]) - i, int(part.bounds[t + 1]) - s)
-            differ = np.flatnonzero(h[i - left: i + right] != part.h[s - left: s + right])
-            cut = np.searchsorted(differ, left)
-            a = i - left + (int(differ[cut - 1]) + 1 if cut else 0)
-            b = i - left + (int(differ[cut]) if cut < len(differ) else left + right)
-            done[key] = max(b, i + 1)
-            if b - a >= WINDOW and same(a, b, s - (i - a)):
-                found.add((d, int(part.item[t]), a - int(bounds[d]), b - int(bounds[d])))
-    for k, (table, texts) in part.short.items():
-        grams = window_hashes(h, k)
-        mine, theirs = _matches(table, grams)
-        for i, t in zip(mine.tolist(), texts[theirs].tolist()):
-            d = int(np.searchsorted(bounds, i, "right")) - 1
-            if i + k <= bounds[d + 1] and same(i, i + k, int(part.bounds[t])):
-                found.add((d, int(part.item[t]), i - int(bounds[d]), i + k - int(bounds[d])))
-    return n_words, sorted(found)
+    text = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    hits: list[tuple[int, int, int, int]] = []
+    for k, (table, item, place) in part.windows.items():
+        if len(h) < k or not len(table):
+            continue
+        if k == WINDOW:
+            # a joined fingerprint is extended: all windows around its k-gram
+            at, fp = winnow(h, bounds)
+            at = at[_member(part.fp, fp)]
+            at = np.unique((at[:, None] - np.arange(WINNOW)[None, :]).ravel())
+            at = at[(at >= 0) & (at + k <= len(h))]
+        else:
+            at = np.arange(len(h) - k + 1)
+        at = at[text[at] == text[at + k - 1]]
+        mine, theirs = _matches(table, _hashes_at(h, at, k))
+        for i, j in zip(at[mine].tolist(), theirs.tolist()):
+            s = int(place[j])
+            if [data[x:y].tobytes().lower() for x, y in zip(starts[i: i + k], ends[i: i + k])] == part.words(s, s + k):
+                d = int(text[i])
+                hits.append((d, int(item[j]), i - int(bounds[d]), i + k - int(bounds[d])))
+    found: list[tuple[int, int, int, int]] = []
+    for d, item, a, b in sorted(hits):  # windows that overlap or touch are one span
+        if found and found[-1][:2] == (d, item) and a <= found[-1][3]:
+            found[-1] = (d, item, found[-1][2], max(b, found[-1][3]))
+        else:
+            found.append((d, item, a, b))
+    return np.diff(bounds), found
 
 
 _PARTS: dict[str, Part] = {}

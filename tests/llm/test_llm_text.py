@@ -126,7 +126,7 @@ def test_packing_of_no_documents(spark):
 
 ITEMS = [(1, brute.prose(40, 50)), (2, brute.prose(13, 51)), (3, "Seven words are not a whole window"), (4, "one"),
          (5, None), (6, ""), (None, brute.prose(20, 52)), (2, brute.prose(13, 51)), (7, "same " * 30),
-         (10, brute.prose(40, 50)), (8, "!!!")]
+         (10, brute.prose(40, 50)), (8, "!!!"), (11, "tick tock " * 2000), (12, "Tick, " * 4000)]
 
 
 def contaminated_docs():
@@ -135,10 +135,10 @@ def contaminated_docs():
     return [(100, " ".join(a[5:25])), (101, pad + " " + " ".join(a[3:16]) + " " + pad), (102, " ".join(a[3:15])),
             (103, " ".join(b)), (104, " ".join(b[:12])), (105, "SEVEN words, are not a whole window"), (106, "one"),
             (107, "Seven words are not a whole"), (108, "same " * 40), (109, "same " * 12), (110, pad + " one"),
-            (111, " ".join(a[:14] + ["zz"] + a[15:30])), (112, " ".join(a + a))]
+            (111, " ".join(a[:14] + ["zz"] + a[15:30])), (112, " ".join(a + a)), (113, "tick tock " * 3000), (114, "tick " * 5000)]
 
 
-@pytest.mark.parametrize("part_bytes", [decontaminate.PART_BYTES, 200])
+@pytest.mark.parametrize("part_bytes", [decontaminate.PART_BYTES, 20_000])
 def test_contamination(spark, part_bytes):
     rows = docs_of(spark) + contaminated_docs()
     docs = both(spark).union(spark.createDataFrame(contaminated_docs(), "doc_id long, text string"))
