@@ -21,7 +21,37 @@ WORD_END = "word_end"  # the tokenizer drops blanks and case
 # between a letter and one of .,! there is always a cut
 _WITH_BLANKS = re.compile(r"[ \n]*(?:[^ \n]*[A-Za-z](?=[.,!])|[^ \n]+)|[ \n]+")
 _WITHOUT_BLANKS = re.compile(r"[^ \n]*[A-Za-z](?=[.,!])|[^ \n]+")
-_OTHER_SPACE = re.compile(r"[^\S \n]")
+_ASCII_SPACE = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f"
+_OTHER_SPACE = [chr(c) for c in range(0x10000) if chr(c).isspace() and chr(c) not in " \n" + _ASCII_SPACE]
+
+# A word of the table stands for itself with a blank before it, or without
+# one if it begins with this mark, or as it is if it begins with a line feed
+_AS_IT_IS = "\x01"
+
+
+def _literal(word: str) -> str:
+    return word[1:] if word[:1] == _AS_IT_IS else word if word[:1] == "\n" else " " + word
+
+
+def _has_other_space(text: str) -> bool:
+    """Blanks beside the space and the line feed.  (Single finds are far
+    cheaper than one pattern over the text.)"""
+    return any(c in text for c in _ASCII_SPACE) or (not text.isascii() and any(c in text for c in _OTHER_SPACE))
+
+
+def _plain(text: str) -> bool:
+    """Each full stop and comma follows a letter or digit, so a cut before it
+    is one that the tokenizer makes too."""
+    for mark in ".,":
+        tails = [p[-1:] for p in text.split(mark)]
+        tails.pop()
+        if tails and ("" in tails or not "".join(tails).isalnum()):
+            return False
+    return _AS_IT_IS not in text
+
+
+def _has_blank_run(text: str) -> bool:
+    return "  " in text or "\n\n" in text or " \n" in text or "\n " in text
 
 
 class TextEncoder:
@@ -41,15 +71,23 @@ class TextEncoder:
         self.uses = np.zeros(0, np.int64)
 
     def pieces(self, text: str) -> list[str]:
+        """Words of the table whose ids in order are those of the text.  Plain
+        texts are cut at blanks, full stops and commas; others by pattern."""
         if self.cut == WORD_END:
             # A-Z only: other letters are left to the tokenizer
-            return _WITHOUT_BLANKS.findall(text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass"))
-        if _OTHER_SPACE.search(text):
-            return [text]  # blanks of other kinds join with their neighbours: the whole text is one piece
-        return _WITH_BLANKS.findall(text)
+            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
+            if not _plain(text):
+                return _WITHOUT_BLANKS.findall(text)
+            return text.replace(",", " ,").replace(".", " .").replace("\n", " ").split(" ")
+        if _has_other_space(text):
+            return [_AS_IT_IS + text]  # blanks of other kinds join with their neighbours: the whole text is one piece
+        if not _plain(text) or _has_blank_run(text):
+            return [_AS_IT_IS + p for p in _WITH_BLANKS.findall(text)]
+        return (_AS_IT_IS + text.replace(",", " \x01,").replace(".", " \x01.").replace("\n", " \n")).split(" ")
 
     def _learn(self, words: list[str]):
-        got = [e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)]
+        texts = words if self.cut == WORD_END else list(map(_literal, words))
+        got = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
         lens = np.fromiter(map(len, got), np.int64, len(got))
         size, more = int(self.ends[-1]), int(lens.sum())
         if size + more > len(self.flat):
