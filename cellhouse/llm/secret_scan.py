@@ -35,7 +35,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_name, stored
+from .common import free_name, hash_share, stored
 
 CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,80}[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
 CONTEXT = 48
@@ -130,19 +130,25 @@ def candidates(rows: DataFrame, cut: str, keep: list[str]) -> DataFrame:
     return rows.select(*keep, F.explode(one).alias("c")).select(*keep, "c.*")
 
 
+def _some(rows: DataFrame, n: int) -> DataFrame:
+    """About ``n`` rows, chosen by hash."""
+    return rows.where(hash_share(F.xxhash64("i", "t"), n, rows.count()))
+
+
 def labelled_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       n_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """A bounded sample of labelled findings: ``left, value, right, label``."""
+    """A bounded sample of labelled findings, of about ``n_docs`` documents with
+    candidates and as many of all: ``left, value, right, label``."""
     text = F.col(text_col)
     rows = docs.select(F.col(id_col).cast("string").alias("i"), text.alias("t")).where(text.isNotNull())
-    known = rows.where(text_filter(F.col("t"))).orderBy(F.xxhash64("i", "t"), "i", "t").limit(n_docs)
+    known = _some(rows.where(text_filter(F.col("t"))), n_docs)
     found = candidates(known.select(_cut(F.col("t")).alias("c")), "c", [])
     f = features(F.col("value"), F.col("left"), F.col("right"))
     label = F.when(F.col("value").rlike("^[0-9+-]+$"), 0).when(
         (f["key_format"] > 0) | ((f["announced"] > 0) & (f["assigned"] > 0)), 1)
     found = found.withColumn("label", label).where("label is not null")
 
-    some = rows.where(F.length("t") > 100).orderBy(F.xxhash64("t", "i"), "i", "t").limit(n_docs)
+    some = _some(rows.where(F.length("t") > 100), n_docs)
     h = F.sha2(F.concat_ws("|", "i", "t"), 512)
 
     def part(a: int, n: int) -> Column:
