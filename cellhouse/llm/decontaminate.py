@@ -237,18 +237,13 @@ def contamination(part_of, min_share: int = 20):
     return check
 
 
-def find_hits(docs: DataFrame, items: DataFrame, min_share: int = 20, part_bytes: int = PART_BYTES,
-              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per document: ``doc_id`` and the columns of ``RESULT``."""
-    prepare(docs.sparkSession)
-    parts = benchmark_parts(items, part_bytes)
+def _united(docs: DataFrame, parts: list, min_share: int, id_col: str, text_col: str) -> DataFrame:
+    """``doc_id, t, n, r``: the verdict on the united hit spans of several passes,
+    a row for each id and text with its number of rows.  ``t``, a hash of the
+    text, tells documents of equal id apart."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     each = [rows.select("doc_id", F.xxhash64("text").alias("t"), contamination(p, min_share)("text").alias("r"))
             for p in parts]
-    if len(parts) == 1:
-        return each[0].select("doc_id", "r.*")
-    # several parts: unite the hit spans of the passes.  A hash of the text tells
-    # documents of equal id apart; identical rows keep a row each through n.
     key = ["doc_id", "t"]
     base = each[0].groupBy(*key).agg(F.max("r.n_words").alias("n_words"), F.count("*").alias("n"))
     hits = each[0].where("r.n_hit > 0").select(*key, F.explode("r.hits").alias("h"))
@@ -263,18 +258,34 @@ def find_hits(docs: DataFrame, items: DataFrame, min_share: int = 20, part_bytes
 
     h = hits.select(F.col("doc_id").alias("hd"), F.col("t").alias("ht"), "hits")
     both = base.join(h, base.doc_id.eqNullSafe(h.hd) & (base.t == h.ht), "left")
-    return both.select("doc_id", united("n_words", "hits").alias("r"),
+    return both.select("doc_id", "t", "n", united("n_words", "hits").alias("r"))
+
+
+def find_hits(docs: DataFrame, items: DataFrame, min_share: int = 20, part_bytes: int = PART_BYTES,
+              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per document: ``doc_id`` and the columns of ``RESULT``."""
+    prepare(docs.sparkSession)
+    parts = benchmark_parts(items, part_bytes)
+    if len(parts) == 1:
+        return docs.select(F.col(id_col).alias("doc_id"),
+                           contamination(parts[0], min_share)(F.col(text_col)).alias("r")).select("doc_id", "r.*")
+    # identical rows keep a row each through n
+    both = _united(docs, parts, min_share, id_col, text_col)
+    return both.select("doc_id", "r",
                        F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))).alias("copy")).select("doc_id", "r.*")
 
 
 def without_contaminated(docs: DataFrame, items: DataFrame, min_share: int = 20, part_bytes: int = PART_BYTES,
-                         text_col: str = "text") -> DataFrame:
-    """The documents that are not contaminated, all their columns unchanged."""
+                         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents that are not contaminated (by the verdict of ``find_hits``),
+    all their columns unchanged."""
     prepare(docs.sparkSession)
-    for p in benchmark_parts(items, part_bytes):
+    parts = benchmark_parts(items, part_bytes)
+    if len(parts) == 1:
         name = free_name(docs.columns, "c")
-        docs = docs.withColumn(name, contamination(p, min_share)(F.col(text_col))).where(
+        return docs.withColumn(name, contamination(parts[0], min_share)(F.col(text_col))).where(
             f"not `{name}`.contaminated").drop(name)
-    return docs
-
-
+    i, t = free_name(docs.columns, "i"), free_name(docs.columns, "t")
+    bad = stored(_united(docs, parts, min_share, id_col, text_col).where("r.contaminated").select(
+        F.col("doc_id").alias(i), F.col("t").alias(t)), "contaminated")
+    return docs.join(bad, F.col(id_col).eqNullSafe(F.col(i)) & (F.xxhash64(text_col) == F.col(t)), "left_anti")

@@ -163,6 +163,21 @@ def test_contaminated_documents_go_and_columns_stay(spark):
     assert decontaminate.find_hits(docs, nothing).where("n_hit > 0 or contaminated").count() == 0
 
 
+def test_hits_of_several_parts_are_united_before_a_document_goes(spark):
+    bench = [(i, brute.prose(15, 70 + i)) for i in range(6)]
+    items = spark.createDataFrame(bench, "item_id long, text string")
+    parts = decontaminate.benchmark_parts(items, 100)
+    words = brute.prose(900, 80).split()
+    text = " ".join(w for i, (_, t) in enumerate(bench) for w in [*words[150 * i:150 * i + 150], t])
+    alone = [brute.contamination([(1, text)], p.value)[0] for _, p in parts]
+    assert sum(a[2] > 0 for a in alone) > 1 and not any(a[5] for a in alone)  # no part alone has 5 %
+    rows = [(1, text, 5), (None, text, 6), (1, " ".join(words), 7), (None, None, 8), (2, text, 9), (2, text, 9)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _t int")
+    kept = decontaminate.without_contaminated(docs, items, part_bytes=100)
+    assert kept.schema == docs.schema and brute.rows_of(kept, *kept.columns) == brute.ordered([rows[2], rows[3]])
+    assert decontaminate.find_hits(docs, items, part_bytes=100).where("contaminated").count() == 4
+
+
 @pytest.mark.parametrize("order, batch", [(2, lm_score.BATCH_BYTES), (3, 60_000)])
 def test_lm_scores(spark, monkeypatch, order, batch):
     monkeypatch.setattr(lm_score, "BATCH_BYTES", batch)
