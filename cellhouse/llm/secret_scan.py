@@ -1,9 +1,13 @@
 """Secret scans: candidates by pattern, false positives removed by a random
 forest.  DataFrame functions and Spark ML only.
 
-1. Candidates: runs of 16 or more of ``[A-Za-z0-9+/_-]`` (with trailing ``=``)
-   that hold a digit.  The text is split at them, so each candidate has the text
-   before and after it; texts without one never leave the first filter.
+1. Candidates, by context: the password of ``user:password@`` in an address, and
+   any value that a word of ``ANNOUNCES`` with ``=`` or ``:`` assigns (all that
+   stands in its quotes; without quotes, up to a blank or quote, without the
+   marks that end a sentence or list).  By form: runs of 16 or more of
+   ``[A-Za-z0-9+/_-]`` (with trailing ``=``) that hold a digit.  The text is split
+   at them, so each candidate has the text before and after it; texts without
+   one never leave the first filter.
 2. Features of a candidate (``FEATURES``): its length; how its characters change
    class from place to place, character shares and variety; how much of it the
    dictionary covers; whether it stands in a path, address, number or id; and
@@ -37,7 +41,6 @@ from pyspark.sql import functions as F
 
 from .common import free_name, hash_share, stored
 
-CANDIDATE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,80}[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
 CONTEXT = 48
 THRESHOLD = 0.5
 SAMPLE_DOCS = 2000
@@ -50,6 +53,16 @@ ANNOUNCES = (r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[ _-]?key|access[
 HARMLESS = (r"(?:commit|sha(?:1|256)?|md5|hash|checksum|digest|uuid|guid|order|invoice|card|phone|isbn|build|revision|"
             r"version|path|file|url|http|id)")
 
+# What a candidate can be (Java patterns).  The short looks behind spare most places the long ones.
+TOKEN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
+_IN_URL = r"(?<=:)(?<=://[^\s/@:]{0,255}:)[^\s/\"<>`]+(?=@)"
+_SCHEME = r"(?i:bearer|basic|token)[ \t]"
+_ASSIGNED = (r"(?<=[=:> \t\"'`])(?<=[=:>\"'`]|[=:>][ \t]{1,8}|" + _SCHEME + r"{1,8})(?<=" + ANNOUNCES.replace("(?:", "(?i:", 1) + r"[\"'`\]]?[ \t]{0,8}(?::=|=>|==?|:)[ \t]{0,8}"
+             r"(?:" + _SCHEME + r"{1,8})?[\"'`]?)(?!" + _SCHEME + r")(?:"
+             + "".join(rf"(?<={q})(?!\s*{q})[^{q}\\\r\n]*+(?:\\.[^{q}\\\r\n]*+){{0,200}}(?={q})|" for q in "\"'`")
+             + r"[^\s\"'`<>=:](?:[^\s\"'`<>]*[^\s\"'`<>.,;:)\]}])?)")
+CANDIDATE = f"{_IN_URL}|{_ASSIGNED}|{TOKEN}"
+
 # Words that identifiers, paths and slugs are made of
 DICTIONARY = sorted("""
 about access account action active address admin after alpha and api app archive array assets author auto back base
@@ -69,7 +82,7 @@ video view web week widget window with word work year
 
 FEATURES = ["length", "digit", "upper", "lower", "mark", "runs", "digit_letter", "letter_run", "vowel", "variety", "hex",
             "covered", "slash", "dash", "dated", "grouped", "path_before", "path_after", "announced", "harmless",
-            "assigned", "quoted", "key_format"]
+            "assigned", "quoted", "key_format", "in_url"]
 
 
 def _count(value: Column, pattern: str) -> Column:
@@ -95,7 +108,7 @@ def features(value: Column, left: Column, right: Column) -> dict[str, Column]:
     out = {
         "length": F.least(n, F.lit(200.0)),
         "digit": _count(value, "[0-9]") / n, "upper": _count(value, "[A-Z]") / n, "lower": _count(value, "[a-z]") / n,
-        "mark": _count(value, "[+/_=-]") / n, "runs": runs / n,
+        "mark": _count(value, "[^A-Za-z0-9]") / n, "runs": runs / n,
         "digit_letter": F.size(F.regexp_extract_all(kinds, F.lit("(d(?=[ul])|[ul](?=d))"), 1)) / n,
         "letter_run": F.least(longest, F.lit(40)).cast("double"),
         "vowel": _count(F.lower(value), "[aeiou]") / F.greatest(F.lit(1.0), _count(value, "[A-Za-z]").cast("double")),
@@ -110,6 +123,7 @@ def features(value: Column, left: Column, right: Column) -> dict[str, Column]:
         "assigned": flag(left.rlike(r"[=:]\s*[\"']?$")), "quoted": flag(left.rlike(r"[\"'`]$") & right.rlike(r"^[\"'`]")),
         "key_format": flag(value.rlike(r"^(?:A(?:KIA|SIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-|sk_live_|"
                                        r"AIza[0-9A-Za-z_-]{35}|eyJ[A-Za-z0-9_-]{10})")),
+        "in_url": flag(left.rlike(r"(?:://|^)[^\s/@:]*:$") & right.rlike("^@")),
     }
     return {k: F.coalesce(out[k].cast("double"), F.lit(0.0)) for k in FEATURES}
 
@@ -144,7 +158,8 @@ def labelled_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     known = _some(rows.where(text_filter(F.col("t"))), n_docs)
     found = candidates(known.select(_cut(F.col("t")).alias("c")), "c", [])
     f = features(F.col("value"), F.col("left"), F.col("right"))
-    label = F.when(F.col("value").rlike("^[0-9+-]+$"), 0).when(
+    # what only its context makes a candidate may be any word: no label
+    label = F.when(~F.col("value").rlike(f"^(?:{TOKEN})$"), None).when(F.col("value").rlike("^[0-9+-]+$"), 0).when(
         (f["key_format"] > 0) | ((f["announced"] > 0) & (f["assigned"] > 0)), 1)
     found = found.withColumn("label", label).where("label is not null")
 
@@ -165,7 +180,21 @@ def labelled_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     digits = F.translate(part(1, 20), "abcdef", "012345")
     date = F.concat(F.lit("20"), F.substring(digits, 1, 2), F.lit("-1"), F.translate(part(3, 1), "3456789abcdef", "0120120120120"),
                     F.lit("-0"), F.translate(part(4, 1), "0abcdef", "1234567"))
-    made = [(v, F.lit(a), F.lit(b), y) for v, a, b, y in [
+    letters = F.translate(base64(21, 26), "0123456789+/=", "qXwZvYkJhGfDs")
+    mixed = F.concat(F.initcap(term(0)), F.substring(digits, 5, 2), F.lit("&"), base64(40, 3))
+    marked = F.concat(base64(3, 5), F.translate(part(7, 1), "0123456789abcdef", "!$%.~@!$%.~@!$%."), base64(20, 4))
+    # candidates by context, of any form
+    assigned = [
+        (marked, ' password = "', '" ', 1), (marked, " pwd: ", " ", 1), (mixed, ' password="', '" ', 1),
+        (mixed, " passwd=", "\n", 1), (part(2, 10), " password: ", " ", 1), (letters, " secret: ", "\n", 1),
+        (letters, ' token="', '" ', 1), (base64(11, 9), " postgres://app:", "@db/x ", 1), (marked, " https://user:", "@example.com/ ", 1),
+        (mixed, " mysql://root:", "@localhost:3306/ ", 1),
+        (term(0), " password: ", " ", 0), (word(0), " token: ", " ", 0), (word(1), " secret = ", " ", 0),
+        (F.initcap(word(2)), " Signature: ", " ", 0), (F.concat_ws(".", term(0), term(1)), " token = ", "; ", 0),
+        (F.concat(term(0), F.initcap(term(1)), F.lit("(")), " password = ", ") ", 0),
+        (F.concat(F.lit("${"), F.upper(term(0))), " password=", "} ", 0), (F.concat_ws(" ", word(0), word(1), word(2)), ' password: "', '" ', 0),
+        (F.concat_ws("_", term(0), term(1)), ' auth: "', '" ', 0), (F.lit("********"), " password: ", " ", 0)]
+    made = [(v, F.lit(a), F.lit(b), y, by_context) for by_context, kind in ((True, assigned), (False, [
         (part(1, 18), " password=", " ", 1), (part(1, 40), ' token = "', '" ', 1), (base64(1, 32), " secret: ", "\n", 1),
         (base64(9, 40), " aws_secret_access_key = ", "\n", 1), (base64(17, 24), " 'api_key': '", "', ", 1),
         (F.concat(F.lit("AKIA"), F.upper(base64(33, 16))), " ", " ", 1), (part(20, 32), "Authorization: Bearer ", "\n", 1),
@@ -179,12 +208,12 @@ def labelled_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         (F.concat(slug("_"), F.lit("_"), F.substring(digits, 1, 3)), " ", " ", 0),
         (F.concat_ws("_", term(0), term(1), date), " file ", ".txt ", 0),
         (F.concat(term(0), F.initcap(term(1)), F.initcap(term(2)), F.lit("Version2")), " ", "( ", 0),
-        (F.concat(slug(""), F.lit("1")), " ", " ", 0)]]
+        (F.concat(slug(""), F.lit("1")), " ", " ", 0)])) for v, a, b, y in kind]
     ctx = F.regexp_replace(F.substring("t", 1, CONTEXT), r"\s\S*$", "")
     built = some.select(F.explode(F.array(*[
         F.struct(F.right(F.concat(ctx, a), F.lit(CONTEXT)).alias("left"), v.alias("value"),
-                 F.left(F.concat(b, ctx), F.lit(CONTEXT)).alias("right"), F.lit(y).alias("label"))
-        for v, a, b, y in made])).alias("m")).select("m.*").where(F.col("value").rlike(f"^(?:{CANDIDATE})$"))
+                 F.left(F.concat(b, ctx), F.lit(CONTEXT)).alias("right"), F.lit(y).alias("label"), F.lit(c).alias("c"))
+        for v, a, b, y, c in made])).alias("m")).select("m.*").where(F.col("c") | F.col("value").rlike(f"^(?:{TOKEN})$")).drop("c")
     return found.select("left", "value", "right", "label").union(built)
 
 

@@ -228,6 +228,30 @@ def test_secrets_are_found_and_redacted(spark):
     findings.unpersist()
 
 
+IN_CONTEXT = [
+    ('password = "Tr0ub4dor&3x"', "Tr0ub4dor&3x"), ("dsn postgres://app:s3cr3tPw9@db/x", "s3cr3tPw9"),
+    ("secret: aBcDeFgHiJkLmNoPqRsTuVwXyZ", "aBcDeFgHiJkLmNoPqRsTuVwXyZ"), ("pwd=k7$Lq.w2~zB!", "k7$Lq.w2~zB!"),
+    ("use https://me:p%40s.S9x@host/a, then", "p%40s.S9x"), ("{'token': 'x9@Kf&b-7.Qz'}", "x9@Kf&b-7.Qz"),
+    ("Authorization: Bearer hG7~kd.Lw02q\nend", "hG7~kd.Lw02q"), ('password: "aZ4\\"x9\\"" "', 'aZ4\\"x9\\"'),
+    ("password=" + "q" * 90 + "7Zk", "q" * 90 + "7Zk")]
+
+
+def test_secrets_by_context_need_no_digit_and_no_16_characters(spark):
+    base = table(spark, SF2, "documents").select("doc_id", "text")
+    findings = secret_scan.labelled_findings(base).cache()
+    harmless = ["the password: required field", "token = getUser() here", "signature: Miller", "see http://a.b:8080/x@y"]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(IN_CONTEXT)]
+                                 + [(100 + i, t) for i, t in enumerate(harmless)], "doc_id long, text string")
+    got = secret_scan.find_secrets(docs, findings).collect()
+    assert sorted((r.doc_id, r.value) for r in got if r.doc_id < 100) == [(i, v) for i, (_, v) in enumerate(IN_CONTEXT)]
+    assert all(IN_CONTEXT[r.doc_id][0][r.start:].startswith(r.value) for r in got if r.doc_id < 100)
+    secret = {r.doc_id for r in got if r.is_secret}
+    assert {0, 1, 2, 3, 4, 5, 6} <= secret and not any(d >= 100 for d in secret)
+    masked = {r.doc_id: r.text for r in secret_scan.redact(docs, findings).collect()}
+    assert masked[1] == "dsn postgres://app:[SECRET]@db/x" and masked[0] == 'password = "[SECRET]"'
+    findings.unpersist()
+
+
 def test_secret_scan_runs_no_python_on_executors(spark):
     plan = secret_scan.find_secrets(table(spark, SF, "documents"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
