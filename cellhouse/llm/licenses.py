@@ -31,14 +31,14 @@ from pyspark.sql import functions as F
 
 from .common import blocks, prepare
 
-# Words one of which every known sentence and every sentence
-# that speaks of a licence has
+# Words one of which (or the "(c) 2020" of _TELLING) every known
+# sentence and every sentence that speaks of a licence has
 TELLING = ("licen", "warrant", "redistribut", "permission", "rights reserved", "copyright", "public domain",
-           "creative commons", "gnu ", "liable")
+           "creative commons", "gnu ", "liable", "cc by", "cc 0")
 
 # Known licence sentences, normalised, as patterns
 SENTENCES = [
-    ("Copyright", r"(?!.*all rights reserved)((copyright( c)?|c) ?\d{4}.*|copyright( c)? .*\d{4}.*)"),
+    ("Copyright", r"(?!.*all rights reserved|.* all( rights)?$)((copyright( c)?|c) ?\d{4}.*|copyright( c)? .*\d{4}.*)"),
     ("AllRights", r"(.* )?all rights reserved"),
     ("ApacheLic", r"(this (work|file|software|project) is )?licensed under the apache licen[sc]e,? version (?P<v>2 0|2)"
                   r"( the license)?"),
@@ -81,7 +81,7 @@ SENTENCES = [
     ("IscPerm", r"permission to use copy modify and or distribute this software for any purpose with or without fee is "
                 r"hereby granted.*"),
     ("MplLic", r"this source code form is subject to the terms of the mozilla public license v (?P<v>2 0)"),
-    ("CcLic", r"((this work is )?(licensed|released) under )?(a |the )?(creative commons|cc) (?P<v>(by( nc)?( sa| nd)?|0)( \d \d)?)"
+    ("CcLic", r"((this work is )?(licensed|released) under )?(a |the )?(creative commons |cc |cc(?=0))(?P<v>(by( nc)?( sa| nd)?|0)( \d \d)?)"
               r"( international| unported)?( licen[sc]e)?"),
     ("PublicDomain", r"(this (work|file|software) (is|has been) )?(released|placed|dedicated)( in)?to the public domain"),
 ]
@@ -112,8 +112,11 @@ RULES = [
 ]
 
 UNKNOWN = "Unknown"
-_TELLING = re.compile("|".join(map(re.escape, TELLING)), re.I)
-_STOP = re.compile(r"(?<=[.!?:;])[\"')\]]*(?:[ \t]|\r?\n)+(?=[\"'(\[]*[A-Z0-9])|(?:\r?\n[ \t]*){2,}|\Z")
+# in raw text any marks, line breaks and comment signs can stand for a blank; "(c) 2020" is telling too
+_TELLING = re.compile("|".join(w.replace("cc 0", "cc ?0").replace(" ?", r"\W*").replace(" ", r"\W+") for w in TELLING)
+                      + r"|\bc\W*\d{4}", re.I)
+# "v. 2.0" is no end of a sentence
+_STOP = re.compile(r"(?<=[.!?:;])(?!(?<=\b[vV]\.)\s+\d)[\"')\]]*(?:[ \t]|\r?\n)+(?=[\"'(\[]*[A-Z0-9])|(?:\r?\n[ \t]*){2,}|\Z")
 _LINE = re.compile(r"\r?\n|\Z")
 # as _STOP, and also before a line that begins with a capital: a heading may have no stop
 _HEADING = re.compile(r"\r?\n(?=[ \t]*[\"'(\[]*[A-Z])|" + _STOP.pattern)
@@ -141,8 +144,7 @@ def sentences(text: str) -> list[tuple[int, int, str, str]]:
     """(start, end, identifier, version) of the licence sentences, in order.  A
     known sentence beats an unknown one that overlaps it, else the earlier and
     longer one stays."""
-    low = text.lower()
-    if not any(w in low for w in TELLING):
+    if not _TELLING.search(text):
         return []
     found: dict[tuple[int, int], tuple[str, str]] = {}
     for cut in (_STOP, _HEADING, _LINE):
