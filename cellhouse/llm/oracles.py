@@ -70,3 +70,85 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n.n, 0) AS BIG
        coalesce(n.n, 0) > 0 AND 20 * coalesce(n.n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)
 """
+
+
+def crc32(text: str) -> str:
+    """SQL of the unsigned crc32 of ASCII text: a byte, then eight shifts, and so on."""
+    bits = (f"flatten(list_transform(range(1, length({text}) + 1), lambda i: list_concat("
+            f"[CAST(ascii(substr({text}, i, 1)) AS BIGINT)], list_resize([CAST(-1 AS BIGINT)], 8, CAST(-1 AS BIGINT)))))")
+    return (f"xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], {bits}), lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) "
+            "ELSE xor(a >> 1, CASE WHEN a & 1 = 1 THEN CAST(3988292384 AS BIGINT) ELSE CAST(0 AS BIGINT) END) END), "
+            "CAST(4294967295 AS BIGINT))")
+
+
+OP11 = f"""
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+             coalesce(text, '')) AS i, {{'r': coalesce(role, ''), 't': coalesce(text, '')}} AS v
+           FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, list(v ORDER BY i) AS l FROM t GROUP BY c),
+h AS (SELECT c, l, c - c % 5 AS lead, {crc32('CAST(c AS VARCHAR)')} % 9 AS h FROM own),
+s AS (SELECT h.c, list_concat(coalesce(b.l, [])[1:h.h], h.l[h.h + 1:]) AS s FROM h LEFT JOIN own b ON b.c = h.lead),
+p AS (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM s),
+node AS (SELECT d, s[1:d] AS k, min(c) AS least, count(*) AS n, string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)
+           FILTER (len(s) = d) AS ends, count(*) FILTER (len(s) = d) AS e FROM p GROUP BY 1, 2),
+up AS (SELECT unnest(range(0, d + 1)) AS j, k, (n - 1) * coalesce(strlen(k[d].t), 0) AS saved,
+              CAST(e = n AS BIGINT) AS leaf FROM node),
+sub AS (SELECT j AS d, k[1:j] AS k, sum(saved) AS saved, sum(leaf) AS leaves FROM up GROUP BY 1, 2),
+kids AS (SELECT d - 1 AS d, k[1:d - 1] AS k, count(*) AS n FROM node WHERE d > 0 GROUP BY 1, 2)
+SELECT node.least AS conv_id, CAST(node.d AS BIGINT) AS depth, par.least AS parent_conv_id, node.n AS n_convs,
+       coalesce(kids.n, 0) AS n_children, CAST(sub.leaves AS BIGINT) AS n_leaves,
+       CAST(sub.saved AS BIGINT) AS saved_tokens, sha256(coalesce(node.ends, '')) AS ends_sha256
+FROM node JOIN sub ON sub.d = node.d AND sub.k = node.k LEFT JOIN kids ON kids.d = node.d AND kids.k = node.k
+     LEFT JOIN node par ON par.d = node.d - 1 AND par.k = node.k[1:node.d - 1]
+"""
+
+
+def merkle(lower: int = 6, upper: int = 2) -> str:
+    """The manifest for up to 8 ** ``lower`` rows a language and 8 ** ``upper`` languages."""
+    def put(c):
+        return f"coalesce(concat(strlen(CAST({c} AS VARCHAR)), ':', CAST({c} AS VARCHAR)), '-')"
+
+    def leaf(text):
+        return f"sha256(concat({', '.join(map(put, ('doc_id', 'source', 'lang', 'n_chars', text)))}))"
+
+    def level(new, old):  # a level of a tree: runs of eight, as long as there are several nodes
+        return (f"{new} AS (SELECT g, i // 8 AS i, CASE WHEN m > 1 THEN sha256(string_agg(h, '' ORDER BY i)) ELSE min(h) END AS h, "
+                f"CASE WHEN m > 1 THEN (m + 7) // 8 ELSE 1 END AS m FROM {old} GROUP BY g, i // 8, m)")
+
+    def fold(new, old, nodes, g):  # the path goes up a level
+        return (f"{new}r AS (SELECT g, i // 8 AS i, any_value(m) AS m, list(h ORDER BY i) AS l FROM {nodes} GROUP BY 1, 2), "
+                f"{new}s AS (SELECT o.* EXCLUDE (i), o.i // 8 AS i, CASE WHEN m > 1 THEN array_to_string(l[1:o.i % 8], '') ELSE '' END "
+                f"AS a, CASE WHEN m > 1 THEN array_to_string(l[o.i % 8 + 2:], '') ELSE '' END AS b, m FROM {old} o "
+                f"JOIN {new}r r ON r.g = {g} AND r.i = o.i // 8), "
+                f"{new} AS (SELECT * EXCLUDE (a, b, m, f, p), CASE WHEN m > 1 THEN sha256(a || f || b) ELSE f END AS f, "
+                f"p || a || b AS p FROM {new}s)")
+
+    steps = [f"""d AS (SELECT doc_id, coalesce('=' || lang, '') AS g, {leaf('text')} AS leaf,
+        CASE WHEN {crc32('CAST(doc_id AS VARCHAR)')} % 3 = 0 THEN {leaf(_LOWER)} ELSE {leaf('text')} END AS f FROM documents),
+r AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+        count(*) OVER (PARTITION BY g) AS m FROM d)""",
+             "n0 AS (SELECT g, i, leaf AS h, m FROM r)"]
+    steps += [level(f"n{k + 1}", f"n{k}") for k in range(lower)]
+    steps.append(f"""u0 AS (SELECT 0 AS g, row_number() OVER (ORDER BY g) - 1 AS i, h, count(*) OVER () AS m,
+        g AS lang FROM n{lower})""")
+    steps += [level(f"u{k + 1}", f"u{k}") for k in range(upper)]
+    steps.append("f0 AS (SELECT doc_id, g, leaf, f, i, '' AS p FROM r)")
+    steps += [fold(f"f{k + 1}", f"f{k}", f"n{k}", "o.g") for k in range(lower)]
+    steps.append(f"""e0 AS (SELECT x.doc_id, x.leaf, x.f, x.p, u0.i, u0.h AS subroot FROM f{lower} x JOIN u0 ON u0.lang = x.g)""")
+    steps += [fold(f"e{k + 1}", f"e{k}", f"u{k}", "0") for k in range(upper)]
+    return f"""WITH {', '.join(steps)}
+SELECT doc_id, leaf, subroot, u.h AS root, sha256(p) AS proof_sha256, f AS folded_root, f = u.h AS verified
+FROM e{upper}, u{upper} u"""
+
+
+OP12 = merkle()
+
+OP13 = """
+WITH v AS (SELECT vec_id, row_number() OVER () AS r, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE vec_id IS NOT NULL
+             AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+             AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, q.r, x.vec_id, x.r AS xr, list_dot_product(q.e, x.e) AS score FROM v q JOIN v x
+        ON q.r <> x.r AND len(q.e) = len(x.e) WHERE q.vec_id % 20 = 0),
+n AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, xr) AS rank FROM s)
+SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM n WHERE rank <= 20
+"""

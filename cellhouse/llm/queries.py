@@ -11,7 +11,8 @@ from .common import table
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {"op1_lm_score": oracles.OP1, "op4_line_quality": oracles.OP4,
-                           "op10_decontaminate": oracles.OP10}
+                           "op10_decontaminate": oracles.OP10, "op11_conv_trie": oracles.OP11,
+                           "op12_merkle": oracles.OP12, "op13_ann": oracles.OP13}
 
 
 def query(fn):
@@ -118,3 +119,27 @@ def op10_decontaminate(spark, sf_dir):
     from .decontaminate import find_hits
 
     return find_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hits")
+
+
+@query
+def op11_conv_trie(spark, sf_dir):
+    """Prefix trie of all rebuilt conversations."""
+    from .conv_trie import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op12_merkle(spark, sf_dir):
+    """Merkle manifest of all documents, with the versions of tampered leaves checked."""
+    from .merkle import manifest
+
+    return manifest(table(spark, sf_dir, "documents"), with_nodes=False)
+
+
+@query
+def op13_ann(spark, sf_dir):
+    """The 20 nearest of all vectors for each whose id is divisible by 20."""
+    from .ann import search
+
+    return search(table(spark, sf_dir, "embeddings"))

@@ -56,7 +56,7 @@ def test_stages_against_brute_force(spark):
 
 def test_all_queries_are_registered():
     names = entry.queries()
-    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n[:2] == "op"} == set(range(1, 11))
+    assert "pipeline" in names and {int(n[2:].split("_")[0]) for n in names if n[:2] == "op"} == set(range(1, 14))
 
 
 def test_run(spark):
