@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.regions import as_bytes
 from ..sources.table import CellTable, known_tombstones, read_cells
-from .visibility import apply_tombstones
+from .visibility import visible_puts
 
 
 def count_rows(df: DataFrame) -> DataFrame:
@@ -28,7 +28,7 @@ def table_row_count(table: CellTable, families=None) -> DataFrame:
     """A4: number of rows with at least one visible cell: tombstones applied,
     versions not ranked, distinct rows counted."""
     cells = read_cells(table, families=families)
-    seen = apply_tombstones(cells, known=known_tombstones(table, cells, families))
+    seen = visible_puts(cells, known=known_tombstones(table, cells, families))
     return seen.select("row").distinct().agg(F.count(F.lit(1)).alias("n_rows"))
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..functions.regions import as_bytes, regions_for_range
 from ..model import BROADCAST_BYTES, DELETE_FAMILY, RESULT_CELL
 from ..sources.table import CellTable, known_tombstones, read_cells, resolve
-from .visibility import apply_tombstones
+from .visibility import visible_puts
 
 
 def _key_col(requests: DataFrame, row: str) -> F.Column:
@@ -117,7 +117,7 @@ def bulk_get_cells(requests: DataFrame, table: CellTable, row: str = "row", fami
 def _rows_there(requests: DataFrame, table: CellTable, row: str, families) -> DataFrame:
     """Requested rows with a visible cell: tombstones applied, no ranking."""
     cells, regions = requested_cells(requests, table, row, families)
-    seen = apply_tombstones(cells, known=known_tombstones(table, cells, families, regions))
+    seen = visible_puts(cells, known=known_tombstones(table, cells, families, regions))
     return seen.select(F.col("row").alias("_key")).distinct()
 
 

@@ -10,6 +10,10 @@ When the function is decomposable, pass ``partial``: it runs on each key's
 rows inside every input partition *before* the shuffle (pre-aggregation),
 and the keyed function then sees only those partial rows.
 
+When it is not, but what it knows of the rows before can be folded, pass
+``carry`` and ``combine``: rows are dealt over even ranges, and a hot key's run
+is cut into pieces that run side by side (a parallel scan, see ``ranges``).
+
 Unkeyed form (U3): every Spark partition is one group; no shuffle.
 """
 
@@ -24,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import ship_package
+from .ranges import numbered_values, scan_partitions
 
 KEY = "_pkey"
 
@@ -75,7 +80,8 @@ def _folded(keyed: DataFrame, partial: Callable, conf: dict, schema: T.StructTyp
 
 def map_partitions(df: DataFrame, key, fn: Callable, schema: T.StructType, conf: dict | None = None,
                    partial: Callable | None = None, partial_schema: T.StructType | None = None,
-                   order_by=()) -> DataFrame:
+                   order_by=(), carry: Callable | None = None, combine: Callable | None = None,
+                   carry_schema: T.StructType | None = None, n_ranges: int | None = None) -> DataFrame:
     """``fn(conf, key, batches)`` returns ``None``, or an iterable of
     dicts / tuples / ``pa.RecordBatch`` (a generator is consumed lazily).
 
@@ -85,6 +91,13 @@ def map_partitions(df: DataFrame, key, fn: Callable, schema: T.StructType, conf:
     column name or Column; ``key=None`` means unkeyed (U3).  ``order_by``
     columns sort the rows inside each group, so order-dependent functions
     (running totals) can stream instead of collecting the group.
+
+    Hot keys: with ``carry(conf, key, batches)`` (a tuple of ``carry_schema``: what
+    the function must know of these rows to go on behind them) and the associative
+    ``combine(conf, key, a, b)``, rows are cut into ``n_ranges`` even ranges whatever
+    their keys, and the function is ``fn(conf, key, batches, state)``, called for each
+    piece of a key with the combined carry of the pieces before it (None at the
+    first); ``conf["piece"]`` is (its number, how many).
     """
     conf = dict(conf or {})
     ship_package(df.sparkSession)
@@ -92,6 +105,12 @@ def map_partitions(df: DataFrame, key, fn: Callable, schema: T.StructType, conf:
         return map_partitions_unkeyed(df, fn, schema, conf)
     keyed = _keyed(df, key)
     key_type = keyed.schema[KEY].dataType
+    if carry is not None:
+        if combine is None or carry_schema is None or partial is not None:
+            raise ValueError("carry needs combine and carry_schema, and goes without partial")
+        return scan_partitions(keyed, KEY, fn, schema, carry, combine, carry_schema,
+                               lambda f, out, kind, index: _group_runner(f, conf, kind, out, index), conf, order_by,
+                               n_ranges)
     if partial is not None:
         keyed = _folded(keyed, partial, conf, partial_schema)
     out_schema = T.StructType(
@@ -214,16 +233,29 @@ def map_partitions_unkeyed(df: DataFrame, fn: Callable, schema: T.StructType, co
 
 
 def foreach_partition(df: DataFrame, key, fn: Callable, conf: dict | None = None, partial: Callable | None = None,
-                      partial_schema: T.StructType | None = None) -> None:
+                      partial_schema: T.StructType | None = None, order_by=(), carry: Callable | None = None,
+                      combine: Callable | None = None, carry_schema: T.StructType | None = None,
+                      n_ranges: int | None = None) -> None:
     """``fn(conf, key, batches)`` once per key for its side effect.
 
     Keyed: hash partition + in-task sort, one call per key run.  ``partial``
     folds each key's rows inside every input partition before the shuffle, as
     in ``map_partitions``; ``fn`` then sees the partial rows.  Unkeyed
-    (``key=None``): one call per Spark partition, no shuffle.  Runs now.
+    (``key=None``): one call per Spark partition, no shuffle.  With ``carry`` and
+    ``combine`` (see ``map_partitions``) a hot key is split: ``fn(conf, key, batches,
+    state)`` once per piece, told apart by ``conf["piece"]``.  Runs now.
     """
     conf = dict(conf or {})
     ship_package(df.sparkSession)
+    if carry is not None:
+        def done(conf, k, batches, state):
+            fn(conf, k, batches, state)
+            return [(1,)]
+
+        one = T.StructType([T.StructField("n", T.LongType())])
+        map_partitions(df, key, done, one, conf, order_by=order_by, carry=carry, combine=combine,
+                       carry_schema=carry_schema, n_ranges=n_ranges).agg(F.sum("n")).collect()
+        return
     if key is None:
         def run_all(batches):
             fn(conf, None, batches)
@@ -244,16 +276,14 @@ def foreach_partition(df: DataFrame, key, fn: Callable, conf: dict | None = None
     keyed.repartition(KEY).sortWithinPartitions(KEY).mapInArrow(run, "n long").agg(F.sum("n")).collect()
 
 
-def group_values(df: DataFrame, key, values: T.StructType, order_by=()) -> DataFrame:
+def group_values(df: DataFrame, key, values: T.StructType, order_by=(), n_ranges: int | None = None) -> DataFrame:
     """A1: the values of each key, ``(key, index, *values)``: ``values`` names
-    columns of ``df``; ``index`` numbers them in ``order_by`` order.  Groups
-    stream through; no list of one is built."""
+    columns of ``df``; ``index`` numbers them in ``order_by`` order.  No Python
+    and no list of a group; a hot key's rows spread over ``n_ranges`` tasks."""
     names = [f.name for f in values.fields]
-
-    def same(conf, k, batches):
-        return (b.select(names) for b in batches)
-
-    return map_partitions(df, key, same, values, order_by=order_by)
+    keyed = _keyed(df, key).select(KEY, *dict.fromkeys([*names, *(c for c in order_by if isinstance(c, str))]))
+    out = numbered_values(keyed, KEY, order_by, n_ranges)
+    return out.select(F.col(KEY).alias("key"), "index", *(F.col(f.name).cast(f.dataType).alias(f.name) for f in values))
 
 
 def arrow_rows(batches: Iterable[pa.RecordBatch]):

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.regions import region_index
 from ..session import work_root
 from ..sources.table import CellTable
 
@@ -39,6 +40,21 @@ def ordered_rank(df: DataFrame, *keys: str, rank_col: str = "rank") -> DataFrame
     )
 
 
+def rows_in_order(cells: DataFrame, starts, rank_col: str = "rank") -> DataFrame:
+    """O4 from the regions' order: ``row`` and its 1-based place among all distinct
+    rows.  Regions ascend, so a row's rank is the number of rows in the regions before
+    its own plus its place there: one exchange by region, which both the counts and
+    the places read; nothing is sampled or written.  The counts are a row per region."""
+    at = cells.select("row", region_index(F.col("row"), starts, presorted=True).alias("_region")).repartition(
+        "_region").dropDuplicates(["_region", "row"])
+    before = Window.orderBy("_region").rowsBetween(Window.unboundedPreceding, -1)
+    counts = at.groupBy("_region").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.select("_region", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    place = F.row_number().over(Window.partitionBy("_region").orderBy("row"))
+    return at.withColumn("_place", place).join(F.broadcast(counts), "_region").select(
+        "row", (F.col("_off") + F.col("_place")).alias(rank_col))
+
+
 def file_order_violations(table: CellTable) -> DataFrame:
     """O1 check: per (family, region), cells and how many of them break the
     cell order (row up, qualifier up, ts down) against the cell before them

@@ -14,8 +14,8 @@ Plan shape.  Tombstones are aggregated first (partial + final hash
 aggregates, so a hot key is combined map-side).  Their kinds and size come
 from the manifest (for a plain DataFrame: one action), only loads that hold
 some are scanned for them; when they fit ``BROADCAST_BYTES`` they are
-broadcast and the puts never move for tombstone resolution.  Beyond it the joins shuffle and AQE
-splits skewed put partitions.  The newest-n step is a ``row_number``/
+broadcast and the puts never move for tombstone resolution.  Beyond it puts and tombstones go
+through one exchange together and are resolved by a sweep (see ``swept``).  The newest-n step is a ``row_number``/
 ``dense_rank`` filter, which Catalyst turns into a ``WindowGroupLimit``
 that also runs before the exchange: each map task ships at most n versions
 per column, however hot the key.
@@ -80,17 +80,16 @@ def in_ts_range(puts: DataFrame, ts_range=None) -> DataFrame:
     return puts
 
 
-def apply_tombstones(cells: DataFrame, ts_range=None, broadcast_bytes: int = BROADCAST_BYTES,
-                     known: tuple[DataFrame, set, int] | None = None) -> DataFrame:
-    """Puts that no tombstone hides (all versions, duplicates not merged).
-    ``known`` is what a manifest tells: where the tombstones are, their kinds
-    and bytes; then no job runs here."""
+def apply_tombstones(cells: DataFrame, ts_range, known: tuple[DataFrame, set, int]) -> DataFrame:
+    """Puts that no tombstone hides (all versions, duplicates not merged), by
+    broadcast tombstones: ``known`` tells where they are, their kinds and their
+    bytes, which the caller has held against the bound."""
     puts = in_ts_range(cells.where(F.col("op") == F.lit(PUT)), ts_range)
-    tombs, kinds, nbytes = known if known is not None else (cells, *measure_tombstones(cells))
+    tombs, kinds, _ = known
     if not kinds:
         return puts
     fam, col, ver = tombstone_tables(tombs, kinds)
-    side = F.broadcast if nbytes <= broadcast_bytes else (lambda d: d)
+    side = F.broadcast
     out = puts
     if fam is not None:
         out = out.join(side(fam), KEY_F, "left").where(
@@ -124,10 +123,71 @@ def newest_versions(puts: DataFrame, versions: int | None = 1) -> DataFrame:
     return top.withColumn("_rn", F.row_number().over(w_ts)).where(F.col("_rn") == 1).drop("_rn")
 
 
+#: a row's columns are dealt over so many tasks in a sweep
+SWEEP_SPREAD = 8
+
+
+def swept(cells: DataFrame, versions: int | None = 1, ts_range=None, spread: int = SWEEP_SPREAD) -> DataFrame:
+    """Visible puts by one exchange, for tombstones of any size.
+
+    Puts and tombstones go together to (row, family, share of the qualifier); a
+    family tombstone goes to all ``spread`` shares, so a hot row is split.  There they
+    lie in the order family tombstones, then by qualifier, newest first, tombstones
+    before puts of their time.  One pass keeps the newest family tombstone, the newest
+    column tombstone and the last version tombstone met so far, which decide each put;
+    a second, in the same order, counts the versions that are left.
+    """
+    by_time = F.col("op") == F.lit(PUT)
+    rows = cells.where(by_time.isNotNull())
+    if ts_range is not None:  # a range filters puts only
+        rows = rows.where(~by_time).unionByName(in_ts_range(rows.where(by_time), ts_range))
+    is_family = F.col("op") == F.lit(DELETE_FAMILY)
+    own = F.pmod(F.xxhash64("qualifier"), F.lit(spread)).cast("int")
+    shares = F.when(is_family, F.sequence(F.lit(0), F.lit(spread - 1))).otherwise(F.array(own))
+    rows = rows.withColumn("_scope", F.when(is_family, 0).otherwise(1)).withColumn(
+        "_put", by_time.cast("int")).withColumn("_share", F.explode(shares))
+    group = ["row", "family", "_share"]
+    column = [*group, "_scope", "qualifier"]
+    newest = [F.col("ts").desc(), F.col("_put"), *_arrival_order(cells)]
+    family = Window.partitionBy(*group).orderBy("_scope", "qualifier", *newest).rowsBetween(Window.unboundedPreceding, 0)
+    met = Window.partitionBy(*column).orderBy(*newest).rowsBetween(Window.unboundedPreceding, 0)
+
+    def time_of(op):
+        return F.when(F.col("op") == F.lit(op), F.col("ts"))
+
+    rows = rows.withColumn("_fam", F.max(time_of(DELETE_FAMILY)).over(family)).withColumn(
+        "_col", F.max(time_of(DELETE_COLUMN)).over(met)).withColumn(
+        "_ver", F.last(time_of(DELETE_VERSION), ignorenulls=True).over(met))
+    shown = (F.col("_put") == 1) & (F.col("_fam").isNull() | (F.col("ts") > F.col("_fam"))) & (
+        F.col("_col").isNull() | (F.col("ts") > F.col("_col"))) & (F.col("_ver").isNull() | (F.col("ts") != F.col("_ver")))
+    rows = rows.where(shown)
+    # of a time the latest arrival; of a column the newest times
+    order = Window.partitionBy(*column).orderBy(*newest)
+    rows = rows.withColumn("_first", F.coalesce(F.lag("ts").over(order) != F.col("ts"), F.lit(True)))
+    if versions is not None:
+        count = order.rowsBetween(Window.unboundedPreceding, 0)
+        rows = rows.withColumn("_nth", F.sum(F.col("_first").cast("int")).over(count)).where(
+            F.col("_nth") <= int(versions)).drop("_nth")
+    return rows.where("_first").drop("_first", "_scope", "_put", "_share", "_fam", "_col", "_ver")
+
+
+def visible_puts(cells: DataFrame, ts_range=None, broadcast_bytes: int = BROADCAST_BYTES, known=None) -> DataFrame:
+    """Puts that no tombstone hides: by broadcast tombstones as long as they fit, else
+    by a sweep (which keeps one put per timestamp)."""
+    known = known if known is not None else (cells, *measure_tombstones(cells))
+    if known[1] and known[2] > broadcast_bytes:
+        return swept(cells, None, ts_range)
+    return apply_tombstones(cells, ts_range, known)
+
+
 def visible_cells(cells: DataFrame, versions: int | None = 1, ts_range=None, keep_meta: bool = False,
                   broadcast_bytes: int = BROADCAST_BYTES, known=None) -> DataFrame:
     """Visible cells ``row, family, qualifier, ts, value`` of a cell log."""
-    out = newest_versions(apply_tombstones(cells, ts_range, broadcast_bytes, known), versions)
+    known = known if known is not None else (cells, *measure_tombstones(cells))
+    if known[1] and known[2] > broadcast_bytes:
+        out = swept(cells, versions, ts_range)
+    else:
+        out = newest_versions(apply_tombstones(cells, ts_range, known), versions)
     if keep_meta:
         return out
     return out.select("row", "family", "qualifier", "ts", "value")

@@ -12,7 +12,7 @@ from ..operators.load import bulk_load, bulk_load_thin_rows, publish_staged, sta
 from ..operators.lookup import bulk_get, bulk_get_cells, bulk_get_exists, bulk_get_missing, bulk_get_rows
 from ..operators.maintain import compact, live_groups
 from ..operators.mutate import apply_mutations, bulk_delete, bulk_put
-from ..operators.sort import file_order_violations, ordered_rank
+from ..operators.sort import file_order_violations, rows_in_order
 from ..operators.visibility import collapse_identical
 from ..session import new_path
 from ..sources.table import read_table
@@ -114,8 +114,9 @@ def q_scan_columns(spark, d):
 SELECT row, row_number() OVER (ORDER BY row) AS rank FROM (SELECT DISTINCT row FROM ({SQL_ORDER_CELLS}))
 """)
 def q_scan_ordered_rank(spark, d):
-    rows = read_table(order_table(spark, d)).select(from_bytes("row").alias("row")).distinct()
-    return ordered_rank(rows, "row")
+    t = order_table(spark, d)
+    ranked = rows_in_order(read_table(t), t.starts)
+    return ranked.select(from_bytes("row").alias("row"), "rank")
 
 
 @register("bulk_load_thin_rows", f"""
@@ -246,7 +247,7 @@ def q_apply_mutations(spark, d):
     return decoded(read_table(t))
 
 
-@register("visible_cells", _newest(f"""
+SQL_VISIBLE = _newest(f"""
   SELECT * FROM (
     SELECT row, family, qualifier, ts, value, 1 AS load, seq, user_id FROM ({SQL_EVENT_CELLS})
     UNION ALL
@@ -257,8 +258,11 @@ def q_apply_mutations(spark, d):
       FROM (SELECT DISTINCT user_id FROM events WHERE user_id % 10 = 0)) p
   WHERE NOT ((p.user_id % 10 = 0 AND p.ts <= {T_DEL})
           OR (p.user_id % 5 = 1 AND p.family = 'view' AND p.ts <= {T_DEL})
-          OR {SQL_VERSION_DELETED})""", extra_order="load DESC, seq DESC"))
-def q_visible_cells(spark, d):
+          OR {SQL_VERSION_DELETED})""", extra_order="load DESC, seq DESC")
+
+
+def _deleted_events(spark, d):
+    """Events with deletes of every scope, and puts at and after a tombstone's time."""
     t = event_table(spark, d)
     ev = tbl(spark, d, "events")
     bulk_delete(t, _users(ev, F.col("user_id") % 10 == 0), scope="row", ts=T_DEL)
@@ -275,7 +279,18 @@ def q_visible_cells(spark, d):
                      F.lit(T_DEL + 1).cast("bigint").alias("ts"), F.lit("again").alias("value"),
                      F.lit(1).cast("bigint").alias("seq")))
     bulk_put(t, again)
-    return decoded(read_table(t))
+    return t
+
+
+@register("visible_cells", SQL_VISIBLE)
+def q_visible_cells(spark, d):
+    return decoded(read_table(_deleted_events(spark, d)))
+
+
+@register("visible_cells_sweep", SQL_VISIBLE)
+def q_visible_cells_sweep(spark, d):
+    # as if the tombstones were too large to broadcast: one exchange of puts and tombstones
+    return decoded(read_table(_deleted_events(spark, d), broadcast_bytes=0))
 
 
 @register("bulk_put_scan", f"SELECT row, value FROM ({SQL_KV_CELLS})")

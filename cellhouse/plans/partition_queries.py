@@ -50,7 +50,7 @@ SELECT {sql_key('l_orderkey')} AS key, row_number() OVER (PARTITION BY l_orderke
        l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem
 """)
 def q_group_values(spark, d):
-    # A1: each key with its values in order, streamed; no list of a group exists
+    # A1: each key with its values in order; no list of a group exists
     out = group_values(_lines(spark, d), "row", VALUES, order_by=("l_linenumber", "l_partkey", "l_suppkey", "cents"))
     return out.select(F.decode("key", "UTF-8").alias("key"), "index", *[f.name for f in VALUES.fields])
 
@@ -92,6 +92,60 @@ def q_map_partitions(spark, d):
                       "running_cents")
 
 
+# --- U2 and A1 with a key that holds a third of all rows ----------------------
+SQL_HOT = "CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_orderkey END"
+
+
+def _hot_lines(spark, d):
+    hot = F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_orderkey"))
+    return tbl(spark, d, "lineitem").select(
+        hot.alias("hot"), "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents("l_extendedprice").alias("cents"))
+
+
+HOT_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cents")
+SQL_HOT_ORDER = "ORDER BY l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT)"
+SUM = T.StructType([T.StructField("cents", T.LongType())])
+SCANNED = T.StructType([T.StructField("l_orderkey", T.LongType()), *RUNNING.fields])
+
+
+def total_of(conf, key, batches):
+    """What a running sum must know of the rows before it."""
+    return (sum(pc.sum(b.column("cents")).as_py() or 0 for b in batches),)
+
+
+def add_totals(conf, key, a, b):
+    return (a[0] + b[0],)
+
+
+def running_total_from(conf, key, batches, state):
+    sofar = state[0] if state else 0
+    for b in batches:
+        run = pc.add(pc.cumulative_sum(b.column("cents")), sofar)
+        sofar = run[-1].as_py() if len(run) else sofar
+        yield pa.RecordBatch.from_arrays(
+            [*(b.column(n) for n in HOT_ORDER[:4]), run], names=[f.name for f in SCANNED.fields])
+
+
+@register("map_partitions_hot_key", f"""
+SELECT {SQL_HOT} AS key, row_number() OVER w - 1 AS "index", l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            AS BIGINT) AS running_cents
+FROM lineitem WINDOW w AS (PARTITION BY {SQL_HOT} {SQL_HOT_ORDER})
+""")
+def q_map_partitions_hot_key(spark, d):
+    # a third of all lines under one key: its run is cut into ranges that run side by side
+    return map_partitions(_hot_lines(spark, d), "hot", running_total_from, SCANNED, order_by=HOT_ORDER,
+                          carry=total_of, combine=add_totals, carry_schema=SUM)
+
+
+@register("group_values_hot_key", f"""
+SELECT {SQL_HOT} AS key, row_number() OVER (PARTITION BY {SQL_HOT} {SQL_HOT_ORDER}) - 1 AS "index",
+       l_linenumber, l_partkey, l_suppkey, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents FROM lineitem
+""")
+def q_group_values_hot_key(spark, d):
+    return group_values(_hot_lines(spark, d), "hot", VALUES, order_by=HOT_ORDER)
+
+
 # --- U3: unkeyed, one group per Spark partition (no shuffle) -----------------
 CENTS = T.StructType([
     T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .. import fs
 from ..functions.regions import as_bytes, region_bounds, regions_for_range, table_starts
-from ..model import (CELL_COLUMNS, CELL_SCHEMA, DELETE_COLUMN, DELETE_FAMILY, DELETE_VERSION, MANIFEST_SCHEMA,
+from ..model import (BROADCAST_BYTES, CELL_COLUMNS, CELL_SCHEMA, DELETE_COLUMN, DELETE_FAMILY, DELETE_VERSION, MANIFEST_SCHEMA,
                      META_SCHEMA, PUT, STORED_SCHEMA)
 
 LOAD_ID_WIDTH = 12
@@ -232,15 +232,17 @@ def read_table(
     qualifiers=None,
     ts_range=None,
     versions: int | None = 1,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Visible cells (newest ``versions`` per column, tombstones
-    applied) as ``row, family, qualifier, ts, value``."""
+    applied) as ``row, family, qualifier, ts, value``.  Tombstones of more than
+    ``broadcast_bytes`` are resolved by a sweep."""
     cells = read_cells(table, start_row, stop_row, families, qualifiers)
     regions = None
     if start_row is not None or stop_row is not None:
         regions = regions_for_range(table.starts, as_bytes(start_row) if start_row is not None else None,
                                     as_bytes(stop_row) if stop_row is not None else None)
-    return resolve(table, cells, versions, ts_range, families, regions)
+    return resolve(table, cells, versions, ts_range, families, regions, broadcast_bytes)
 
 
 def known_tombstones(table: CellTable, cells: DataFrame, families=None, regions=None):
@@ -250,7 +252,8 @@ def known_tombstones(table: CellTable, cells: DataFrame, families=None, regions=
     return cells.where(F.col("_load").isin(loads)) if loads else cells, kinds, size
 
 
-def resolve(table: CellTable, cells: DataFrame, versions=1, ts_range=None, families=None, regions=None) -> DataFrame:
+def resolve(table: CellTable, cells: DataFrame, versions=1, ts_range=None, families=None, regions=None,
+            broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Visible cells of ``cells`` read from ``table``.  Groups written by a
     major compaction (and nothing since) are resolved already -- no
     tombstones, one cell per version, at most ``versions_kept`` versions --
@@ -261,7 +264,7 @@ def resolve(table: CellTable, cells: DataFrame, versions=1, ts_range=None, famil
     if kept is not False and (versions is None or (kept is not None and kept <= versions)):
         return in_ts_range(cells.where(F.col("op") == F.lit(PUT)), ts_range).select(
             "row", "family", "qualifier", "ts", "value")
-    return visible_cells(cells, versions=versions, ts_range=ts_range,
+    return visible_cells(cells, versions=versions, ts_range=ts_range, broadcast_bytes=broadcast_bytes,
                          known=known_tombstones(table, cells, families, regions))
 
 

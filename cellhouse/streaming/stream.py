@@ -5,13 +5,15 @@
   checkpoint id and batch id, and a replayed batch whose load is already
   committed is skipped -- replay after a failure is idempotent.
 * ``stream_lookup`` (W5): requests looked up per micro-batch with
-  ``bulk_get`` against the table *as published at that batch*.
+  ``bulk_get`` against the table *as published at that batch*;
+  ``stream_lookup_files`` keeps the results in a folder per batch, which a
+  replay of the batch replaces.
 * ``stream_lookup_static`` (W5): stream-static left join against a snapshot.
 * ``windowed_groups`` (W2/W3): watermark + event-time windows + key.
 * ``live_latest`` (W6): newest value per column of a put stream (update mode,
   partial aggregation per micro-batch).
-* ``live_visible`` (W6 with deletes): per (row, family) state of newest
-  visible cells and tombstones, with ``applyInPandasWithState``.
+* in ``stateful``: ``map_windows`` (U2 per window) and ``live_visible`` (W6 with
+  deletes).
 
 ``timestamp_ntz`` inputs become the ``timestamp`` whose UTC wall clock they
 hold (independent of the session time zone) because watermarks need a
@@ -23,18 +25,14 @@ from __future__ import annotations
 
 import hashlib
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.bytes import ntz_to_instant
-from ..model import DELETE_COLUMN, DELETE_FAMILY, DELETE_VERSION, PUT
 from ..operators.load import bulk_load
 from ..operators.lookup import bulk_get
 from ..operators.visibility import latest_value
-from ..session import ship_package
 from ..sources.table import CellTable, open_table
 
 
@@ -82,6 +80,22 @@ def stream_lookup(stream: DataFrame, table_path: str, columns, sink, checkpoint:
     return w.trigger(**(trigger or {"availableNow": True})).start()
 
 
+def stream_lookup_files(stream: DataFrame, table_path: str, columns, out: str, checkpoint: str, row: str = "row",
+                        trigger: dict | None = None):
+    """W5 with files: the results of a micro-batch are parquet files in
+    ``out/batch=<id>``.  A replay after a failure overwrites its own folder, so each
+    request is answered once in ``lookup_results(spark, out)``."""
+    def sink(result: DataFrame, batch_id: int):
+        result.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    return stream_lookup(stream, table_path, columns, sink, checkpoint, row, trigger)
+
+
+def lookup_results(spark, out: str) -> DataFrame:
+    """What ``stream_lookup_files`` has answered so far."""
+    return spark.read.option("basePath", out).parquet(f"{out}/batch=*").drop("batch")
+
+
 def stream_lookup_static(stream: DataFrame, snapshot: DataFrame, row: str = "row") -> DataFrame:
     """Stream-static left join with a wide snapshot (``row`` + value
     columns, e.g. from ``wide_rows``); every request is kept."""
@@ -121,66 +135,8 @@ def live_latest(put_stream: DataFrame) -> DataFrame:
     return latest_value(put_stream)
 
 
-STATE_SCHEMA = "fam_del LONG, cols STRING"
 LIVE_SCHEMA = T.StructType([
     T.StructField("row", T.BinaryType()), T.StructField("family", T.StringType()),
     T.StructField("qualifier", T.BinaryType()), T.StructField("ts", T.LongType()),
     T.StructField("value", T.BinaryType()), T.StructField("present", T.BooleanType()),
 ])
-
-
-def _live_fn(key, pdfs, state):
-    """State per (row, family): family tombstone time and, per qualifier,
-    the newest put [ts, seq, value hex], column tombstone time and version
-    tombstones (JSON).  Emits the changed columns with their visible cell."""
-    import json
-
-    row, family = key
-    if state.exists:
-        fam_del, cols_json = state.get
-        cols = json.loads(cols_json)
-    else:
-        fam_del, cols = None, {}
-    touched = set()
-    for pdf in pdfs:
-        for r in pdf.itertuples(index=False):
-            q = bytes(r.qualifier).hex()
-            if r.op == DELETE_FAMILY:
-                fam_del = int(r.ts) if fam_del is None else max(fam_del, int(r.ts))
-                touched.update(cols.keys())
-                continue
-            c = cols.setdefault(q, {"puts": [], "col_del": None, "ver_del": []})
-            touched.add(q)
-            if r.op == PUT:
-                c["puts"].append([int(r.ts), int(r.seq), bytes(r.value).hex() if r.value is not None else None])
-            elif r.op == DELETE_COLUMN:
-                c["col_del"] = int(r.ts) if c["col_del"] is None else max(c["col_del"], int(r.ts))
-            elif r.op == DELETE_VERSION:
-                c["ver_del"].append(int(r.ts))
-    out = []
-    for q in sorted(touched):
-        c = cols[q]
-        floor = max(x for x in (fam_del, c["col_del"], -1 << 62) if x is not None)
-        gone = set(c["ver_del"])
-        live = [p for p in c["puts"] if p[0] > floor and p[0] not in gone]
-        best = max(live, key=lambda p: (p[0], p[1])) if live else None
-        # tombstones remove masked puts for good; every other version is kept,
-        # since a later version delete may uncover it
-        c["puts"] = live
-        c["ver_del"] = sorted(v for v in gone if v > floor)
-        out.append((row, family, bytes.fromhex(q), best[0] if best else None,
-                    bytes.fromhex(best[2]) if best and best[2] is not None else None, best is not None))
-    state.update((fam_del, json.dumps(cols)))
-    if out:
-        yield pd.DataFrame(out, columns=[f.name for f in LIVE_SCHEMA.fields])
-
-
-def live_visible(cell_stream: DataFrame) -> DataFrame:
-    """W6 with deletes: run in ``update`` mode; each output row is the
-    current visible newest cell of a changed column (``present`` false when
-    hidden).  State per (row, family) holds the unmasked versions of its
-    columns -- the same cells a read of the table would consider."""
-    ship_package(cell_stream.sparkSession)
-    cells = cell_stream.select("row", "family", "qualifier", "ts", "op", "value", "seq")
-    return cells.groupBy("row", "family").applyInPandasWithState(
-        _live_fn, LIVE_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout)
