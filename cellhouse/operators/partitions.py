@@ -20,6 +20,7 @@ Unkeyed form (U3): every Spark partition is one group; no shuffle.
 from __future__ import annotations
 
 import itertools
+import uuid
 from typing import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -222,12 +223,23 @@ def map_partitions_unkeyed(df: DataFrame, fn: Callable, schema: T.StructType, co
             for b in (res.to_batches() if isinstance(res, pa.Table) else [res]):
                 yield b
             return
+        rows = []
         for item in res:
             if isinstance(item, pa.RecordBatch):
+                if rows:
+                    yield framed(rows)
+                    rows = []
                 yield item
             else:
-                rows = _rows_of([item], names)
-                yield pa.RecordBatch.from_pydict({n: [rows[0][i]] for i, n in enumerate(names)}, schema=sch)
+                rows += _rows_of([item], names)
+                if len(rows) >= CHUNK:
+                    yield framed(rows)
+                    rows = []
+        if rows:
+            yield framed(rows)
+
+    def framed(rows):
+        return pa.RecordBatch.from_pydict({n: [r[i] for r in rows] for i, n in enumerate(names)}, schema=sch)
 
     return df.mapInArrow(run, schema)
 
@@ -276,6 +288,108 @@ def foreach_partition(df: DataFrame, key, fn: Callable, conf: dict | None = None
     keyed.repartition(KEY).sortWithinPartitions(KEY).mapInArrow(run, "n long").agg(F.sum("n")).collect()
 
 
+def bundles(batches: Iterator[pa.RecordBatch], max_rows: int, max_bytes: int) -> Iterator[list[pa.RecordBatch]]:
+    """Runs of batches of at most ``max_rows`` rows and ``max_bytes`` bytes (one row at
+    least), in order; batches are sliced, not copied."""
+    held, rows, size = [], 0, 0
+    for b in batches:
+        while b.num_rows:
+            each = max(1, -(-b.nbytes // b.num_rows))
+            take = min(b.num_rows, max_rows - rows, max((max_bytes - size) // each, 0 if held else 1))
+            while take > 1 and b.slice(0, take).nbytes > max_bytes - size:  # rows are not all alike
+                take //= 2
+            if take == 1 and held and b.slice(0, 1).nbytes > max_bytes - size:
+                take = 0
+            if take:
+                held.append(b.slice(0, take))
+                rows, size, b = rows + take, size + held[-1].nbytes, b.slice(take)
+            if b.num_rows or rows == max_rows:
+                yield held
+                held, rows, size = [], 0, 0
+    if held:
+        yield held
+
+
+def map_bundles(df: DataFrame, fn: Callable, schema: T.StructType, conf: dict | None = None, max_rows: int = 1000,
+                max_bytes: int = 1 << 20) -> DataFrame:
+    """U3 by bundles: ``fn(conf, bundle, batches)`` for runs of at most ``max_rows`` rows
+    and ``max_bytes`` bytes of a partition; ``bundle`` is ``(partition, number)``, the
+    same when a task runs again.  No shuffle; output rows as in ``map_partitions``,
+    with ``bundle`` ("partition-number") before them."""
+    conf = dict(conf or {})
+    ship_package(df.sparkSession)
+    names = schema.names
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    out_schema = T.StructType([T.StructField("bundle", T.StringType()), *schema.fields])
+    arrow = to_arrow_schema(out_schema)
+
+    def run(batches):
+        from pyspark import TaskContext
+
+        part = TaskContext.get().partitionId()
+        for n, held in enumerate(bundles(batches, max_rows, max_bytes)):
+            res = fn(conf, (part, n), iter(held))
+            rows = [] if res is None else [r for item in ([res] if isinstance(res, (pa.RecordBatch, pa.Table)) else res)
+                                           for r in _rows_of(item if isinstance(item, (pa.RecordBatch, pa.Table)) else [item],
+                                                             names)]
+            if rows:
+                yield pa.RecordBatch.from_pydict({"bundle": [f"{part}-{n}"] * len(rows), **{
+                    c: [r[i] for r in rows] for i, c in enumerate(names)}}, schema=arrow)
+
+    return df.mapInArrow(run, out_schema)
+
+
+def foreach_committed(df: DataFrame, key, fn: Callable, commit: Callable, abort: Callable | None = None,
+                      conf: dict | None = None, partial: Callable | None = None,
+                      partial_schema: T.StructType | None = None) -> None:
+    """U1 with side effects that count once: ``fn(conf, key, batches)`` per key, where
+    ``conf["attempt"]`` names the running task attempt and the effect is kept under that
+    name; when all tasks are done, ``commit(conf, attempts)`` runs once, in a Python
+    process beside the driver (there is no session), with the one attempt of each task
+    that counts (``abort`` with those known if the job fails).  What attempts that failed or ran twice left behind is not among them."""
+    from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+
+    spark, conf = df.sparkSession, dict(conf or {})
+    ship_package(spark)
+    keyed = _keyed(df, key)
+    if partial is not None:
+        keyed = _folded(keyed, partial, conf, partial_schema)
+    name = f"effects_{uuid.uuid4().hex}"
+
+    class Attempt(WriterCommitMessage):
+        def __init__(self, name: str):
+            self.name = name
+
+    class Writer(DataSourceArrowWriter):
+        def write(self, iterator):
+            from pyspark import TaskContext
+
+            t = TaskContext.get()
+            mine = dict(conf, attempt=f"{t.partitionId()}-{t.taskAttemptId()}")
+            for k, pieces in _batches_by_key(iterator, KEY):
+                fn(mine, k, (p.drop_columns([KEY]) for p in pieces))
+            return Attempt(mine["attempt"])
+
+        def commit(self, messages):
+            commit(conf, sorted(m.name for m in messages if m is not None))
+
+        def abort(self, messages):
+            if abort is not None:
+                abort(conf, sorted(m.name for m in messages if m is not None))
+
+    class Effects(DataSource):
+        @classmethod
+        def name(cls):
+            return name
+
+        def writer(self, schema, overwrite):
+            return Writer()
+
+    spark.dataSource.register(Effects)
+    keyed.repartition(KEY).sortWithinPartitions(KEY).write.format(name).mode("append").save()
+
+
 def group_values(df: DataFrame, key, values: T.StructType, order_by=(), n_ranges: int | None = None) -> DataFrame:
     """A1: the values of each key, ``(key, index, *values)``: ``values`` names
     columns of ``df``; ``index`` numbers them in ``order_by`` order.  No Python

@@ -401,6 +401,24 @@ SQL_REQ = f"""
 """
 
 
+@register("bulk_get_hash_filter", f"""
+SELECT {sql_key('l_orderkey')} AS row, l_linenumber, o_orderstatus AS status, true AS found
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey
+""")
+def q_bulk_get_hash_filter(spark, d):
+    # as if the keys of all lines were too large to broadcast; two of three rows of the table are asked for by none
+    o = tbl(spark, d, "orders")
+    cell = [F.lit("status").alias("family"), F.lit("s").alias("qualifier"), F.col("o_orderstatus").alias("value"),
+            F.lit(1).cast("long").alias("ts"), F.col("o_orderkey").alias("seq")]
+    tail = F.explode(F.array(F.lit(""), F.lit("x"), F.lit("y"))).alias("tail")
+    rows = o.select("*", tail).select(F.concat(padded_key("o_orderkey"), F.encode("tail", "UTF-8")).alias("row"), *cell)
+    t = new_table(spark, "filtered-get", ["status"], key_splits(spark, d))
+    bulk_load(t, rows)
+    asked = tbl(spark, d, "lineitem").select(padded_key("l_orderkey").alias("row"), "l_linenumber")
+    got = bulk_get(asked, t, [("status", "s", "status")], broadcast_bytes=0)
+    return got.select(from_bytes("row").alias("row"), "l_linenumber", from_bytes("status").alias("status"), "found")
+
+
 @register("bulk_get", f"""
 SELECT r.o_orderkey, r.row, c.c_name, printf('%.2f', c.c_acctbal) AS c_acctbal, c.c_custkey IS NOT NULL AS found
 FROM ({SQL_REQ}) r LEFT JOIN customer c ON {sql_key('c.c_custkey')} = r.row

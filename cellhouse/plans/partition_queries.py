@@ -9,7 +9,8 @@ from pyspark.sql import types as T
 
 from ..functions.bytes import int_key, padded_key
 from ..functions.regions import region_index, table_starts
-from ..operators.partitions import foreach_partition, group_values, map_partitions, map_partitions_unkeyed
+from ..operators.partitions import (foreach_committed, group_values, map_bundles, map_partitions,
+                                    map_partitions_unkeyed)
 from ..session import new_path
 from .fixtures import cents, key_splits, sql_key, sql_order_region, tbl
 from .registry import register
@@ -220,9 +221,9 @@ def q_map_partitions_by_region(spark, d):
                       F.decode("max_row", "UTF-8").alias("max_row"))
 
 
-# --- U1: keyed for-each with a side effect, checked by reading it back ---------
+# --- U1: keyed for-each whose side effects count once ---------------------------
 def write_summary(conf, key, batches):
-    """Side effect: one parquet file per key in the shared folder."""
+    """Side effect: one parquet file per key, in a folder of the task attempt."""
     import pyarrow.fs as pafs
     import pyarrow.parquet as pq
 
@@ -231,11 +232,21 @@ def write_summary(conf, key, batches):
         n += pc.sum(b.column("n")).as_py()
         tot += pc.sum(b.column("total_cents")).as_py()
     out = pa.table({"region": pa.array([key], pa.int64()), "n": [n], "total_cents": [tot]})
-    fs, base = pafs.FileSystem.from_uri(conf["out"])
+    fs, base = pafs.FileSystem.from_uri(f"{conf['out']}/{conf['attempt']}")
     fs.create_dir(base, recursive=True)
     pq.write_table(out, f"{base}/region-{key}.parquet", filesystem=fs)
 
 
+def name_attempts(conf, attempts):
+    """The attempts that count, as a table beside their folders."""
+    import pyarrow.fs as pafs
+    import pyarrow.parquet as pq
+
+    fs, base = pafs.FileSystem.from_uri(f"{conf['out']}-done")
+    fs.create_dir(base, recursive=True)
+    pq.write_table(pa.table({"attempt": attempts}), f"{base}/attempts.parquet", filesystem=fs)
+
+
 @register("foreach_partition", f"""
 SELECT CAST(region AS BIGINT) AS region, count(*) AS n,
        CAST(sum(CAST(round(l_extendedprice * 100) AS BIGINT)) AS BIGINT) AS total_cents
@@ -246,7 +257,36 @@ def q_foreach_partition(spark, d):
     out = new_path(spark, "foreach")
     uri = out if "://" in out or out.startswith("file:") else f"file://{out}"
     rows = _lines(spark, d).select("row", "cents")
+
     # regions are few and large: rows are folded inside each input partition first
-    foreach_partition(rows, _region(spark, d), write_summary, conf={"out": uri}, partial=region_partial,
+    foreach_committed(rows, _region(spark, d), write_summary, name_attempts, conf={"out": uri}, partial=region_partial,
                       partial_schema=PARTIAL)
-    return spark.read.parquet(uri)
+    done = spark.read.parquet(f"{uri}-done")
+    files = spark.read.parquet(f"{uri}/*").withColumn("attempt", F.element_at(F.split("_metadata.file_path", "/"), -2))
+    return files.join(F.broadcast(done), "attempt", "left_semi").select("region", "n", "total_cents")
+
+
+# --- U3 by bundles ------------------------------------------------------------
+BUNDLE = T.StructType([T.StructField("n", T.LongType()), T.StructField("bytes", T.LongType()),
+                       T.StructField("cents", T.LongType())])
+BUNDLE_ROWS, BUNDLE_BYTES = 500, 8192
+
+
+def bundle_totals(conf, bundle, batches):
+    n = size = total = 0
+    for b in batches:
+        n, size, total = n + b.num_rows, size + b.nbytes, total + (pc.sum(b.column("cents")).as_py() or 0)
+    return [(n, size, total)]
+
+
+@register("map_bundles", f"""
+SELECT count(*) AS n_rows, CAST(sum(round(value * 100)) AS BIGINT) AS total_cents, true AS bounded,
+       true AS enough, true AS distinct_ids FROM events
+""")
+def q_map_bundles(spark, d):
+    rows = tbl(spark, d, "events").select("event_id", "user_id", cents("value").alias("cents"))
+    out = map_bundles(rows, bundle_totals, BUNDLE, max_rows=BUNDLE_ROWS, max_bytes=BUNDLE_BYTES)
+    return out.agg(F.sum("n").alias("n_rows"), F.sum("cents").alias("total_cents"),
+                   ((F.max("n") <= BUNDLE_ROWS) & (F.max("bytes") <= BUNDLE_BYTES)).alias("bounded"),
+                   (F.count("*") * BUNDLE_ROWS >= F.sum("n")).alias("enough"),
+                   (F.count_distinct("bundle") == F.count("*")).alias("distinct_ids"))

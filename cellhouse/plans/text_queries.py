@@ -216,6 +216,26 @@ def q_region_ranges(spark, d):
         "region", "start_key", "stop_key", F.coalesce(F.col("n"), F.lit(0)).alias("n_rows"))
 
 
+SPLIT_REGIONS = 32
+
+
+@register("region_splits_of_data", f"""
+SELECT {SPLIT_REGIONS} AS n_regions, count(*) AS n_rows, true AS even FROM lineitem
+""")
+def q_region_splits_of_data(spark, d):
+    """Split keys of a skewed text key (no number, most keys under a few prefixes)
+    by a quantile sketch: no region holds over 1.5 times the mean."""
+    from ..operators.splits import data_splits
+
+    text = F.concat(F.when(F.col("l_orderkey") % 10 < 8, F.lit("item/a/")).otherwise(F.lit("z")),
+                    F.sha1(F.concat_ws("|", "l_partkey", "l_suppkey")), F.lit("/"), F.col("l_orderkey").cast("string"))
+    rows = tbl(spark, d, "lineitem").select(F.encode(text, "UTF-8").alias("row"))
+    starts = [b"", *data_splits(rows, "row", SPLIT_REGIONS)]
+    sizes = rows.groupBy(region_index("row", starts, presorted=True).alias("region")).agg(F.count("*").alias("n"))
+    return sizes.agg(F.count("*").cast("int").alias("n_regions"), F.sum("n").alias("n_rows"),
+                     (F.max("n") <= 1.5 * F.avg("n")).alias("even"))
+
+
 # --- bytes ------------------------------------------------------------------------
 @register("bytes_roundtrip", """
 SELECT c_custkey, hex(encode(c_name)) AS name_hex, decode(encode(c_name)) AS name_back,

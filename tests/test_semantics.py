@@ -376,3 +376,37 @@ def test_leftover_staging_of_a_crashed_load(spark, tmp_table):
     spark.range(1).write.parquet(leftover + "/family=f/region=0")
     put(spark, t, [("r", "f", "q", 1, "x")])
     assert view(t) == [("r", "f", "q", 1, "x")]
+
+
+def test_sweep_equals_broadcast_tombstones(spark):
+    """Random logs: one exchange of puts and tombstones gives what the joins give."""
+    import random
+
+    from cellhouse.operators.visibility import swept, visible_cells
+
+    r = random.Random(11)
+    rows = []
+    for i in range(4000):
+        op = r.choice([4] * 8 + [8, 12, 14])
+        rows.append((bytearray(r.choice([b"hot", b"a", b"b\xff"])), r.choice("fg"), bytearray(b"" if op == 14 else r.choice(
+            [b"", b"p", b"q", b"r\x00"])), r.randrange(-5, 40), op, None if op != 4 else bytearray(b"%d" % i), i, r.randrange(3)))
+    schema = "row binary, family string, qualifier binary, ts long, op tinyint, value binary, seq long, load_id long"
+    log = spark.createDataFrame(rows, schema).repartition(5)
+    for versions in (1, 3, None):
+        for ts_range in (None, (0, 20), (None, 30)):
+            a, b = (sorted((bytes(x.row), x.family, bytes(x.qualifier), x.ts, x.value) for x in visible_cells(
+                log, versions, ts_range, broadcast_bytes=n).collect()) for n in (1 << 30, 0))
+            assert a == b and a
+    plan = swept(log)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_rows_in_order_samples_and_writes_nothing(spark):
+    from cellhouse.operators.sort import rows_in_order
+
+    rows = [(bytearray(b"%05d" % (i * 7919 % 1000)),) for i in range(3000)] + [(bytearray(b""),), (bytearray(b"\xff"),)]
+    out = rows_in_order(spark.createDataFrame(rows, "row binary"), [b"", b"00200", b"00900", b"00950"])
+    want = {k: i for i, k in enumerate(sorted({bytes(x[0]) for x in rows}), 1)}
+    assert {bytes(x.row): x["rank"] for x in out.collect()} == want and out.count() == len(want)
+    plan = out._jdf.queryExecution().toString()
+    assert "rangepartitioning" not in plan and "Scan ExistingRDD[_p" not in plan
