@@ -5,9 +5,10 @@ forest.  DataFrame functions and Spark ML only.
    any value that a word of ``ANNOUNCES`` with ``=`` or ``:`` assigns (all that
    stands in its quotes; without quotes, up to a blank or quote, without the
    marks that end a sentence or list).  By form: runs of 16 or more of
-   ``[A-Za-z0-9+/_-]`` (with trailing ``=``) that hold a digit.  The text is split
-   at them, so each candidate has the text before and after it; texts without
-   one never leave the first filter.
+   ``[A-Za-z0-9+/_-]`` (with trailing ``=``) that hold a digit.  One pattern matches
+   announcement and value together and sets marks round the value, where the text is
+   split: so a value may be of any length, and a text has its candidates with what
+   stands before and after them in one pass.
 2. Features of a candidate (``FEATURES``): its length; how its characters change
    class from place to place, character shares and variety; how much of it the
    dictionary covers; whether it stands in a path, address, number or id; and
@@ -17,12 +18,12 @@ forest.  DataFrame functions and Spark ML only.
    is a secret; those below ``THRESHOLD`` are removed as false positives.
 
 Labelled findings are a table ``left, value, right, label``.  The supplied data
-hold none, so ``labelled_findings`` makes a bounded sample of them from the
-documents themselves: findings whose kind a reviewer would know at sight
-(key formats and assigned random values; card and phone numbers) and, for kinds
-that the documents lack, values built from a document's hash and words -- hex
-digests of commits, UUIDs, paths, dated file names, slugs -- set into the
-document's text.  ``find_secrets`` takes any such table instead.
+hold none, so ``labelled_findings`` makes them: values drawn by kind -- keys, tokens
+and passwords for 1; commit digests, UUIDs, card and phone numbers, paths, dated
+file names, slugs, placeholders and plain words for 0 -- from a document's hash and
+words, set into the document's text.  The label is the kind that was drawn, never
+a feature.  ``held_out_figures`` gives precision and recall on kinds that the forest
+has not seen.  ``find_secrets`` takes any table of labelled findings instead.
 
 Defined results: null and empty texts have no candidates; a text may have any
 number of them; repeated rows are scanned each; null ids are kept; other columns
@@ -36,7 +37,7 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import free_name, hash_share, stored
@@ -53,15 +54,19 @@ ANNOUNCES = (r"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[ _-]?key|access[
 HARMLESS = (r"(?:commit|sha(?:1|256)?|md5|hash|checksum|digest|uuid|guid|order|invoice|card|phone|isbn|build|revision|"
             r"version|path|file|url|http|id)")
 
-# What a candidate can be (Java patterns).  The short looks behind spare most places the long ones.
-TOKEN = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])[A-Za-z0-9+/_-]{16,}={0,2}"
-_IN_URL = r"(?<=:)(?<=://[^\s/@:]{0,255}:)[^\s/\"<>`]+(?=@)"
+# What a candidate can be (Java patterns); the groups are what stands before it and, in turn, the value
+_RUN = r"[A-Za-z0-9+/_-]"
+TOKEN = rf"(?<!{_RUN})(?=[A-Za-z+/_-]*+[0-9]){_RUN}{{16,}}={{0,2}}"
+_IN_URL = r"(://[^\s/@:]*+:)([^\s/\"<>`]+)(?=@)"
 _SCHEME = r"(?i:bearer|basic|token)[ \t]"
-_ASSIGNED = (r"(?<=[=:> \t\"'`])(?<=[=:>\"'`]|[=:>][ \t]{1,8}|" + _SCHEME + r"{1,8})(?<=" + ANNOUNCES.replace("(?:", "(?i:", 1) + r"[\"'`\]]?[ \t]{0,8}(?::=|=>|==?|:)[ \t]{0,8}"
-             r"(?:" + _SCHEME + r"{1,8})?[\"'`]?)(?!" + _SCHEME + r")(?:"
-             + "".join(rf"(?<={q})(?!\s*{q})[^{q}\\\r\n]*+(?:\\.[^{q}\\\r\n]*+){{0,200}}(?={q})|" for q in "\"'`")
-             + r"[^\s\"'`<>=:](?:[^\s\"'`<>]*[^\s\"'`<>.,;:)\]}])?)")
-CANDIDATE = f"{_IN_URL}|{_ASSIGNED}|{TOKEN}"
+_BEFORE = (rf"((?<!{_RUN}){_RUN}*?" + ANNOUNCES.replace("(?:", "(?i:", 1) + r"[\"'`\]]?[ \t]*+(?::=|=>|==?|:)[ \t]*+"
+           rf"(?:{_SCHEME}++[ \t]*+)?+)(?!{_SCHEME})")
+_QUOTED = "".join(rf"({q})((?!\s*{q})[^{q}\\\r\n]*+(?:\\.[^{q}\\\r\n]*+)*+)(?={q})|" for q in "\"'`")
+_BARE = r"([\"'`]?+)([^\s\"'`<>=:](?:[^\s\"'`<>]*[^\s\"'`<>.,;:)\]}])?)"
+CANDIDATE = f"{_IN_URL}|{_BEFORE}(?:{_QUOTED}{_BARE})|({TOKEN})"
+_KEPT, _VALUE = "$1$3$4$6$8$10", "$2$5$7$9$11$12"
+# marks round a value: the first pair that the text has not
+MARKS = [("\x01", "\x02"), ("﷐", "﷑"), ("﷮", "﷯")]
 
 # Words that identifiers, paths and slugs are made of
 DICTIONARY = sorted("""
@@ -128,42 +133,40 @@ def features(value: Column, left: Column, right: Column) -> dict[str, Column]:
     return {k: F.coalesce(out[k].cast("double"), F.lit(0.0)) for k in FEATURES}
 
 
-def _cut(text: Column) -> Column:
-    """The candidates of a text and the pieces between them (one more)."""
-    return F.struct(F.regexp_extract_all(text, F.lit(CANDIDATE), 0).alias("value"),
-                    F.split(text, CANDIDATE, -1).alias("piece"))
+def cut(text: Column) -> Column:
+    """The text cut at its candidates: text, candidate, text, ..., text; null if it
+    has none.  (A text that holds all of ``MARKS`` loses the first pair.)"""
+    def at(pair: tuple[str, str], t: Column) -> Column:
+        marked = F.regexp_replace(t, CANDIDATE, f"{_KEPT}{pair[0]}{_VALUE}{pair[1]}")
+        return F.when(F.contains(marked, F.lit(pair[0])), F.split(marked, f"[{pair[0]}{pair[1]}]", -1))
 
+    def holds(pair: tuple[str, str]) -> Column:
+        return F.contains(text, F.lit(pair[0])) | F.contains(text, F.lit(pair[1]))
 
-def candidates(rows: DataFrame, cut: str, keep: list[str]) -> DataFrame:
-    """One row per candidate of ``rows[cut]`` (see ``_cut``): the columns ``keep``,
-    ``nth``, ``value``, ``left`` and ``right``."""
-    value, piece = F.col(f"{cut}.value"), F.col(f"{cut}.piece")
-    one = F.transform(value, lambda v, i: F.struct(
-        i.alias("nth"), v.alias("value"), F.right(F.element_at(piece, i + 1), F.lit(CONTEXT)).alias("left"),
-        F.left(F.element_at(piece, i + 2), F.lit(CONTEXT)).alias("right")))
-    return rows.select(*keep, F.explode(one).alias("c")).select(*keep, "c.*")
+    first, second, third = MARKS
+    return F.when(~holds(first), at(first, text)).when(~holds(second), at(second, text)).when(
+        ~holds(third), at(third, text)).otherwise(at(first, F.translate(text, "".join(first), "  ")))
 
 
-def _some(rows: DataFrame, n: int) -> DataFrame:
-    """About ``n`` rows, chosen by hash."""
-    return rows.where(hash_share(F.xxhash64("i", "t"), n, rows.count()))
+def candidates(rows: DataFrame, parts: str, keep: list[str]) -> DataFrame:
+    """One row per candidate of ``rows[parts]`` (see ``cut``): the columns ``keep``,
+    ``nth``, ``value``, ``left``, ``right`` and ``gap``, the characters since the
+    candidate before."""
+    p = F.col(parts)
+    one = F.transform(F.sequence(F.lit(0), F.floor(F.size(p) / 2).cast("int") - 1), lambda i: F.struct(
+        i.alias("nth"), F.element_at(p, 2 * i + 2).alias("value"),
+        F.right(F.element_at(p, 2 * i + 1), F.lit(CONTEXT)).alias("left"),
+        F.left(F.element_at(p, 2 * i + 3), F.lit(CONTEXT)).alias("right"),
+        F.length(F.element_at(p, 2 * i + 1)).alias("gap")))
+    return rows.where(p.isNotNull()).select(*keep, F.explode(one).alias("c")).select(*keep, "c.*")
 
 
-def labelled_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                      n_docs: int = SAMPLE_DOCS) -> DataFrame:
-    """A bounded sample of labelled findings, of about ``n_docs`` documents with
-    candidates and as many of all: ``left, value, right, label``."""
+def made_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """Findings of known kind, set into the text of about ``n_docs`` documents chosen
+    by hash: ``left, value, right, label, kind``."""
     text = F.col(text_col)
-    rows = docs.select(F.col(id_col).cast("string").alias("i"), text.alias("t")).where(text.isNotNull())
-    known = _some(rows.where(text_filter(F.col("t"))), n_docs)
-    found = candidates(known.select(_cut(F.col("t")).alias("c")), "c", [])
-    f = features(F.col("value"), F.col("left"), F.col("right"))
-    # what only its context makes a candidate may be any word: no label
-    label = F.when(~F.col("value").rlike(f"^(?:{TOKEN})$"), None).when(F.col("value").rlike("^[0-9+-]+$"), 0).when(
-        (f["key_format"] > 0) | ((f["announced"] > 0) & (f["assigned"] > 0)), 1)
-    found = found.withColumn("label", label).where("label is not null")
-
-    some = _some(rows.where(F.length("t") > 100), n_docs)
+    rows = docs.where(F.length(text) > 100).select(F.col(id_col).cast("string").alias("i"), text.alias("t"))
+    some = rows.where(hash_share(F.xxhash64("i", "t"), n_docs, rows.count()))
     h = F.sha2(F.concat_ws("|", "i", "t"), 512)
 
     def part(a: int, n: int) -> Column:
@@ -194,7 +197,7 @@ def labelled_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         (F.concat(term(0), F.initcap(term(1)), F.lit("(")), " password = ", ") ", 0),
         (F.concat(F.lit("${"), F.upper(term(0))), " password=", "} ", 0), (F.concat_ws(" ", word(0), word(1), word(2)), ' password: "', '" ', 0),
         (F.concat_ws("_", term(0), term(1)), ' auth: "', '" ', 0), (F.lit("********"), " password: ", " ", 0)]
-    made = [(v, F.lit(a), F.lit(b), y, by_context) for by_context, kind in ((True, assigned), (False, [
+    made = [(*x, True) for x in assigned] + [(*x, False) for x in [
         (part(1, 18), " password=", " ", 1), (part(1, 40), ' token = "', '" ', 1), (base64(1, 32), " secret: ", "\n", 1),
         (base64(9, 40), " aws_secret_access_key = ", "\n", 1), (base64(17, 24), " 'api_key': '", "', ", 1),
         (F.concat(F.lit("AKIA"), F.upper(base64(33, 16))), " ", " ", 1), (part(20, 32), "Authorization: Bearer ", "\n", 1),
@@ -208,18 +211,38 @@ def labelled_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
         (F.concat(slug("_"), F.lit("_"), F.substring(digits, 1, 3)), " ", " ", 0),
         (F.concat_ws("_", term(0), term(1), date), " file ", ".txt ", 0),
         (F.concat(term(0), F.initcap(term(1)), F.initcap(term(2)), F.lit("Version2")), " ", "( ", 0),
-        (F.concat(slug(""), F.lit("1")), " ", " ", 0)])) for v, a, b, y in kind]
-    ctx = F.regexp_replace(F.substring("t", 1, CONTEXT), r"\s\S*$", "")
+        (F.concat(slug(""), F.lit("1")), " ", " ", 0)]]
+    # any place of the document's own text
+    start = F.pmod(F.xxhash64("t", F.lit(1)), F.length("t")) + 1
+    before = F.regexp_replace(F.substr("t", start.cast("int"), F.lit(CONTEXT)), r"\s\S*$", "")
+    after = F.regexp_replace(F.right("t", F.lit(CONTEXT)), r"\S*$", "")
     built = some.select(F.explode(F.array(*[
-        F.struct(F.right(F.concat(ctx, a), F.lit(CONTEXT)).alias("left"), v.alias("value"),
-                 F.left(F.concat(b, ctx), F.lit(CONTEXT)).alias("right"), F.lit(y).alias("label"), F.lit(c).alias("c"))
-        for v, a, b, y, c in made])).alias("m")).select("m.*").where(F.col("c") | F.col("value").rlike(f"^(?:{TOKEN})$")).drop("c")
-    return found.select("left", "value", "right", "label").union(built)
+        F.struct(F.right(F.concat(before, F.lit(a)), F.lit(CONTEXT)).alias("left"), v.alias("value"),
+                 F.left(F.concat(F.lit(b), after), F.lit(CONTEXT)).alias("right"), F.lit(y).alias("label"),
+                 F.lit(k).alias("kind"), F.lit(c).alias("c"))
+        for k, (v, a, b, y, c) in enumerate(made)])).alias("m")).select("m.*")
+    return built.where(F.col("c") | F.col("value").rlike(f"^(?:{TOKEN})$")).drop("c")
+
+
+def labelled_findings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                      n_docs: int = SAMPLE_DOCS) -> DataFrame:
+    """A bounded sample of labelled findings, ``left, value, right, label``: about 42
+    of each of about ``n_docs`` documents."""
+    return made_findings(docs, id_col, text_col, n_docs).select("left", "value", "right", "label")
 
 
-def text_filter(text: Column) -> Column:
-    """Whether the text has a candidate."""
-    return text.rlike(CANDIDATE)
+def held_out_figures(docs: DataFrame, folds: int = 5, n_docs: int = SAMPLE_DOCS) -> tuple[float, float]:
+    """(precision, recall) over kinds of findings that were held out of training, fold by fold."""
+    made = stored(made_findings(docs, n_docs=n_docs), "made")
+    hit = secret = flagged = 0
+    for f in range(folds):
+        out = F.col("kind") % folds == f
+        model = train(made.where(~out))
+        got = judge(made.where(out), model).agg(
+            F.sum(F.col("label")).alias("s"), F.count_if(F.col("probability") >= THRESHOLD).alias("f"),
+            F.count_if((F.col("probability") >= THRESHOLD) & (F.col("label") == 1)).alias("h")).first()
+        hit, secret, flagged = hit + got.h, secret + got.s, flagged + got.f
+    return hit / flagged, hit / secret
 
 
 def _vectors(found: DataFrame) -> DataFrame:
@@ -233,7 +256,8 @@ def train(findings: DataFrame):
     """A forest from labelled findings; None without findings of both kinds."""
     rows = stored(findings.where("left is not null and value is not null and right is not null")
                   .select("left", "value", "right", F.col("label").cast("double").alias("label"))
-                  .repartition(4, "value").sortWithinPartitions("value", "left", "right"), "findings")
+                  .repartition(4, F.xxhash64("value", "left", "right")).sortWithinPartitions("value", "left", "right"),
+                  "findings")
     if rows.select("label").distinct().count() < 2:
         return None
     forest = RandomForestClassifier(featuresCol="_vector", labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=SEED,
@@ -255,17 +279,13 @@ def find_secrets(docs: DataFrame, findings: DataFrame | None = None, threshold:
     """One row per candidate: ``doc_id, start`` (code points before it), ``value``,
     ``probability`` and ``is_secret``."""
     model = train(findings if findings is not None else labelled_findings(docs, id_col, text_col))
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.where(text_filter(F.col("text"))).select("doc_id", _cut(F.col("text")).alias("cut"))
-    sizes = F.transform(F.arrays_zip(F.col("cut.piece").alias("p"), F.col("cut.value").alias("v")),
-                        lambda x: F.struct(F.length(x["p"]).alias("p"),
-                                           F.coalesce(F.length(x["v"]), F.lit(0)).alias("v")))
-    # running sum: the start of each candidate, in one pass over the pieces
-    at = F.aggregate(sizes, F.struct(F.lit(0).alias("upto"), F.array().cast("array<int>").alias("at")),
-                     lambda a, x: F.struct((a["upto"] + x["p"] + x["v"]).alias("upto"),
-                                           F.concat(a["at"], F.array(a["upto"] + x["p"])).alias("at")))["at"]
-    found = candidates(rows.withColumn("at", at), "cut", ["doc_id", "at"])
-    found = found.withColumn("start", F.element_at("at", F.col("nth") + 1).cast("long")).drop("at")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
+                       cut(F.col(text_col)).alias("parts"))
+    found = candidates(rows, "parts", ["doc_id", "row"])
+    # the start of each candidate is a running sum over those before it
+    before = Window.partitionBy("row").orderBy("nth").rowsBetween(Window.unboundedPreceding, -1)
+    upto = F.coalesce(F.sum(F.col("gap") + F.length("value")).over(before), F.lit(0)) + F.col("gap")
+    found = found.withColumn("start", upto.cast("long")).drop("row", "gap", "nth")
     return judge(found, model).select(
         "doc_id", "start", "value", "probability", (F.col("probability") >= threshold).alias("is_secret"))
 
@@ -275,22 +295,19 @@ def redact(docs: DataFrame, findings: DataFrame | None = None, threshold: float
     """``docs`` with each secret in the text replaced by ``mask`` and ``size_col``,
     if it is there, set to the new length; other rows and columns unchanged."""
     model = train(findings if findings is not None else labelled_findings(docs, id_col, text_col))
-    has = F.coalesce(text_filter(F.col(text_col)), F.lit(False))
-    row = free_name(docs.columns, "row")
-    flags, rid = free_name([*docs.columns, row], "flags"), free_name([*docs.columns, row], "rid")
-    some = stored(docs.where(has).withColumn(row, F.monotonically_increasing_id()), "with-candidates")
-    cut = some.select(F.col(row).alias("row"), _cut(F.col(text_col)).alias("cut"))
-    judged = judge(candidates(cut, "cut", ["row"]), model)
+    row, parts = free_name(docs.columns, "row"), free_name([*docs.columns, "row"], "parts")
+    flags, rid = free_name([*docs.columns, row, parts], "flags"), free_name([*docs.columns, row, parts], "rid")
+    rows = stored(docs.withColumn(parts, cut(F.col(text_col))).withColumn(row, F.monotonically_increasing_id()),
+                  "cut-at-candidates")
+    judged = judge(candidates(rows, parts, [row]), model)
     # a row's candidates only: true at the places of secrets
-    secret = judged.groupBy("row").agg(F.transform(
+    secret = judged.groupBy(F.col(row).alias(rid)).agg(F.transform(
         F.array_sort(F.collect_list(F.struct("nth", (F.col("probability") >= threshold).alias("s")))),
-        lambda x: x["s"]).alias(flags)).where(F.exists(flags, lambda x: x)).withColumnRenamed("row", rid)
-    both = some.join(secret, F.col(row) == F.col(rid), "left")
-    parts = F.zip_with(_cut(F.col(text_col))["piece"], F.zip_with(
-        _cut(F.col(text_col))["value"], F.col(flags), lambda v, s: F.when(s, F.lit(mask)).otherwise(v)),
-        lambda p, v: F.concat(p, F.coalesce(v, F.lit(""))))
-    text = F.when(F.col(flags).isNull(), F.col(text_col)).otherwise(F.array_join(parts, ""))
-    out = both.withColumn(flags, text)
+        lambda x: x["s"]).alias(flags)).where(F.exists(flags, lambda x: x))
+    some = rows.where(F.col(parts).isNotNull()).join(secret, F.col(row) == F.col(rid), "left")
+    masked = F.array_join(F.transform(parts, lambda p, i: F.when(
+        (i % 2 == 1) & F.element_at(F.col(flags), F.floor(i / 2).cast("int") + 1), F.lit(mask)).otherwise(p)), "")
+    out = some.withColumn(flags, F.when(F.col(rid).isNotNull(), masked).otherwise(F.col(text_col)))
     columns = []
     for c in docs.columns:
         if c == text_col:
@@ -300,4 +317,5 @@ def redact(docs: DataFrame, findings: DataFrame | None = None, threshold: float
                 F.length(flags)).cast(docs.schema[c].dataType).alias(c))
         else:
             columns.append(F.col(f"`{c}`"))
-    return docs.where(~has).unionByName(out.select(*columns))
+    return rows.where(F.col(parts).isNull()).select(*(F.col(f"`{c}`") for c in docs.columns)).unionByName(
+        out.select(*columns))
