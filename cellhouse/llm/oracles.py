@@ -7,12 +7,16 @@ _BLANKS = r"[^\x20\x09-\x0D]+"
 OP1 = f"""
 WITH d AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
 p AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM d),
-t AS (SELECT doc_id, w[i] AS b, CASE WHEN i > 1 THEN w[i - 1] END AS a FROM p),
-f1 AS (SELECT b, count(*) AS n FROM t GROUP BY b),
-f2 AS (SELECT a, b, count(*) AS n FROM t WHERE a IS NOT NULL GROUP BY a, b),
-s AS (SELECT t.doc_id, CASE WHEN f2.n >= 2 THEN ln(f2.n / h.n) ELSE
-        ln(u.n / (SELECT count(*) FROM t)) + CASE WHEN t.a IS NULL THEN 0 ELSE ln(0.4) END END AS x
-      FROM t JOIN f1 u ON u.b = t.b LEFT JOIN f1 h ON h.b = t.a LEFT JOIN f2 ON f2.a = t.a AND f2.b = t.b),
+t AS (SELECT doc_id, w[i] AS c, CASE WHEN i > 1 THEN w[i - 1] END AS b, CASE WHEN i > 2 THEN w[i - 2] END AS a FROM p),
+f1 AS (SELECT c, count(*) AS n FROM t GROUP BY c),
+f2 AS (SELECT b, c, count(*) AS n FROM t WHERE b IS NOT NULL GROUP BY b, c),
+f3 AS (SELECT a, b, c, count(*) AS n FROM t WHERE a IS NOT NULL GROUP BY a, b, c),
+s AS (SELECT t.doc_id, CASE WHEN f3.n >= 1 THEN ln(f3.n / h2.n)
+        WHEN f2.n >= 1 THEN ln(f2.n / h1.n) + CASE WHEN t.a IS NULL THEN 0 ELSE ln(0.4) END
+        ELSE ln(u.n / (SELECT count(*) FROM t)) + CASE WHEN t.b IS NULL THEN 0 WHEN t.a IS NULL THEN ln(0.4)
+             ELSE 2 * ln(0.4) END END AS x
+      FROM t JOIN f1 u ON u.c = t.c LEFT JOIN f1 h1 ON h1.c = t.b LEFT JOIN f2 ON f2.b = t.b AND f2.c = t.c
+           LEFT JOIN f2 h2 ON h2.b = t.a AND h2.c = t.b LEFT JOIN f3 ON f3.a = t.a AND f3.b = t.b AND f3.c = t.c),
 g AS (SELECT doc_id, sum(x) AS x, avg(x) AS m FROM s GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, round(coalesce(x, 0), 4) AS log_score,
        round(m, 6) AS mean_log_score
