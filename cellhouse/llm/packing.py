@@ -46,7 +46,7 @@ def tokenised_pieces(docs: DataFrame, tokenizer: str, cut: str, end_id: int, win
         for b in batches:
             row_ids = b.column(0)
             for first, run in blocks(b.column(1)):
-                ids, at = enc.encode(run.to_pylist())
+                ids, at = enc.encode(run)
                 n = np.diff(at) + 1
                 pieces = -(-n // window)
                 doc = np.repeat(np.arange(len(n)), pieces)
@@ -120,7 +120,9 @@ def pack(pieces: DataFrame, window: int = WINDOW, per_shard: int = PIECES_PER_SH
     between 1 and ``window``."""
     prepare(pieces.sparkSession)
     n_shards = max(1, -(-pieces.count() // per_shard))
-    dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(n_shards)))
+    # with the row's place, so that repeated rows spread
+    dealt = pieces.withColumn("_shard", F.pmod(F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id()),
+                                               F.lit(n_shards)))
     dealt = dealt.repartition("_shard").sortWithinPartitions(
         "_shard", F.desc("length"), "doc_id", "start", "ids_crc32")
     names = [c for c in dealt.columns if c != "_shard"]

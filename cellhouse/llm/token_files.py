@@ -109,7 +109,7 @@ def encoded(docs: DataFrame, tokenizer: str, cut: str, end_id: int, id_col: str
         enc = encoder(tokenizer, cut)
         for b in batches:
             for first, run in blocks(b.column(1)):
-                ids, at = enc.encode(run.to_pylist())
+                ids, at = enc.encode(run)
                 raw = np.insert(ids.astype(kind), at[1:], end_id).tobytes()
                 bounds = (int(kind[-1]) * (at + np.arange(len(at)))).tolist()
                 yield pa.RecordBatch.from_arrays(
@@ -193,7 +193,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, cut: str, end_
             yield block()
 
     n_parts = max(1, -(-total // IDS_PER_PARTITION), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = tokens.repartitionByRange(n_parts, "doc_id").sortWithinPartitions("doc_id", "ids")
+    ordered = tokens.repartitionByRange(n_parts, "doc_id", "ids").sortWithinPartitions("doc_id", "ids")
     (ordered.mapInArrow(blocks_of, "block binary").select(F.col("block").cast("string").alias("value"))
      .write.option("maxRecordsPerFile", BLOCKS_PER_FILE).text(f"{path}/blocks"))
 

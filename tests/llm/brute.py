@@ -67,7 +67,7 @@ def held_out(doc_id):
 # ------------------------------------------------------------------ operators
 
 
-def lm(rows, order=2, backoff=0.4, min_count=2):
+def lm(rows, order=3, backoff=0.4, min_count=1):
     ws = [ALNUM.findall(low(t or "")) for _, t in rows]
     f = [Counter(tuple(x[i:i + k]) for x in ws for i in range(len(x) - k + 1)) for k in range(1, order + 1)]
     n = sum(f[0].values())

@@ -1,13 +1,14 @@
 """Token files, packing, decontamination and LM scoring against brute force."""
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 import brute
 from cellhouse.llm import decontaminate, lm_score, packing, token_files
-from cellhouse.llm.common import table
+from cellhouse.llm.common import stored, table
 from cellhouse.llm.tokens import BYTE_LEVEL, WORD_END, TextEncoder
 from cellhouse.session import new_path
 
@@ -20,7 +21,6 @@ ODD = ["", "  ", " a  b", "It's.they'll, I'd!No", "a.b.c ,d", "x\t y  z  \n\n w
 
 def direct(path, texts, end):
     tok = Tokenizer.from_file(path)
-    tok.encode_special_tokens = True
     return [e.ids + [end] for e in tok.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
@@ -43,6 +43,41 @@ def test_word_table_equals_direct_encoding(spark, path, cut):
         assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want
 
 
+PARTS = ["a", "B", "é", "İ", "i̇", "ſ", "Σ", "ς", "क़", "क", "़", "יִ", "1", "²", "½", "Ⅷ", "日", "。", "-", "_", "'s", "'ll",
+         "'T", '"', "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>", "<|end", "\x01", "\t", "\r", "\x85", "\xa0",
+         "\u2003", "\x1c", "\u200b", " ", " ", "  ", "\n", "\n\n", ".", ",", "!", "?", ".,", " .", " ,", "word", "Word.",
+         "x,y", "K", "ﬁ", "\u0301", "😀", "Ⰰ", "ꙮ", "Ж", "ΑΣ", "ǅ", "a.b", "힣"]
+
+
+@pytest.mark.parametrize("path, cut", [(BYTE, BYTE_LEVEL), (WORD, WORD_END)])
+def test_word_table_on_random_strings(path, cut):
+    r = np.random.default_rng(7)
+    enc = TextEncoder(path, cut, table_words=3000)
+    for _ in range(100):
+        texts = ["".join(PARTS[k] + " " * int(r.random() < 0.3) for k in r.integers(0, len(PARTS), n))
+                 for n in r.integers(0, 8, 500)]
+        ids, at = enc.encode(texts)
+        assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == [x[:-1] for x in direct(path, texts, 0)]
+
+
+def test_slices_of_columns_are_encoded_alike():
+    texts = ["Ünïcödé, Text. " * k for k in range(1, 40)] + ["A  b\n c", "", "İ, x", "<|endoftext|>"] * 5
+    column = pa.array(texts, pa.string())
+    for path, cut in ((BYTE, BYTE_LEVEL), (WORD, WORD_END)):
+        want = [x[:-1] for x in direct(path, texts, 0)]
+        for lo, n in ((0, 59), (1, 10), (17, 42), (40, 19)):
+            for part in (column.slice(lo, n), column.slice(lo, n).cast(pa.large_string()),
+                         column.cast(pa.large_string()).slice(lo, n)):
+                ids, at = TextEncoder(path, cut).encode(part)
+                assert [ids[a:b].tolist() for a, b in zip(at[:-1], at[1:])] == want[lo:lo + n]
+
+
+def test_quoted_added_tokens_are_one_id():
+    for path, cut, marker in ((BYTE, BYTE_LEVEL, 50256), (WORD, WORD_END, 49407)):
+        ids, _ = TextEncoder(path, cut).encode(["a <|endoftext|> b"])
+        assert ids.tolist().count(marker) == 1
+
+
 def test_value_code_round_trip():
     r = np.random.default_rng(1)
     for n in (0, 1, 3, 4, 5, 1000):
@@ -166,7 +201,7 @@ def test_contaminated_documents_go_and_columns_stay(spark):
 def test_hits_of_several_parts_are_united_before_a_document_goes(spark):
     bench = [(i, brute.prose(15, 70 + i)) for i in range(6)]
     items = spark.createDataFrame(bench, "item_id long, text string")
-    parts = decontaminate.benchmark_parts(items, 100)
+    _, parts = decontaminate.benchmark_parts(items, 100)
     words = brute.prose(900, 80).split()
     text = " ".join(w for i, (_, t) in enumerate(bench) for w in [*words[150 * i:150 * i + 150], t])
     alone = [brute.contamination([(1, text)], p.value)[0] for _, p in parts]
@@ -178,21 +213,59 @@ def test_hits_of_several_parts_are_united_before_a_document_goes(spark):
     assert decontaminate.find_hits(docs, items, part_bytes=100).where("contaminated").count() == 4
 
 
-@pytest.mark.parametrize("order, batch", [(2, lm_score.BATCH_BYTES), (3, 60_000)])
-def test_lm_scores(spark, monkeypatch, order, batch):
+@pytest.mark.parametrize("order, batch, min_count", [(3, lm_score.BATCH_BYTES, 1), (3, 60_000, 1), (4, 60_000, 2), (1, 60_000, 1)])
+def test_lm_scores(spark, monkeypatch, order, batch, min_count):
     monkeypatch.setattr(lm_score, "BATCH_BYTES", batch)
     monkeypatch.setattr(lm_score, "BUCKET_BYTES", batch // 2)
-    got = brute.rows_of(lm_score.score(both(spark), order=order), "doc_id", "n_words", "log_score", "mean_log_score")
-    want = brute.ordered(brute.lm(docs_of(spark), order))
+    docs = stored(both(spark), "both")
+    got = brute.rows_of(lm_score.score(docs, order=order, min_count=min_count), *LM)
+    want = brute.ordered(brute.lm(docs_of(spark), order, min_count=min_count))
     assert [g[:2] for g in got] == [w[:2] for w in want]
     for g, w in zip(got, want):
         assert abs(g[2] - w[2]) < 1e-6 * max(1, abs(w[2]))
         assert (g[3] is None) == (w[1] == 0)
 
 
+LM = ("doc_id", "n_words", "log_score", "mean_log_score")
+
+
+def test_lm_scores_by_joins(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "BATCH_BYTES", 60_000)
+    docs = stored(both(spark), "both")
+    for order, min_count in ((3, 1), (3, 2)):
+        a, b = (brute.rows_of(f(docs, order=order, min_count=min_count), *LM) for f in (lm_score.score, lm_score.score_by_joins))
+        assert len(a) == len(b)
+        for x, y in zip(a, b):
+            assert x[:2] == y[:2] and all(p == q or abs(p - q) < 1e-6 * max(1, abs(q)) for p, q in zip(x[2:], y[2:]))
+
+
+def test_lm_repeated_rows_spread_and_are_pruned_exactly(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "BATCH_BYTES", 2_000)
+    monkeypatch.setattr(lm_score, "BUCKET_BYTES", 5_000)
+    rows = [(1, brute.prose(40, 1))] * 300 + [(i, brute.prose(40, i)) for i in range(2, 60)]
+    docs = stored(spark.createDataFrame(rows, "doc_id long, text string"), "copies")
+    dealt, _, n_buckets = lm_score._dealt(docs, "doc_id", "text")
+    sizes = [r["count"] for r in dealt.where("doc_id = 1").groupBy("batch").count().collect()]
+    assert max(sizes) < 60 and n_buckets > 1
+    got, want = brute.rows_of(lm_score.score(docs), *LM[:3]), brute.ordered(brute.lm(rows))
+    assert all(abs(g[2] - w[2]) < 1e-6 * abs(w[2]) for g, w in zip(got, want))
+
+
+def test_lm_merged_requests(spark, monkeypatch):
+    """More buckets than a batch is cut into: two rounds of merging."""
+    docs = stored(both(spark), "both")
+    want = brute.ordered(brute.lm(docs_of(spark)))
+    monkeypatch.setattr(lm_score, "BATCH_BYTES", 30_000)
+    monkeypatch.setattr(lm_score, "BUCKET_BYTES", 20_000)
+    monkeypatch.setattr(lm_score, "FAN", 3)
+    assert lm_score._dealt(docs, "doc_id", "text")[2] > 9
+    for g, w in zip(brute.rows_of(lm_score.score(docs), *LM[:3]), want, strict=True):
+        assert g[:2] == w[:2] and abs(g[2] - w[2]) < 1e-6 * max(1, abs(w[2]))
+
+
 def test_lm_counts_and_empty(spark):
     docs = spark.createDataFrame([(1, "a b a b"), (2, "A b c"), (3, None)], "doc_id long, text string")
-    n = {(r.k, r.n) for r in lm_score.count_tables(docs).collect()}
+    n = {(r.k, r.n) for r in lm_score.count_tables(docs, 2).collect()}
     assert n == {(1, 3), (1, 1), (2, 3), (2, 1)}
     assert lm_score.score(brute.none(spark)).count() == 0
 
@@ -201,5 +274,6 @@ def test_lm_codes():
     h = np.sort(np.random.default_rng(5).integers(0, 1 << 64, 500, dtype=np.uint64))
     for k in (1, 2, 500):
         assert (lm_score.unpack_hashes(lm_score.pack_hashes(h[:k]), k) == h[:k]).all()
-    for n in (np.array([1, 70000, 3]), np.array([1 << 40, 2])):
-        assert (lm_score.unpack_counts(lm_score.pack_counts(n), len(n)) == n).all()
+    for n in (np.array([1, 70000, 3]), np.array([1 << 40, 2]), np.ones(9, np.int64), np.zeros(3, np.int64)):
+        for usual in (0, 1):
+            assert (lm_score.unpack_counts(lm_score.pack_counts(n, usual), len(n), usual) == n).all()
