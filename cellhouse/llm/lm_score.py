@@ -19,7 +19,9 @@ n-grams of three words need not be asked).  At last scores are summed per docume
 So an n-gram crosses the network at most once per batch, as about 6 bytes, and its
 total comes back as a bit or a byte.  A word in every document is one row per batch:
 no key is hot.  Both sides' groups are bounded (BATCH_BYTES of text; BUCKET_BYTES of
-text's worth of n-grams).
+text's worth of n-grams).  A batch's n-grams are cut into ``FAN`` buckets at most; where
+the corpus needs more, the requests of ``FAN`` batches to a bucket are merged first and
+the merged ones cut finer, and so on, so a request keeps thousands of hashes.
 
 ``score_by_joins`` is the same as plain joins of exploded n-grams with
 ``count_tables``, for corpora where a row per n-gram occurrence is no matter; tests
@@ -47,6 +49,7 @@ from .token_files import decode_values, encode_values
 ORDER, BACKOFF, MIN_COUNT = 3, 0.4, 1
 AT_ONCE = 2  # orders that are asked without looking at shorter n-grams
 BATCH_BYTES, BUCKET_BYTES = 12 << 20, 8 << 20
+FAN = 1024  # buckets that a batch's n-grams are cut into at most
 
 
 def pack_counts(n: np.ndarray, usual: int) -> bytes:
@@ -105,10 +108,10 @@ class Batch:
             g = window_hashes(h, k)
             at = np.flatnonzero(text[: len(g)] == text[k - 1:][: len(g)])
             u, back, n = np.unique(g[at], return_inverse=True, return_counts=True)
-            self.at.append(at)
+            self.at.append(at.astype(np.int32))  # a batch has less than 2 ** 31 words
             self.grams.append(u)
-            self.index.append(back)
-            self.counts.append(n)
+            self.index.append(back.astype(np.int32))
+            self.counts.append(n.astype(np.int32))
 
 
 def _edges(n_buckets: int) -> np.ndarray:
@@ -148,6 +151,12 @@ _REQUESTS = pa.schema([("bucket", pa.int64()), ("batch", pa.int64()), ("k", pa.i
                        ("hashes", pa.binary()), ("counts", pa.binary())])
 
 
+_ANSWERS = pa.schema([("batch", pa.int64()), ("k", pa.int32()), ("bucket", pa.int64()), ("n", pa.int64()),
+                      ("beyond", pa.binary())])
+_REQUEST = "bucket long, batch long, k int, n long, hashes binary, counts binary"
+_ANSWER = "batch long, k int, bucket long, n long, beyond binary"
+
+
 def _request_rows(batch: int, wanted: list[tuple[int, np.ndarray, np.ndarray]], edges: np.ndarray) -> pa.Table:
     out = {name: [] for name in _REQUESTS.names}
     for k, u, n in wanted:
@@ -211,8 +220,49 @@ def _answers(table: pa.Table) -> pa.Table:
         for r, a, b in zip(rows.tolist(), (ends - sizes).tolist(), ends.tolist()):
             for name, v in zip(out, (int(batch[r]), k, bucket, b - a, pack_counts(totals[back[a:b]] - own[a:b], 0))):
                 out[name].append(v)
-    return pa.table(out, schema=pa.schema([("batch", pa.int64()), ("k", pa.int32()), ("bucket", pa.int64()),
-                                           ("n", pa.int64()), ("beyond", pa.binary())]))
+    return pa.table(out, schema=_ANSWERS)
+
+
+def _merged_requests(n_buckets: int, n_groups: int):
+    """The requests of a group of batches to one bucket as one, cut finer."""
+    edges = _edges(n_buckets)
+
+    def requests(table: pa.Table) -> pa.Table:
+        asker = table.column("bucket")[0].as_py() * n_groups + table.column("group")[0].as_py()
+        return _request_rows(asker, [(k, h, totals) for k, h, totals, *_ in _merge(table)], edges)
+
+    return requests
+
+
+def _passed_on(table: pa.Table, answers: pa.Table) -> pa.Table:
+    """Answers to a group's single requests from those to its merged one."""
+    batch, out = table.column("batch").to_numpy(), {name: [] for name in _ANSWERS.names}
+    ks, buckets = answers.column("k").to_numpy(), answers.column("bucket").to_numpy()
+    sizes, packed = answers.column("n").to_numpy(), answers.column("beyond")
+    for k, _, totals, own, back, rows, lens in _merge(table):
+        at = np.flatnonzero(ks == k)
+        at = at[np.argsort(buckets[at], kind="stable")]
+        whole = totals + np.concatenate([unpack_counts(packed[r].as_py(), int(sizes[r]), 0) for r in at.tolist()])
+        ends = np.cumsum(lens)
+        for r, a, b in zip(rows.tolist(), (ends - lens).tolist(), ends.tolist()):
+            bucket = table.column("bucket")[r].as_py()
+            for name, v in zip(out, (int(batch[r]), k, bucket, b - a, pack_counts(whole[back[a:b]] - own[a:b], 0))):
+                out[name].append(v)
+    return pa.table(out, schema=_ANSWERS)
+
+
+def _told(asked: DataFrame, n_askers: int, n_cut: int, n_buckets: int) -> DataFrame:
+    """Answers to requests that are cut into ``n_cut`` buckets, where ``n_buckets`` are
+    wanted: by the buckets themselves if they are as many, else by way of merged requests."""
+    if n_cut >= n_buckets:
+        return asked.groupBy("bucket").applyInArrow(_answers, _ANSWER)
+    fan, finer = FAN, min(n_buckets, n_cut * FAN)
+    n_groups = -(-n_askers // fan)
+    asked = asked.withColumn("group", F.floor(F.col("batch") / fan))
+    merged = asked.groupBy("bucket", "group").applyInArrow(_merged_requests(finer, n_groups), _REQUEST)
+    told = _told(merged, n_cut * n_groups, finer, n_buckets).withColumns({
+        "b": F.floor(F.col("batch") / n_groups), "g": F.col("batch") % n_groups})
+    return asked.groupBy("bucket", "group").cogroup(told.groupBy("b", "g")).applyInArrow(_passed_on, _ANSWER)
 
 
 def _counts(min_count: int):
@@ -254,24 +304,21 @@ def _scores(order: int, backoff: float, min_count: int):
     return scores
 
 
-def _dealt(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
-    """(doc_id, text, batch) and the number of buckets, by the bytes of all texts."""
+def _dealt(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int, int]:
+    """(doc_id, text, batch) and the numbers of batches and buckets, by the bytes of all texts."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(1, -(-total // BATCH_BYTES))
     # with the row's place, so that repeated rows spread (the same each time a stored table is scanned)
     return (rows.withColumn("batch", F.pmod(F.xxhash64("doc_id", "text", F.monotonically_increasing_id()), F.lit(n))),
-            max(1, -(-total // BUCKET_BYTES)))
-
-
-_REQUEST = "bucket long, batch long, k int, n long, hashes binary, counts binary"
+            n, max(1, -(-total // BUCKET_BYTES)))
 
 
 def count_tables(docs: DataFrame, order: int = ORDER, min_count: int = 1, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """``k, hash, n``: the n-gram counts over all documents, partitioned by hash."""
     prepare(docs.sparkSession)
-    rows, n_buckets = _dealt(docs, id_col, text_col)
+    rows, _, n_buckets = _dealt(docs, id_col, text_col)
     asked = rows.groupBy("batch").applyInArrow(_requests(n_buckets, order), _REQUEST)
     return asked.groupBy("bucket").applyInArrow(_counts(min_count), "k int, hash long, n long")
 
@@ -280,13 +327,13 @@ def score(docs: DataFrame, order: int = ORDER, backoff: float = BACKOFF, min_cou
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, n_words, log_score, mean_log_score`` of every row."""
     prepare(docs.sparkSession)
-    rows, n_buckets = _dealt(docs, id_col, text_col)
-    answer = "batch long, k int, bucket long, n long, beyond binary"
-    asked = rows.groupBy("batch").applyInArrow(_requests(n_buckets, min(order, AT_ONCE)), _REQUEST)
-    told = asked.groupBy("bucket").applyInArrow(_answers, answer)
+    rows, n_batches, n_buckets = _dealt(docs, id_col, text_col)
+    n_cut = min(n_buckets, FAN)
+    asked = rows.groupBy("batch").applyInArrow(_requests(n_cut, min(order, AT_ONCE)), _REQUEST)
+    told = _told(asked, n_batches, n_cut, n_buckets)
     for k in range(AT_ONCE + 1, order + 1):  # all in one plan: the batches are shuffled once and read by each round
-        more = rows.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(_longer_requests(n_buckets, k), _REQUEST)
-        told = told.union(more.groupBy("bucket").applyInArrow(_answers, answer))
+        more = rows.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(_longer_requests(n_cut, k), _REQUEST)
+        told = told.union(_told(more, n_batches, n_cut, n_buckets))
     parts = rows.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(
         _scores(order, backoff, min_count), "doc_id long, n_words long, n_unigram long, part double")
     parts = stored(parts, "lm-parts")
