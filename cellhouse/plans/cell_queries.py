@@ -3,6 +3,8 @@ J1-J4, O1, O3, O4, P2-P7, W1-W3."""
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import functions as F
 
 from ..functions.bytes import epoch_millis, from_bytes, padded_key, text_key
@@ -10,7 +12,7 @@ from ..model import DELETE_FAMILY, DELETE_VERSION, PUT
 from ..operators.aggregate import cell_presence_count, table_row_count, wide_rows
 from ..operators.load import bulk_load, bulk_load_thin_rows, publish_staged, stage
 from ..operators.lookup import bulk_get, bulk_get_cells, bulk_get_exists, bulk_get_missing, bulk_get_rows
-from ..operators.maintain import compact, live_groups
+from ..operators.maintain import compact, live_groups, set_family_options
 from ..operators.mutate import apply_mutations, bulk_delete, bulk_put
 from ..operators.sort import file_order_violations, rows_in_order
 from ..operators.visibility import collapse_identical
@@ -178,6 +180,53 @@ def q_file_rolling(spark, d):
     return decoded(read_table(t))
 
 
+@register("load_clock", """
+SELECT 3 * count(*) AS n_cells, true AS in_time, true AS one_clock FROM orders
+""")
+def q_load_clock(spark, d):
+    """cells without a time get the clock, one value a load."""
+    t = new_table(spark, "clock", ORDER_FAMILIES, key_splits(spark, d))
+    before = int(time.time() * 1000)
+    bulk_load(t, order_cells(tbl(spark, d, "orders")).drop("ts"))
+    after = int(time.time() * 1000)
+    return read_table(t).agg(
+        F.count("*").alias("n_cells"), ((F.min("ts") >= before) & (F.max("ts") <= after)).alias("in_time"),
+        (F.min("ts") == F.max("ts")).alias("one_clock"))
+
+
+@register("load_target_exists", """
+SELECT true AS refused, CAST(0 AS BIGINT) AS n_before, 3 * count(*) AS n_after FROM orders
+""")
+def q_load_target_exists(spark, d):
+    """A load whose staging folder exists fails before any work and leaves the table as it was."""
+    t = new_table(spark, "target", ORDER_FAMILIES, key_splits(spark, d))
+    cells, taken = order_cells(tbl(spark, d, "orders")), new_path(spark, "taken")
+    cells.limit(1).select("row").write.parquet(taken)
+    try:
+        bulk_load(t, cells, staging=taken)
+        refused = False
+    except FileExistsError:
+        refused = True
+    before = read_table(t).count()
+    bulk_load(t, cells, staging=new_path(spark, "free"))
+    return read_table(t).agg(F.lit(refused).alias("refused"), F.lit(before).cast("bigint").alias("n_before"),
+                             F.count("*").alias("n_after"))
+
+
+@register("family_codecs", """
+SELECT f.family, f.codec, count(*) AS n_cells FROM orders, (VALUES ('status', 'snappy'), ('price', 'gz'), ('date', 'zstd')) f(family, codec)
+GROUP BY ALL
+""")
+def q_family_codecs(spark, d):
+    """The files of each family are written with the family's own options."""
+    t = new_table(spark, "codecs", ORDER_FAMILIES, key_splits(spark, d))
+    for family, codec in (("status", "snappy"), ("price", "gzip"), ("date", "zstd")):
+        t = set_family_options(t, family, compression=codec)
+    bulk_load(t, order_cells(tbl(spark, d, "orders")))
+    codec = F.regexp_extract(F.col("_metadata.file_name"), r"\.([a-z]+)\.parquet$", 1)
+    return t.stored().groupBy("family", codec.alias("codec")).agg(F.count("*").alias("n_cells"))
+
+
 # --- mutations over the events table --------------------------------------------
 def _users(ev, cond):
     return ev.where(cond).select(F.encode(F.col("user_id").cast("string"), "UTF-8").alias("row")).distinct()
