@@ -19,6 +19,7 @@ ignored.
 
 from __future__ import annotations
 
+import zlib
 from typing import Iterator
 
 import numpy as np
@@ -30,7 +31,7 @@ from pyspark.sql.types import DoubleType
 from .common import blocks, byte_class, is_held_out, prepare
 from .lines import SYMBOLS, Lines
 
-SAMPLE_DOCS = 3000
+SAMPLE_DOCS, SAMPLE_LINES = 3000, 400
 STEPS, RATE, L2 = 200, 0.1, 1e-3
 CUTS = (0.1, 0.3, 0.5, 0.7, 0.9)
 MAX_SCORE = 30.0
@@ -174,7 +175,10 @@ def score_texts(run: pa.Array, model: dict | None) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "quality") -> dict | None:
-    """A model from the bounded sample; None without labelled texts of both kinds."""
+    """A model from the bounded sample: ``SAMPLE_DOCS`` labelled ids chosen by hash (of
+    rows of equal id the least text) and of each at most ``SAMPLE_LINES`` lines with a
+    word, which follow each other from a place that their hash chooses.  None without
+    labelled texts of both kinds."""
     prepare(docs.sparkSession)
     marks = labels.select(F.col(id_col).alias("i"), F.col(label_col).alias("y")).where(
         F.col("i").isNotNull() & F.col("y").isin(0, 1) & ~is_held_out(F.col("i")))
@@ -182,6 +186,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     marks = marks.orderBy(F.xxhash64("i"), "i").limit(SAMPLE_DOCS).select("i", "y")
     rows = docs.select(F.col(id_col).alias("d"), F.col(text_col).alias("t")).join(
         F.broadcast(marks), F.col("d") == F.col("i"))  # SAMPLE_DOCS rows
+    rows = rows.groupBy("d", "y").agg(F.min("t").alias("t"))
+    most = SAMPLE_LINES
+
+    def some(f: np.ndarray) -> bytes:
+        f = f.astype("<f4")
+        first = zlib.crc32(f.tobytes()) % max(1, len(f) - most + 1)
+        return f[first:first + most].tobytes()
 
     def extract(batches):
         for b in batches:
@@ -189,9 +200,10 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 f, _, bounds = line_features(Lines(run))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(first, len(run)), b.column(1).slice(first, len(run)),
-                     pa.array([f[i:j].astype("<f4").tobytes() for i, j in zip(bounds[:-1], bounds[1:])], pa.binary())],
+                     pa.array([some(f[i:j]) for i, j in zip(bounds[:-1], bounds[1:])], pa.binary())],
                     ["d", "y", "f"])
 
+    # at most SAMPLE_DOCS * SAMPLE_LINES lines
     got = rows.select(F.col("d").cast("long"), F.col("y").cast("int"), "t").mapInArrow(
         extract, "d long, y int, f binary").collect()
     got = sorted((r.d, r.y, bytes(r.f)) for r in got if r.f)
