@@ -171,9 +171,10 @@ def _part(key: str, shared) -> Part:
 
 
 def benchmark_parts(items: DataFrame, part_bytes: int = PART_BYTES, id_col: str = "item_id",
-                    text_col: str = "text") -> list:
-    """The benchmark as broadcasts of at most about ``part_bytes`` each (a single
-    longer item is a part of its own)."""
+                    text_col: str = "text") -> tuple[int, Iterator]:
+    """The number of parts and the benchmark as broadcasts of at most about
+    ``part_bytes`` each (a single longer item is a part of its own), made one by one:
+    the driver holds one part at a time."""
     spark = items.sparkSession
     rows = items.select(F.col(id_col).cast("long").alias("i"), F.col(text_col).alias("t")).where(
         "i is not null and t is not null").distinct()
@@ -181,12 +182,16 @@ def benchmark_parts(items: DataFrame, part_bytes: int = PART_BYTES, id_col: str
     n = max(1, -(-size // part_bytes))
     if n > 1:
         rows = stored(rows.withColumn("p", F.pmod(F.xxhash64("i", "t"), F.lit(n))), "benchmark")
-    out = []
-    for p in range(n):
-        some = rows.where(F.col("p") == p) if n > 1 else rows
-        rows_of = sorted((r.i, r.t) for r in some.select("i", "t").collect())
-        out.append((uuid.uuid4().hex, spark.sparkContext.broadcast(rows_of)))
-    return out
+
+    def parts():
+        for p in range(n):
+            some = rows.where(F.col("p") == p) if n > 1 else rows
+            shared = spark.sparkContext.broadcast(sorted((r.i, r.t) for r in some.select("i", "t").collect()))
+            yield uuid.uuid4().hex, shared
+            if n > 1:
+                shared.destroy()
+
+    return n, parts()
 
 
 RESULT = ("n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
@@ -237,18 +242,20 @@ def contamination(part_of, min_share: int = 20):
     return check
 
 
-def _united(docs: DataFrame, parts: list, min_share: int, id_col: str, text_col: str) -> DataFrame:
+def _united(docs: DataFrame, parts: Iterator, min_share: int, id_col: str, text_col: str) -> DataFrame:
     """``doc_id, t, n, r``: the verdict on the united hit spans of several passes,
     a row for each id and text with its number of rows.  ``t``, a hash of the
     text, tells documents of equal id apart."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    each = [rows.select("doc_id", F.xxhash64("text").alias("t"), contamination(p, min_share)("text").alias("r"))
-            for p in parts]
-    key = ["doc_id", "t"]
-    base = each[0].groupBy(*key).agg(F.max("r.n_words").alias("n_words"), F.count("*").alias("n"))
-    hits = each[0].where("r.n_hit > 0").select(*key, F.explode("r.hits").alias("h"))
-    for e in each[1:]:
-        hits = hits.union(e.where("r.n_hit > 0").select(*key, F.explode("r.hits").alias("h")))
+    key, base, hits = ["doc_id", "t"], None, None
+    for p in parts:  # a pass is written before the next part is made
+        one = rows.select("doc_id", F.xxhash64("text").alias("t"), contamination(p, min_share)("text").alias("r"))
+        one = stored(one.select(*key, "r.n_words", "r.hits") if base is None else
+                     one.where("r.n_hit > 0").select(*key, "r.hits"), "benchmark-pass")
+        if base is None:
+            base = one.groupBy(*key).agg(F.max("n_words").alias("n_words"), F.count("*").alias("n"))
+        found = one.select(*key, F.explode("hits").alias("h"))
+        hits = found if hits is None else hits.union(found)
     hits = hits.distinct().groupBy(*key).agg(F.array_sort(F.collect_list("h")).alias("hits"))
 
     @F.arrow_udf(RESULT_TYPE())
@@ -265,10 +272,10 @@ def find_hits(docs: DataFrame, items: DataFrame, min_share: int = 20, part_bytes
               id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: ``doc_id`` and the columns of ``RESULT``."""
     prepare(docs.sparkSession)
-    parts = benchmark_parts(items, part_bytes)
-    if len(parts) == 1:
+    n, parts = benchmark_parts(items, part_bytes)
+    if n == 1:
         return docs.select(F.col(id_col).alias("doc_id"),
-                           contamination(parts[0], min_share)(F.col(text_col)).alias("r")).select("doc_id", "r.*")
+                           contamination(next(parts), min_share)(F.col(text_col)).alias("r")).select("doc_id", "r.*")
     # identical rows keep a row each through n
     both = _united(docs, parts, min_share, id_col, text_col)
     return both.select("doc_id", "r",
@@ -280,10 +287,10 @@ def without_contaminated(docs: DataFrame, items: DataFrame, min_share: int = 20,
     """The documents that are not contaminated (by the verdict of ``find_hits``),
     all their columns unchanged."""
     prepare(docs.sparkSession)
-    parts = benchmark_parts(items, part_bytes)
-    if len(parts) == 1:
+    n, parts = benchmark_parts(items, part_bytes)
+    if n == 1:
         name = free_name(docs.columns, "c")
-        return docs.withColumn(name, contamination(parts[0], min_share)(F.col(text_col))).where(
+        return docs.withColumn(name, contamination(next(parts), min_share)(F.col(text_col))).where(
             f"not `{name}`.contaminated").drop(name)
     i, t = free_name(docs.columns, "i"), free_name(docs.columns, "t")
     bad = stored(_united(docs, parts, min_share, id_col, text_col).where("r.contaminated").select(
