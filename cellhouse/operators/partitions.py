@@ -6,8 +6,8 @@ cuts the sorted stream into runs of one key.  The user function gets an
 *iterator* of Arrow record batches for its key, so a group is streamed,
 never materialised in memory; a hot key costs time in one task, not memory.
 
-When the function is decomposable, pass ``partial``: it runs on each key's
-rows inside every input partition *before* the shuffle (pre-aggregation),
+When the function is decomposable, pass ``partial``: it runs on runs of each
+key's rows inside every input partition *before* the shuffle (pre-aggregation),
 and the keyed function then sees only those partial rows.
 
 When it is not, but what it knows of the rows before can be folded, pass
@@ -24,6 +24,7 @@ import uuid
 from typing import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,8 +37,6 @@ KEY = "_pkey"
 
 def _slices(batches: Iterator[pa.RecordBatch], key: str):
     """``(key value, slice)`` for the runs of one key inside each batch."""
-    import pyarrow.compute as pc
-
     for b in batches:
         if b.num_rows == 0:
             continue
@@ -69,14 +68,21 @@ def _keyed(df: DataFrame, key) -> DataFrame:
 
 
 def _folded(keyed: DataFrame, partial: Callable, conf: dict, schema: T.StructType | None) -> DataFrame:
-    """Pre-aggregation: ``partial`` on the group runs inside each input
-    partition, no shuffle."""
+    """Pre-aggregation: ``partial`` on the rows of each key in an Arrow batch of an
+    input partition -- no shuffle and no sort of the partition (a batch is ordered by
+    key on its own).  Keys that Arrow cannot order are sorted by Spark first."""
     if schema is None:
         raise ValueError("partial needs partial_schema")
     key_type = keyed.schema[KEY].dataType
-    return keyed.sortWithinPartitions(KEY).mapInArrow(
-        _group_runner(partial, conf, key_type, schema, with_index=False),
-        T.StructType([T.StructField(KEY, key_type)] + list(schema.fields)))
+    run = _group_runner(partial, conf, key_type, schema, with_index=False)
+    out = T.StructType([T.StructField(KEY, key_type)] + list(schema.fields))
+    if isinstance(key_type, (T.StructType, T.ArrayType, T.MapType)):
+        return keyed.sortWithinPartitions(KEY).mapInArrow(run, out)
+
+    def run_sorted(batches):
+        return run(b.take(pc.sort_indices(b.column(b.schema.get_field_index(KEY)))) for b in batches)
+
+    return keyed.mapInArrow(run_sorted, out)
 
 
 def map_partitions(df: DataFrame, key, fn: Callable, schema: T.StructType, conf: dict | None = None,
