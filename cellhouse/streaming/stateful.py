@@ -107,10 +107,10 @@ def map_windows(stream: DataFrame, key: str, ts: str, size: str, watermark: str,
     d = as_event_time(stream, ts).withWatermark(ts, watermark)
     w = F.window(ts, size, slide) if slide else F.window(ts, size)
     rows = T.StructType([T.StructField(f"{f.name}", T.LongType() if f.name == ts else f.dataType) for f in d.schema])
-    # of the time columns only the window's end keeps the watermark: rows are late when their window is closed
+    # of the time columns only the window keeps the watermark: rows are late, and dropped, when their window is closed
     cols = [F.unix_micros(F.col(ts)).alias(ts) if c == ts else F.col(f"`{c}`") for c in d.columns]
-    d = d.where(F.col(key).isNotNull()).select(w.alias("_w"), F.struct(*cols).alias("_r")).select("_w.end", "_r.*")
-    last = (F.unix_millis("end") - 1).alias("_last")
+    d = d.where(F.col(key).isNotNull()).select(w.alias("_w"), F.struct(*cols).alias("_r")).select("_w", "_r.*")
+    last = F.unix_millis("_w.end") - 1
     out = T.StructType([T.StructField("key", stream.schema[key].dataType), T.StructField("group_ts", T.LongType()),
                         T.StructField("index", T.LongType()), *schema.fields])
     order = [rows.names.index(c) for c in order_by]
