@@ -152,7 +152,8 @@ def test_manifest_against_brute_force(spark, depth):  # 1: blocks of eight, many
     edge = brute.edge(spark)
     many = spark.range(40).selectExpr("id + 500 as doc_id", "concat('L', id) as lang", "'s' as source",
                                       "id as n_chars", "'Text' as text")
-    for df in (edge, table(spark, SF, "documents").select(*FIELDS).union(many), edge.limit(1), many):
+    both = table(spark, SF, "documents").select(*FIELDS).union(many)
+    for df in (edge, both) if depth == 4 else (both, edge.limit(1), many):
         want = proofs([tuple(r) for r in df.select(*FIELDS).collect()])
         got = merkle.manifest(df, depth=depth)
         assert got.columns[:7] == MANIFEST and brute.rows_of(got, *MANIFEST) == brute.ordered(want)
