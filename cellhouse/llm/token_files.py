@@ -23,7 +23,8 @@ task, summed); (3) range-partition the stored ids by document id, sort, write;
 table (bounded by the vocabulary) and one number per file pass the driver.
 
 Defined results: a null text is empty (the end id alone); documents follow in
-ascending id, null ids first, rows of equal id by their ids' bytes; each row is
+ascending id, null ids first, rows of equal id by the first 16 bytes of their ids
+(then a hash of all, so that they need not be in one task); each row is
 a document of its own; an empty table gives no file rows; other columns are
 ignored.
 """
@@ -193,7 +194,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, cut: str, end_
             yield block()
 
     n_parts = max(1, -(-total // IDS_PER_PARTITION), int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ordered = tokens.repartitionByRange(n_parts, "doc_id", "ids").sortWithinPartitions("doc_id", "ids")
+    # repeated rows spread over partitions too; of the ids only their beginning is sampled for the ranges
+    order = ["doc_id", F.substring("ids", 1, 16), F.xxhash64("ids"), "place"]
+    tokens = tokens.withColumn("place", F.monotonically_increasing_id())
+    ordered = tokens.repartitionByRange(n_parts, *order).sortWithinPartitions(*order).drop("place")
     (ordered.mapInArrow(blocks_of, "block binary").select(F.col("block").cast("string").alias("value"))
      .write.option("maxRecordsPerFile", BLOCKS_PER_FILE).text(f"{path}/blocks"))
 
