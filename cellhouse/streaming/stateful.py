@@ -1,8 +1,9 @@
 """Streams with user functions and state per cell (``transformWithState``).
 
-* ``map_windows`` (U2 x W3): a user function per key and event-time window.  A
-  group's rows are list state, appended as they come; a timer at the window's end
-  hands them to the function, once, when the watermark closes the window.
+* ``map_windows`` (U2 x W3): a user function per key and event-time window.  Keys
+  are dealt over a fixed number of buckets; the rows of a bucket and window are state,
+  added part by part as they come.  A timer at the window's end hands the rows of
+  each key to the function, once, when the watermark closes the window.
 * ``live_visible`` (W6 with deletes): the current cell of each changed column.
   State is a map by qualifier, so a change reads and writes its own column only,
   however many the (row, family) has; a family delete visits its columns.
@@ -13,11 +14,11 @@ afterwards), which keeps state on disk and writes changes only.
 
 from __future__ import annotations
 
-import itertools
 from typing import Callable, Iterator
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,6 +30,10 @@ from .stream import LIVE_SCHEMA, as_event_time
 
 #: rows of a group handed to the user function at once
 CHUNK = 4096
+#: buckets that the keys of a window are dealt over
+SPREAD = 512
+#: bytes of a bucket's rows held at once when a window closes
+HOLD_BYTES = 64 << 20
 
 
 def with_rocksdb(spark: SparkSession) -> None:
@@ -36,53 +41,104 @@ def with_rocksdb(spark: SparkSession) -> None:
                    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
+def _arrow(values: pd.Series, kind: pa.DataType) -> pa.Array:
+    if values.dtype.kind in "iufb":
+        return pa.array(values, kind, from_pandas=True)
+    return pa.array(values.astype(object).where(values.notna(), None).tolist(), kind)
+
+
 class _Windows(StatefulProcessor):
-    """Rows of one (key, window) until its end."""
+    """Rows of a bucket of keys and one window until its end, as parts in Arrow's
+    stream format, in order of arrival."""
 
-    def __init__(self, fn: Callable, conf: dict, rows: T.StructType, out: T.StructType, order: list[int]):
-        self.fn, self.conf, self.rows, self.out, self.order = fn, conf, rows, out, order
+    def __init__(self, fn: Callable, conf: dict, rows: T.StructType, out: T.StructType, key: str, order: list[str],
+                 hold_bytes: int):
+        self.fn, self.conf, self.rows, self.out, self.key, self.order = fn, conf, rows, out, key, order
+        self.hold_bytes = hold_bytes
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.held = handle.getListState("rows", self.rows)
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        self.handle, self.kinds = handle, to_arrow_schema(self.rows)
+        self.held = handle.getMapState("parts", "part LONG", "rows BINARY")
+        self.size = handle.getValueState("size", "parts LONG, bytes LONG")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        names = self.rows.names
-        for pdf in rows:
-            values = [pdf[n].astype(object).where(pdf[n].notna(), None).tolist() for n in names]
-            self.held.appendList(list(zip(*values)))
-        if not any(True for _ in self.handle.listTimers()):
+        n, size = self.size.get() if self.size.exists() else (0, 0)
+        if not n:
             self.handle.registerTimer(int(key[1]))
+        for pdf in rows:
+            part = pa.RecordBatch.from_arrays([_arrow(pdf.iloc[:, i], f.type) for i, f in enumerate(self.kinds)],
+                                              schema=self.kinds)
+            self.held.updateValue((n,), (part.serialize().to_pybytes(),))
+            n, size = n + 1, size + part.nbytes
+        self.size.update((n, size))
         return iter(())
 
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        from pyspark.sql.pandas.types import to_arrow_schema
+    def parts(self, n: int) -> Iterator[pa.RecordBatch]:
+        for i in range(n):
+            yield pa.ipc.read_record_batch(pa.py_buffer(self.held.getValue((i,))[0]), self.kinds)
+
+    def groups(self, n: int, size: int) -> Iterator[tuple]:
+        """Every key with its rows in batches.  What does not fit ``hold_bytes`` is read
+        in several passes, each over the keys whose rows fit; a key too large for that
+        is passed on part by part, or held alone if it must be sorted."""
+        if size <= self.hold_bytes:
+            yield from self.sorted_groups(list(self.parts(n)))
+            return
+        count: dict = {}
+        for part in self.parts(n):
+            for k in part.column(self.key).value_counts().to_pylist():
+                count[k["values"]] = count.get(k["values"], 0) + k["counts"]
+        kind, most = self.kinds.field(self.key).type, max(1, self.hold_bytes * sum(count.values()) // size)
+        some, held = [], 0
+        for k, rows in count.items():
+            if rows > most and not self.order:
+                mine = (p.filter(pc.equal(p.column(self.key), pa.scalar(k, kind))) for p in self.parts(n))
+                yield k, (p.slice(i, CHUNK) for p in mine for i in range(0, p.num_rows, CHUNK))
+                continue
+            if some and held + rows > most:
+                yield from self.sorted_groups(self.rows_of(pa.array(some, kind), n))
+                some, held = [], 0
+            some.append(k)
+            held += rows
+        if some:
+            yield from self.sorted_groups(self.rows_of(pa.array(some, kind), n))
+
+    def rows_of(self, keys: pa.Array, n: int) -> list:
+        return [p.filter(pc.is_in(p.column(self.key), value_set=keys)) for p in self.parts(n)]
+
+    def sorted_groups(self, parts: list) -> Iterator[tuple]:
+        held = pa.Table.from_batches(parts, schema=self.kinds)
+        held = held.take(pc.sort_indices(held, sort_keys=[(c, "ascending") for c in (self.key, *self.order)],
+                                         null_placement="at_start"))  # stable: equal rows stay in order of arrival
+        for rows in held.combine_chunks().to_batches():
+            keys = rows.column(self.key)
+            cuts = pc.indices_nonzero(pc.not_equal(keys.slice(1), keys.slice(0, len(keys) - 1))).to_pylist()
+            starts = [0, *(i + 1 for i in cuts)]
+            for k, lo, hi in zip(keys.take(pa.array(starts)).to_pylist(), starts, [*starts[1:], len(keys)]):
+                yield k, (rows.slice(i, min(CHUNK, hi - i)) for i in range(lo, hi, CHUNK))
 
-        kinds, names = to_arrow_schema(self.rows), self.out.names[3:]
-        held = self.held.get()
-        if self.order:
-            held = iter(sorted(held, key=lambda r: tuple((r[i] is not None, r[i]) for i in self.order)))
-
-        def batches():
-            while some := list(itertools.islice(held, CHUNK)):
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*some), kinds)], schema=kinds)
-
-        got = self.fn(self.conf, key[0], batches())
-        n, found = 0, []
-        for item in [got] if isinstance(got, (pa.RecordBatch, pa.Table)) else (got if got is not None else []):
-            rows = zip(*(item.column(c).to_pylist() for c in names)) if isinstance(item, (pa.RecordBatch, pa.Table)) else [
-                tuple(item.get(c) for c in names) if isinstance(item, dict) else tuple(item)]
-            for r in rows:
-                found.append((key[0], int(key[1]), n, *r))
-                n += 1
-                if len(found) == CHUNK:
-                    yield self.frame(found)
-                    found = []
-        if n == 0 and got is not None:
-            found.append((key[0], int(key[1]), None, *[None] * len(names)))  # an empty result keeps the group
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        last, names, found = int(key[1]), self.out.names[3:], []
+        for k, batches in self.groups(*self.size.get()):
+            got = self.fn(self.conf, k, batches)
+            n = 0
+            for item in [got] if isinstance(got, (pa.RecordBatch, pa.Table)) else (got if got is not None else []):
+                rows = zip(*(item.column(c).to_pylist() for c in names)) if isinstance(item, (pa.RecordBatch, pa.Table)) else [
+                    tuple(item.get(c) for c in names) if isinstance(item, dict) else tuple(item)]
+                for r in rows:
+                    found.append((k, last, n, *r))
+                    n += 1
+                    if len(found) == CHUNK:
+                        yield self.frame(found)
+                        found = []
+            if n == 0 and got is not None:
+                found.append((k, last, None, *[None] * len(names)))  # an empty result keeps the group
         if found:
             yield self.frame(found)
         self.held.clear()
+        self.size.clear()
 
     def frame(self, rows: list) -> pd.DataFrame:
         return pd.DataFrame({f.name: pd.Series(c, dtype="Int64" if isinstance(f.dataType, T.LongType) else object)
@@ -93,14 +149,17 @@ class _Windows(StatefulProcessor):
 
 
 def map_windows(stream: DataFrame, key: str, ts: str, size: str, watermark: str, fn: Callable, schema: T.StructType,
-                slide: str | None = None, order_by=(), conf: dict | None = None) -> DataFrame:
+                slide: str | None = None, order_by=(), conf: dict | None = None, spread: int = SPREAD,
+                hold_bytes: int = HOLD_BYTES) -> DataFrame:
     """``fn(conf, key, batches)`` for every key and event-time window that the
     watermark has closed, as in ``map_partitions``: ``(key, group_ts, index, *schema)``,
     ``group_ts`` the window's last millisecond.  Run in append mode.
 
     Null keys and rows behind the watermark are dropped.  A group's rows come as
     batches of ``CHUNK``, in order of arrival, or sorted by ``order_by`` (then a group
-    is held in memory while its function runs)."""
+    is held in memory while its function runs).  State is kept by bucket of keys, not
+    by key: a window has ``spread`` buckets at most, which must stay the same for the
+    life of a checkpoint, and of each no more than ``hold_bytes`` is in memory."""
     spark = stream.sparkSession
     ship_package(spark)
     with_rocksdb(spark)
@@ -109,13 +168,13 @@ def map_windows(stream: DataFrame, key: str, ts: str, size: str, watermark: str,
     rows = T.StructType([T.StructField(f"{f.name}", T.LongType() if f.name == ts else f.dataType) for f in d.schema])
     # of the time columns only the window keeps the watermark: rows are late, and dropped, when their window is closed
     cols = [F.unix_micros(F.col(ts)).alias(ts) if c == ts else F.col(f"`{c}`") for c in d.columns]
-    d = d.where(F.col(key).isNotNull()).select(w.alias("_w"), F.struct(*cols).alias("_r")).select("_w", "_r.*")
-    last = F.unix_millis("_w.end") - 1
+    d = d.where(F.col(key).isNotNull()).select(w.alias("_w"), F.struct(*cols).alias("_r"))
+    d = d.select("_r.*", F.window_time("_w").alias("_time"), F.pmod(F.xxhash64(f"_r.`{key}`"), F.lit(spread)).alias("_bucket"),
+                 (F.unix_millis("_w.end") - 1).alias("_last"))
     out = T.StructType([T.StructField("key", stream.schema[key].dataType), T.StructField("group_ts", T.LongType()),
                         T.StructField("index", T.LongType()), *schema.fields])
-    order = [rows.names.index(c) for c in order_by]
-    processor = _Windows(fn, dict(conf or {}), rows, out, order)
-    return d.withColumn("_key", F.col(key)).withColumn("_last", last).groupBy("_key", "_last").transformWithStateInPandas(
+    processor = _Windows(fn, dict(conf or {}), rows, out, key, list(order_by), hold_bytes)
+    return d.groupBy("_bucket", "_last").transformWithStateInPandas(
         statefulProcessor=processor, outputStructType=out, outputMode="Append", timeMode="EventTime")
 
 

@@ -283,3 +283,35 @@ def test_live_visible_equals_a_read_of_the_log(spark, tmp_table):
     apply_mutations(t, cells(spark.createDataFrame(rows, schema)))
     want = {(bytes(x.row), bytes(x.qualifier)): (x.ts, x.value and bytes(x.value)) for x in read_table(t).collect()}
     assert {k: v for k, v in final.items() if v} == want
+
+
+def test_map_windows_state_is_kept_by_bucket_of_keys(spark):
+    """Many keys share a state; none of their rows, nulls or order is lost, however little is held at once."""
+    def rows(conf, key, batches):
+        for b in batches:
+            assert b.num_rows <= 4096
+            yield from zip(*(b.column(c).to_pylist() for c in ("id", "v", "s")))
+
+    raw = [[(k, i * 1000, None if i % 3 == 0 else -i, f"s{k}", i) for k in range(300) for i in range(5)]
+           + [(7, 9_000_000, j, None, 100 + j) for j in range(5000)],
+           [(k, 20_000_000, 1, "x", 0) for k in range(300)], [(1, 60_000_000, 1, "y", 1)], [(1, 61_000_000, 1, "z", 1)]]
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("v", T.LongType()), T.StructField("s", T.StringType())])
+    want = {(k, 9999): [(i, None if i % 3 == 0 else -i, f"s{k}") for i in range(5)] for k in range(300)}
+    want[7, 9999] += [(100 + j, j, None) for j in range(5000)]
+    want |= {(k, 29999): [(0, 1, "x")] for k in range(300)}
+    for order, hold in (((), 1 << 26), ((), 20_000), (("v", "id"), 1 << 26), (("v", "id"), 20_000)):
+        stream = _files(spark, raw, "k long, us long, v long, s string, id long").select(
+            "k", F.timestamp_micros("us").alias("ts"), "v", "s", "id")
+        out = new_path(spark, "out")
+        q = (map_windows(stream, "k", "ts", "10 seconds", "5 seconds", rows, schema, order_by=order, spread=3, hold_bytes=hold)
+             .writeStream.format("parquet").option("path", out).option("checkpointLocation", new_path(spark, "ck"))
+             .outputMode("append").trigger(availableNow=True).start())
+        q.awaitTermination(300)
+        got = {}
+        for r in sorted(spark.read.parquet(out).collect(), key=lambda r: r["index"]):
+            got.setdefault((r.key, r.group_ts), []).append((r.id, r.v, r.s))
+        by = (lambda r: (r[1] is not None, r[1], r[0])) if order else (lambda r: r[0])
+        assert {k: sorted(v, key=by) if not order else v for k, v in got.items()} == {k: sorted(v, key=by) for k, v in want.items()}
+        # 3 buckets and two windows, where each of 600 keys and windows was a state
+        states = [p["stateOperators"][0]["numRowsTotal"] for p in q.recentProgress if p["stateOperators"]]
+        assert 0 < max(states) < 100
