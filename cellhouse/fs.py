@@ -61,6 +61,18 @@ def count_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> int
     return n
 
 
+def has_files(spark: SparkSession, path: str, suffix: str = ".parquet") -> bool:
+    """Whether any such file lies under ``path``; ends at the first one."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return False
+    it = fs.listFiles(p, True)
+    while it.hasNext():
+        if it.next().getPath().getName().endswith(suffix):
+            return True
+    return False
+
+
 def list_names(spark: SparkSession, path: str) -> list[str]:
     """Names of the entries (files and folders) of ``path``; empty if absent."""
     fs, p = _fs(spark, path)

@@ -180,29 +180,37 @@ def write_cells(table: CellTable, cells: DataFrame, target: str, file_bytes: int
             w.parquet(f"{target}/family={fam}")
 
 
+def file_statistics(files: DataFrame) -> DataFrame:
+    """Manifest columns by written file.  ``min`` and ``max`` of bytes alone would sort
+    all cells of a task by file; ``collect_set`` (one size a file) makes this an
+    aggregate over objects, which holds one row for each file of the task."""
+    from .visibility import key_bytes
+
+    def n_of(op):
+        return F.count_if(F.col("op") == F.lit(op))
+
+    return files.groupBy("family", "region", F.col("_metadata.file_path").alias("f")).agg(
+        F.count(F.lit(1)).alias("n_cells"), F.min("row").alias("min_row"), F.max("row").alias("max_row"),
+        F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"),
+        F.element_at(F.collect_set("_metadata.file_size"), 1).alias("size"),
+        n_of(DELETE_FAMILY).alias("fam"), n_of(DELETE_COLUMN).alias("col"), n_of(DELETE_VERSION).alias("ver"),
+        F.sum(F.when(F.col("op") != F.lit(PUT), key_bytes()).otherwise(F.lit(0))).alias("del"))
+
+
 def _manifest_rows(table: CellTable, load_dir: str, load_time: int, exclude_from_minor: bool, kind: str,
                    replaces_by_group: dict | None, versions_kept: int | None = None) -> list[tuple]:
     """Statistics of the written files, by file first, then folded to one
     row per (family, region).  A group that a compaction replaced and wrote
     nothing for gets a row with no cells, so its old entries are superseded."""
     from ..model import FILE_SCHEMA
-    from .visibility import key_bytes
 
     schema = T.StructType(list(FILE_SCHEMA.fields) + [T.StructField("family", T.StringType()),
                                                       T.StructField("region", T.IntegerType())])
     spark = table.spark
     replaces = dict(replaces_by_group or {})
     got = []
-    if fs.count_files(spark, load_dir):
-        def n_of(op):
-            return F.count_if(F.col("op") == F.lit(op))
-
-        files = spark.read.schema(schema).parquet(load_dir)
-        by_file = files.groupBy("family", "region", F.col("_metadata.file_path").alias("f")).agg(
-            F.count(F.lit(1)).alias("n_cells"), F.min("row").alias("min_row"), F.max("row").alias("max_row"),
-            F.min("ts").alias("min_ts"), F.max("ts").alias("max_ts"), F.max("_metadata.file_size").alias("size"),
-            n_of(DELETE_FAMILY).alias("fam"), n_of(DELETE_COLUMN).alias("col"), n_of(DELETE_VERSION).alias("ver"),
-            F.sum(F.when(F.col("op") != F.lit(PUT), key_bytes()).otherwise(F.lit(0))).alias("del"))
+    if fs.has_files(spark, load_dir):
+        by_file = file_statistics(spark.read.schema(schema).parquet(load_dir))
         got = by_file.groupBy("family", "region").agg(
             F.sum("n_cells"), F.min("min_row"), F.max("max_row"), F.min("min_ts"), F.max("max_ts"),
             F.count(F.lit(1)), F.count_if(F.col("size") < F.lit(DEFAULT_FILE_BYTES // 2)), F.sum("size"),

@@ -167,6 +167,20 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_manifest_statistics_do_not_sort_the_cells(spark, tmp_table):
+    from cellhouse.operators.load import file_statistics
+
+    t = tmp_table(["f"], splits=["m"])
+    apply_mutations(t, spark.createDataFrame([("a", "f", "q", 5, "x", 4, 0), ("z", "f", "q", 7, None, 12, 1),
+                                              ("b", "f", "q", 3, "w", 4, 2)], SCHEMA))
+    got = file_statistics(spark.read.schema(t.stored().schema).parquet(t.data_path))
+    plan = _plan(got)
+    assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan and "Sort [" not in plan
+    rows = sorted((r.region, r.n_cells, bytes(r.min_row), bytes(r.max_row), r.min_ts, r.max_ts, r.col, r["size"] > 0)
+                  for r in got.collect())
+    assert rows == [(0, 2, b"a", b"b", 3, 5, 0, True), (1, 1, b"z", b"z", 7, 7, 1, True)]
+
+
 def test_major_compacted_groups_read_without_shuffle(spark, tmp_table):
     t = tmp_table(["f", "g"], splits=["r3", "r6"])
     load_all(spark, t, random_batches(7))
