@@ -127,7 +127,8 @@ def newest_versions(puts: DataFrame, versions: int | None = 1) -> DataFrame:
 SWEEP_SPREAD = 8
 
 
-def swept(cells: DataFrame, versions: int | None = 1, ts_range=None, spread: int = SWEEP_SPREAD) -> DataFrame:
+def swept(cells: DataFrame, versions: int | None = 1, ts_range=None, spread: int = SWEEP_SPREAD,
+          kinds=(DELETE_FAMILY, DELETE_COLUMN, DELETE_VERSION)) -> DataFrame:
     """Visible puts by one exchange, for tombstones of any size.
 
     Puts and tombstones go together to (row, family, share of the qualifier); a
@@ -135,7 +136,8 @@ def swept(cells: DataFrame, versions: int | None = 1, ts_range=None, spread: int
     lie in the order family tombstones, then by qualifier, newest first, tombstones
     before puts of their time.  One pass keeps the newest family tombstone, the newest
     column tombstone and the last version tombstone met so far, which decide each put;
-    a second, in the same order, counts the versions that are left.
+    a second, in the same order, counts the versions that are left.  Of the tombstones
+    only ``kinds`` are there; no pass is made for the others.
     """
     by_time = F.col("op") == F.lit(PUT)
     rows = cells.where(by_time.isNotNull())
@@ -149,17 +151,24 @@ def swept(cells: DataFrame, versions: int | None = 1, ts_range=None, spread: int
     group = ["row", "family", "_share"]
     column = [*group, "_scope", "qualifier"]
     newest = [F.col("ts").desc(), F.col("_put"), *_arrival_order(cells)]
-    family = Window.partitionBy(*group).orderBy("_scope", "qualifier", *newest).rowsBetween(Window.unboundedPreceding, 0)
+    # all family tombstones of a group lie before its puts, so each put has met the newest of the group
+    family = Window.partitionBy(*group).orderBy("_scope", "qualifier", *newest).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing)
     met = Window.partitionBy(*column).orderBy(*newest).rowsBetween(Window.unboundedPreceding, 0)
 
     def time_of(op):
         return F.when(F.col("op") == F.lit(op), F.col("ts"))
 
-    rows = rows.withColumn("_fam", F.max(time_of(DELETE_FAMILY)).over(family)).withColumn(
-        "_col", F.max(time_of(DELETE_COLUMN)).over(met)).withColumn(
-        "_ver", F.last(time_of(DELETE_VERSION), ignorenulls=True).over(met))
-    shown = (F.col("_put") == 1) & (F.col("_fam").isNull() | (F.col("ts") > F.col("_fam"))) & (
-        F.col("_col").isNull() | (F.col("ts") > F.col("_col"))) & (F.col("_ver").isNull() | (F.col("ts") != F.col("_ver")))
+    shown = F.col("_put") == 1
+    if DELETE_FAMILY in kinds:
+        rows = rows.withColumn("_fam", F.max(time_of(DELETE_FAMILY)).over(family))
+        shown &= F.col("_fam").isNull() | (F.col("ts") > F.col("_fam"))
+    if DELETE_COLUMN in kinds:
+        rows = rows.withColumn("_col", F.max(time_of(DELETE_COLUMN)).over(met))
+        shown &= F.col("_col").isNull() | (F.col("ts") > F.col("_col"))
+    if DELETE_VERSION in kinds:
+        rows = rows.withColumn("_ver", F.last(time_of(DELETE_VERSION), ignorenulls=True).over(met))
+        shown &= F.col("_ver").isNull() | (F.col("ts") != F.col("_ver"))
     rows = rows.where(shown)
     # of a time the latest arrival; of a column the newest times
     order = Window.partitionBy(*column).orderBy(*newest)
@@ -176,7 +185,7 @@ def visible_puts(cells: DataFrame, ts_range=None, broadcast_bytes: int = BROADCA
     by a sweep (which keeps one put per timestamp)."""
     known = known if known is not None else (cells, *measure_tombstones(cells))
     if known[1] and known[2] > broadcast_bytes:
-        return swept(cells, None, ts_range)
+        return swept(cells, None, ts_range, kinds=known[1])
     return apply_tombstones(cells, ts_range, known)
 
 
@@ -185,7 +194,7 @@ def visible_cells(cells: DataFrame, versions: int | None = 1, ts_range=None, kee
     """Visible cells ``row, family, qualifier, ts, value`` of a cell log."""
     known = known if known is not None else (cells, *measure_tombstones(cells))
     if known[1] and known[2] > broadcast_bytes:
-        out = swept(cells, versions, ts_range)
+        out = swept(cells, versions, ts_range, kinds=known[1])
     else:
         out = newest_versions(apply_tombstones(cells, ts_range, known), versions)
     if keep_meta:

@@ -196,3 +196,25 @@ def test_major_compacted_groups_read_without_shuffle(spark, tmp_table):
     assert t.resolved_versions() is False
     assert "Exchange" in _plan(read_table(t))
     assert (b"r1", "f", b"q0", 99, b"new") in snapshot(t)
+
+
+def test_a_sweep_makes_a_pass_only_for_the_tombstones_there(spark, tmp_table):
+    from cellhouse.model import DELETE_COLUMN, DELETE_FAMILY, DELETE_VERSION
+    from cellhouse.operators.visibility import swept
+
+    rows = [("r", "f", "q", 1, "a", 4, 0), ("r", "f", "q", 3, "b", 4, 1), ("r", "f", "q", 3, "c", 4, 2), ("s", "f", "q", 5, "d", 4, 3),
+            ("r", "f", "p", 2, "e", 4, 4), ("s", "f", "o", 9, "g", 4, 5), ("t", "f", "q", 1, "h", 4, 6)]
+    dels = {DELETE_FAMILY: [("r", "f", "", 1, None, 14, 7), ("r", "f", "", 2, None, 14, 8), ("s", "f", "", 5, None, 14, 9)],
+            DELETE_COLUMN: [("r", "f", "q", 2, None, 12, 10), ("s", "f", "o", 9, None, 12, 11)],
+            DELETE_VERSION: [("r", "f", "q", 3, None, 8, 12)]}
+    passes = {}
+    for kinds in ((DELETE_FAMILY,), (DELETE_COLUMN,), (DELETE_VERSION,), tuple(dels)):
+        t = tmp_table(["f"])
+        apply_mutations(t, spark.createDataFrame(rows + [d for k in kinds for d in dels[k]], SCHEMA))
+        assert t.tombstones()[1] == set(kinds)
+        for versions in (1, None):
+            got = read_table(t, versions=versions, broadcast_bytes=0)
+            assert sorted(map(tuple, got.collect())) == sorted(map(tuple, read_table(t, versions=versions).collect()))
+        passes[kinds] = _plan(got).count("Window [")
+    assert passes[DELETE_FAMILY,] < passes[tuple(dels)] and passes[DELETE_COLUMN,] < passes[tuple(dels)]
+    assert swept.__defaults__[-1] == tuple(dels)  # a caller that does not know has all kinds looked for
