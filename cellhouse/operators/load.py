@@ -114,11 +114,25 @@ def _records_per_file(cells: DataFrame, file_bytes: int | None) -> int:
     return max(1, int(file_bytes // max(float(avg or 64.0), 1.0)))
 
 
+ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
+
+def _task_bytes(spark, file_bytes: int | None, spread: bool) -> int | None:
+    """Bytes that REBALANCE gives a write task (None: the session's advisory size).
+    A ``file_bytes`` above the usual size makes tasks large enough for such files; a
+    smaller one only rolls files inside a task.  Tasks as small as the files would each
+    add folders, a commit and the last, partly filled file of every group they hold."""
+    if not spread:
+        return max(file_bytes or 0, DEFAULT_FILE_BYTES)
+    usual = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(ADVISORY, "64m"))
+    return file_bytes if file_bytes and file_bytes > usual else None
+
+
 @contextmanager
 def _advisory_size(spark, n_bytes: int | None):
-    """While a load is written, REBALANCE makes tasks -- and so files -- of
-    about ``n_bytes``: it splits larger partitions and merges smaller ones."""
-    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    """While a load is written, REBALANCE makes tasks of about ``n_bytes``: it
+    splits larger partitions and merges smaller ones."""
+    key = ADVISORY
     before = spark.conf.get(key, None)
     if n_bytes:
         spark.conf.set(key, str(n_bytes))
@@ -148,7 +162,8 @@ def write_cells(table: CellTable, cells: DataFrame, target: str, file_bytes: int
     """Region-sorted parquet under ``target/family=/region=`` (O1).
 
     Files follow the session's advisory partition size through the rebalance;
-    an explicit ``file_bytes`` is used in its place and also rolls files by rows.  ``balanced=True`` means the
+    an explicit ``file_bytes`` rolls files by rows inside the tasks, and is used in its place
+    where it is larger.  ``balanced=True`` means the
     caller already placed the rows (thin rows) and only the in-task sort
     remains; such callers pass ``sized``, a pre-exchange view of the cells, so
     sizing never runs the shuffle.  ``spread=False`` (compaction) writes each
@@ -162,7 +177,7 @@ def write_cells(table: CellTable, cells: DataFrame, target: str, file_bytes: int
     sorted_cells = placed.sortWithinPartitions(*sort_keys()).select(*WRITE_COLS)
     per_file = _records_per_file(sized if sized is not None else cells, file_bytes)
     fam_opts = {f: o for f, o in (table.family_options or {}).items() if o}
-    with _advisory_size(table.spark, file_bytes or (None if spread else DEFAULT_FILE_BYTES)):
+    with _advisory_size(table.spark, _task_bytes(table.spark, file_bytes, spread)):
         if not fam_opts:
             w = sorted_cells.write.mode("errorifexists").partitionBy("family", "region")
             if per_file:

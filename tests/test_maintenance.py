@@ -138,6 +138,29 @@ def test_file_rolling(spark, tmp_table):
     assert read_table(t).count() == 3000
 
 
+def test_file_rolling_needs_no_task_per_file(spark, tmp_table):
+    # files roll inside the usual write tasks: a small target makes no more tasks
+    import glob
+    import os
+
+    t = tmp_table(["f"], splits=[])
+    df = spark.range(0, 24000, 1, 8).select(
+        F.format_string("r%05d", "id").alias("row"), F.lit("f").alias("family"), F.lit("q").alias("qualifier"),
+        F.lit(1).cast("long").alias("ts"), F.concat(F.sha2(F.col("id").cast("string"), 512),
+                                                    F.sha2((-F.col("id")).cast("string"), 512)).alias("value"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    r = bulk_load(t, df, file_bytes=64 * 1024)
+    assert spark.conf.get(key, None) == before
+    names = [os.path.basename(f) for f in glob.glob(local_path(r.path) + "/family=f/region=*/*.parquet")]
+    tasks = {n.split("-")[1] for n in names}
+    per_file = 64 * 1024 // (6 + 1 + 1 + 9 + 256)
+    assert len(tasks) <= int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert 24000 // per_file <= len(names) <= 24000 // per_file + len(tasks) + 1
+    rows = [r["n"] for r in t.stored().groupBy(F.col("_metadata.file_path")).agg(F.count("*").alias("n")).collect()]
+    assert max(rows) <= per_file and sum(rows) == 24000
+
+
 def test_family_options(spark, tmp_table):
     t = tmp_table(["f", "g"])
     set_family_options(t, "g", compression="gzip")
