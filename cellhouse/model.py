@@ -29,6 +29,9 @@ DEFAULT_SPLIT_KEYS = ("aaa", "bbb")
 # Largest key/tombstone set (in bytes) that is ever broadcast.  Every
 # broadcast in this package is preceded by an action that measures the side.
 BROADCAST_BYTES = 64 * 1024 * 1024
+# Up to so many bytes of cell files a read ranks all cells; beyond it, only
+# those of columns that an action found to hold several puts.
+RANKED_BYTES = 16 * 1024 * 1024
 # Region-index expressions are a balanced tree of comparisons up to this many
 # start keys; beyond it a binary search over one array literal.
 TREE_REGION_LIMIT = 512

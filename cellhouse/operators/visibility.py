@@ -27,7 +27,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..model import BROADCAST_BYTES, DELETE_COLUMN, DELETE_FAMILY, DELETE_VERSION, PUT
+from ..session import work_root
 
+#: bytes of a column's hash as a row of an in-memory hash relation
+HASH_BYTES = 48
 KEY_F = ["row", "family"]
 KEY_Q = ["row", "family", "qualifier"]
 
@@ -123,6 +126,35 @@ def newest_versions(puts: DataFrame, versions: int | None = 1) -> DataFrame:
     return top.withColumn("_rn", F.row_number().over(w_ts)).where(F.col("_rn") == 1).drop("_rn")
 
 
+def newest_of_repeated(cells: DataFrame, puts: DataFrame, versions: int | None = 1,
+                       broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``newest_versions`` of ``puts``, where only columns with several puts move.
+
+    The only put of a column is its newest version whatever its time, so it needs
+    neither exchange nor sort.  One action counts the puts (of ``cells``, before
+    tombstones: at least as many) by a 64-bit hash of the column: the exchange carries
+    a hash and a count for each cell, combined in the map tasks first.  Columns
+    whose hash comes more than once -- by chance too -- are ranked as always, told apart by a
+    broadcast of the hashes; if these do not fit ``broadcast_bytes``, all are ranked.
+    """
+    if versions is not None and versions < 1:
+        return newest_versions(puts, versions)
+    column = F.xxhash64(*KEY_Q)
+    counts = cells.where(F.col("op") == F.lit(PUT)).groupBy(column.alias("_column")).agg(
+        F.count(F.lit(1)).alias("_n"))
+    repeated = counts.where(F.col("_n") > 1).select("_column")
+    n = repeated.count()
+    if n == 0:
+        return puts
+    if n * HASH_BYTES > broadcast_bytes:
+        return newest_versions(puts, versions)
+    work_root(cells.sparkSession)  # make sure a checkpoint folder is set
+    repeated = F.broadcast(repeated.checkpoint(eager=True))
+    told = puts.withColumn("_column", column)
+    lone = told.join(repeated, "_column", "left_anti").drop("_column")
+    return lone.unionByName(newest_versions(told.join(repeated, "_column", "left_semi").drop("_column"), versions))
+
+
 #: a row's columns are dealt over so many tasks in a sweep
 SWEEP_SPREAD = 8
 
@@ -190,13 +222,16 @@ def visible_puts(cells: DataFrame, ts_range=None, broadcast_bytes: int = BROADCA
 
 
 def visible_cells(cells: DataFrame, versions: int | None = 1, ts_range=None, keep_meta: bool = False,
-                  broadcast_bytes: int = BROADCAST_BYTES, known=None) -> DataFrame:
-    """Visible cells ``row, family, qualifier, ts, value`` of a cell log."""
+                  broadcast_bytes: int = BROADCAST_BYTES, known=None, find_repeated: bool = False) -> DataFrame:
+    """Visible cells ``row, family, qualifier, ts, value`` of a cell log.
+    ``find_repeated``: columns with several puts are found first, only they are ranked."""
     known = known if known is not None else (cells, *measure_tombstones(cells))
     if known[1] and known[2] > broadcast_bytes:
         out = swept(cells, versions, ts_range, kinds=known[1])
     else:
-        out = newest_versions(apply_tombstones(cells, ts_range, known), versions)
+        puts = apply_tombstones(cells, ts_range, known)
+        out = newest_of_repeated(in_ts_range(cells, ts_range), puts, versions, broadcast_bytes) if find_repeated \
+            else newest_versions(puts, versions)
     if keep_meta:
         return out
     return out.select("row", "family", "qualifier", "ts", "value")

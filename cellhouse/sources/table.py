@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .. import fs
 from ..functions.regions import as_bytes, region_bounds, regions_for_range, table_starts
 from ..model import (BROADCAST_BYTES, CELL_COLUMNS, CELL_SCHEMA, DELETE_COLUMN, DELETE_FAMILY, DELETE_VERSION, MANIFEST_SCHEMA,
-                     META_SCHEMA, PUT, STORED_SCHEMA)
+                     META_SCHEMA, PUT, RANKED_BYTES, STORED_SCHEMA)
 
 LOAD_ID_WIDTH = 12
 #: manifest column that counts each kind of tombstone
@@ -106,6 +106,12 @@ class CellTable:
                 size += e["del_bytes"]
         return sorted(loads), kinds, size
 
+    def live_bytes(self, families=None, regions=None) -> int:
+        """Bytes of the live files in scope, from the manifest."""
+        return sum(e["n_bytes"] for e in self.live_entries()
+                   if (families is None or e["family"] in families)
+                   and (regions is None or regions[0] <= e["region"] <= regions[1]))
+
     def next_load_id(self) -> str:
         used = [d.split("=", 1)[1] for d in fs.list_dirs(self.spark, self.data_path) if d.startswith("load_id=")]
         used += self.committed_loads()
@@ -233,16 +239,19 @@ def read_table(
     ts_range=None,
     versions: int | None = 1,
     broadcast_bytes: int = BROADCAST_BYTES,
+    ranked_bytes: int = RANKED_BYTES,
 ) -> DataFrame:
     """Visible cells (newest ``versions`` per column, tombstones
     applied) as ``row, family, qualifier, ts, value``.  Tombstones of more than
-    ``broadcast_bytes`` are resolved by a sweep."""
+    ``broadcast_bytes`` are resolved by a sweep.  In files of more than ``ranked_bytes``
+    the columns with several puts are looked for first (one action)."""
     cells = read_cells(table, start_row, stop_row, families, qualifiers)
     regions = None
     if start_row is not None or stop_row is not None:
         regions = regions_for_range(table.starts, as_bytes(start_row) if start_row is not None else None,
                                     as_bytes(stop_row) if stop_row is not None else None)
-    return resolve(table, cells, versions, ts_range, families, regions, broadcast_bytes)
+    find_repeated = table.live_bytes(families, regions) > ranked_bytes
+    return resolve(table, cells, versions, ts_range, families, regions, broadcast_bytes, find_repeated)
 
 
 def known_tombstones(table: CellTable, cells: DataFrame, families=None, regions=None):
@@ -253,7 +262,7 @@ def known_tombstones(table: CellTable, cells: DataFrame, families=None, regions=
 
 
 def resolve(table: CellTable, cells: DataFrame, versions=1, ts_range=None, families=None, regions=None,
-            broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+            broadcast_bytes: int = BROADCAST_BYTES, find_repeated: bool = False) -> DataFrame:
     """Visible cells of ``cells`` read from ``table``.  Groups written by a
     major compaction (and nothing since) are resolved already -- no
     tombstones, one cell per version, at most ``versions_kept`` versions --
@@ -265,7 +274,7 @@ def resolve(table: CellTable, cells: DataFrame, versions=1, ts_range=None, famil
         return in_ts_range(cells.where(F.col("op") == F.lit(PUT)), ts_range).select(
             "row", "family", "qualifier", "ts", "value")
     return visible_cells(cells, versions=versions, ts_range=ts_range, broadcast_bytes=broadcast_bytes,
-                         known=known_tombstones(table, cells, families, regions))
+                         known=known_tombstones(table, cells, families, regions), find_repeated=find_repeated)
 
 
 __all__ = ["CellTable", "create_table", "open_table", "read_cells", "read_table", "CELL_SCHEMA"]

@@ -40,6 +40,36 @@ def load_all(spark, t, batches, order=None):
         apply_mutations(t, spark.createDataFrame(batches[i], SCHEMA))
 
 
+def test_read_ranks_only_repeated_columns(spark, tmp_table):
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def cells(df):
+        return sorted((bytes(r.row), r.family, bytes(r.qualifier), r.ts, bytes(r.value)) for r in df.collect())
+
+    t = tmp_table(["f", "g"], splits=["r3", "r6"])
+    load_all(spark, t, random_batches(3))  # columns with many puts and tombstones of all kinds
+    alone = [(f"s{i}", "f", "q", 1, f"a{i}", 4, i) for i in range(50)]
+    bulk_load(t, spark.createDataFrame(alone, SCHEMA))
+    for kw in ({"versions": 1}, {"versions": 2, "ts_range": (2, 5)}, {"versions": None, "start_row": "r5"}):
+        want = cells(read_table(t, **kw))
+        assert want
+        assert cells(read_table(t, ranked_bytes=0, **kw)) == want
+    from cellhouse.operators.visibility import newest_of_repeated, newest_versions
+    from cellhouse.sources.table import read_cells
+
+    log = read_cells(t)
+    puts = log.where("op = 4")
+    # more repeated columns than may be broadcast: all are ranked
+    assert cells(newest_of_repeated(log, puts, 1, 1)) == cells(newest_versions(puts, 1))
+    # every column has one put: the read moves no cell
+    t2 = tmp_table(["f"], splits=["s3"])
+    bulk_load(t2, spark.createDataFrame(alone, SCHEMA))
+    got = read_table(t2, ranked_bytes=0)
+    assert "Exchange" not in plan(got) and "Sort" not in plan(got)
+    assert cells(got) == sorted((r.encode(), f, q.encode(), ts, v.encode()) for r, f, q, ts, v, _, _ in alone)
+
+
 def test_compaction_keeps_visible_cells(spark, tmp_table):
     for seed in (1, 2):
         t = tmp_table(["f", "g"], splits=["r3", "r6"])
